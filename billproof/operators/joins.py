@@ -1,7 +1,9 @@
 """Lookup-style joins that survive hot keys.
 
-A small lookup side is left to Spark's own size-checked broadcast. A larger one is shuffled, and then rows of hot keys
-(and of NULL keys, which never match) are spread over salts while only the hot lookup rows are copied per salt.
+A small lookup side is left to Spark's own size-checked broadcast. A larger one is shuffled; the partitions of hot keys
+(and of NULL keys, which never match) are then split by adaptive skew handling or, where that is off or cannot apply
+because the result is grouped by the same key, by salting: hot rows are dealt over salts and only the hot lookup rows
+are copied per salt.
 """
 
 from __future__ import annotations
@@ -40,26 +42,37 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > hot_rows).drop("count").dropna(subset=list(keys))
 
 
+def _adaptive_skew(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return all(
+        conf.get(key, "true").lower() == "true"
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    hot_rows: int | None = None,
-    salts: int | None = None,
+    split: str = "auto",
+    hot_source: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Equi join on same-named keys of a large left side with a right side that is unique per key.
 
     how: 'left', 'inner', 'left_semi' or 'left_anti'. NULL keys never match, as in a plain join.
+    split: 'auto' leaves hot keys to adaptive skew handling when it is on, 'salt' always salts them (needed when the
+    result is grouped by the same keys). hot_source: where to count the keys, by default `left`; pass the base table
+    when `left` is a long chain of joins, so that the count reads only the key columns.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"skew_join supports left-preserving joins, not {how!r}")
     keys = list(keys)
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    salts = SALTS if salts is None else salts
-    if fits_broadcast(right):
+    if split == "auto" and (_adaptive_skew(left) or fits_broadcast(right)):
         return left.join(right, keys, how)
-    hot = _hot_keys(left, keys, hot_rows)
+    hot = _hot_keys(left if hot_source is None else hot_source, keys, hot_rows)
     flagged_hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     any_null = F.lit(False)
     for k in keys:
@@ -69,9 +82,8 @@ def skew_join(
     salted_left = left.join(flagged_hot, keys, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.join(flagged_hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt").select(
-        *_result_columns(left, right, keys, how)
-    )
+    joined = salted_left.join(salted_right, [*keys, "_salt"], how)
+    return joined.select(*_result_columns(left, right, keys, how))
 
 
 def _result_columns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> list[str]:
@@ -81,18 +93,29 @@ def _result_columns(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return [f"`{c}`" for c in columns]
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], fields: Mapping[str, str], **skew) -> DataFrame:
+def lookup(
+    df: DataFrame,
+    dim: DataFrame,
+    on: Mapping[str, str],
+    fields: Mapping[str, str],
+    hot_base: DataFrame | None = None,
+    **skew,
+) -> DataFrame:
     """Left join to a lookup reduced to one row per key.
 
     on: {column of df: column of dim}; fields: {column of dim: output name}. The row count of df never changes.
+    hot_base: the table before earlier lookups, where hot keys are counted if they have to be.
     """
     keys = {f"_k{i}": (mine, theirs) for i, (mine, theirs) in enumerate(on.items())}
     side = dim.select(
         *[F.col(theirs).alias(k) for k, (_, theirs) in keys.items()],
         *[F.col(source).alias(target) for source, target in fields.items()],
     ).dropna(subset=list(keys))
-    keyed = df.select("*", *[F.col(mine).alias(k) for k, (mine, _) in keys.items()])
-    return skew_join(keyed, unique_by(side, list(keys)), list(keys), "left", **skew).drop(*keys)
+    own = [F.col(mine).alias(k) for k, (mine, _) in keys.items()]
+    source = None if hot_base is None else hot_base.select(*own)
+    return skew_join(
+        df.select("*", *own), unique_by(side, list(keys)), list(keys), "left", hot_source=source, **skew
+    ).drop(*keys)
 
 
 def lookup_cascade(
@@ -108,10 +131,10 @@ def lookup_cascade(
     matched: optional name of a column with the 1-based number of the first try that found a row.
     """
     out = df
+    side = dim.withColumn("_found", F.lit(True))
     for i, (mine, theirs) in enumerate(tries):
-        side = dim.withColumn("_found", F.lit(True))
         renamed = {source: f"_c{i}_{target}" for source, target in fields.items()} | {"_found": f"_c{i}_found"}
-        out = lookup(out, side, {mine: theirs}, renamed, **skew)
+        out = lookup(out, side, {mine: theirs}, renamed, hot_base=df, **skew)
     columns = [F.col(f"`{c}`") for c in df.columns]
     for target in fields.values():
         columns.append(F.coalesce(*[F.col(f"_c{i}_{target}") for i in range(len(tries))]).alias(target))

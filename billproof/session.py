@@ -49,7 +49,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None where it cannot be read."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 
