@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import revenue, rules  # noqa: F401
+    from . import findings, revenue, rules  # noqa: F401
