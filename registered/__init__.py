@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import findings, revenue, rules, standing  # noqa: F401
+    from . import address, findings, revenue, rules, standing  # noqa: F401
