@@ -16,18 +16,19 @@ CNPJ_WEIGHTS = (
 
 def cnpj_valid(c: Column) -> Column:
     """Mod-11 check digits of a 14-digit company number (any mask); all-equal digits are rejected, NULL is FALSE."""
-    doc = F.coalesce(digits_only(c), F.lit(""))
-    shaped = (F.length(doc) == 14) & ~doc.rlike(r"^(\d)\1{13}$")
 
-    def check_digit(weights: tuple[int, ...]) -> Column:
-        total = sum(F.substring(doc, i + 1, 1).cast("int") * F.lit(w) for i, w in enumerate(weights))
+    def check_digit(doc: Column, weights: tuple[int, ...]) -> Column:
+        total = sum((F.substring(doc, i + 1, 1).cast("int") * F.lit(w) for i, w in enumerate(weights)), F.lit(0))
         rest = total % 11
         return F.when(rest < 2, F.lit(0)).otherwise(F.lit(11) - rest)
 
-    digits_ok = (F.substring(doc, 13, 1).cast("int") == check_digit(CNPJ_WEIGHTS[0])) & (
-        F.substring(doc, 14, 1).cast("int") == check_digit(CNPJ_WEIGHTS[1])
-    )
-    return F.when(shaped, digits_ok).otherwise(F.lit(False))
+    def holds(doc: Column) -> Column:
+        shaped = (F.length(doc) == 14) & ~doc.rlike(r"^(\d)\1{13}$")
+        digits = [F.substring(doc, 13 + i, 1).cast("int") == check_digit(doc, w) for i, w in enumerate(CNPJ_WEIGHTS)]
+        return F.when(shaped, digits[0] & digits[1]).otherwise(F.lit(False))
+
+    # The lambda binds the cleaned number once: the ~30 digit reads do not repeat the caller's expression.
+    return F.get(F.transform(F.array(F.coalesce(digits_only(c), F.lit(""))), holds), F.lit(0))
 
 
 def doc_type(c: Column, null_is_invalid: bool = False) -> Column:
