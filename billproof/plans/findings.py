@@ -360,3 +360,90 @@ def tag_checks() -> dict[str, Column]:
         "status_validacao": c("STATUS").isin(*BAD) & (c("STATUS_VALIDACAO") != "PENDENTE"),
         "analista_nulo": c("ANALISTA").isNotNull(),
     }
+
+
+# -- reports ----------------------------------------------------------------------------------------------------------
+
+
+def _fiscal(hub: DataFrame, lot: str) -> DataFrame:
+    return select_lot(hub, lot).where(F.col("REGRA").isin(*RULES_TAG_IN_TEXT))
+
+
+def _volumes() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("ID_CONTA_CONTRATO").alias("cli"),
+        F.count_distinct("FATURA").alias("fat"),
+    ]
+
+
+def report_fiscal_status(hub: DataFrame, lot: str) -> DataFrame:
+    """Findings of the rule job by system, rule, status and severity."""
+    return _fiscal(hub, lot).groupBy("CRM", "REGRA", "STATUS", "SUBSTATUS").agg(*_volumes())
+
+
+def report_fiscal_texts(hub: DataFrame, lot: str, status: str = "INCORRETO") -> DataFrame:
+    """Findings of one status by text."""
+    rows = _fiscal(hub, lot).where(F.col("STATUS") == status)
+    return rows.groupBy("REGRA", "SUBSTATUS", "OBSERVACAO").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ID_CONTA_CONTRATO").alias("cli")
+    )
+
+
+def report_text_like(hub: DataFrame, lot: str, rule: str, word: str, n: int = 20) -> DataFrame:
+    """Most frequent texts of a rule that mention a word (e.g. ICMS_DIVERGENTE)."""
+    rows = select_lot(hub, lot).where((F.col("REGRA") == rule) & F.col("OBSERVACAO").contains(word))
+    counted = rows.groupBy("OBSERVACAO").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ID_CONTA_CONTRATO").alias("cli"))
+    return counted.orderBy(F.desc("n"), "OBSERVACAO").limit(n)
+
+
+def report_executive(hub: DataFrame, lot: str) -> DataFrame:
+    """One row: invoices, customers, findings per status and rule, share of invoices per status."""
+    c = F.col
+    rows = _fiscal(hub, lot)
+    invoices = F.count_distinct("FATURA")
+
+    def share(status: str) -> Column:
+        mine = F.count_distinct(F.when(c("STATUS") == status, c("FATURA")))
+        return F.round(mine * F.lit(100.0) / F.nullif(invoices, F.lit(0)), 2)
+
+    names = {"ok": "CORRETO", "incorreto": "INCORRETO", "alerta": "ALERTA"}
+    return rows.agg(
+        invoices.alias("fat"),
+        F.count_distinct("ID_CONTA_CONTRATO").alias("cli"),
+        *[F.count_if(c("STATUS") == s).alias(n) for n, s in names.items()],
+        F.count_if(c("REGRA") == "VALIDACAO_IMPOSTOS").alias("impostos"),
+        F.count_if(c("REGRA") == "VALIDACAO_NFCOM").alias("nfcom"),
+        *[share(s).alias(f"pct_{n}") for n, s in names.items()],
+    )
+
+
+def report_accounts(accounts: DataFrame) -> DataFrame:
+    """Account table by status and weight."""
+    c = F.col
+    return accounts.groupBy("STATUS", "STATUS_VALIDACAO", "Ordem_Status").agg(
+        F.count(F.lit(1)).alias("faturas"),
+        F.count_distinct("ID_CONTA").alias("contas"),
+        F.round(F.sum("VALOR"), 2).alias("valor_total"),
+        F.count_if(c("PROBLEMA").isNotNull()).alias("com_problema"),
+        F.count_if(c("Valor_Positive") == "SIM").alias("com_valor"),
+    )
+
+
+def top_problems(accounts: DataFrame, n: int = 10) -> DataFrame:
+    counted = accounts.where(F.col("PROBLEMA").isNotNull()).groupBy("PROBLEMA").agg(F.count(F.lit(1)).alias("qtd"))
+    return counted.orderBy(F.desc("qtd"), "PROBLEMA").limit(n)
+
+
+def report_details(details: DataFrame) -> DataFrame:
+    """Detail table by rule and status."""
+    return details.groupBy("REGRA", "STATUS", "SUBSTATUS", "STATUS_VALIDACAO").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("FATURA").alias("faturas"), F.count_distinct("ID_CONTA").alias("contas")
+    )
+
+
+def report_tags(tags: DataFrame) -> DataFrame:
+    """Tag table by rule, status and tag."""
+    return tags.groupBy("REGRA", "STATUS", "TAG", "STATUS_VALIDACAO").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("FATURA").alias("faturas")
+    )

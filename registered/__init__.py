@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import address, enrich, findings, revenue, rules, standing  # noqa: F401
+    from . import address, cleaning, enrich, files, findings, revenue, rules, segmentation, standing  # noqa: F401

@@ -348,14 +348,15 @@ def j8(spark, sf):
     return J.keep_existing(table(spark, sf, "orders").select("o_orderkey"), returned, {"o_orderkey": "l_orderkey"})
 
 
-@query("j9_keep_missing", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("j9_keep_missing", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 20)")
 def j9(spark, sf):
-    return J.keep_missing(table(spark, sf, "customer").select("c_custkey"), table(spark, sf, "orders"), {"c_custkey": "o_custkey"})
+    large = table(spark, sf, "lineitem").where("l_quantity > 20")
+    return J.keep_missing(table(spark, sf, "orders").select("o_orderkey"), large, {"o_orderkey": "l_orderkey"})
 
 
-@query("u7_set_difference", "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 25")
+@query("u7_set_difference", "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49")
 def u7(spark, sf):
-    used = table(spark, sf, "lineitem").where("l_quantity > 25")
+    used = table(spark, sf, "lineitem").where("l_quantity > 49")
     return J.keep_missing(table(spark, sf, "part").select("p_partkey").distinct(), used, {"p_partkey": "l_partkey"})
 
 
@@ -559,3 +560,89 @@ def p12(spark, sf):
 
     s = F.col("STATUS")
     return hub(spark, sf).select("FATURA", label_chain([(s == "INCORRETO", 4), (s == "ALERTA", 3)], 1).alias("prioridade"))
+
+
+_FISCAL = f"REGRA IN ({quoted(P.RULES_TAG_IN_TEXT)})"
+
+
+@query(
+    "q6_report_fiscal_status",
+    f"""WITH {HUB_SQL} SELECT CRM, REGRA, STATUS, SUBSTATUS, COUNT(*) AS n, COUNT(DISTINCT ID_CONTA_CONTRATO) AS cli, COUNT(DISTINCT FATURA) AS fat FROM hub WHERE {_FISCAL} GROUP BY 1, 2, 3, 4""",
+)
+def q6_fiscal(spark, sf):
+    return P.report_fiscal_status(hub(spark, sf), LOT)
+
+
+@query(
+    "q6_report_fiscal_texts",
+    f"""WITH {HUB_SQL} SELECT REGRA, SUBSTATUS, OBSERVACAO, COUNT(*) AS n, COUNT(DISTINCT ID_CONTA_CONTRATO) AS cli FROM hub WHERE {_FISCAL} AND STATUS = 'INCORRETO' GROUP BY 1, 2, 3""",
+)
+def q6_texts(spark, sf):
+    return P.report_fiscal_texts(hub(spark, sf), LOT)
+
+
+@query(
+    "q6_report_text_like",
+    f"""WITH {HUB_SQL} SELECT OBSERVACAO, COUNT(*) AS n, COUNT(DISTINCT ID_CONTA_CONTRATO) AS cli FROM hub WHERE REGRA = 'VALIDACAO_IMPOSTOS' AND OBSERVACAO LIKE '%TAG!_3%' ESCAPE '!'
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
+)
+def q6_like(spark, sf):
+    return P.report_text_like(hub(spark, sf), LOT, "VALIDACAO_IMPOSTOS", "TAG_3")
+
+
+def _share(status):
+    return f"ROUND(COUNT(DISTINCT CASE WHEN STATUS = '{status}' THEN FATURA END) * 100.0::DOUBLE / NULLIF(COUNT(DISTINCT FATURA), 0), 2)"
+
+
+@query(
+    "q6_report_executive",
+    f"""WITH {HUB_SQL} SELECT COUNT(DISTINCT FATURA) AS fat, COUNT(DISTINCT ID_CONTA_CONTRATO) AS cli, COUNT(CASE WHEN STATUS = 'CORRETO' THEN 1 END) AS ok,
+  COUNT(CASE WHEN STATUS = 'INCORRETO' THEN 1 END) AS incorreto, COUNT(CASE WHEN STATUS = 'ALERTA' THEN 1 END) AS alerta, COUNT(CASE WHEN REGRA = 'VALIDACAO_IMPOSTOS' THEN 1 END) AS impostos,
+  COUNT(CASE WHEN REGRA = 'VALIDACAO_NFCOM' THEN 1 END) AS nfcom, {_share('CORRETO')} AS pct_ok, {_share('INCORRETO')} AS pct_incorreto, {_share('ALERTA')} AS pct_alerta FROM hub WHERE {_FISCAL}""",
+)
+def q6_executive(spark, sf):
+    return P.report_executive(hub(spark, sf), LOT)
+
+
+@query(
+    "q6_report_accounts",
+    f"""WITH {ACCOUNT_SQL} SELECT STATUS, STATUS_VALIDACAO, Ordem_Status, COUNT(*) AS faturas, COUNT(DISTINCT ID_CONTA) AS contas, ROUND(SUM(VALOR), 2) AS valor_total,
+  COUNT(CASE WHEN PROBLEMA IS NOT NULL THEN 1 END) AS com_problema, COUNT(CASE WHEN Valor_Positive = 'SIM' THEN 1 END) AS com_valor FROM accounts GROUP BY 1, 2, 3""",
+)
+def q6_accounts(spark, sf):
+    return P.report_accounts(accounts(spark, sf))
+
+
+@query("q6_top_problems", f"WITH {ACCOUNT_SQL} SELECT PROBLEMA, COUNT(*) AS qtd FROM accounts WHERE PROBLEMA IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def q6_problems(spark, sf):
+    return P.top_problems(accounts(spark, sf))
+
+
+@query(
+    "q6_report_details",
+    f"""WITH {DETAIL_SQL}, u AS ({_deduped(DETAIL_SELECT)}) SELECT REGRA, STATUS, SUBSTATUS, STATUS_VALIDACAO, COUNT(*) AS linhas, COUNT(DISTINCT FATURA) AS faturas,
+  COUNT(DISTINCT ID_CONTA) AS contas FROM u GROUP BY 1, 2, 3, 4""",
+)
+def q6_details(spark, sf):
+    return P.report_details(P.detail(hub(spark, sf), accounts(spark, sf), LOT, AS_OF.date()))
+
+
+@query(
+    "q6_report_tags",
+    f"""WITH {TAGS_SQL}, u AS ({_deduped(TAG_SELECT)}) SELECT REGRA, STATUS, TAG, STATUS_VALIDACAO, COUNT(*) AS linhas, COUNT(DISTINCT FATURA) AS faturas FROM u GROUP BY 1, 2, 3, 4""",
+)
+def q6_tags(spark, sf):
+    return P.report_tags(P.tag_detail(hub(spark, sf), accounts(spark, sf), LOT, AS_OF.date()))
+
+
+@query("q3_schema_check", "SELECT TRUE AS contas_ok, 0 AS faltando")
+def q3(spark, sf):
+    out = accounts(spark, sf)
+    missing, _ = Q.schema_diff(out, P.ACCOUNT_COLUMNS)
+    same = Q.schema_check(out, P.ACCOUNT_COLUMNS, exact=True)
+    return out.agg(F.bool_and(F.lit(same)).alias("contas_ok"), F.max(F.lit(len(missing))).alias("faltando"))
+
+
+@query("q4_not_empty", f"WITH {HUB_SQL} SELECT COUNT(*) AS n FROM hub WHERE ID_Lote = '{LOT}'")
+def q4(spark, sf):
+    return Q.assert_not_empty(P.select_lot(hub(spark, sf), LOT), "findings").agg(F.count(F.lit(1)).alias("n"))
