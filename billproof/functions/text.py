@@ -154,3 +154,9 @@ def parse_bool(c: Column, unknown: str = "null") -> Column:
         *[t.lower() for t in NULL_TOKENS["registry"]]
     )
     return F.when(known_null, F.lit(None).cast("boolean")).otherwise(text.isin("TRUE", "1", "SIM"))
+
+
+def text_array(values: Iterable[str | None]) -> Column:
+    """Constant array of texts, parsed in one go."""
+    quoted = ["NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values]
+    return F.expr(f"array({', '.join(quoted)})")

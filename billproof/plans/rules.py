@@ -6,6 +6,7 @@ explode, so an item crosses no Python worker and is shuffled only when a referen
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -15,13 +16,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col_or
 from ..functions.dates import cycle_to_lot, norm_cycle, norm_cycle_col
-from ..functions.keys import row_hash, row_key
+from ..functions.keys import row_key
 from ..functions.numbers import diverges, rate
 from ..functions.text import (
     is_null_token,
     label_chain,
     strip_decimal_suffix,
     strip_leading_zeros,
+    text_array,
     trimmed,
     trimmed_upper,
 )
@@ -343,14 +345,14 @@ def explode_findings(flagged: DataFrame, rules: list[Rule] = RULES) -> DataFrame
         F.explode(F.array(*candidates)).alias("_rule"),
     ).where(F.col("_rule").isNotNull())
 
-    def pick(values: list[Column]) -> Column:
+    def pick(values: list[str | None]) -> Column:
         # An array of constants: folded once, so a row costs one index access.
-        return F.element_at(F.array(*values), F.col("_rule"))
+        return F.element_at(text_array(values), F.col("_rule"))
 
     def entry(position: int) -> Column:
-        return pick([F.lit(e[position]) for e in entries])
+        return pick([e[position] for e in entries])
 
-    hashes = pick([row_hash(F.lit(e[2]), F.lit(e[3]), F.lit(e[4]), trim=False) for e in entries])
+    hashes = pick([hashlib.sha256("|".join(e[2:5]).encode()).hexdigest() for e in entries])
     category = entry(0)
     fired = label_chain([(category == c, F.col(f"_fired{i}")) for i, c in enumerate(categories)])
     return numbered.select(
@@ -365,10 +367,10 @@ def explode_findings(flagged: DataFrame, rules: list[Rule] = RULES) -> DataFrame
     )
 
 
-def _shown(c: Column) -> Column:
+def _shown(column: str) -> Column:
     """Trimmed text for a payload; NULL and literal nulls show as ''."""
-    text = trimmed(c)
-    return F.when(c.isNull() | F.lower(text).isin("nan", "none", "null"), F.lit("")).otherwise(text)
+    text = f"trim(cast({column} AS string))"
+    return F.expr(f"CASE WHEN {column} IS NULL OR lower({text}) IN ('nan', 'none', 'null') THEN '' ELSE {text} END")
 
 
 def _payload(*pairs: tuple[str, Column]) -> Column:
@@ -377,15 +379,15 @@ def _payload(*pairs: tuple[str, Column]) -> Column:
 
 def _given(column: str) -> Column:
     """A column of the library's own making: only NULL needs care."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return F.expr(f"coalesce(cast({column} AS string), '')")
 
 
 def payload_columns(shown_issuer: str = "SP") -> dict[str, Column]:
     """Per item and category: what was billed and what was expected, as text."""
     c = F.col
-    tags = [("TAG_VALIDADA", _given("x_tag")), ("TAG_CST", _given("x_tag_cst")), ("TAG_RAW", _given("x_tag_raw")), ("TAG_MESTRE", _shown(c("x_m_tag")))]
-    standing = [(t, _shown(c(f"{t}_STANDING"))) for t in ("ICMS", "PIS", "COFINS", "FUST", "FUNTTEL")]
-    cst = _shown(c("x_cst"))
+    tags = [("TAG_VALIDADA", _given("x_tag")), ("TAG_CST", _given("x_tag_cst")), ("TAG_RAW", _given("x_tag_raw")), ("TAG_MESTRE", _shown("x_m_tag"))]
+    standing = [(t, _shown(f"{t}_STANDING")) for t in ("ICMS", "PIS", "COFINS", "FUST", "FUNTTEL")]
+    cst = _shown("x_cst")
     icms = label_chain(
         [
             (cst == "0", F.concat(F.lit("ICMS_CST_0 (aliq nominal UF): "), _given("x_rate_icms"))),
@@ -398,27 +400,27 @@ def payload_columns(shown_issuer: str = "SP") -> dict[str, Column]:
                 F.concat(F.lit("ICMS_CST_40 (isento estadual): "), _given("x_rate_estadual"), F.lit(" — aliq=0% nacional")),
             ),
         ],
-        _payload(("ICMS_CST_0 (UF)", _given("x_rate_icms")), ("ICMS_ESPERADO_STANDING", _shown(c("ICMS_ESPERADO")))),
+        _payload(("ICMS_CST_0 (UF)", _given("x_rate_icms")), ("ICMS_ESPERADO_STANDING", _shown("ICMS_ESPERADO"))),
     )
     # Constant parts of the payloads.
     legal = F.lit(" | PIS_CUMUL: 0.65 | PIS_NC: 1.65 | COFINS_CUMUL: 3.0 | COFINS_NC: 7.6 | ")
     valid = F.lit(" | CFOPS_VALIDOS: 5301-5307,5933,6301-6307,6933,1205,7301 | REGRA_CFOP: mesma UF=5xxx outra UF=6xxx | ")
     financial = F.lit(" | GRUPOS_FIN: 100,110 (indSemCST sem CFOP)")
-    issuer = F.coalesce(F.nullif(_shown(c("UF_EMIT_PARAMETRIZADA")), F.lit("")), F.lit(shown_issuer))
-    master = [("CST_MESTRE", _shown(c("x_m_cst"))), ("TAG_JOIN", _shown(c("x_m_tag")))]
+    issuer = F.coalesce(F.nullif(_shown("UF_EMIT_PARAMETRIZADA"), F.lit("")), F.lit(shown_issuer))
+    master = [("CST_MESTRE", _shown("x_m_cst")), ("TAG_JOIN", _shown("x_m_tag"))]
     return {
-        "_billed_taxes": _payload(*tags, *standing, ("CST", cst), ("REGIME", _shown(c("REGIME_TRIB")))),
+        "_billed_taxes": _payload(*tags, *standing, ("CST", cst), ("REGIME", _shown("REGIME_TRIB"))),
         "_truth_taxes": F.concat(
             icms, legal, _payload(("FUST_RN004", _given("x_fust_ref")), ("FUNTTEL_RN004", _given("x_funttel_ref")), *master)
         ),
         "_billed_invoice": _payload(
             *tags,
-            ("CCLASS", _shown(c("CCLASS"))),
-            ("CFOP", _shown(c("CFOP"))),
-            ("UF_DEST", _shown(c("UF_DEST"))),
+            ("CCLASS", _shown("CCLASS")),
+            ("CFOP", _shown("CFOP")),
+            ("UF_DEST", _shown("UF_DEST")),
             ("CST", cst),
-            ("GRUPO_CCLASS", _shown(c("GRUPO_CCLASS"))),
-            ("FATURA", _shown(c("FATURA_NUMERO"))),
+            ("GRUPO_CCLASS", _shown("GRUPO_CCLASS")),
+            ("FATURA", _shown("FATURA_NUMERO")),
         ),
         "_truth_invoice": F.concat(F.lit("UF_EMISSORA: "), issuer, valid, _payload(*reversed(master)), financial),
     }

@@ -14,6 +14,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Call-site capture triples the driver time of building wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

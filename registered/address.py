@@ -12,7 +12,7 @@ from billproof.plans import rule_catalogue as K
 from billproof import schemas
 
 from . import query
-from .fixtures import LOT, table
+from .fixtures import LOT, spread, table
 from .item_fixture import _sql_choice
 
 UF = _sql_choice([*K.STATES[:25]], "CAST(n_nationkey AS INT)")
@@ -71,7 +71,7 @@ def _select(columns, s):
 
 def rows(spark, sf):
     base = (
-        table(spark, sf, "orders")
+        spread(table(spark, sf, "orders"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )

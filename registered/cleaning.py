@@ -11,7 +11,7 @@ from billproof.functions import text as T
 from billproof.operators import windows as W
 
 from . import query
-from .fixtures import table
+from .fixtures import spread, table
 
 ACCENTS = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
 BASES = "AAAAAACEEEEIIIINOOOOOUUUUY"
@@ -25,7 +25,7 @@ def _norm(c):
 
 @query("n1_normalise_text", f"SELECT doc_id, {_norm('text')} AS texto FROM documents")
 def n1(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.norm_text(F.col("text")).alias("texto"))
+    return spread(table(spark, sf, "documents")).select("doc_id", T.norm_text(F.col("text")).alias("texto"))
 
 
 _STREET = "CASE p_partkey % 5 WHEN 0 THEN 'Rua ' WHEN 1 THEN 'Av. ' WHEN 2 THEN 'PRAÇA  ' WHEN 3 THEN 'Ruas ' ELSE '' END"

@@ -15,7 +15,7 @@ from billproof.operators import windows as W
 from billproof.plans import findings as P
 
 from . import query
-from .fixtures import LOT, quoted, table
+from .fixtures import LOT, quoted, spread, table
 from .item_fixture import _sql_choice
 
 AS_OF = dt.datetime(2026, 7, 31, 12, 0, 0)
@@ -64,7 +64,7 @@ CUSTOMER_SQL = "cli AS (SELECT " + ", ".join(f"{e.format(s='VARCHAR')} AS {n}" f
 
 
 def hub(spark, sf):
-    joined = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = spread(table(spark, sf, "lineitem")).join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(*[F.expr(e.format(s="STRING")).alias(n) for n, e in HUB.items()])
 
 

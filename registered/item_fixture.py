@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from billproof.plans import rule_catalogue as K
 
-from .fixtures import LOT, quoted, table
+from .fixtures import LOT, quoted, spread, table
 
 CFOP_CHOICES = ["5301", "5302", "6301", "6302", "5933", "6933", "5101", None, "", "5301.0", "1205", "nan"]
 GROUP_CHOICES = ["10", "20", "30", "60", "80", "130", "13", "120", "100", "110", None]
@@ -69,7 +69,7 @@ def _item_expressions() -> dict[str, str]:
 
 def items(spark, sf):
     joined = (
-        table(spark, sf, "lineitem")
+        spread(table(spark, sf, "lineitem"))
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

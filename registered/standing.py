@@ -13,7 +13,7 @@ from billproof.plans import standing as S
 from billproof.plans import standing_layout as L
 
 from . import query
-from .fixtures import quoted, table
+from .fixtures import quoted, spread, table
 from .item_fixture import CFOP_CHOICES, _sql_choice
 
 AT = dt.datetime(2026, 7, 31, 12, 0, 0)
@@ -63,7 +63,7 @@ STATUS = {"NG": "O", "ADAPTER": "P", "SIMETRA": "F"}
 def source(spark, sf, system):
     columns = {"NG": NG, "ADAPTER": ADAPTER, "SIMETRA": SIMETRA}[system]
     rows = (
-        table(spark, sf, "lineitem")
+        spread(table(spark, sf, "lineitem"))
         .join(table(spark, sf, "orders").where(F.col("o_orderstatus") == STATUS[system]), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
