@@ -120,11 +120,16 @@ def linear_trend(series: DataFrame, keys: Sequence[str], order: str, values: Map
 
 
 def concat_parts(
-    df: DataFrame, keys: Sequence[str], texts: Mapping[str, Column], sep: str = " | ", limit: int = 16_000_000
+    df: DataFrame,
+    keys: Sequence[str],
+    texts: Mapping[str, Column],
+    sep: str = " | ",
+    limit: int = 16_000_000,
+    distinct: Sequence[str] = (),
 ) -> DataFrame:
     """All texts of a group joined in sorted order, in parts of about `limit` characters.
 
-    Rows: keys, `_part` (0, 1, ...), one text column per entry, `_parts` (number of parts of the key). A group that
+    Texts named in `distinct` are listed once, the others as often as they occur. Rows: keys, `_part` (0, 1, ...), one text column per entry, `_parts` (number of parts of the key). A group that
     fits, which is the normal case, has the single part 0. Equal texts are counted before the shuffle; a huge group is
     dealt out over parts by the hash of the text, so no task ever holds it whole and nothing is dropped.
     """
@@ -134,6 +139,8 @@ def concat_parts(
         *keys, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), t.alias("t")) for k, t in texts.items()])).alias("_e")
     ).select(*keys, F.col("_e.k").alias("_k"), F.col("_e.t").alias("_t"))
     counted = long.where(F.col("_t").isNotNull()).groupBy(*keys, "_k", "_t").agg(F.count(F.lit(1)).alias("_n"))
+    if distinct:
+        counted = counted.withColumn("_n", F.when(F.col("_k").isin(*distinct), F.lit(1)).otherwise(F.col("_n")))
     length = (F.length("_t") + len(sep)) * F.col("_n")
     sizes = counted.groupBy(*keys, "_k").agg(F.ceil(F.sum(length) / limit).cast("int").alias("_parts"))
     big = sizes.where(F.col("_parts") > 1)

@@ -417,12 +417,11 @@ def _dims() -> dict[str, Column]:
     return {target: F.col(source) for target, source in names.items()}
 
 
-def _ids(rule: str) -> dict[str, Column]:
+def _ids() -> dict[str, Column]:
     return {
         "FATURA": F.col("FATURA"),
         "NUMERO_FATURA": F.col("NUMERO_FATURA"),
         "ID_CONTA_CONTRATO": F.col("ID_CLIENTE_CONTRATO"),
-        "REGRA": F.lit(rule),
         "SEGMENTO": F.col("SEGMENTO"),
     }
 
@@ -432,9 +431,21 @@ def _confirmed(role: Role, part: str) -> Column:
     return F.when(role.place("key").isNotNull() & (mine == theirs), "Sim").otherwise("Não")
 
 
-def _branch(df: DataFrame, columns: dict[str, Column], order: list[str]) -> DataFrame:
+def _per_rule(checked: DataFrame, branches: list[tuple[Column, str, dict[str, Column]]], order: list[str]) -> DataFrame:
+    """One row per customer row and applicable rule, out of a single pass over the enriched rows.
+
+    branches: (condition, rule, rule-specific text columns). Absent columns are NULL.
+    """
+    ids, dims = _ids(), _dims()
+    own = ["REGRA", *[n for n in order if n not in ids and n not in dims and n != "REGRA"]]
     none = F.lit(None).cast("string")
-    return df.select(*[columns.get(n, none).alias(n) for n in order])
+    structs = []
+    for condition, rule, columns in branches:
+        values = columns | {"REGRA": F.lit(rule)}
+        structs.append(F.when(condition, F.struct(*[values.get(n, none).cast("string").alias(n) for n in own])))
+    common = [*[e.alias(n) for n, e in ids.items()], *[e.alias(n) for n, e in dims.items()]]
+    rows = checked.select(*common, F.explode(F.array(*structs)).alias("_r")).where(F.col("_r").isNotNull())
+    return rows.select(*[F.col(f"_r.{n}").alias(n) if n in own else F.col(n) for n in order])
 
 
 # Layouts of the address report and of the status table.
@@ -485,20 +496,8 @@ def _address_part(role: Role) -> dict[str, Column]:
     }
 
 
-def _person_or_company(checked: DataFrame) -> DataFrame:
-    return checked.where(~F.col("x_type").isin("INVALIDO", "NULO"))
-
-
-def _company(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("x_type") == "CNPJ")
-
-
-def _company_or_missing(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("x_type").isin("CNPJ", "NULO"))
-
-
-def _invalid(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("x_type") == "INVALIDO")
+def _of_type(*types: str) -> Column:
+    return F.col("x_type").isin(*types)
 
 
 def address_table(checked: DataFrame) -> DataFrame:
@@ -514,22 +513,22 @@ def address_table(checked: DataFrame) -> DataFrame:
         "Observacao": F.when(no_doc, MSG_DOC_MISSING).otherwise(c("cad_obs")),
     }
     invalid = {"Documento": c("CPF_CNPJ"), "Tipo": F.lit(R_INVALID), "Status_Validacao": F.lit("INCORRETO"), "Observacao": _invalid_note()}
-    dims = _dims()
-    return union_strict(
-        _branch(_person_or_company(checked), _ids(R_INSTALLATION) | _address_part(INSTALLATION) | dims, ADDRESS_COLUMNS),
-        _branch(_company(checked), _ids(R_LEGAL) | _address_part(LEGAL) | from_registry | dims, ADDRESS_COLUMNS),
-        _branch(_company_or_missing(checked), _ids(R_REGISTRATION) | registration | dims, ADDRESS_COLUMNS),
-        _branch(_invalid(checked), _ids(R_INVALID) | invalid | dims, ADDRESS_COLUMNS),
-    )
+    branches = [
+        (_of_type("CPF", "CNPJ"), R_INSTALLATION, _address_part(INSTALLATION)),
+        (_of_type("CNPJ"), R_LEGAL, _address_part(LEGAL) | from_registry),
+        (_of_type("CNPJ", "NULO"), R_REGISTRATION, registration),
+        (_of_type("INVALIDO"), R_INVALID, invalid),
+    ]
+    return _per_rule(checked, branches, ADDRESS_COLUMNS)
 
 
 def registration_table(checked: DataFrame) -> DataFrame:
     """The registry record of every company (empty for rows without a document)."""
     c = F.col
-    ids = {k: v for k, v in _ids(R_REGISTRATION).items() if k != "SEGMENTO"}
+    ids = {k: v for k, v in _ids().items() if k != "SEGMENTO"} | {"REGRA": F.lit(R_REGISTRATION)}
     record = {name: col_or(checked, f"r_{source}", to=_registry_type(source)) for name, source in REGISTRATION_COLUMNS.items()}
     columns = ids | {"CNPJ": c("x_doc")} | record | {"SEGMENTO": c("SEGMENTO")} | _dims()
-    return _company_or_missing(checked).select(*[e.alias(n) for n, e in columns.items()])
+    return checked.where(_of_type("CNPJ", "NULO")).select(*[e.alias(n) for n, e in columns.items()])
 
 
 def _registry_type(name: str) -> str:
@@ -595,13 +594,13 @@ def status_table(checked: DataFrame, status_map: Mapping[str, tuple[str, str]] =
         "DADOS_CONTRATO": _contract_text(True),
     }
     invalid = {"STATUS": F.lit("INCORRETO"), "SUBSTATUS": F.lit("ERRO"), "OBSERVACAO": _invalid_note(), "DADOS_BILLING": _invalid_note()}
-    dims = _dims()
-    return union_strict(
-        _branch(_person_or_company(checked), _ids(R_INSTALLATION) | part(INSTALLATION) | dims, STATUS_COLUMNS),
-        _branch(_company(checked), _ids(R_LEGAL) | part(LEGAL) | dims, STATUS_COLUMNS),
-        _branch(_company_or_missing(checked), _ids(R_REGISTRATION) | registration | dims, STATUS_COLUMNS),
-        _branch(_invalid(checked), _ids(R_INVALID) | invalid | dims, STATUS_COLUMNS),
-    )
+    branches = [
+        (_of_type("CPF", "CNPJ"), R_INSTALLATION, part(INSTALLATION)),
+        (_of_type("CNPJ"), R_LEGAL, part(LEGAL)),
+        (_of_type("CNPJ", "NULO"), R_REGISTRATION, registration),
+        (_of_type("INVALIDO"), R_INVALID, invalid),
+    ]
+    return _per_rule(checked, branches, STATUS_COLUMNS)
 
 
 def address_outputs(

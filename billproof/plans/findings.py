@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col_or
 from ..functions.text import label_chain, trimmed_upper
-from ..operators.aggregates import any_flag, concat_parts, text_sum, weighted_distinct
+from ..operators.aggregates import any_flag, concat_parts, text_sum
 from ..operators.joins import keep_existing, lookup_cascade, unique_by
 from ..operators.sets import split_apply
 from ..operators.updates import update_where
@@ -101,21 +101,21 @@ def _account_keys(findings: DataFrame) -> DataFrame:
 
 
 def _account_texts(prepared: DataFrame, product: Column) -> dict[str, Column]:
-    """Bad findings as 'tag: observation', and the invoice numbers, for concatenation."""
+    """Bad findings as 'tag: observation', and the invoice numbers."""
     bad = F.col("STATUS").isin(*BAD)
     tag = tag_expr(product, with_range=False)
     note = F.when(F.trim(F.col("OBSERVACAO")) != "", F.concat(tag, F.lit(": "), F.col("OBSERVACAO"))).otherwise(tag)
-    return {"_notes": F.when(bad, note)}
+    return {"_notes": F.when(bad, note), "_invoices": F.col("FATURA").cast("string")}
 
 
 def account_text_parts(findings: DataFrame, lot: str, limit: int = 16_000_000) -> DataFrame:
-    """The joined notes of every account in parts of about `limit` characters (part 0 is the one in the account table).
-
-    Only accounts whose notes exceed the limit have further parts.
+    """The joined notes and invoice numbers of every account in parts of about `limit` characters (part 0 is the one in
+    the account table). Only accounts whose texts exceed the limit have further parts.
     """
     prepared = _account_keys(select_lot(findings, lot))
     product = col_or(findings, "Produto")
-    return concat_parts(prepared, ["ID_CONTA_CONTRATO", "_system"], _account_texts(prepared, product), limit=limit)
+    texts = _account_texts(prepared, product)
+    return concat_parts(prepared, ["ID_CONTA_CONTRATO", "_system"], texts, limit=limit, distinct=["_invoices"])
 
 
 def account_rollup(
@@ -136,30 +136,25 @@ def account_rollup(
     keys = ["ID_CONTA_CONTRATO", "_system"]
     bad = c("STATUS").isin(*BAD)
     rule = trimmed_upper(c("REGRA"))
+    # Few distinct rules exist, so the rule sets stay small for any account.
     totals = prepared.groupBy(*keys).agg(
         any_flag(c("STATUS") == "INCORRETO").alias("_wrong"),
         any_flag(c("STATUS") == "ALERTA").alias("_alert"),
-        # Few distinct rules exist, so this set stays small for any account.
         F.concat_ws(" | ", F.array_sort(F.collect_set(F.when(bad, c("REGRA"))))).alias("_problems"),
+        F.collect_set("REGRA").alias("_rules"),
+        any_flag(c("REGRA").isNull()).alias("_no_rule"),
         F.max(F.coalesce(col_or(findings, "SEGMENTO", NO_SEGMENT), F.lit(NO_SEGMENT))).alias("SEGMENTO"),
         any_flag(rule.isin(*PREBILLING) & trimmed_upper(c("_system")).isin(*PREBILLING_SYSTEMS)).alias("_pre"),
         any_flag((c("STATUS") == "INCORRETO") & (rule == PREBILLING[0])).alias("_pre_wrong"),
         text_sum(c("VALOR_BILLING"), AMOUNT).cast("double").alias("VALOR"),
     )
-    weights = weighted_distinct(prepared, keys, c("REGRA"), {PREBILLING[0]: 2}, 1, "Ordem_Status")
+    heavy = F.size(F.filter("_rules", lambda r: trimmed_upper(r) == PREBILLING[0]))
+    totals = totals.withColumn("Ordem_Status", F.size("_rules") + heavy + c("_no_rule"))
     texts = _account_texts(prepared, col_or(findings, "Produto"))
-    notes = concat_parts(prepared, keys, texts, limit=text_limit).where("_part = 0").drop("_part", "_parts")
-    invoices = (
-        concat_parts(prepared.select(*keys, "FATURA").distinct(), keys, {"_invoices": c("FATURA").cast("string")}, limit=text_limit)
-        .where("_part = 0")
-        .drop("_part", "_parts")
-    )
-    # Account-level tables with the same keys: one row per key each, so no side can be skewed.
-    joined = totals
-    for side in (weights, notes, invoices):
-        renamed = side.select(*[c(k).alias(f"_{i}k") for i, k in enumerate(keys)], *[x for x in side.columns if x not in keys])
-        on = [c(k).eqNullSafe(c(f"_{i}k")) for i, k in enumerate(keys)]
-        joined = joined.join(renamed, on, "left").drop(*[f"_{i}k" for i in range(len(keys))])
+    parts = concat_parts(prepared, keys, texts, limit=text_limit, distinct=["_invoices"]).where("_part = 0")
+    # Both sides have one row per account, so neither can be skewed.
+    side = parts.select(*[c(k).alias(f"_{i}k") for i, k in enumerate(keys)], *texts)
+    joined = totals.join(side, [c(k).eqNullSafe(c(f"_{i}k")) for i, k in enumerate(keys)], "left")
     status = label_chain([(c("_wrong") == 1, "INCORRETO"), (c("_alert") == 1, "ALERTA")], "CORRETO")
     wrong = c("_wrong") == 1
     none = F.lit(None).cast("string")

@@ -324,12 +324,13 @@ def impact_total(impacts: DataFrame) -> DataFrame:
 def vanished(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post: Sequence[str]) -> DataFrame:
     """Customers that left the old system without showing up in the new one: value before, value now, loss."""
     gone = stats.where(F.col("STATUS_MIGRACAO") == M_VANISHED).select("CPF_CNPJ")
-    rows = positive(fact).where(F.col("ANO_MES").isin(*pre, *post))
-    rows = keep_existing(rows, gone, {"CPF_CNPJ": "CPF_CNPJ"})
     c = F.col
+    rows = positive(fact).where(c("ANO_MES").isin(*pre, *post))
+    # Months first: a customer is a few rows by then, however many invoices it has.
     month = rows.groupBy("CPF_CNPJ", "ANO_MES").agg(
         F.sum("VALOR_FATURADO").alias("_v"), F.sum("QTD_CONTRATO").alias("_q"), F.collect_set("SISTEMA").alias("_s")
     )
+    month = keep_existing(month, gone, {"CPF_CNPJ": "CPF_CNPJ"})
     is_pre, is_post = c("ANO_MES").isin(*pre), c("ANO_MES").isin(*post)
     agg = month.groupBy("CPF_CNPJ").agg(
         _dbl(F.sum(F.when(is_pre, c("_v")))).alias("TOTAL_PRE"),
@@ -368,15 +369,13 @@ def vanished(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post: Sequen
 def vanished_summary(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post: Sequence[str]) -> DataFrame:
     """One row: how many vanished, how many came back, revenue before and after, loss."""
     gone = stats.where(F.col("STATUS_MIGRACAO") == M_VANISHED).select("CPF_CNPJ")
-    rows = keep_existing(
-        positive(fact).where(F.col("ANO_MES").isin(*pre, *post)), gone, {"CPF_CNPJ": "CPF_CNPJ"}
-    )
     is_pre, is_post = F.col("ANO_MES").isin(*pre), F.col("ANO_MES").isin(*post)
-    per = rows.groupBy("CPF_CNPJ").agg(
+    per = positive(fact).where(is_pre | is_post).groupBy("CPF_CNPJ").agg(
         F.sum(F.when(is_pre, F.col("VALOR_FATURADO"))).alias("_pre"),
         F.sum(F.when(is_post, F.col("VALOR_FATURADO"))).alias("_post"),
         F.count_if(is_post).alias("_n"),
     )
+    per = keep_existing(per, gone, {"CPF_CNPJ": "CPF_CNPJ"})
     totals = per.agg(
         F.coalesce(_dbl(F.sum("_pre")), F.lit(0.0)).alias("TOTAL_PRE"),
         F.coalesce(_dbl(F.sum("_post")), F.lit(0.0)).alias("TOTAL_POS"),
@@ -525,11 +524,11 @@ def month_matrix(
 
     customers: optional table whose CPF_CNPJ restricts the rows; its other columns are attached after the pivot.
     """
-    rows = positive(fact)
-    if customers is not None:
-        rows = keep_existing(rows, customers, {"CPF_CNPJ": "CPF_CNPJ"})
     names = {s: s for s in systems}
-    wide = pivot_sum(rows, ["CPF_CNPJ", "ANO_MES"], "SISTEMA", names, F.col("VALOR_FATURADO"))
+    wide = pivot_sum(positive(fact), ["CPF_CNPJ", "ANO_MES"], "SISTEMA", names, F.col("VALOR_FATURADO"))
+    if customers is not None:
+        # After the pivot: a customer is one row per month by then.
+        wide = keep_existing(wide, customers, {"CPF_CNPJ": "CPF_CNPJ"})
     wide = wide.select("CPF_CNPJ", "ANO_MES", *[_dbl(F.col(s)).alias(s) for s in systems])
     total = F.lit(0.0)
     for s in systems:
