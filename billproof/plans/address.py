@@ -188,10 +188,10 @@ def postcode_lookup(postcodes: DataFrame) -> DataFrame:
     )
 
 
-def registry_lookup(registry: DataFrame) -> DataFrame:
+def registry_lookup(registry: DataFrame, only_usable: bool = True) -> DataFrame:
     c = F.col
     have = [x for x in schemas.REGISTRY.fieldNames() if x in registry.columns]
-    return usable(registry).select(
+    return (usable(registry) if only_usable else registry).select(
         *have,
         norm_text(c("razao_social")).alias("n_name"),
         norm_text(c("receita_municipio")).alias("n_city"),
@@ -645,13 +645,15 @@ def check_row(rows: DataFrame, registry: DataFrame, postcodes: DataFrame, policy
         norm_text(clean_city(c("cidade_instalacao"))).alias("x_ncity"),
         norm_text(c("uf_instalacao")).alias("x_nstate"),
     )
-    companies, places = registry_lookup(registry), postcode_lookup(postcodes)
+    # Failed look-ups come along: their status is part of the message.
+    companies, places = registry_lookup(registry, only_usable=False), postcode_lookup(postcodes)
     joined = lookup(based, companies, {"x_company": "cnpj"}, {x: f"r_{x}" for x in companies.columns if x != "cnpj"} | {"cnpj": "r_cnpj"}, hot_base=based)
     joined = lookup(joined, places, {"x_cep": "key"}, {x: f"p_{x}" for x in places.columns}, hot_base=based)
     joined = lookup(joined, places, {"r_receita_cep": "key"}, {x: f"q_{x}" for x in places.columns})
     person, company = c("x_type") == "CPF", c("x_type") == "CNPJ"
     generic, r_generic = is_generic_cep(c("x_cep")), F.coalesce(is_generic_cep(c("r_receita_cep")), F.lit(False))
-    found, known = c("p_key").isNotNull(), c("r_cnpj").isNotNull()
+    found, known = c("p_key").isNotNull(), F.coalesce(c("r_status_consulta") == "ok", F.lit(False))
+    failure = F.coalesce(c("r_status_consulta"), F.lit("nao_encontrado"))
     place = F.concat(_text(c("p_cidade")), F.lit("/"), _text(c("p_uf")))
     # person: base against directory
     p_notes = F.concat_ws(
@@ -709,7 +711,12 @@ def check_row(rows: DataFrame, registry: DataFrame, postcodes: DataFrame, policy
         (~person & ~company, F.lit(MSG_DOC_INVALID), "Documento inválido", "INCORRETO"),
         (person & ~found, F.concat(F.lit("[CEP] CEP não encontrado: "), c("x_cep")), "Erro CEP", "INCORRETO"),
         (person, p_notes, ok_if_empty(p_notes), status_if_empty(p_notes)),
-        (~known, F.lit("[API] Erro na consulta Receita: nao_encontrado"), "Erro Receita: nao_encontrado", "INCORRETO"),
+        (
+            ~known,
+            F.concat(F.lit("[API] Erro na consulta Receita: "), failure),
+            F.concat(F.lit("Erro Receita: "), failure),
+            "INCORRETO",
+        ),
     ]
     checked = joined.select(
         "*",

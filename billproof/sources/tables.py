@@ -10,6 +10,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quality import schema_diff
+from ..operators.updates import upsert, upsert_changed
+
 BOM = "﻿"
 
 
@@ -66,6 +69,40 @@ def replace_slice(
     return {"rows": got["rows"], **{v: got[f"rows_{i}"] for i, v in enumerate(values)}}
 
 
+def read_partitioned(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame | None:
+    """Partitioned table with its partition columns as text (all-digit values would be read as numbers); None if absent."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
+        return None
+    df = spark.read.parquet(path)
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def merge_slice(
+    source: DataFrame, path: str, keys: Sequence[str], hash_column: str, partition_by: Sequence[str], slice_of: Mapping[str, str]
+) -> dict[str, int]:
+    """Change-only upsert into the partitions that match `slice_of` (e.g. one cycle); no other partition is touched.
+
+    Only the slice of the stored table is read, and only its partitions are rewritten: the new files replace the old
+    ones when the job commits. `source` must lie in the slice. Returns rows inserted and updated.
+    """
+    spark = source.sparkSession
+    condition = F.lit(True)
+    for column, value in slice_of.items():
+        condition = condition & (F.col(column) == value)
+    stored = read_partitioned(spark, path, partition_by)
+    watch = Observation()
+    if stored is None:
+        merged = source.withColumn("_action", F.lit("insert"))
+    else:
+        merged = upsert_changed(stored.where(condition).select(*source.columns), source, keys, hash_column)
+    actions = [F.count_if(F.col("_action") == a).alias(a) for a in ("insert", "update")]
+    out = merged.observe(watch, *actions).drop("_action")
+    writer = _writer(balanced(out, partition_by), "overwrite", partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return {a: watch.get[a] for a in ("insert", "update")}
+
+
 def create_table_as(df: DataFrame, name: str) -> None:
     """Catalog table from a query, replacing an older one."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
@@ -118,8 +155,6 @@ def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -
 
 def upsert_snapshot(source: DataFrame, root: str, keys: Sequence[str], hash_column: str | None = None) -> dict[str, int]:
     """Upsert into a snapshot table and report rows per action. With hash_column only changed rows are replaced."""
-    from ..operators.updates import upsert, upsert_changed
-
     target = read_snapshot(source.sparkSession, root)
     watch = Observation()
     if target is None:
@@ -136,7 +171,5 @@ def upsert_snapshot(source: DataFrame, root: str, keys: Sequence[str], hash_colu
 
 def ensure_schema(df: DataFrame, expected: Mapping[str, str] | Sequence[str]) -> tuple[bool, list[str], list[str]]:
     """(same, missing, extra): decide whether a stored table has to be rebuilt."""
-    from ..operators.quality import schema_diff
-
     missing, extra = schema_diff(df, list(expected))
     return not missing and not extra, missing, extra

@@ -288,9 +288,9 @@ s0 AS (SELECT *, COALESCE({_digits('CPF_CNPJ')}, '') AS doc, CASE WHEN length({_
   {_key("COALESCE(cep_instalacao, '')")} AS k, {_clean("COALESCE(cidade_instalacao, '')")} AS cc, {_norm('uf_instalacao')} AS nu FROM rws),
 s1 AS (SELECT *, {_norm('cc')} AS ncc FROM s0),
 s2 AS (SELECT s1.*, r.cnpj AS r_cnpj, r.razao_social AS r_razao, COALESCE(r.receita_cep, '') AS r_cep, r.receita_municipio AS r_mun, r.receita_uf AS r_uf, r.receita_logradouro AS r_log,
-    COALESCE(r.nc, '') AS r_nc, COALESCE(r.nu, '') AS r_nu, a.cep AS a_cep, a.cidade AS a_cidade, a.uf AS a_uf, COALESCE(a.nc, '') AS a_nc, COALESCE(a.nu, '') AS a_nu,
+    COALESCE(r.nc, '') AS r_nc, COALESCE(r.nu, '') AS r_nu, COALESCE(t.status_consulta, 'nao_encontrado') AS falha, a.cep AS a_cep, a.cidade AS a_cidade, a.uf AS a_uf, COALESCE(a.nc, '') AS a_nc, COALESCE(a.nu, '') AS a_nu,
     q.cep AS q_cep, q.logradouro AS q_log, COALESCE(q.nc, '') AS q_nc, COALESCE(q.nu, '') AS q_nu, k LIKE '%000' AS g, COALESCE(r.receita_cep LIKE '%000', FALSE) AS rg
-  FROM s1 LEFT JOIN r ON r.cnpj = CASE WHEN tipo = 'CNPJ' THEN doc END LEFT JOIN p a ON a.cep = k LEFT JOIN p q ON q.cep = r.receita_cep),
+  FROM s1 LEFT JOIN r ON r.cnpj = CASE WHEN tipo = 'CNPJ' THEN doc END LEFT JOIN reg t ON t.cnpj = CASE WHEN tipo = 'CNPJ' THEN doc END LEFT JOIN p a ON a.cep = k LEFT JOIN p q ON q.cep = r.receita_cep),
 s3 AS (SELECT *, a_cep IS NOT NULL AND a_nc <> '' AND ncc = a_nc AS cityok, r_nc <> '' AND r_nc = ncc AS same,
     CASE WHEN r_log IS NULL THEN '' ELSE 'DAS FLORES' END AS rs, CASE WHEN q_log = 'Rua das Flores' THEN 'DAS FLORES' WHEN q_log = 'Av. Central' THEN 'CENTRAL' ELSE '' END AS qs,
     substr(k, 1, 5) || '-' || substr(k, 6, 3) AS kd, substr(r_cep, 1, 5) || '-' || substr(r_cep, 6, 3) AS rd FROM s2),
@@ -307,19 +307,19 @@ CONFIRM_SQL = f"""{SHEET_SQL}, s5 AS (SELECT *, concat_ws(' | ', CASE WHEN g THE
   CASE WHEN rg THEN '[CEP] CEP da Receita é genérico: ' || rd || ' (sede do município) | ' || {_MUN} END, {_COMPANY_TAIL} AS cn FROM s4)
 SELECT FATURA, CASE WHEN g AND tipo = 'CPF' AND cityok THEN 'CEP genérico - município confirmado' WHEN g AND tipo = 'CPF' THEN 'CEP genérico - município divergente'
     WHEN tipo = 'INVALIDO' THEN 'Documento inválido' WHEN tipo = 'CPF' AND a_cep IS NULL THEN 'Erro CEP' WHEN tipo = 'CPF' THEN CASE WHEN pn = '' THEN 'Confere' ELSE 'Divergente' END
-    WHEN r_cnpj IS NULL THEN 'Erro Receita: nao_encontrado' WHEN cn = '' THEN 'Confere' ELSE 'Divergente' END AS Status_Validacao,
+    WHEN r_cnpj IS NULL THEN 'Erro Receita: ' || falha WHEN cn = '' THEN 'Confere' ELSE 'Divergente' END AS Status_Validacao,
   CASE WHEN g AND tipo = 'CPF' THEN CASE WHEN cityok THEN 'CORRETO' ELSE 'INCORRETO' END WHEN tipo = 'INVALIDO' OR (tipo = 'CPF' AND a_cep IS NULL) THEN 'INCORRETO'
     WHEN tipo = 'CPF' THEN CASE WHEN pn = '' THEN 'CORRETO' ELSE 'INCORRETO' END WHEN r_cnpj IS NULL OR cn <> '' THEN 'INCORRETO' ELSE 'CORRETO' END AS STATUS,
   CASE WHEN g AND tipo = 'CPF' THEN '[CEP] CEP genérico: ' || kd || ' (representa sede do município) | ' || CASE WHEN cityok THEN 'Município confirmado: ' || a_cidade || '/' || a_uf
       ELSE 'Município divergente: base ''' || cc || ''' x CEP ''' || CASE WHEN a_cep IS NOT NULL THEN a_cidade || '/' || a_uf ELSE 'não identificada' END || '''' END
     WHEN tipo = 'INVALIDO' THEN '[DOC] Documento inválido' WHEN tipo = 'CPF' AND a_cep IS NULL THEN '[CEP] CEP não encontrado: ' || k WHEN tipo = 'CPF' THEN pn
-    WHEN r_cnpj IS NULL THEN '[API] Erro na consulta Receita: nao_encontrado' ELSE cn END AS OBSERVACAO FROM s5"""
+    WHEN r_cnpj IS NULL THEN '[API] Erro na consulta Receita: ' || falha ELSE cn END AS OBSERVACAO FROM s5"""
 REJECT_SQL = f"""{SHEET_SQL}, s5 AS (SELECT *, concat_ws(' | ', CASE WHEN rg THEN '[CEP] CEP da Receita é genérico: ' || rd || ' (sede do município)' END, {_COMPANY_TAIL} AS cn FROM s4)
 SELECT FATURA, CASE WHEN g THEN 'CEP genérico' WHEN tipo = 'INVALIDO' THEN 'Documento inválido' WHEN tipo = 'CPF' AND a_cep IS NULL THEN 'Erro CEP'
-    WHEN tipo = 'CPF' THEN CASE WHEN pn = '' THEN 'Confere' ELSE 'Divergente' END WHEN r_cnpj IS NULL THEN 'Erro Receita: nao_encontrado' WHEN cn = '' THEN 'Confere' ELSE 'Divergente' END AS Status_Validacao,
+    WHEN tipo = 'CPF' THEN CASE WHEN pn = '' THEN 'Confere' ELSE 'Divergente' END WHEN r_cnpj IS NULL THEN 'Erro Receita: ' || falha WHEN cn = '' THEN 'Confere' ELSE 'Divergente' END AS Status_Validacao,
   CASE WHEN g OR tipo = 'INVALIDO' OR (tipo = 'CPF' AND (a_cep IS NULL OR pn <> '')) OR (tipo = 'CNPJ' AND (r_cnpj IS NULL OR cn <> '')) THEN 'INCORRETO' ELSE 'CORRETO' END AS STATUS,
   CASE WHEN g THEN '[CEP] CEP genérico não aceito: ' || kd || ' (representa sede do município, não um endereço específico)' WHEN tipo = 'INVALIDO' THEN '[DOC] Documento inválido'
-    WHEN tipo = 'CPF' AND a_cep IS NULL THEN '[CEP] CEP não encontrado: ' || k WHEN tipo = 'CPF' THEN pn WHEN r_cnpj IS NULL THEN '[API] Erro na consulta Receita: nao_encontrado' ELSE cn END AS OBSERVACAO FROM s5"""
+    WHEN tipo = 'CPF' AND a_cep IS NULL THEN '[CEP] CEP não encontrado: ' || k WHEN tipo = 'CPF' THEN pn WHEN r_cnpj IS NULL THEN '[API] Erro na consulta Receita: ' || falha ELSE cn END AS OBSERVACAO FROM s5"""
 
 
 def _sheet(spark, sf, policy):

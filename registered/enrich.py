@@ -103,6 +103,23 @@ def f8_props(spark, sf):
     return JR.parse_items(documents, "json", {"k": ["chave", "k"]}, ["k"]).select("event_id", "k")
 
 
+SECTION_DOCUMENT = (
+    "CASE event_id % 3 WHEN 0 THEN concat('{\"dados\":[{\"nomeContrato\":\"C', CAST(user_id AS STRING), '\",\"aliquotas\":[{\"codigoTrecho\":\"a\",\"aliquota\":\"2.5\"},{\"codigoTrecho\":\"b\"}]}]}') "
+    "WHEN 1 THEN concat('{\"dados\":[{\"codigoContrato\":\"D\",\"aliquota\":', CAST(user_id AS STRING), '}]}') ELSE '{\"dados\":[]}' END"
+)
+
+
+@query(
+    "f8_section_rates",
+    """SELECT event_id, 'C' || user_id AS nome_contrato, 'a' AS codigo_trecho, 2.5::DOUBLE AS aliquota, 'ok' AS status FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT event_id, 'C' || user_id, 'b', 0, 'ok' FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id, 'D', NULL, CAST(user_id AS DOUBLE), 'ok' FROM events WHERE event_id % 3 = 1
+UNION ALL SELECT event_id, NULL, NULL, NULL, 'sem_dados' FROM events WHERE event_id % 3 = 2""",
+)
+def f8_sections(spark, sf):
+    documents = table(spark, sf, "events").select("event_id", F.expr(SECTION_DOCUMENT).alias("json"))
+    return JR.parse_section_rates(documents).select("event_id", "nome_contrato", "codigo_trecho", "aliquota", "status")
+
+
 NESTED_DOCUMENT = (
     "concat('{\"nomeEmpresarial\":\"E', CAST(event_id AS STRING), '\",\"telefones\":[{\"ddd\":\"51\",\"numero\":\"', CAST(user_id AS STRING), '\"}],\"capitalSocial\":\"10,5\",\"enderecos\":[{\"tipo\":\"X\",\"cep\":\"1\",\"uf\":\"RS\"}', "
     "CASE WHEN event_id % 2 = 0 THEN ',{\"tipo\":\"ESTABELECIMENTO\",\"cep\":\"9.000-000\",\"uf\":\"SP\"}' ELSE '' END, ']}')"

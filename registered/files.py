@@ -145,6 +145,23 @@ def s20(spark, sf):
     )
 
 
+@query(
+    "s13_merge_cycle",
+    """SELECT o_orderkey AS k, strftime(o_orderdate, '%Y%m') AS ciclo, CASE WHEN strftime(o_orderdate, '%Y%m') = '199803' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'novo' ELSE 'velho' END ELSE 'velho' END AS valor FROM orders
+UNION ALL SELECT -1, '199803', 'extra' FROM region WHERE r_regionkey = 0""",
+)
+def s13_merge(spark, sf):
+    path = scratch(spark)
+    c = F.col
+    stored = table(spark, sf, "orders").select(c("o_orderkey").alias("k"), F.date_format("o_orderdate", "yyyyMM").alias("ciclo"), F.lit("velho").alias("valor"))
+    S.overwrite(stored, path, ["ciclo"])
+    change = stored.where("ciclo = '199803'").withColumn("valor", F.when(c("k") % 2 == 0, "novo").otherwise(c("valor")))
+    extra = table(spark, sf, "region").where("r_regionkey = 0").select(F.lit(-1).cast("bigint").alias("k"), F.lit("199803").alias("ciclo"), F.lit("extra").alias("valor"))
+    for _ in range(2):  # the second run changes nothing
+        S.merge_slice(change.unionByName(extra), path, ["k", "ciclo"], "valor", ["ciclo"], {"ciclo": "199803"})
+    return S.read_partitioned(spark, path, ["ciclo"]).select("k", "ciclo", "valor")
+
+
 @query("s16_partitioned_layout", "SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS ciclo, o_orderstatus AS sistema FROM orders WHERE strftime(o_orderdate, '%Y') = '1998'")
 def s16(spark, sf):
     path = scratch(spark)

@@ -457,6 +457,16 @@ def d33_summary(spark, sf):
     return rounded(out, "VAR_MEDIA_PCT_MEDIA")
 
 
+@query("d33_lost_value", f"WITH {FACT_SQL}, {TWO_SQL} SELECT CPF_CNPJ, TOTAL_SIMETRA, TOTAL_NG, VAR_MEDIA_ABS FROM two WHERE STATUS = 'Perdeu valor'")
+def d33_lost(spark, sf):
+    return R.lost_value(two(spark, sf)).select("CPF_CNPJ", "TOTAL_SIMETRA", "TOTAL_NG", "VAR_MEDIA_ABS")
+
+
+@query("d33_active_duplicates", f"WITH {FACT_SQL}, {TWO_SQL} SELECT CPF_CNPJ, ULTIMO_MES_SIMETRA, ULTIMO_MES_NG, TOTAL_SIMETRA FROM two WHERE DUPLICIDADE")
+def d33_duplicates(spark, sf):
+    return R.active_duplicates(two(spark, sf)).select("CPF_CNPJ", "ULTIMO_MES_SIMETRA", "ULTIMO_MES_NG", "TOTAL_SIMETRA")
+
+
 GAP = """CAST((CAST(substr(PRIMEIRO_MES_NG, 1, 4) AS INT) - CAST(substr(ULTIMO_MES_SIMETRA, 1, 4) AS INT)) * 12
   + CAST(substr(PRIMEIRO_MES_NG, 6, 2) AS INT) - CAST(substr(ULTIMO_MES_SIMETRA, 6, 2) AS INT) AS INT)"""
 TRANSITION_SQL = f"""tr AS (SELECT *, CASE WHEN GAP_MESES = 1 THEN 'Transição direta (1 mês)' WHEN GAP_MESES <= 0 THEN 'Sobreposição (simultâneo)'

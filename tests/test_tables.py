@@ -46,6 +46,21 @@ def test_upsert_snapshot_counts_and_keeps_old_versions(spark, rows, tmp_path):
     assert bag(spark.read.parquet(root + "/v000001")) == [(1, "a"), (2, "b")]
 
 
+def test_merge_slice_touches_only_its_partition(spark, rows, tmp_path):
+    path = str(tmp_path / "m")
+    schema = "k int, h string, ciclo string, sistema string"
+    args = (["k", "ciclo", "sistema"], "h", ["ciclo", "sistema"])
+    first = rows(schema, [(1, "a", "202606", "NG"), (1, "a", "202607", "NG"), (2, "b", "202607", "ADAPTER")])
+    assert T.merge_slice(first, path, *args, {}) == {"insert": 3, "update": 0}
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "m" / "ciclo=202606").rglob("*.parquet")}
+    change = rows(schema, [(1, "z", "202607", "NG"), (3, "c", "202607", "NG")])
+    assert T.merge_slice(change, path, *args, {"ciclo": "202607"}) == {"insert": 1, "update": 1}
+    assert T.merge_slice(change, path, *args, {"ciclo": "202607"}) == {"insert": 0, "update": 0}
+    got = T.read_partitioned(spark, path, ["ciclo", "sistema"]).select("k", "h", "ciclo", "sistema")
+    assert bag(got) == [(1, "a", "202606", "NG"), (1, "z", "202607", "NG"), (2, "b", "202607", "ADAPTER"), (3, "c", "202607", "NG")]
+    assert before and all(f.stat().st_mtime_ns == t for f, t in before.items())
+
+
 def test_upsert_rejects_duplicate_source_keys(rows):
     target, source = rows("k int, v int", [(1, 1)]), rows("k int, v int", [(2, 1), (2, 2)])
     with pytest.raises(ValueError):
