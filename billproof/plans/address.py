@@ -17,7 +17,7 @@ from ..functions.columns import col_or, find_column
 from ..functions.documents import dashed_cep, doc_type, is_generic_cep, postcode_key
 from ..functions.names import name_similarity
 from ..functions.text import clean_city, digits_only, label_chain, labelled, norm_street, norm_text
-from ..operators.joins import join_by_branch, lookup
+from ..operators.joins import join_by_branch, lookup, prefixed
 from ..operators.sets import union_strict
 from ..operators.windows import dedup_latest
 
@@ -87,10 +87,6 @@ def _customer_row(lot: str, legal: Mapping[str, Column] | None = None) -> dict[s
     )
 
 
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(f"`{x}`").alias(prefix + x) for x in df.columns])
-
-
 def _rows(joined: DataFrame, lot: str, legal: Mapping[str, Column] | None = None) -> DataFrame:
     mapping = _customer_row(lot, legal)
     return joined.select(*[mapping[x].alias(x) for x in schemas.CUSTOMER_ROW])
@@ -104,7 +100,7 @@ def address_source(base: DataFrame, billing: DataFrame, lot: str, limit: int | N
     """
     new = F.col("b_crm") == "NG"
     branches = [(~new, "b_idcontrato", "c_CONTRATO"), (new, "b_codigocliente", "c_ID_CLIENTE")]
-    joined = join_by_branch(_prefixed(base, "b_"), _prefixed(billing, "c_"), branches)
+    joined = join_by_branch(prefixed(base, "b_"), prefixed(billing, "c_"), branches)
     out = _rows(joined, lot)
     return out if limit is None else out.limit(limit)
 
@@ -117,8 +113,8 @@ def address_source_latest(
     contracts: CODIGOCLIENTE, IDCONTRATO, IDCONTA of the new system. legal: IDCONTRATO, cidade, bairro, cep, estado.
     """
     c = F.col
-    b, bill = _prefixed(base, "b_"), _prefixed(billing, "c_")
-    accounts = _prefixed(contracts.select("CODIGOCLIENTE", "IDCONTRATO", "IDCONTA").distinct(), "k_")
+    b, bill = prefixed(base, "b_"), prefixed(billing, "c_")
+    accounts = prefixed(contracts.select("CODIGOCLIENTE", "IDCONTRATO", "IDCONTA").distinct(), "k_")
     # Both conditions of the source system become equalities on a computed key.
     wrapped = F.concat(F.lit("SIMETRA("), c("b_crm"), F.lit(")"))
     origin = c("c_sistema_origem")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.columns import normalize_columns, snake_case
+from ..operators.joins import cross_one_row
 from ..operators.quality import require_columns
 
 # The median search ends when a column has at most this many candidate values left.
@@ -119,7 +120,7 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(F.lit(1.0))
         for c in columns
     }
-    joined = df.crossJoin(F.broadcast(stats))  # one row
+    joined = cross_one_row(df, stats)
     return joined.select(*[scaled[c].alias(c) if c in scaled else F.col(f"`{c}`") for c in df.columns])
 
 

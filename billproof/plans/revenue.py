@@ -17,8 +17,8 @@ from ..functions.dates import month_gap
 from ..functions.numbers import guarded_ratio, pct_change, text_amount
 from ..functions.text import digits_only, label_chain, trimmed
 from ..operators.aggregates import linear_trend, pivot_sum
-from ..operators.joins import keep_existing, keep_missing
-from ..operators.windows import lag_change, month_over_month, split_mean, worst_period
+from ..operators.joins import cross_one_row, keep_existing, keep_missing
+from ..operators.windows import lag_change, month_over_month, split_mean, top_then_filter, worst_period
 
 # System names and result labels.
 OLD_SYSTEM = "SIMETRA"
@@ -55,6 +55,13 @@ def _known(c: Column, key: str) -> Column:
     return F.when(F.col(key).isNotNull(), c)
 
 
+def _several(column: str) -> Column:
+    """More than one distinct value in the group. Compares 64-bit hashes: fixed-width buffers keep this a hash aggregate,
+    which sets or text minima would not."""
+    code = F.when(F.col(column).isNotNull(), F.xxhash64(column))
+    return F.coalesce(F.min(code) != F.max(code), F.lit(False))
+
+
 # -- fact ---------------------------------------------------------------------------------------------------------
 
 
@@ -138,7 +145,7 @@ def customer_stats(fact: DataFrame, stopped_until: str, month_old: str, month_ne
         F.count_if(pos).alias("_rows"),
         F.count_if(F.col("SISTEMA") == OLD_SYSTEM).alias("_old"),
         F.count_if(F.col("SISTEMA") == NEW_SYSTEM).alias("_new"),
-        F.size(F.collect_set("SISTEMA")).alias("_systems"),
+        _several("SISTEMA").alias("_several"),
     )
     live = F.col("_rows") > 0
     when_live = F.when(live, F.col("ANO_MES"))
@@ -153,7 +160,7 @@ def customer_stats(fact: DataFrame, stopped_until: str, month_old: str, month_ne
         _dbl(F.max_by(value, when_live)).alias("ULTIMO_VALOR"),
         F.count_if((F.col("ANO_MES") == month_old) & (F.col("_old") > 0)).alias("_was_old"),
         F.count_if((F.col("ANO_MES") == month_new) & (F.col("_new") > 0)).alias("_was_new"),
-        F.count_if((F.col("_systems") > 1) & F.col("ANO_MES").isNotNull()).alias("_double"),
+        F.count_if(F.col("_several") & F.col("ANO_MES").isNotNull()).alias("_double"),
         F.count_if(live).alias("_live"),
     )
     known = F.col("CPF_CNPJ").isNotNull()
@@ -240,9 +247,9 @@ def migration_summary(stats: DataFrame) -> DataFrame:
 def duplicated_revenue(fact: DataFrame) -> DataFrame:
     """One row: revenue of customer-months billed by more than one system."""
     month = fact.groupBy("CPF_CNPJ", "ANO_MES").agg(
-        F.size(F.collect_set("SISTEMA")).alias("_systems"), F.sum("VALOR_FATURADO").alias("_v")
+        _several("SISTEMA").alias("_several"), F.sum("VALOR_FATURADO").alias("_v")
     )
-    both = (F.col("_systems") > 1) & F.col("CPF_CNPJ").isNotNull() & F.col("ANO_MES").isNotNull()
+    both = F.col("_several") & F.col("CPF_CNPJ").isNotNull() & F.col("ANO_MES").isNotNull()
     return month.agg(F.coalesce(_dbl(F.sum(F.when(both, F.col("_v")))), F.lit(0.0)).alias("TOTAL"))
 
 
@@ -254,7 +261,7 @@ def problem_customers(stats: DataFrame, n: int = 100, m: int = 20) -> DataFrame:
         | (F.col("STATUS_MIGRACAO") == M_VANISHED)
         | (F.col("MESES_DUPLICADOS") > 0)
     )
-    return stats.orderBy(*order).limit(n).where(problem).orderBy(*order).limit(m)
+    return top_then_filter(stats, order, n, problem, m)
 
 
 def first_to_last_falls(stats: DataFrame, n: int = 100) -> DataFrame:
@@ -381,7 +388,7 @@ def vanished_summary(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post
         F.coalesce(_dbl(F.sum("_post")), F.lit(0.0)).alias("TOTAL_POS"),
         F.count_if(F.col("_n") > 0).alias("REAPARECERAM"),
     )
-    return totals.crossJoin(gone.agg(F.count(F.lit(1)).alias("SUMIRAM"))).select(
+    return cross_one_row(totals, gone.agg(F.count(F.lit(1)).alias("SUMIRAM"))).select(
         "SUMIRAM",
         "REAPARECERAM",
         (F.col("SUMIRAM") - F.col("REAPARECERAM")).alias("ZERARAM"),
@@ -720,7 +727,9 @@ def diagnose(kpi: DataFrame, cut: str) -> DataFrame:
     mom = month_over_month(rounded, "ANO_MES", {"TOTAL": "mm_fat", "CONTRATOS": "mm_con"})
     worst_value = worst_period(mom, "ANO_MES", "mm_fat", "pior_mes_fat", "pior_fat_pct")
     worst_count = worst_period(mom, "ANO_MES", "mm_con", "pior_mes_con", "pior_con_pct")
-    row = trends.crossJoin(split).crossJoin(worst_value).crossJoin(worst_count)
+    row = trends
+    for other in (split, worst_value, worst_count):
+        row = cross_one_row(row, other)
     direction = label_chain([(c("slope_total") < 0, "QUEDA"), (c("slope_total") > 0, "CRESCIMENTO")], "ESTÁVEL")
     cause = label_chain(
         [

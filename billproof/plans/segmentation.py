@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import decimal_comma
 from ..functions.text import label_chain, prepare_category
 from ..operators.aggregates import ordered_distribution
+from ..operators.joins import cross_one_row
 from .dataset import standardise, stratified_split
 
 # Columns of the billing base, features, labels and thresholds.
@@ -128,7 +129,7 @@ def outliers(df: DataFrame, contamination: float = 0.08, columns: Sequence[str]
     distance = sum((F.col(f"_x_{c}") * F.col(f"_x_{c}") for c in names), F.lit(0.0))
     scored = scaled.withColumn("score_distancia", distance).drop(*[f"_x_{c}" for c in names])
     limit = scored.agg(F.percentile_approx("score_distancia", 1 - contamination, 100000).alias("_limit"))
-    flagged = scored.crossJoin(F.broadcast(limit))  # one row
+    flagged = cross_one_row(scored, limit)
     return flagged.withColumn("anomalia_iso", F.when(F.col("score_distancia") > F.col("_limit"), ANOMALY).otherwise(NORMAL)).drop("_limit")
 
 
@@ -146,7 +147,7 @@ def class_weights(df: DataFrame, label: str, name: str = "_weight") -> DataFrame
     """Balanced weights: n / (number of classes * rows of the class)."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = sizes.agg(F.sum("_n").alias("_t"), F.count(F.lit(1)).alias("_k"))
-    weights = sizes.crossJoin(F.broadcast(totals)).select(label, (F.col("_t") / (F.col("_k") * F.col("_n"))).alias(name))
+    weights = cross_one_row(sizes, totals).select(label, (F.col("_t") / (F.col("_k") * F.col("_n"))).alias(name))
     return df.join(weights, label)
 
 
@@ -200,7 +201,7 @@ def priority_by(df: DataFrame, dimension: str, n: int | None = 10) -> DataFrame:
     aggs += [F.count_if(c(column) == value).alias(name) for name, (column, value) in present.items()]
     grouped = df.groupBy(dimension).agg(*aggs)
     largest = grouped.agg(F.greatest(F.max("impacto_financeiro").cast("double"), F.lit(1.0)).alias("_max"))
-    out = grouped.crossJoin(F.broadcast(largest))  # one row
+    out = cross_one_row(grouped, largest)
     zero = F.lit(0.0)
     pct = lambda name: F.round(c(name) / c("volume_contratos") * 100, 1)
     attention = pct("ocorrencias_atencao") if "ocorrencias_atencao" in present else zero
