@@ -57,8 +57,8 @@ def in_cycle(c: Column, cycle: str, encoding: str) -> Column:
     if encoding == "iso":
         return (c >= first.isoformat()) & (c < after.isoformat())
     if encoding == "br":
-        # dd/MM/yyyy does not sort by date: a suffix match is the cheapest exact form and is pushed to the scan.
-        return c.endswith(first.strftime("/%m/%Y"))
+        # dd/MM/yyyy does not sort by date: a substring match reaches the scan, the parsed cycle decides.
+        return c.contains(first.strftime("/%m/%Y")) & (cycle_of(c, "br") == norm_cycle(cycle))
     raise ValueError(f"unknown date encoding: {encoding!r}")
 
 

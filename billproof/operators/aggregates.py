@@ -146,13 +146,25 @@ def concat_parts(
     big = sizes.where(F.col("_parts") > 1)
     same = [F.col(f"c.`{k}`").eqNullSafe(F.col(f"g.`{k}`")) for k in [*keys, "_k"]]
     parts = F.coalesce(F.col("g._parts"), F.lit(1))
-    spread = counted.alias("c").join(big.alias("g"), same, "left").select(
+    # Very many copies of one text are dealt out as well: each chunk of copies stays below the limit.
+    chunks = F.greatest(F.lit(1), F.ceil((F.length("c._t") + len(sep)) * F.col("c._n") / limit)).cast("int")
+    dealt = counted.alias("c").join(big.alias("g"), same, "left").select(
         *[F.col(f"c.`{k}`") for k in keys],
         F.col("c._k"),
         F.col("c._t"),
-        F.col("c._n"),
+        F.col("c._n").alias("_copies"),
         parts.alias("_parts"),
-        F.pmod(F.xxhash64("c._t"), parts).cast("int").alias("_part"),
+        chunks.alias("_chunks"),
+        F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"),
+    )
+    whole, extra = F.floor(F.col("_copies") / F.col("_chunks")), F.col("_copies") % F.col("_chunks")
+    spread = dealt.select(
+        *keys,
+        "_k",
+        "_t",
+        (whole + F.when(F.col("_chunk") < extra, 1).otherwise(0)).alias("_n"),
+        "_parts",
+        F.pmod(F.xxhash64("_t") + F.col("_chunk"), F.col("_parts")).cast("int").alias("_part"),
     )
 
     def joined(kind: str) -> Column:

@@ -57,8 +57,8 @@ def skew_join(
     how: str = "left",
     split: str = "auto",
     hot_source: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    hot_rows: int | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi join on same-named keys of a large left side with a right side that is unique per key.
 
@@ -72,7 +72,8 @@ def skew_join(
     keys = list(keys)
     if split == "auto" and (_adaptive_skew(left) or fits_broadcast(right)):
         return left.join(right, keys, how)
-    hot = _hot_keys(left if hot_source is None else hot_source, keys, hot_rows)
+    salts = salts or SALTS
+    hot = _hot_keys(left if hot_source is None else hot_source, keys, hot_rows or HOT_ROWS)
     flagged_hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     any_null = F.lit(False)
     for k in keys:

@@ -74,11 +74,13 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], number: Column, tiebreak: S
 def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
     """Consecutive numbers in global order without a one-task window.
 
-    Rows are range-partitioned on the order columns plus a hash of the row (which splits hot values), pinned by a
-    checkpoint so that a lost executor cannot change them, counted per range, then numbered inside each range.
+    Rows are range-partitioned on the order columns, a hash of the row (which splits hot values) and the reading task
+    (which splits masses of equal rows), pinned by a checkpoint so that a lost executor cannot change them, counted per
+    range, then numbered inside each range.
     """
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ranged = df.withColumn("_tie", tie).repartitionByRange(*[F.col(c) for c in order], F.col("_tie"))
+    keyed = df.select("*", tie.alias("_tie"), F.spark_partition_id().alias("_task"))
+    ranged = keyed.repartitionByRange(*[F.col(c) for c in order], F.col("_tie"), F.col("_task"))
     pinned = cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
     counts = pinned.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     # One row per range: at most spark.sql.shuffle.partitions rows.

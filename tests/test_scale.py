@@ -11,6 +11,7 @@ from billproof.operators import windows as W
 from billproof.plans import dataset as D
 from billproof.plans import rules as P
 import __spark_entry__ as entry
+from oracle import compare, connect
 
 
 def bag(df):
@@ -77,6 +78,16 @@ def test_concat_parts_loses_nothing(spark):
     assert all(r._parts == 1 and r.s == whole[r.k] for r in parts if r.k != "hot")
 
 
+def test_concat_parts_deals_out_copies(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("k"), F.when(F.col("id") < 4900, "same").otherwise(F.concat(F.lit("t"), "id")).alias("t"))
+    parts = A.concat_parts(df, ["k"], {"s": F.col("t")}, limit=2000).collect()
+    assert len(parts) > 10 and max(len(r.s) for r in parts) < 12000
+    texts = " | ".join(r.s for r in parts).split(" | ")
+    assert texts.count("same") == 4900 and len(texts) == 5000
+    once = A.concat_parts(df, ["k"], {"s": F.col("t")}, limit=2000, distinct=["s"]).collect()
+    assert sum(r.s.count("same") for r in once) == 1
+
+
 @pytest.mark.parametrize("values", [[5.0, 1.0, 3.0], [1.0, 2.0, 3.0, 10.0], [7.0] * 9 + [1.0], [float(i * i % 1009) for i in range(5000)], [2.5]])
 def test_exact_median_with_small_candidate_limit(rows, values):
     df = rows("v double", [(v,) for v in values] + [(None,)]).repartition(4)
@@ -138,3 +149,12 @@ def test_item_cycle_filter_reaches_the_scan(spark, tmp_path):
     spark.range(3).select(F.lit("2026-07").alias("CICLO")).write.parquet(path)
     text = plan(P.select_cycle(spark.read.parquet(path), "202607"))
     assert "Contains" in text.split("PushedFilters: ")[1]
+
+
+@pytest.mark.parametrize(
+    "name", ["j2_lookup", "j3_lookup_cascade", "j5_two_roles", "j10_flag_exists", "j8_keep_existing", "u7_set_difference", "w4_any_over", "d3_rate_reference", "d16_status_table", "d26_tag_detail", "s12_upsert"]
+)
+def test_queries_on_salted_joins(spark, sf, shuffled, monkeypatch, name):
+    monkeypatch.setattr(J, "HOT_ROWS", 40)
+    monkeypatch.setattr(J, "SALTS", 3)
+    assert compare(spark, connect(sf), entry.queries()[name], entry.oracle_sql()[name], sf) is None
