@@ -6,13 +6,19 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, simhash, token_files
+from . import decontaminate, kneser_ney, simhash, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney and add-one scores of every document; fold 2 of 7 is held out."""
+    return kneser_ney.score_corpus(table(spark, sf_dir, "documents"), folds=7, fold=2).withColumnRenamed("key", "doc_id")
+
+
 @query("op4_benchmark_decontamination")
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and contamination of every document: windows of 13 words, 5 per cent."""
