@@ -9,16 +9,18 @@ file; a reader of few documents reads the tail and only the wanted frames.
 Documents are dealt to files by key ranges, so file n holds smaller keys than file n + 1. A file is written under a
 temporary name and then renamed; a repeated task writes the same bytes.
 
-Tokenising caches the ids of whole words per Python worker. That is exact: white space always ends a word of this kind of
-tokenizer, and what is cached is what the tokenizer itself returned for the word.
+Tokenising caches the ids of words per Python worker, which is exact for tokenizers that never cross white space.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -34,73 +36,91 @@ SKIPPABLE = 0x184D2A5E  # fixed values of the seekable format
 SEEKABLE = 0x8F92EAB1
 KEYS = 0x184D2A5A
 WITH_CHECKSUM = 0x80
-CACHED = 600_000
+CACHED = 400_000
 ROWS_PER_FILE = 4096
 LEVEL = 3
 
 
+# Fixed value: how tokenizers of the cached kind cut normalised text; white space is dropped.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_words(settings: dict) -> bool:
+    """True for a tokenizers file that composes, lowers and cuts text by CUT, with marked word ends."""
+    normal = settings.get("normalizer") or {}
+    steps = [x.get("type") for x in normal.get("normalizers", [normal])]
+    cut = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+    return steps == ["NFC", "Replace", "Lowercase"] and cut.get("pattern") == {"Regex": CUT} and bool(settings["model"].get("end_of_word_suffix"))
+
+
 class WordCache:
-    """Ids of words by a tokenizers file, cached word by word. White space must separate words and leave no token."""
+    """Encodes texts by a tokenizers file, with the ids of pieces cached where the file's rules allow it (`cuts_words`).
+
+    The text is lowered and cut as the file says, and new pieces go to the model itself, many in a call. Texts that the
+    cut might treat differently (combining marks, special tokens, rare separators, letters that lower by context) and
+    files with other rules take the tokenizer's own way. The cache has two generations, so that a full one keeps the
+    pieces in use.
+    """
 
-    MARK = "\x01"
+    CUT = re.compile(r"[^\W\d_]+|'(?:[stmd]|re|ve|ll)|\d|(?:[^\w\s]|_)+")
+    UNSURE = re.compile("[\u0130\u03a3\u0300-\u036f\x1c-\x1f\x85]|<\\|")
 
     def __init__(self, path: str, most: int = CACHED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.known: dict[bytes, bytes] = {}
-        [self.mark] = self.plain(self.MARK)
-
-    def plain(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode the words in one call, with a mark between them; words that hold the mark go one by one."""
-        odd = [w for w in words if b"\x01" in w]
-        even = [w for w in words if b"\x01" not in w]
-        for w in odd:
-            self.known[w] = np.array(self.plain(w.decode()), "<u4").tobytes()
-        if even:
-            text = f" {self.MARK} ".join(w.decode() for w in even)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(ids == self.mark)
-            if len(at) != len(even) - 1:
-                raise ValueError("the tokenizer doesn't keep words apart")
-            data = ids.tobytes()
-            for w, a, b in zip(even, [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)]):
-                self.known[w] = data[a:b]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.cuts = cuts_words(settings)
+        if self.cuts:
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
+            suffix = settings["model"]["end_of_word_suffix"]
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[n for piece, n in vocabulary.items() if piece.endswith(suffix)]] = True
+
+    def plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def sure(self, text: str) -> bool:
+        return self.cuts and not self.UNSURE.search(text) and is_normalized("NFC", text)
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        for start in range(0, len(texts), 256):
-            words = [t.split() for t in texts[start : start + 256]]
-            new = list(set().union(*words).difference(self.known))
-            if new:
-                if len(self.known) + len(new) > self.most:
-                    self.known.clear()
-                    new = list(set().union(*words))
-                self.learn_all(new)
+        for at in range(0, len(texts), 256):
+            block = [t.decode() for t in texts[at : at + 256]]
+            pieces = [self.CUT.findall(t.lower()) if self.sure(t) else None for t in block]
+            self.learn(set().union(*(p for p in pieces if p)))
             get = self.known.__getitem__
-            for own in words:
-                yield b"".join(map(get, own))
-
-    def learn_all(self, words: list[bytes]) -> None:
-        """A word that is a letter core with one full stop or comma behind it is the core's ids and the stop's."""
-        cores: dict[bytes, bytes] = {}
-        rest = []
-        for w in words:
-            if w[-1] in b".," and w[-2:-1].isalpha():
-                cores[w] = w[:-1]
-            else:
-                rest.append(w)
-        need = set(rest)
-        need.update(c for c in cores.values() if c not in self.known)
-        need.update(x for x in (b".", b",") if x not in self.known)
-        self.learn(list(need))
-        for w, core in cores.items():
-            self.known[w] = self.known[core] + self.known[w[-1:]]
+            for text, own in zip(block, pieces):
+                yield self.plain(text) if own is None else b"".join(map(get, own))
+
+    def learn(self, pieces: set[str]) -> None:
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > self.most:
+            self.older, self.known, new = self.known, {}, pieces
+        for p in new.intersection(self.older):
+            self.known[p] = self.older[p]
+        new = [p for p in new if p not in self.known]
+        direct = [p for p in new if p.isalpha() or not any(map(str.isalnum, p)) or p[0] == "'"]
+        if direct:
+            ids = np.array(self.bare.encode_batch_fast([" ".join(direct)], add_special_tokens=False)[0].ids, "<u4")
+            stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(stops) != len(direct):
+                raise ValueError("the model doesn't mark the ends of words")
+            data, start = ids.tobytes(), 0
+            for p, stop in zip(direct, stops.tolist()):
+                self.known[p] = data[start:stop]
+                start = stop
+        for p in set(new).difference(direct):
+            self.known[p] = self.plain(p)
 
 
 def frames(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end: int | None = 1, level: int = LEVEL) -> DataFrame:
