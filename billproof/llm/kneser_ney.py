@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,12 @@ class Hashes(dict):
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_hashes() -> Hashes:
+    """The hashes known to this Python worker, kept over its tasks."""
+    return Hashes()
+
+
 def before(tokens: np.ndarray) -> np.ndarray:
     return np.concatenate((np.array([START], np.uint64), tokens[:-1]))
 
@@ -116,7 +123,7 @@ def counted(df: DataFrame, side: int) -> DataFrame:
     schema = pa.schema([("cell", pa.int32()), ("block", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
-        hashes = Hashes()
+        hashes = worker_hashes()
         held: list[np.ndarray] = []
         size = 0
 
@@ -338,7 +345,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     schema = pa.schema([("key", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: common.Batches) -> common.Batches:
-        hashes, scorer = Hashes(), model.open()
+        hashes, scorer = worker_hashes(), model.open()
 
         def scored(keys: list, held: list[np.ndarray]) -> pa.RecordBatch:
             sizes = np.array([len(h) for h in held])

@@ -20,6 +20,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -123,13 +124,19 @@ class WordCache:
             self.known[p] = self.plain(p)
 
 
+@lru_cache(maxsize=1)
+def word_cache(path: str) -> WordCache:
+    """The cache of this Python worker: Spark reuses workers, so it serves all of a worker's tasks."""
+    return WordCache(path)
+
+
 def frames(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end: int | None = 1, level: int = LEVEL) -> DataFrame:
     """key, frame (compressed ids with the end id) and size (plain bytes), checksum of each row's text (null: empty)."""
     schema = pa.schema([("key", pa.int64()), ("frame", pa.binary()), ("size", pa.int64()), ("checksum", pa.int64())])
     last = b"" if end is None else struct.pack("<I", end)
 
     def run(batches: common.Batches) -> common.Batches:
-        cache = WordCache(vocabulary)
+        cache = word_cache(vocabulary)
         pack = zstandard.ZstdCompressor(level=level, write_checksum=False, write_content_size=True)
         for batch in batches:
             packed, sizes, sums = [], [], []
