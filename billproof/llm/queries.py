@@ -6,13 +6,19 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, kneser_ney, simhash, token_files
+from . import decontaminate, html_text, kneser_ney, multiset_hash, simhash, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+@query("op1_document_fingerprints")
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return multiset_hash.edits(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 @query("op3_lm_scoring")
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney and add-one scores of every document; fold 2 of 7 is held out."""
@@ -33,6 +39,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+@query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, seed 42, links at 4 bits or fewer."""
