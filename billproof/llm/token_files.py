@@ -57,14 +57,15 @@ def cuts_words(settings: dict) -> bool:
 class WordCache:
     """Encodes texts by a tokenizers file, with the ids of pieces cached where the file's rules allow it (`cuts_words`).
 
-    The text is lowered and cut as the file says, and new pieces go to the model itself, many in a call. Texts that the
-    cut might treat differently (combining marks, special tokens, rare separators, letters that lower by context) and
-    files with other rules take the tokenizer's own way. The cache has two generations, so that a full one keeps the
+    Text is lowered and split at white space and before signs that end a word. New pieces of letters go to the model
+    itself, many in a call; others go through the whole tokenizer. Texts where that might differ (combining marks, special
+    tokens, rare separators, letters that lower by context) and files with other rules take the tokenizer's own way. The cache has two generations, so that a full one keeps the
     pieces in use.
     """
 
-    CUT = re.compile(r"[^\W\d_]+|'(?:[stmd]|re|ve|ll)|\d|(?:[^\w\s]|_)+")
-    UNSURE = re.compile("[\u0130\u03a3\u0300-\u036f\x1c-\x1f\x85]|<\\|")
+    SIGN = r"[!-&(-/:-@\[-^`{-~]"
+    BEHIND = re.compile(rf"({SIGN}(?<=\w{SIGN}){SIGN}*)(?=\s)")  # signs between a word and white space: a piece of their own
+    UNSURE = [x.encode() for x in ("<|", "\u0130", "\u03a3", "\x85", "\x1c", "\x1d", "\x1e", "\x1f")] + [b"\xcc", b"\xcd"]  # the last: U+0300 to U+037F
 
     def __init__(self, path: str, most: int = CACHED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -90,27 +91,34 @@ class WordCache:
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def sure(self, text: str) -> bool:
-        return self.cuts and not self.UNSURE.search(text) and is_normalized("NFC", text)
+    def pieces(self, data: bytes, text: str) -> list[str] | None:
+        """Pieces that encode one by one to the ids of the text; None where that isn't sure."""
+        if not self.cuts or any(x in data for x in self.UNSURE) or not is_normalized("NFC", text):
+            return None
+        return self.BEHIND.sub(r" \1", text.lower()).split()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         for at in range(0, len(texts), 256):
             block = [t.decode() for t in texts[at : at + 256]]
-            pieces = [self.CUT.findall(t.lower()) if self.sure(t) else None for t in block]
-            self.learn(set().union(*(p for p in pieces if p)))
-            get = self.known.__getitem__
-            for text, own in zip(block, pieces):
-                yield self.plain(text) if own is None else b"".join(map(get, own))
-
-    def learn(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.known)
+            pieces = list(map(self.pieces, texts[at : at + 256], block))
+            found = [p and list(map(self.known.get, p)) for p in pieces]
+            self.learn({p for own, ids in zip(pieces, found) if own for p, x in zip(own, ids) if x is None})
+            for text, own, ids in zip(block, pieces, found):
+                if own is None:
+                    yield self.plain(text)
+                else:
+                    yield b"".join([self.known[p] if x is None else x for p, x in zip(own, ids)])
+
+    def learn(self, new: set[str]) -> None:
+        """Bring new pieces into the cache."""
         if len(self.known) + len(new) > self.most:
-            self.older, self.known, new = self.known, {}, pieces
-        for p in new.intersection(self.older):
-            self.known[p] = self.older[p]
+            self.older, self.known = self.known, {}
+        for p in new:
+            if p in self.older:
+                self.known[p] = self.older[p]
         new = [p for p in new if p not in self.known]
-        direct = [p for p in new if p.isalpha() or not any(map(str.isalnum, p)) or p[0] == "'"]
+        direct = [p for p in new if p.isalpha()]
         if direct:
             ids = np.array(self.bare.encode_batch_fast([" ".join(direct)], add_special_tokens=False)[0].ids, "<u4")
             stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
@@ -120,8 +128,9 @@ class WordCache:
             for p, stop in zip(direct, stops.tolist()):
                 self.known[p] = data[start:stop]
                 start = stop
-        for p in set(new).difference(direct):
-            self.known[p] = self.plain(p)
+        if len(direct) < len(new):
+            for p in set(new).difference(direct):
+                self.known[p] = self.plain(p)
 
 
 @lru_cache(maxsize=1)
