@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, kneser_ney, multiset_hash, simhash, token_files
+from . import chat_format, common, decontaminate, html_text, kneser_ney, multiset_hash, simhash, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -50,3 +50,28 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, seed 42, links at 4 bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, seed=42, radius=4)
     return found.withColumnRenamed("key", "doc_id")
+
+
+OP9_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', chr(92) || '### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(14 + length(replace(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '##', '#' || chr(92) || '#'), '</', '<' || chr(92) || '/'), chr(10), chr(92) || 'n'))
+    + length(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '##', '#' || chr(92) || '#'), '</', '<' || chr(92) || '/'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query("op9_chat_formatting", OP9_SQL)
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and a probe that holds control strings, formatted, stored and read back."""
+    probe = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.digests(common.stored(chat_format.render(rows), "chat"))
