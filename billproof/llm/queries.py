@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, common, decontaminate, html_text, kneser_ney, multiset_hash, simhash, token_files
+from . import chat_format, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -19,6 +20,13 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edits(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores, soft labels and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels"))).withColumnRenamed("key", "doc_id")
+
+
 @query("op3_lm_scoring")
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney and add-one scores of every document; fold 2 of 7 is held out."""
@@ -32,6 +40,13 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("spans").withColumnRenamed("key", "doc_id")
 
 
+@query("op5_sampled_pieces")
+def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's own encoding and two sampled segmentations of every document, decoded again."""
+    found = piece_lattice.segment(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", k=2)
+    return found.withColumnRenamed("key", "doc_id").withColumn("samples", F.transform("samples", lambda s: s.dropFields("ids")))
+
+
 @query("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents with end id 1, read back."""
@@ -75,3 +90,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat_format.digests(common.stored(chat_format.render(rows), "chat"))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document, as a file at source/lang/doc_id."""
+    docs = table(spark, sf_dir, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+    return license_scan.scan(docs).withColumnRenamed("key", "doc_id")
