@@ -199,9 +199,12 @@ def join_by_branch(left: DataFrame, right: DataFrame, branches: Sequence[tuple[C
 def cross_one_row(df: DataFrame, row: DataFrame, strict: bool = False) -> DataFrame:
     """Attach the values of a one-row table to every row.
 
-    An empty `row` empties the result; with strict=True the rows stay and the attached columns are NULL.
+    An empty `row` empties the result; with strict=True the rows stay and the attached columns are NULL. A second row
+    fails the query.
     """
-    one = F.broadcast(row.limit(1))
+    found = row.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*[F.col(f"`{c}`") for c in row.columns])).alias("r"))
+    single = F.when(F.col("n") > 1, F.raise_error(F.lit("more than one row to attach")).cast("boolean")).otherwise(F.col("n") == 1)
+    one = F.broadcast(found.where(single).select("r.*"))
     if strict:
         return df.join(one, F.lit(True), "left")
     return df.crossJoin(one)

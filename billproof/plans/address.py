@@ -334,9 +334,9 @@ def _situation_note() -> Column:
 def _name_pair(head: Column) -> Column:
     return F.concat(
         head,
-        F.substring(_text(F.col("NOME_CLIENTE")), 1, 40),
+        _text(F.col("NOME_CLIENTE")),
         F.lit("' x Receita '"),
-        F.substring(_text(F.col("r_razao_social")), 1, 40),
+        _text(F.col("r_razao_social")),
         F.lit("'"),
     )
 

@@ -130,7 +130,7 @@ BUCKETS = 1 << 16
 def stratified_split(
     df: DataFrame, label: str | None, fraction: float, seed: int, key: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with exactly ceil(fraction * n) test rows per label (or in total).
+    """(train, test) with ceil(fraction * n) test rows in total, shared out to the labels by largest remainder.
 
     Rows are ordered by a seeded hash of `key` (default: all columns; few rows should share a key). Instead of sorting a
     whole class in one task, hash buckets are counted, the bucket in which the quota ends is found, and only that bucket
@@ -144,7 +144,12 @@ def stratified_split(
         F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key]).alias("_h"),
     ).withColumn("_b", F.shiftrightunsigned("_h", 48).cast("int"))
     sizes = hashed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.groupBy("_g").agg(F.ceil(F.sum("_n") * F.lit(fraction)).alias("_quota"))
+    share = sizes.groupBy("_g").agg((F.sum("_n") * F.lit(fraction)).alias("_share"), F.sum("_n").alias("_rows"))
+    labels = Window.partitionBy(F.lit(0))  # one row per label
+    low = F.floor("_share")
+    left = F.ceil(F.sum("_rows").over(labels) * F.lit(fraction)) - F.sum(low).over(labels)
+    turn = F.row_number().over(labels.orderBy(F.round(F.col("_share") - low, 9).desc(), "_g"))
+    total = share.select("_g", (low + F.when(turn <= left, 1).otherwise(0)).alias("_quota"))
     # At most BUCKETS rows per label.
     before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     placed = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -120,17 +121,26 @@ def attach_risk(df: DataFrame, profile: DataFrame) -> DataFrame:
 def outliers(df: DataFrame, contamination: float = 0.08, columns: Sequence[str] | None = None) -> DataFrame:
     """Adds score_distancia (squared distance from the mean in standardised features) and anomalia_iso.
 
-    The share `contamination` with the largest distance is flagged. A distance score stands in for an isolation forest,
-    so single rows may be judged differently than by one.
+    Exactly the share `contamination` (rounded up) with the largest distance is flagged; of rows that tie at the limit
+    those with the smallest hashes. A distance score stands in for an isolation forest, so single rows may be judged
+    differently than by one.
     """
     names = list(columns or features_of(df))
     copies = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in names])
     scaled = standardise(copies, [f"_x_{c}" for c in names])
     distance = sum((F.col(f"_x_{c}") * F.col(f"_x_{c}") for c in names), F.lit(0.0))
     scored = scaled.withColumn("score_distancia", distance).drop(*[f"_x_{c}" for c in names])
-    limit = scored.agg(F.percentile_approx("score_distancia", 1 - contamination, 100000).alias("_limit"))
-    flagged = cross_one_row(scored, limit)
-    return flagged.withColumn("anomalia_iso", F.when(F.col("score_distancia") > F.col("_limit"), ANOMALY).otherwise(NORMAL)).drop("_limit")
+    limit = scored.agg(F.percentile_approx("score_distancia", 1 - contamination, 100000).alias("v")).first()["v"]
+    if limit is None:
+        return scored.withColumn("anomalia_iso", F.lit(NORMAL))
+    score = F.col("score_distancia")
+    found = scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(score > limit).alias("above"), F.count_if(score == limit).alias("ties")).first()
+    wanted = min(max(math.ceil(contamination * found["n"]) - found["above"], 0), found["ties"])
+    clear = scored.where(score != limit).withColumn("anomalia_iso", F.when(score > limit, ANOMALY).otherwise(NORMAL))
+    # A little less than the exact share, so that rounding up gives `wanted` rows.
+    rest, chosen = stratified_split(scored.where(score == limit), None, max(wanted - 0.5, 0) / max(found["ties"], 1), 42)
+    flagged = chosen.withColumn("anomalia_iso", F.lit(ANOMALY)).unionByName(rest.withColumn("anomalia_iso", F.lit(NORMAL)))
+    return clear.unionByName(flagged)
 
 
 def label_encode(df: DataFrame, column: str, name: str):

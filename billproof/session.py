@@ -11,6 +11,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where an aggregate by the join key follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
@@ -31,12 +33,14 @@ def build_session(app: str = "billproof", master: str | None = None, **conf: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint folder; a temporary one only where none is configured (tests)."""
+    """Use the cluster's shared checkpoint folder. A local run without one (tests) gets a temporary folder, a cluster is refused."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = configured or tempfile.mkdtemp(prefix="billproof-checkpoint-")
     sc.setCheckpointDir(path)
     return path

@@ -56,7 +56,7 @@ def parse_items(
     for name, names in fields.items():
         value = field(F.col("_item"), names)
         columns.append((value.try_cast("double") if name in numbers else null_tokens(value, "rates")).alias(name))
-    raw = F.when(F.col("_item").isNotNull(), F.col("_item")).otherwise(F.substring(F.col(json), 1, 500))
+    raw = F.when(F.col("_item").isNotNull(), F.col("_item")).otherwise(F.col(json))
     return rows.select(
         *[f"`{c}`" for c in documents.columns if c != json], *columns, F.nullif(raw, F.lit("")).alias("json_retorno"), status.alias("status")
     )

@@ -37,7 +37,7 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full replacement including the schema. The path must not be one that `df` reads; see write_snapshot."""
-    _writer(balanced(df, partition_by), "overwrite", partition_by).parquet(path)
+    _writer(balanced(df, partition_by), "errorifexists", partition_by).parquet(path)
 
 
 def replace_all(df: DataFrame, path: str) -> None:
@@ -145,11 +145,14 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write the next snapshot beside the one being read. Readers switch when the job has committed."""
+    """Write the next snapshot beside the one being read. Readers switch when the job has committed.
+
+    Fails when another writer has begun the same version.
+    """
     spark = df.sparkSession
     versions = _versions(spark, root)
     path = f"{root}/v{(versions[-1] + 1 if versions else 1):06d}"
-    _writer(balanced(df, partition_by), "overwrite", partition_by).parquet(path)
+    _writer(balanced(df, partition_by), "errorifexists", partition_by).parquet(path)
     return path
 
 

@@ -12,7 +12,7 @@ from billproof.plans import rule_catalogue as K
 from billproof import schemas
 
 from . import query
-from .fixtures import LOT, spread, table
+from .fixtures import LOT, table
 from .item_fixture import _sql_choice
 
 UF = _sql_choice([*K.STATES[:25]], "CAST(n_nationkey AS INT)")
@@ -71,7 +71,7 @@ def _select(columns, s):
 
 def rows(spark, sf):
     base = (
-        spread(table(spark, sf, "orders"))
+        table(spark, sf, "orders")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -154,7 +154,7 @@ k2 AS (SELECT *, CASE WHEN tipo = 'CNPJ' THEN concat_ws(' | ', NULLIF(obs_l0, ''
     CASE WHEN r_cnpj IS NOT NULL AND {_diff('nul', 'r_nu')} THEN 'UF divergente: base ''' || uf_legal || ''' x Receita ''' || COALESCE(r_uf, '') || '''' END) ELSE obs_l0 END AS obs_l,
   concat_ws(' | ', CASE WHEN r_cnpj IS NULL THEN '[CACHE] CNPJ não encontrado em tab_dados_receita. Execute a célula de populate.' END,
     CASE WHEN r_cnpj IS NOT NULL AND upper(r_sit) <> 'ATIVA' THEN 'Situação: ' || r_sit END,
-    CASE WHEN r_cnpj IS NOT NULL AND {_diff('r_nn', 'nnome')} THEN 'Razão social divergente: base ''' || substr(COALESCE(NOME_CLIENTE, ''), 1, 40) || ''' x Receita ''' || substr(COALESCE(r_razao, ''), 1, 40) || '''' END) AS obs_c FROM k1),
+    CASE WHEN r_cnpj IS NOT NULL AND {_diff('r_nn', 'nnome')} THEN 'Razão social divergente: base ''' || COALESCE(NOME_CLIENTE, '') || ''' x Receita ''' || COALESCE(r_razao, '') || '''' END) AS obs_c FROM k1),
 ck AS (SELECT *, CASE WHEN gi AND (dci OR dui) THEN 'CepGenericoDiverge' WHEN gi THEN 'CepGenericoOk' WHEN obs_i IS NULL OR obs_i = '' THEN 'Confere' ELSE 'Divergente' END AS st_i,
   CASE WHEN gl AND (dcl OR dul) THEN 'CepGenericoDiverge' WHEN gl AND (obs_l IS NULL OR obs_l LIKE '%confirmado%') THEN 'CepGenericoOk'
     WHEN obs_l IS NULL OR obs_l = '' THEN 'Confere' ELSE 'Divergente' END AS st_l,
@@ -200,7 +200,7 @@ def d13(spark, sf):
 t AS (SELECT *, CASE WHEN r_cnpj IS NULL AND tipo = 'CNPJ' THEN 'nao_carregado' WHEN cad_sim IS NULL THEN 'sem_dado' WHEN r_nn = nnome THEN 'Exato' WHEN cad_sim >= 0.75 THEN 'Alerta' ELSE 'Divergente' END AS estado FROM s)
 SELECT FATURA, cad_sim, estado, concat_ws(' | ', CASE WHEN r_cnpj IS NULL THEN '{P.MSG_REGISTRY_POPULATE}' END, CASE WHEN upper(r_sit) <> 'ATIVA' THEN 'Situação: ' || r_sit END,
   CASE WHEN estado IN ('Alerta', 'Divergente') THEN CASE estado WHEN 'Alerta' THEN 'Razão social similar (100' ELSE 'Razão social divergente (0' END || '% palavras iguais): base '''
-    || substr(NOME_CLIENTE, 1, 40) || ''' x Receita ''' || substr(r_razao, 1, 40) || '''' END) AS obs FROM t""",
+    || NOME_CLIENTE || ''' x Receita ''' || r_razao || '''' END) AS obs FROM t""",
 )
 def d14(spark, sf):
     out = P.check_registration_sim(enriched(spark, sf))

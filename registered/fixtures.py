@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billproof.plans.revenue import Window2, revenue_fact
-from billproof.session import estimated_bytes
 
 MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 PRE = ("1997-12", "1998-01", "1998-02")
@@ -22,17 +21,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small file holds one row group, which one task would read and process alone: deal its rows to all cores.
-
-    Large tables have row groups enough and are left as they are.
-    """
-    size = estimated_bytes(df)
-    if size is None or size > 1 << 30:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 

@@ -65,10 +65,10 @@ def m1(spark, sf):
     return rounded(out.select("id", "faturamento_atual", "score_anomalia"), 6, "faturamento_atual", "score_anomalia")
 
 
-@query("m2_kmeans")
+@query("m2_kmeans", "SELECT 6 AS grupos, COUNT(*) AS registros FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")
 def m2(spark, sf):
-    out, _ = S.kmeans(base(spark, sf).drop("cluster"), n_init=3)
-    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    out, _ = S.kmeans(base(spark, sf).drop("cluster"))
+    return out.agg(F.countDistinct("cluster").alias("grupos"), F.count(F.lit(1)).alias("registros"))
 
 
 @query(
@@ -81,7 +81,11 @@ def m3(spark, sf):
     return rounded(out.select("id", "score_distancia"), 6, "score_distancia")
 
 
-@query("m3_outlier_share")
+@query(
+    "m3_outlier_share",
+    f"""WITH {BASE_SQL}, t AS (SELECT COUNT(*) AS n, CAST(ceil(0.08 * COUNT(*)) AS BIGINT) AS f FROM b)
+SELECT '⚠️ ANOMALIA' AS anomalia_iso, f AS n FROM t UNION ALL SELECT 'NORMAL', n - f FROM t""",
+)
 def m3_share(spark, sf):
     return S.outliers(base(spark, sf)).groupBy("anomalia_iso").agg(F.count(F.lit(1)).alias("n"))
 
@@ -89,7 +93,7 @@ def m3_share(spark, sf):
 @query("m4_severity_model")
 def m4(spark, sf):
     rows = base(spark, sf)
-    model, _, _ = S.fit_severity(rows, key=["id"], trees=20)
+    model, _, _ = S.fit_severity(rows, key=["id"])
     return S.predict_severity(model, rows).groupBy("severidade", "severidade_prevista").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -213,8 +217,9 @@ def d39(spark, sf):
 
 @query(
     "d39_prepare_split",
-    f"""WITH {RAW_SQL}
-SELECT species, CAST(ceil(COUNT(*) * 0.2) AS BIGINT) AS n_test, COUNT(*) - CAST(ceil(COUNT(*) * 0.2) AS BIGINT) AS n_train FROM im GROUP BY species""",
+    f"""WITH {RAW_SQL}, c AS (SELECT species, COUNT(*) AS n, floor(COUNT(*) * 0.2) AS low, COUNT(*) * 0.2 - floor(COUNT(*) * 0.2) AS r FROM im GROUP BY species),
+q AS (SELECT species, n, CAST(low + CASE WHEN row_number() OVER (ORDER BY r DESC, species) <= ceil(SUM(n) OVER () * 0.2) - SUM(low) OVER () THEN 1 ELSE 0 END AS BIGINT) AS t FROM c)
+SELECT species, t AS n_test, n - t AS n_train FROM q""",
 )
 def d39_split(spark, sf):
     train, test = D.prepare(raw(spark, sf), D.DatasetConfig(["qtd"], "order_key", "species"))

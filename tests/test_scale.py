@@ -158,3 +158,31 @@ def test_queries_on_salted_joins(spark, sf, shuffled, monkeypatch, name):
     monkeypatch.setattr(J, "HOT_ROWS", 40)
     monkeypatch.setattr(J, "SALTS", 3)
     assert compare(spark, connect(sf), entry.queries()[name], entry.oracle_sql()[name], sf) is None
+
+
+def test_split_total_by_largest_remainder(spark):
+    from billproof.plans import dataset as D
+
+    rows = spark.createDataFrame([(i, "abc"[i % 3] if i < 27 else "d") for i in range(31)], "id long, y string")
+    train, test = D.stratified_split(rows, "y", 0.2, 1)
+    assert {r.y: r["count"] for r in test.groupBy("y").count().collect()} == {"a": 2, "b": 2, "c": 2, "d": 1}
+    assert train.count() == 24
+
+
+def test_outliers_resolve_ties(spark):
+    from billproof.plans import segmentation as S
+
+    rows = spark.createDataFrame([(i, 10.0 if i < 100 else i / 1e4) for i in range(1000)], "id long, faturamento_atual double")
+    counts = {r.anomalia_iso: r["count"] for r in S.outliers(rows, columns=["faturamento_atual"]).groupBy("anomalia_iso").count().collect()}
+    assert counts == {S.ANOMALY: 80, S.NORMAL: 920}
+
+
+def test_one_row_tables_are_checked(spark):
+    import pytest
+
+    from billproof.operators import joins as J
+
+    rows = spark.range(5)
+    with pytest.raises(Exception, match="more than one row"):
+        J.cross_one_row(rows, rows.withColumnRenamed("id", "x")).collect()
+    assert J.cross_one_row(rows, rows.where("id = 3").withColumnRenamed("id", "x")).count() == 5
