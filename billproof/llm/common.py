@@ -45,15 +45,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict = {}
+
+
+def held_by_worker(key: tuple, make: Callable):
+    """A look-up that a Python worker keeps over its tasks. It holds one at a time, so stages don't add up their caches."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column as UTF-8 bytes; null counts as the empty text."""
     return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[Batches], Batches]] | Callable[[Batches], Batches], schema: str) -> DataFrame:
-    return df.mapInArrow(make, schema)
-
-
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +55,9 @@ class Hashes(dict):
         return out
 
 
-@lru_cache(maxsize=1)
 def worker_hashes() -> Hashes:
     """The hashes known to this Python worker, kept over its tasks."""
-    return Hashes()
+    return common.held_by_worker(("hashes",), Hashes)
 
 
 def before(tokens: np.ndarray) -> np.ndarray:

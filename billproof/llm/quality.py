@@ -27,8 +27,8 @@ from . import common
 from .common import stored
 
 DIM = 1 << 18
-CACHED = 500_000
-SAMPLE = 12_000  # texts that train the scorers
+CACHED = 700_000
+SAMPLE = 6_000  # texts that train the scorers
 LABELLED = 12_000  # labelled texts that the toxic word lists are learned from
 GOOD, BAD, NONE = 0, 1, 2
 EDGE = b".,;:!?\"'()#$%&*|-"
@@ -67,28 +67,47 @@ class Words(dict):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
             self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
         core, text = core_of(word), word.decode()
-        capital = len(core) > 1 and text.upper() == text and text.lower() != text
-        self.rows[n] = xxhash.xxh32_intdigest(b"w" + core) % DIM, xxhash.xxh32_intdigest(b"s" + shape(text)) % DIM
-        flags = (core in FUNCTION_WORDS, bool(SYMBOLS.search(word)), capital, word in (b"|", b"||"), word.endswith(b"!!"), bool(ODD.search(word)))
-        self.flags[n] = (*flags, *(core in words for words in self.lists))
+        plain = text if text.isalpha() else text[:-1]
+        if plain.isalpha() and text[-1] != "|" and plain.islower():  # most words: letters and one sign at most
+            self.rows[n] = hashed(b"w" + core), hashed_shape("a" if plain is text else "a" + text[-1])
+            self.flags[n, : len(FLAGS)] = (core in FUNCTION_WORDS, False, False, False, False, bool(ODD.search(word)))
+        else:
+            capital = len(core) > 1 and text.upper() == text and text.lower() != text
+            self.rows[n] = hashed(b"w" + core), hashed_shape(shape(text))
+            flags = (core in FUNCTION_WORDS, bool(SYMBOLS.search(word)), capital, word in (b"|", b"||"), word.endswith(b"!!"), bool(ODD.search(word)))
+            self.flags[n, : len(FLAGS)] = flags
+        self.flags[n, len(FLAGS) :] = [core in words for words in self.lists]
         self[word] = n
         return n
 
 
-@lru_cache(maxsize=1)
 def worker_words(lists: tuple[frozenset, ...]) -> Words:
     """The facts known to this Python worker, kept over its tasks."""
-    return Words(lists)
+    return common.held_by_worker(("facts", lists), lambda: Words(lists))
 
 
 def core_of(word: bytes) -> bytes:
     return word.lower().strip(EDGE)
 
 
-def shape(word: str) -> bytes:
+def hashed(name: bytes) -> int:
+    return xxhash.xxh32_intdigest(name) % DIM
+
+
+@lru_cache(maxsize=1 << 14)
+def hashed_shape(shape: str) -> int:
+    return hashed(b"s" + shape.encode())
+
+
+@lru_cache(maxsize=1 << 10)
+def hashed_mark(kind: str, number: int, value: int) -> int:
+    return hashed(f"{kind}{number}.{value}".encode())
+
+
+def shape(word: str) -> str:
     """Letters to a or A, digits to 0, other signs kept; runs become one."""
     kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return "".join(k for k, _ in itertools.groupby(kinds)).encode()[:24]
+    return "".join(k for k, _ in itertools.groupby(kinds))[:24]
 
 
 @dataclass
@@ -100,7 +119,7 @@ class Facts:
     hits: np.ndarray  # per toxic list
     again: float  # words equal to the one before
     same: float  # runs of four words that occurred before
-    features: np.ndarray  # hashed features, sorted and distinct
+    features: np.ndarray  # two hashed features of each distinct word
 
 
 def facts_of(text: bytes, words: Words) -> Facts:
@@ -117,14 +136,14 @@ def facts_of(text: bytes, words: Words) -> Facts:
     if n > 8:
         four = own[:-3] * 1_000_003 + own[1:-2] * 10_007 + own[2:-1] * 101 + own[3:]
         same = 1 - len(np.unique(four)) / len(four)
-    return Facts(n, flags[:, : len(FLAGS)].mean(axis=0), flags[:, len(FLAGS) :].any(axis=0), again, same, words.rows[np.unique(own)])
+    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, flags[:, len(FLAGS) :].any(axis=0), again, same, words.rows[np.unique(own)])
 
 
 def features_of(f: Facts, votes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features and values: words and shapes (together of length one), shares in steps, and the votes themselves."""
-    shares = [b"r%d.%d" % (i, int(min(10, 20 * x))) for i, x in enumerate((*f.share, f.again, f.same))]
-    more = [xxhash.xxh32_intdigest(x) % DIM for x in (*shares, *(b"v%d.%d" % x for x in enumerate(votes)))]
-    words = np.unique(f.features.ravel())
+    more = [hashed_mark("r", i, int(min(10, 20 * x))) for i, x in enumerate((*f.share.tolist(), f.again, f.same))]
+    more += [hashed_mark("v", i, v) for i, v in enumerate(votes)]
+    words = f.features.ravel()
     values = np.ones(len(words) + len(more))
     values[: len(words)] = 1 / np.sqrt(max(len(words), 1))
     return np.append(words, more), values
@@ -182,7 +201,7 @@ def estimate(counts: dict[int, int], labellers: int, rounds: int = 200, smooth:
     return LabelModel(prior, table, dict(zip(keys, bad.tolist())))
 
 
-def train_linear(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = 300, rate: float = 1.0, decay: float = 1e-4) -> np.ndarray:
+def train_linear(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = 200, rate: float = 1.0, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels by gradient descent with momentum; both classes have equal mass. Last: the bias."""
     w = np.zeros(DIM + 1)
     if not rows:

@@ -20,7 +20,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -133,10 +132,9 @@ class WordCache:
                 self.known[p] = self.plain(p)
 
 
-@lru_cache(maxsize=1)
 def word_cache(path: str) -> WordCache:
     """The cache of this Python worker: Spark reuses workers, so it serves all of a worker's tasks."""
-    return WordCache(path)
+    return common.held_by_worker(("words", path), lambda: WordCache(path))
 
 
 def frames(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end: int | None = 1, level: int = LEVEL) -> DataFrame:
