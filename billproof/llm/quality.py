@@ -122,8 +122,8 @@ class Facts:
     features: np.ndarray  # two hashed features of each distinct word
 
 
-def facts_of(text: bytes, words: Words) -> Facts:
-    found = text.split()
+def facts_of(text: bytes, words: Words, featured: bool = True) -> Facts:
+    found = text.translate(None, b".,").split()  # no labeller looks at stops and commas
     if len(words) >= CACHED:
         words.clear()
     n = len(found)
@@ -136,7 +136,7 @@ def facts_of(text: bytes, words: Words) -> Facts:
     if n > 8:
         four = own[:-3] * 1_000_003 + own[1:-2] * 10_007 + own[2:-1] * 101 + own[3:]
         same = 1 - len(np.unique(four)) / len(four)
-    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, flags[:, len(FLAGS) :].any(axis=0), again, same, words.rows[np.unique(own)])
+    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, flags[:, len(FLAGS) :].any(axis=0), again, same, words.rows[np.unique(own)] if featured else words.rows[:0])
 
 
 def features_of(f: Facts, votes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -277,7 +277,7 @@ def vote_table(df: DataFrame, lists: tuple[frozenset, ...], key: str, text: str)
     def run(batches: common.Batches) -> common.Batches:
         words = worker_words(lists)
         for batch in batches:
-            found = [facts_of(t, words) for t in common.utf8(batch, "text")]
+            found = [facts_of(t, words, featured=False) for t in common.utf8(batch, "text")]
             yield common.batch_of(schema, [batch.column(0), [pattern(junk_votes(f)) for f in found], [pattern(toxic_votes(f)) for f in found]])
 
     return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "key long, junk long, toxic long")
