@@ -103,7 +103,8 @@ def test_stratified_split_is_exact_and_repeatable(spark):
     assert bag(test) == bag(again)
     for r in df.groupBy("y").count().collect():
         n = test.where(F.col("y").eqNullSafe(F.lit(r.y))).count()
-        assert n == -(-r["count"] * 2 // 10)
+        assert r["count"] * 2 // 10 <= n <= -(-r["count"] * 2 // 10)  # shared out by largest remainder
+    assert test.count() == 1000
     whole = D.stratified_split(df, None, 0.25, 1)[1]
     assert whole.count() == 1250
 
