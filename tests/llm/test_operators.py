@@ -205,6 +205,18 @@ def test_samples_follow_the_lattice():
 # -- 6 ---------------------------------------------------------------------------------------------------------
 
 
+def test_samples_do_not_depend_on_the_cache(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").select("text").collect()[:60]]
+    found = []
+    for most, block in ((5_000_000, 60), (20_000, 7)):
+        p, drawn = piece_lattice.Pieces(PIECES, 1.0, most=most), []
+        for i in range(0, len(texts), block):
+            rows = p.places([p.chunks(t) for t in texts[i : i + block]])
+            drawn += piece_lattice.samples(p, rows, [str(k) for k in range(i, i + len(rows))], 3)
+        found.append([([(ids.tolist(), log, value) for ids, log, value in own], left) for own, left in drawn])
+    assert found[0] == found[1]
+
+
 def test_token_files_round_trip(spark, docs, tmp_path):
     from tokenizers import Tokenizer
 
