@@ -129,8 +129,9 @@ def concat_parts(
 ) -> DataFrame:
     """All texts of a group joined in sorted order, in parts of about `limit` characters.
 
-    Texts named in `distinct` are listed once, the others as often as they occur. Rows: keys, `_part` (0, 1, ...), one text column per entry, `_parts` (number of parts of the key). A group that
-    fits, which is the normal case, has the single part 0. Equal texts are counted before the shuffle; a huge group is
+    Texts named in `distinct` are listed once, the others as often as they occur. Rows: keys, `_part` (0, 1, ...), one
+    text column per entry, `_parts` (number of parts of the key). A group with texts always has part 0, and one that fits,
+    which is the normal case, has no other. Equal texts are counted before the shuffle; a huge group is
     dealt out over parts by the hash of the text, so no task ever holds it whole and nothing is dropped.
     """
     keys = list(keys)
@@ -142,7 +143,9 @@ def concat_parts(
     if distinct:
         counted = counted.withColumn("_n", F.when(F.col("_k").isin(*distinct), F.lit(1)).otherwise(F.col("_n")))
     length = (F.length("_t") + len(sep)) * F.col("_n")
-    sizes = counted.groupBy(*keys, "_k").agg(F.ceil(F.sum(length) / limit).cast("int").alias("_parts"))
+    sizes = counted.groupBy(*keys, "_k").agg(
+        F.ceil(F.sum(length) / limit).cast("int").alias("_parts"), F.min(F.xxhash64("_t")).alias("_least")
+    )
     big = sizes.where(F.col("_parts") > 1)
     same = [F.col(f"c.`{k}`").eqNullSafe(F.col(f"g.`{k}`")) for k in [*keys, "_k"]]
     parts = F.coalesce(F.col("g._parts"), F.lit(1))
@@ -155,6 +158,7 @@ def concat_parts(
         F.col("c._n").alias("_copies"),
         parts.alias("_parts"),
         chunks.alias("_chunks"),
+        (F.xxhash64("c._t") == F.col("g._least")).alias("_leads"),
         F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"),
     )
     whole, extra = F.floor(F.col("_copies") / F.col("_chunks")), F.col("_copies") % F.col("_chunks")
@@ -164,7 +168,9 @@ def concat_parts(
         "_t",
         (whole + F.when(F.col("_chunk") < extra, 1).otherwise(0)).alias("_n"),
         "_parts",
-        F.pmod(F.xxhash64("_t") + F.col("_chunk"), F.col("_parts")).cast("int").alias("_part"),
+        F.when(F.col("_leads") & (F.col("_chunk") == 0), 0)
+        .otherwise(F.pmod(F.xxhash64("_t") + F.col("_chunk"), F.col("_parts")).cast("int"))
+        .alias("_part"),
     )
 
     def joined(kind: str) -> Column:

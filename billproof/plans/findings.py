@@ -109,8 +109,8 @@ def _account_texts(prepared: DataFrame, product: Column) -> dict[str, Column]:
 
 
 def account_text_parts(findings: DataFrame, lot: str, limit: int = 16_000_000) -> DataFrame:
-    """The joined notes and invoice numbers of every account in parts of about `limit` characters (part 0 is the one in
-    the account table). Only accounts whose texts exceed the limit have further parts.
+    """The joined notes and invoice numbers of every account in parts of about `limit` characters, as in the rows of the
+    account table. Only accounts whose texts exceed the limit have further parts.
     """
     prepared = _account_keys(select_lot(findings, lot))
     product = col_or(findings, "Produto")
@@ -128,8 +128,10 @@ def account_rollup(
 ) -> DataFrame:
     """One row per account and system with status, problems, notes, amount, weights and customer.
 
-    Notes of an account longer than `text_limit` are continued in account_text_parts; nothing is lost. Invoice numbers
-    are joined the same way. as_of: the run's time in UTC. customers: IDCONTA, IDCONTRATO, CODIGOCLIENTE, nome, CPF_CNPJ.
+    Notes or invoice numbers of an account that exceed `text_limit` characters go on in further rows, which have the
+    account, system, lot, customer and their part of FATURA, OBSERVACAO and RESUMO; everything else is NULL there, STATUS
+    included, so that counts and sums by status meet each account once. as_of: the run's time in UTC. customers: IDCONTA,
+    IDCONTRATO, CODIGOCLIENTE, nome, CPF_CNPJ.
     """
     c = F.col
     prepared = _account_keys(select_lot(findings, lot))
@@ -151,38 +153,42 @@ def account_rollup(
     heavy = F.size(F.filter("_rules", lambda r: trimmed_upper(r) == PREBILLING[0]))
     totals = totals.withColumn("Ordem_Status", F.size("_rules") + heavy + c("_no_rule"))
     texts = _account_texts(prepared, col_or(findings, "Produto"))
-    parts = concat_parts(prepared, keys, texts, limit=text_limit, distinct=["_invoices"]).where("_part = 0")
-    # Both sides have one row per account, so neither can be skewed.
-    side = parts.select(*[c(k).alias(f"_{i}k") for i, k in enumerate(keys)], *texts)
+    parts = concat_parts(prepared, keys, texts, limit=text_limit, distinct=["_invoices"])
+    # One side has one row per account, the other one per part of its texts.
+    side = parts.select(*[c(k).alias(f"_{i}k") for i, k in enumerate(keys)], *texts, "_part")
     joined = totals.join(side, [c(k).eqNullSafe(c(f"_{i}k")) for i, k in enumerate(keys)], "left")
     status = label_chain([(c("_wrong") == 1, "INCORRETO"), (c("_alert") == 1, "ALERTA")], "CORRETO")
     wrong = c("_wrong") == 1
     none = F.lit(None).cast("string")
     note = F.when(wrong & (c("_notes") != ""), c("_notes"))
     today = F.lit(as_of.date())
+    if only_bad:
+        joined = joined.where(status.isin(*BAD))
+    columns = {
+        "SEGMENTO": c("SEGMENTO"),
+        "POSSUI_PREBILLING": F.when((c("_pre") == 1) & trimmed_upper(c("_system")).isin(*PREBILLING_SYSTEMS), "SIM").otherwise("NAO"),
+        "STATUS": status,
+        "STATUS_VALIDACAO": F.when(status.isin(*BAD), "PENDENTE").otherwise("VALIDADO"),
+        "ANALISTA": F.when(c("_pre_wrong") == 1, PREBILLING[0]).otherwise(none),
+        "PROBLEMA": F.when(wrong & (c("_problems") != ""), c("_problems")),
+        "VALOR": F.coalesce(c("VALOR"), F.lit(0.0)),
+        "CRIADO_EM": F.lit(as_of.strftime("%Y-%m-%dT%H:%M:%S.000Z")),
+        # The weights were attached by an equality join, which a NULL account or system never passes.
+        "Ordem_Status": F.when(c("ID_CONTA_CONTRATO").isNotNull() & c("_system").isNotNull(), c("Ordem_Status")).otherwise(0),
+        "DATA_ABERTURA_CHAMADO": today,
+        "DT_EMISSAO": today,
+        "Valor_Positive": F.when(F.coalesce(c("VALOR"), F.lit(0.0)) > 0, "SIM").otherwise("NAO"),
+    }
+    first = F.coalesce(c("_part"), F.lit(0)) == 0
     accounts = joined.select(
         F.coalesce(c("_invoices"), F.lit("")).alias("FATURA"),
         c("ID_CONTA_CONTRATO").cast("string").alias("ID_CONTA"),
         c("_system").alias("SISTEMA"),
-        "SEGMENTO",
-        F.when((c("_pre") == 1) & trimmed_upper(c("_system")).isin(*PREBILLING_SYSTEMS), "SIM").otherwise("NAO").alias("POSSUI_PREBILLING"),
-        status.alias("STATUS"),
-        F.when(status.isin(*BAD), "PENDENTE").otherwise("VALIDADO").alias("STATUS_VALIDACAO"),
-        F.when(c("_pre_wrong") == 1, PREBILLING[0]).otherwise(none).alias("ANALISTA"),
         note.alias("OBSERVACAO"),
-        F.when(wrong & (c("_problems") != ""), c("_problems")).alias("PROBLEMA"),
-        F.coalesce(c("VALOR"), F.lit(0.0)).alias("VALOR"),
-        F.lit(as_of.strftime("%Y-%m-%dT%H:%M:%S.000Z")).alias("CRIADO_EM"),
         note.alias("RESUMO"),
-        # The weights were attached by an equality join, which a NULL account or system never passes.
-        F.when(c("ID_CONTA_CONTRATO").isNotNull() & c("_system").isNotNull(), c("Ordem_Status")).otherwise(0).alias("Ordem_Status"),
-        today.alias("DATA_ABERTURA_CHAMADO"),
-        today.alias("DT_EMISSAO"),
-        F.when(F.coalesce(c("VALOR"), F.lit(0.0)) > 0, "SIM").otherwise("NAO").alias("Valor_Positive"),
         F.lit(lot).alias("ID_LOTE"),
+        *[F.when(first, value).alias(name) for name, value in columns.items()],
     )
-    if only_bad:
-        accounts = accounts.where(c("STATUS").isin(*BAD))
     return attach_customer(accounts, customers).select(*ACCOUNT_COLUMNS)
 
 
@@ -416,7 +422,7 @@ def report_executive(hub: DataFrame, lot: str) -> DataFrame:
 def report_accounts(accounts: DataFrame) -> DataFrame:
     """Account table by status and weight."""
     c = F.col
-    return accounts.groupBy("STATUS", "STATUS_VALIDACAO", "Ordem_Status").agg(
+    return accounts.where(c("STATUS").isNotNull()).groupBy("STATUS", "STATUS_VALIDACAO", "Ordem_Status").agg(
         F.count(F.lit(1)).alias("faturas"),
         F.count_distinct("ID_CONTA").alias("contas"),
         F.round(F.sum("VALOR"), 2).alias("valor_total"),

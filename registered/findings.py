@@ -249,7 +249,7 @@ def g7(spark, sf):
 def g8(spark, sf):
     rows = hub(spark, sf)
     keys = ["ID_CONTA_CONTRATO"]
-    notes = A.concat_parts(rows, keys, {"observacoes": F.col("OBSERVACAO")}).where("_part = 0")
+    notes = A.concat_parts(rows, keys, {"observacoes": F.col("OBSERVACAO")})  # an account above the limit has several rows
     rules = rows.groupBy(*keys).agg(A.set_text(F.col("REGRA")).alias("regras"))
     out = rules.join(notes.select(*keys, "observacoes"), keys, "left")
     return out.select(*keys, "observacoes", F.nullif("regras", F.lit("")).alias("regras"))

@@ -91,8 +91,13 @@ def test_text_parts_cover_long_accounts(rows):
     parts = FD.account_text_parts(data, "2026-07", limit=60).collect()
     assert len(parts) > 3
     assert sorted(" | ".join(p._notes for p in parts).split(" | ")) == sorted(f"GAP: o{i}" for i in range(40))
-    first = FD.account_rollup(data, customers(rows), "2026-07", NOW, text_limit=60).first()
-    assert first.OBSERVACAO == next(p._notes for p in parts if p._part == 0)
+    table = FD.account_rollup(data, customers(rows), "2026-07", NOW, text_limit=60)
+    first = table.where("STATUS IS NOT NULL").collect()
+    assert len(first) == 1 and first[0].OBSERVACAO == next(p._notes for p in parts if p._part == 0)
+    further = table.where("STATUS IS NULL").collect()
+    assert sorted(r.OBSERVACAO for r in [*first, *further]) == sorted(p._notes for p in parts)
+    assert {(r.ID_CONTA, r.SISTEMA, r.ID_LOTE, r.VALOR, r.PROBLEMA) for r in further} == {("1", first[0].SISTEMA, "2026-07", None, None)}
+    assert [r[0] for r in FD.report_accounts(table).select("STATUS").collect()] == ["INCORRETO"]
 
 
 def customer_row(**changes):

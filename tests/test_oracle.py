@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+import registered
 from oracle import compare, connect
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -16,7 +17,8 @@ def con(sf):
 def test_names_are_well_formed():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) > 200
-    assert len(QUERIES) - len(ORACLES) < 5
+    # The training-data subpackage is optional, and trained or sampled results have no SQL; tests/llm covers those.
+    assert len(registered.QUERIES) - len(registered.ORACLES) < 5
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
