@@ -63,7 +63,8 @@ class WordCache:
     """
 
     SIGN = r"[!-&(-/:-@\[-^`{-~]"
-    BEHIND = re.compile(rf"({SIGN}(?<=\w{SIGN}){SIGN}*)(?=\s)")  # signs between a word and white space: a piece of their own
+    # signs between a letter or digit and white space: a piece of their own; CUT keeps an underscore and the signs behind it together
+    BEHIND = re.compile(rf"({SIGN}(?<=[^\W_]{SIGN}){SIGN}*)(?=\s)")
     UNSURE = [x.encode() for x in ("<|", "\u0130", "\u03a3", "\x85", "\x1c", "\x1d", "\x1e", "\x1f")] + [b"\xcc", b"\xcd"]  # the last: U+0300 to U+037F
 
     def __init__(self, path: str, most: int = CACHED):

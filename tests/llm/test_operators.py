@@ -241,6 +241,15 @@ def test_token_files_round_trip(spark, docs, tmp_path):
     assert token_files.round_trip(docs([(None, "a b")]), WORDS).first().key is None
 
 
+def test_cached_ids_are_the_tokenizers():
+    cache, rng = token_files.WordCache(WORDS), random.Random(5)
+    texts = ["_emphasised_, word", "see __init__. then", "foo_) bar", "x _. y"]
+    texts += ["".join(rng.choice("abZé9٣_'’.,;!?()[]-–*#@ \n\t") for _ in range(rng.randrange(1, 40))) for _ in range(5000)]
+    assert cache.cuts
+    for t, ids in zip(texts, cache.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == cache.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 # -- 7 ---------------------------------------------------------------------------------------------------------
 
 
