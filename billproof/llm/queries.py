@@ -96,4 +96,4 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License of every document, as a file at source/lang/doc_id."""
     docs = table(spark, sf_dir, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
-    return license_scan.scan(docs).withColumnRenamed("key", "doc_id")
+    return license_scan.scan(docs, counted=True).withColumnRenamed("key", "doc_id")

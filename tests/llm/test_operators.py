@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -353,3 +354,30 @@ def test_license_scores_against_cosine(spark):
     best = max(sum(x * vector.get(w, 0) for w, t, _, x in rows if t == n) / size for n in range(len(license_scan.TEMPLATES)))
     found = license_scan.scan(spark.createDataFrame([(1, "p", sentence)], "doc_id long, path string, text string")).first()
     assert found.license == "GPL-3.0" and abs(found.score - best) < 1e-6
+
+
+def test_license_headers_and_files(spark):
+    def commented(sign, *paragraphs):
+        lines = [line for p in paragraphs for line in (*textwrap.wrap(p, 70), "")]
+        return "\n".join(f"{sign} {line}".rstrip() for line in lines) + "\n\nimport os\nprint(os.name, 'and some code')\n" * 4
+
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    more = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    bsd = [
+        "Copyright (c) 2020, Some Body. All rights reserved.", license_scan.BSD[:150],
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ]
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    texts = [
+        ("GPL-3.0", commented("#", "Copyright (C) 2020 Some Body", gpl, more)), ("LGPL-3.0", commented("//", gpl.replace("GNU", "GNU Lesser"))),
+        ("GPL-2.0", commented(" *", gpl.replace("version 3", "version 2"))), ("MPL-2.0", commented(" *", mpl)), ("BSD-2-Clause", commented("#", *bsd)),
+        ("BSD-3-Clause", commented("--", *bsd, "3." + license_scan.BSD_NAMES)), ("MIT", "# SPDX-License-Identifier: MIT\nx = 1\n"), ("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;"),
+        ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc."),
+        ("MIT", "some words here\nReleased under the MIT License."), ("Apache-2.0", "more of them\nLicensed under the Apache License, Version 2.0."), ("CC-BY-NC-4.0", "and others\nLicensed under CC BY-NC 4.0."),
+        ("GPL-3.0", "so it is\nThis work is licensed under the GNU General Public License, version 3."), ("proprietary", "it goes on.\nAll rights reserved."), (None, "a license is a good thing to have"), (None, "nothing"),
+    ]
+    rows = spark.createDataFrame([(i, f"d{i}/x", t) for i, (_, t) in enumerate(texts)], "doc_id long, path string, text string")
+    for counted in (False, True):
+        found = {r.key: r.license for r in license_scan.scan(rows, counted=counted).collect()}
+        assert [found[i] for i in range(len(texts))] == [name for name, _ in texts]
