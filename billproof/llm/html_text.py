@@ -1,12 +1,14 @@
 """HTML extraction: parser events to lines, text-to-tag ratios, Gaussian smoothing, threshold clustering, regions.
 
 The standard library's parser streams a page once. Block elements cut the page into lines; each line knows its text, its
-tags, its linked text and the region it stands in (the outermost article or main element, or else its nearest container).
-Lines inside navigation, forms, adverts, comments and the like are marked by their elements and never chosen.
-
-The ratio of unlinked text to tags of the lines is smoothed with a Gaussian and split into two clusters. A region with a
-line in the upper cluster is content, and so is an article or main element where the page has one; all its unmarked lines
-are the text.
+tags, its linked text and the region it stands in (its nearest container; inside an article or main element the nearest
+div, section, article or main, as lists and tables there are part of the story). Lines inside navigation, forms, adverts,
+comments and the like are marked by their elements and never chosen.
+
+The ratio of unlinked text to tags of the lines is smoothed with a Gaussian and split into two clusters, on every page. A
+region with a line in the upper cluster is content; inside an article or main element a region's ratios count `weight`
+times for its own lines, and a box with the title goes along with an article that is chosen. The text is the unmarked lines of these regions, but for
+lines of links alone that stay in the lower cluster. A page without unlinked text gives its article or main elements.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("html body article main section div td th table nav header footer aside form ul ol dl blockquote figure".split())
+BOXED = frozenset("article main section div".split())  # regions inside an article
 CLOSES_P = BLOCKS - {"br"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEAD = frozenset("title meta link script style base noscript template".split())
@@ -49,14 +52,15 @@ def words_of(value: str) -> set[str]:
 
 
 class Line:
-    __slots__ = ("linked", "marked", "parts", "region", "tags")
+    __slots__ = ("linked", "marked", "parts", "region", "tags", "title")
 
-    def __init__(self, region: int, marked: bool):
+    def __init__(self, region: int, marked: bool, title: bool):
         self.parts: list[str] = []
         self.tags = 0
         self.linked = 0
         self.region = region
         self.marked = marked
+        self.title = title
 
 
 class Lines(HTMLParser):
@@ -67,7 +71,7 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int, bool, bool]] = []
         self.lines: list[Line] = []
         self.regions = 0
-        self.articles: set[int] = set()
+        self.articles: dict[int, int] = {}  # region inside an article -> region of the outermost one
         self.now: Line | None = None
 
     def marks(self, tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
@@ -112,13 +116,13 @@ class Lines(HTMLParser):
                 self.now.tags += 1
             return
         marked = marked or self.marks(tag, attrs, in_article)
-        if not in_article and tag in CONTAINERS:
+        if tag in (BOXED if in_article else CONTAINERS):
+            outer = self.articles.get(region)
             self.regions += 1
             region = self.regions
-            if tag in ("article", "main"):
-                in_article = True
-                if not marked:
-                    self.articles.add(region)
+            in_article = in_article or tag in ("article", "main")
+            if in_article:
+                self.articles[region] = region if outer is None else outer
         if marked and (not self.stack or not self.stack[-1][1]):
             self.now = None  # a marked inline element has lines of its own
         self.stack.append((tag, marked, region, in_article, linked or tag == "a"))
@@ -145,22 +149,25 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         _, marked, region, _, linked = self.stack[-1] if self.stack else ("", False, 0, False, False)
         if self.now is None:
-            self.now = Line(region, marked)
+            self.now = Line(region, marked, any(x[0] == "h1" for x in self.stack))
             self.lines.append(self.now)
         self.now.parts.append(data)
         if linked:
             self.now.linked += len(data.strip())
 
 
-def smoothed(values: list[float], sigma: float) -> list[float]:
-    """Gaussian smoothing over neighbours within three sigma, weights summing to one inside the page."""
+def smoothed(values: list[float], sigma: float, groups: list[int | None] | None = None, weight: float = 1.0) -> list[float]:
+    """Gaussian smoothing over neighbours within three sigma, weights summing to one inside the page. Values of a line's
+    own group (None: no group) count `weight` times, so that no group lifts its neighbours."""
+    groups = groups or [None] * len(values)
     reach = max(1, math.ceil(3 * sigma))
-    weight = [math.exp(-((d / sigma) ** 2) / 2) for d in range(reach + 1)]
+    share = [math.exp(-((d / sigma) ** 2) / 2) for d in range(reach + 1)]
     out = []
     for i in range(len(values)):
         low, high = max(0, i - reach), min(len(values), i + reach + 1)
-        total = sum(weight[abs(i - j)] for j in range(low, high))
-        out.append(sum(values[j] * weight[abs(i - j)] for j in range(low, high)) / total)
+        total = sum(share[abs(i - j)] for j in range(low, high))
+        own = groups[i]
+        out.append(sum(values[j] * share[abs(i - j)] * (weight if own is not None and own == groups[j] else 1) for j in range(low, high)) / total)
     return out
 
 
@@ -179,32 +186,36 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def main_text(html: str, sigma: float = 1.0) -> str:
+def main_text(html: str, sigma: float = 1.0, weight: float = 2.0) -> str:
     """The main text of a page: chosen lines in page order, white space turned into one space, joined by one space."""
     parser = Lines()
     parser.feed(html)
     parser.close()
     lines = [(line, text) for line in parser.lines if (text := " ".join("".join(line.parts).split()))]
-    free = [(line, text) for line, text in lines if not line.marked]
-    if not free:
+    if all(line.marked for line, _ in lines):
         return ""
-    regions = parser.articles & {line.region for line, _ in free}
-    if not regions:
-        ratios = [0.0 if line.marked else max(0, len(text) - line.linked) / max(1, line.tags) for line, text in lines]
-        soft = smoothed(ratios, sigma)
-        cut = threshold(soft)
-        regions = {line.region for (line, _), own, near in zip(lines, ratios, soft) if near >= cut and own > 0}
-    return " ".join(text for line, text in free if line.region in regions)
-
-
-def extract(df: DataFrame, key: str = "page_id", html: str = "html", url: str = "url", sigma: float = 1.0) -> DataFrame:
+    inside = parser.articles
+    ratios = [0.0 if line.marked else max(0, len(text) - line.linked) / max(1, line.tags) for line, text in lines]
+    cut = threshold(smoothed(ratios, sigma))
+    groups = [line.region if line.region in inside else None for line, _ in lines]
+    high = [near >= cut for near in smoothed(ratios, sigma, groups, weight)]
+    regions = {line.region for (line, _), own, up in zip(lines, ratios, high) if up and own > 0}
+    chosen = {inside[r] for r in regions if r in inside}
+    regions |= {line.region for line, _ in lines if line.title and not line.marked and inside.get(line.region) in chosen}
+    regions = regions or set(inside)
+    # a line whose text is all linked needs its neighbours, or to be the title
+    kept = (line.region in regions and not line.marked and (own > 0 or up or line.title) for (line, _), own, up in zip(lines, ratios, high))
+    return " ".join(text for (_, text), keep in zip(lines, kept) if keep)
+
+
+def extract(df: DataFrame, key: str = "page_id", html: str = "html", url: str = "url", sigma: float = 1.0, weight: float = 2.0) -> DataFrame:
     """page_id, url, text, n_chars of each row. Null and empty pages give an empty text; repeated rows one row each; an
     empty table no rows. Pages are worked through one by one in the partitions they are read in; other columns aren't read."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: common.Batches) -> common.Batches:
         for batch in batches:
-            texts = [main_text(page, sigma) if page else "" for page in batch.column(2).to_pylist()]
+            texts = [main_text(page, sigma, weight) if page else "" for page in batch.column(2).to_pylist()]
             yield common.batch_of(schema, [batch.column(0), batch.column(1).cast(pa.string()), texts, list(map(len, texts))])
 
     rows = df.select(F.col(key).cast("long"), F.col(url).cast("string"), F.col(html).cast("string"))
