@@ -1,16 +1,20 @@
-"""Interpolated modified Kneser-Ney language model over word pairs, counted in Spark and kept as sorted hash arrays.
-
-Counting. Every task turns words into 64-bit hashes, sums equal pairs of some million tokens at a time, and sends them as
-packed blocks to a grid of cells: rows of the grid by the second word's hash, columns by the first word's. A frequent word
-is thereby spread over a row and a column of cells, never in one task. A cell sums its pairs, writes them as one sorted
-hash array to the shared folder, and sends what it knows of its words (occurrences, distinct contexts, totals and counts of
-counts as a context) to the shard that owns the word's hash range, which writes the word array. Only a few totals per file
-come to the driver.
-
-Scoring. Workers memory-map the files; a block of texts looks its distinct words and pairs up in sorted order.
-
-p(w | v) = max(c(v, w) - D(c(v, w)), 0) / c(v) + gamma(v) * p(w), and p(w) likewise from the numbers of distinct contexts,
-interpolated with 1 / (V + 1): V words (the end among them) and one place for all unknown words.
+"""Interpolated modified Kneser-Ney language model of any order, counted in Spark and kept as sorted hash arrays.
+
+Counting. Every task turns words into 64-bit hashes, sums equal n-grams of some million tokens at a time, and sends them as
+packed blocks to a grid of cells: rows of the grid by the last word's hash, columns by the hash of the word before it. A
+frequent word is thereby spread over a row and a column of cells, never in one task. All n-grams that end in the same two
+words are in one cell, so a cell also has the lower orders down to pairs: a lower n-gram counts the distinct words that
+stand before it. A cell sums its n-grams, writes one sorted hash array per order to the shared folder, and sends what it
+knows of contexts (totals and counts of counts) on: of single words, with occurrences and distinct contexts, to the shard
+that owns the word's hash range, and of longer contexts to the cell of their last two words, which write the arrays. Only a
+few totals per file come to the driver.
+
+Scoring. Workers memory-map the files; a block of texts looks its distinct words and n-grams up in sorted order.
+
+p(w | h) = max(c(h, w) - D(c(h, w)), 0) / c(h) + gamma(h) * p(w | h less its first word), where c are occurrences in the
+highest order and numbers of distinct words before in the lower ones; a context that wasn't met passes to the next order. A
+text begins with order - 1 start marks. The words' own p is interpolated with 1 / (V + 1): V words (the end among them) and
+one place for all unknown words.
 """
 
 from __future__ import annotations
@@ -60,8 +64,11 @@ def worker_hashes() -> Hashes:
     return common.held_by_worker(("hashes",), Hashes)
 
 
-def before(tokens: np.ndarray) -> np.ndarray:
-    return np.concatenate((np.array([START], np.uint64), tokens[:-1]))
+def columns(held: list[np.ndarray], order: int) -> list[np.ndarray]:
+    """The n-grams of texts, one array per place; texts begin with order - 1 start marks."""
+    start = np.full(order - 1, START, np.uint64)
+    padded = [np.concatenate((start, h)) for h in held]
+    return [np.concatenate([p[k : len(p) - order + 1 + k] for p in padded]) for k in range(order)]
 
 
 def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -69,6 +76,13 @@ def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(32))) * FIRST
 
 
+def gram_key(words: list[np.ndarray]) -> np.ndarray:
+    key = words[0]
+    for w in words[1:]:
+        key = pair_key(key, w)
+    return key
+
+
 def slot(hashes: np.ndarray, side: int, high: bool) -> np.ndarray:
     """Which of `side` equal ranges of the upper (or, for the grid's columns, the lower) 32 bits a hash is in."""
     part = hashes >> np.uint64(32) if high else hashes & np.uint64(0xFFFFFFFF)
@@ -94,30 +108,54 @@ def unpack(data: bytes, n: int) -> list[np.ndarray]:
     return out
 
 
-def summed(first: np.ndarray, second: np.ndarray, counts: np.ndarray, side: int) -> tuple[np.ndarray, ...]:
-    """Distinct pairs with summed counts, in order of the second word's hash, cell and first word's hash."""
-    order = np.lexsort((first, slot(first, side, False), second))
-    first, second, counts = first[order], second[order], counts[order]
-    new = np.flatnonzero(np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1]))))
-    return first[new], second[new], np.add.reduceat(counts, new) if len(new) else counts
-
-
-def blocks(first: np.ndarray, second: np.ndarray, counts: np.ndarray, side: int):
-    """(cell, packed block) of pairs; a second word is named once for all its pairs in the cell."""
-    first, second, counts = summed(first, second, counts, side)
-    cells = cell_of(first, second, side)
-    order = np.argsort(cells, kind="stable")
-    first, second, counts, cells = first[order], second[order], counts[order], cells[order]
+def in_order(ids: list[np.ndarray], known: int) -> np.ndarray:
+    """The order of n-grams of word numbers below `known`, by the last word, then the one before, and so on."""
+    bits = max(1, known.bit_length())
+    if bits * len(ids) > 64:
+        return np.lexsort(ids)
+    key = np.zeros(len(ids[0]), np.uint64)
+    for x in reversed(ids):
+        key = (key << np.uint64(bits)) | x.astype(np.uint64)
+    return np.argsort(key)
+
+
+def starts_of(ids: list[np.ndarray]) -> np.ndarray:
+    """Where runs of equal n-grams begin in sorted ones."""
+    new = np.zeros(len(ids[0]), bool)
+    new[:1] = True
+    for x in ids:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def summed(ids: list[np.ndarray], counts: np.ndarray, known: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct n-grams of word numbers, in order, with summed counts."""
+    order = in_order(ids, known)
+    ids, counts = [x[order] for x in ids], counts[order]
+    new = starts_of(ids)
+    return [x[new] for x in ids], np.add.reduceat(counts, new) if len(new) else counts
+
+
+def blocks(grams: list[np.ndarray], side: int):
+    """(cell, packed block) of n-grams: for each place the words of the block and their numbers, then the counts."""
+    words = np.unique(np.append(grams[-1], np.uint64(START)))  # every word stands last somewhere, but for the start mark
+    ids = [np.searchsorted(words, g).astype(np.uint32) for g in grams]
+    ids, counts = summed(ids, np.ones(len(ids[0]), np.uint32), len(words))
+    cells = cell_of(words[ids[-2]], words[ids[-1]], side)
+    order = np.argsort(cells.astype(np.min_scalar_type(side * side)), kind="stable")
+    ids, counts, cells = [x[order] for x in ids], counts[order], cells[order]
     cut = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1], [True])))
     for a, b in zip(cut[:-1], cut[1:]):
-        own = second[a:b]
-        new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-        sizes = np.diff(np.append(new, b - a))
-        yield int(cells[a]), pack([own[new], hash_arrays.narrow(sizes), first[a:b], hash_arrays.narrow(counts[a:b])])
+        parts = []
+        for x in ids:
+            there = np.zeros(len(words), bool)
+            there[x[a:b]] = True
+            parts += [words[there], hash_arrays.narrow((np.cumsum(there) - 1)[x[a:b]])]
+        yield int(cells[a]), pack([*parts, hash_arrays.narrow(counts[a:b])])
 
 
-def counted(df: DataFrame, side: int) -> DataFrame:
-    """cell int, block binary: the word pairs of all texts, summed some million tokens at a time."""
+def counted(df: DataFrame, side: int, order: int) -> DataFrame:
+    """cell int, block binary: the n-grams of all texts, summed some million tokens at a time."""
     schema = pa.schema([("cell", pa.int32()), ("block", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
@@ -127,10 +165,9 @@ def counted(df: DataFrame, side: int) -> DataFrame:
 
         def flushed() -> common.Batches:
             nonlocal held, size
-            second = np.concatenate(held)
-            first = np.concatenate([before(h) for h in held])
+            grams = columns(held, order)
             held, size = [], 0
-            for cell, block in blocks(first, second, np.ones(len(first), np.uint32), side):
+            for cell, block in blocks(grams, side):
                 yield common.batch_of(schema, [[cell], [block]])
 
         for batch in batches:
@@ -163,44 +200,60 @@ def count_of_counts(values: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(values, 5), minlength=6)[1:5].tolist()
 
 
-def cells(pairs: DataFrame, folder: str, side: int) -> DataFrame:
-    """Write the pair arrays; shard int, block binary (facts of words) and, with shard -1, the file's counts of counts."""
+def cells(grams: DataFrame, folder: str, side: int, order: int) -> DataFrame:
+    """Write the n-gram arrays of all orders; shard int, block binary: facts of words (shards below side), of contexts of
+    k - 1 words (the shards of order k follow), and, with shard -k, the file's counts of counts of order k."""
     schema = pa.schema([("shard", pa.int32()), ("block", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
         for cell, rows in by_group(batches):
-            firsts, seconds, counts = [], [], []
-            for (block,) in rows:
-                own, sizes, first, count = unpack(block, 4)
-                firsts.append(first)
-                seconds.append(np.repeat(own, sizes))
-                counts.append(count.astype(np.uint64))
-            first, second, count = summed(np.concatenate(firsts), np.concatenate(seconds), np.concatenate(counts), side)
-            key = pair_key(first, second)
-            order = np.argsort(key)
-            small = np.minimum(count, 255).astype(np.uint8)[order]
-            big = np.flatnonzero(small == 255)
-            hash_arrays.write(f"{folder}/pairs-{cell:06d}.bin", {"key": key[order], "count": small, "big": key[order][big], "big_count": count[order][big]})
-            yield common.batch_of(schema, [[-1], [np.array(count_of_counts(count), "<i8").tobytes()]])
-            facts = word_facts(first, second, count)
+            parts = [unpack(block, 2 * order + 1) for (block,) in rows]
+            known = np.unique(np.concatenate([p[2 * k] for p in parts for k in range(order)]))
+            ids = [np.concatenate([np.searchsorted(known, p[2 * k]).astype(np.uint32)[p[2 * k + 1]] for p in parts]) for k in range(order)]
+            ids, count = summed(ids, np.concatenate([p[-1].astype(np.uint64) for p in parts]), len(known))
+            del parts, rows
+            occurred = known[ids[-1]], count
+            for k in range(order, 1, -1):
+                own = [known[x] for x in ids]
+                key = gram_key(own)
+                by_key = np.argsort(key)
+                small = np.minimum(count, 255).astype(np.uint8)[by_key]
+                big = np.flatnonzero(small == 255)
+                hash_arrays.write(f"{folder}/grams{k}-{cell:06d}.bin", {"key": key[by_key], "count": small, "big": key[by_key][big], "big_count": count[by_key][big]})
+                yield common.batch_of(schema, [[-k], [np.array(count_of_counts(count), "<i8").tobytes()]])
+                if k > 2:
+                    for shard, block in sent(cell_of(own[-3], own[-2], side) + side + (k - 3) * side * side, gram_key(own[:-1]), count):
+                        yield common.batch_of(schema, [[shard], [block]])
+                    new = starts_of(ids[1:])
+                    count = np.diff(np.append(new, len(count))).astype(np.uint64)  # distinct words before
+                    ids = [x[new] for x in ids[1:]]
+            facts = word_facts(*own, count, *occurred)
             shards = slot(facts[0], side, True)
             cut = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
             for a, b in zip(cut[:-1], cut[1:]):
                 yield common.batch_of(schema, [[int(shards[a])], [pack([facts[0][a:b], *(hash_arrays.narrow(f[a:b]) for f in facts[1:])])]])
 
-    return pairs.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "shard int, block binary")
+    return grams.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "shard int, block binary")
 
 
-def word_facts(first: np.ndarray, second: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
-    """Sorted word hashes and, for each, FACTS: as a second word occurrences and contexts; as a first word the rest."""
+def sent(shards: np.ndarray, key: np.ndarray, count: np.ndarray):
+    """(shard, packed facts) of contexts: total, ones, twos and more by context key."""
+    order = np.lexsort((key, shards))
+    shards, key, count = shards[order], key[order], count[order]
+    new = starts_of([shards, key])
+    columns = [np.add.reduceat(x, new) for x in (count, *((f * np.uint64(1)) for f in (count == 1, count == 2, count > 2)))]
+    shards, key = shards[new], key[new]
+    cut = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
+    for a, b in zip(cut[:-1], cut[1:]):
+        yield int(shards[a]), pack([key[a:b], *(hash_arrays.narrow(c[a:b]) for c in columns)])
+
+
+def word_facts(first: np.ndarray, second: np.ndarray, count: np.ndarray, word: np.ndarray, occurred: np.ndarray) -> list[np.ndarray]:
+    """Sorted word hashes and, for each, FACTS: as a last word occurrences and contexts; as the word before it the rest."""
+    places = (word, second, first)
     ones = np.ones(len(first), np.uint64)
-    none = np.zeros(len(first), np.uint64)
-    words = np.concatenate((second, first))
-    columns = [
-        np.concatenate(x)
-        for x in ((count, none), (ones, none), (none, count), (none, (count == 1) * ones), (none, (count == 2) * ones), (none, (count > 2) * ones))
-    ]
-    return merged(words, columns)
+    values = [(occurred, None, None), (None, ones, None), *((None, None, f * np.uint64(1)) for f in (count, count == 1, count == 2, count > 2))]
+    return merged(np.concatenate(places), [np.concatenate([np.zeros(len(p), np.uint64) if v is None else v for p, v in zip(places, own)]) for own in values])
 
 
 def merged(words: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -210,8 +263,9 @@ def merged(words: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
     return [words[new], *(np.add.reduceat(c[order], new) for c in columns)]
 
 
-def words(facts: DataFrame, folder: str) -> DataFrame:
-    """Write the word arrays; stats binary: per file, six totals of words or (shard -1) four counts of counts."""
+def words(facts: DataFrame, folder: str, side: int) -> DataFrame:
+    """Write the word and context arrays; stats binary: per word file eight totals of words, per order (shard -k) four counts
+    of counts."""
     schema = pa.schema([("shard", pa.int32()), ("stats", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
@@ -220,6 +274,12 @@ def words(facts: DataFrame, folder: str) -> DataFrame:
                 total = np.sum([np.frombuffer(r[0], "<i8") for r in rows], axis=0)
                 yield common.batch_of(schema, [[shard], [total.astype("<i8").tobytes()]])
                 continue
+            if shard >= side:
+                parts = [unpack(r[0], 5) for r in rows]
+                found = merged(np.concatenate([p[0] for p in parts]), [np.concatenate([p[i] for p in parts]).astype(np.uint64) for i in range(1, 5)])
+                k, cell = divmod(shard - side, side * side)
+                hash_arrays.write(f"{folder}/contexts{k + 3}-{cell:06d}.bin", {"key": found[0], **{n: hash_arrays.narrow(f) for n, f in zip(FACTS[2:], found[1:])}})
+                continue
             parts = [unpack(r[0], 7) for r in rows]
             found = merged(np.concatenate([p[0] for p in parts]), [np.concatenate([p[i] for p in parts]).astype(np.uint64) for i in range(1, 7)])
             hash_arrays.write(f"{folder}/words-{shard:06d}.bin", {"key": found[0], **{n: hash_arrays.narrow(f) for n, f in zip(FACTS, found[1:])}})
@@ -246,7 +306,8 @@ class Model:
     tokens: int
     vocabulary: int
     pairs: int  # distinct pairs
-    discount: tuple[float, float, float]
+    order: int
+    discounts: dict[int, tuple[float, float, float]]  # by order, from 2 on
     low_discount: tuple[float, float, float]
     low_gamma: float
 
@@ -254,22 +315,24 @@ class Model:
         return Scorer(self)
 
 
-def train(df: DataFrame, text: str = "text", folder: str | None = None, side: int | None = None) -> Model:
-    """Count the texts of df (null: empty) and write the model to the shared folder.
+def train(df: DataFrame, text: str = "text", folder: str | None = None, side: int | None = None, order: int = 2) -> Model:
+    """Count the texts of df (null: empty) and write the model of n-grams of `order` words (2 or more) to the shared folder.
 
     side: the grid has side x side cells; by default about as many as there are shuffle partitions.
     """
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     spark = df.sparkSession
     folder = folder or common.shared_path(spark, "kneser-ney")
     side = side or max(2, math.ceil(math.sqrt(int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    pairs = counted(df.select(F.col(text).alias("text")), side)
-    stats = words(cells(pairs, folder, side), folder).collect()
-    high = np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard < 0] or [np.zeros(4, int)], axis=0).tolist()
+    grams = counted(df.select(F.col(text).alias("text")), side, order)
+    stats = words(cells(grams, folder, side, order), folder, side).collect()
+    high = {k: discounts(np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard == -k] or [np.zeros(4, int)], axis=0).tolist()) for k in range(2, order + 1)}
     low = np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard >= 0] or [np.zeros(8, int)], axis=0).tolist()
     vocabulary, tokens, distinct, *counts, more = low
     d = discounts(counts)
     gamma = (d[0] * counts[0] + d[1] * counts[1] + d[2] * more) / distinct if distinct else 1.0
-    return Model(folder, side, tokens, vocabulary, distinct, discounts(high), d, gamma)
+    return Model(folder, side, tokens, vocabulary, distinct, order, high, d, gamma)
 
 
 class Scorer:
@@ -278,7 +341,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.files: dict[str, dict[str, np.ndarray]] = {}
-        self.high = np.array([0.0, *model.discount])
+        self.high = {k: np.array([0.0, *d]) for k, d in model.discounts.items()}
         self.low = np.array([0.0, *model.low_discount])
 
     def file(self, kind: str, n: int) -> dict[str, np.ndarray] | None:
@@ -286,7 +349,7 @@ class Scorer:
         if name not in self.files:
             try:
                 self.files[name] = hash_arrays.mapped(f"{self.model.folder}/{name}")
-            except FileNotFoundError:  # no pair or word fell into it
+            except FileNotFoundError:  # no n-gram or word fell into it
                 self.files[name] = {}
         return self.files[name] or None
 
@@ -302,39 +365,58 @@ class Scorer:
                     out[i, a:b][there] = file[name][at[there]]
         return out
 
-    def counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """c(first, second) of each pair."""
-        key, at, back = np.unique(pair_key(first, second), return_index=True, return_inverse=True)
-        cells = cell_of(first[at], second[at], self.model.side)
+    def found(self, kind: str, words: list[np.ndarray]):
+        """Distinct n-grams of a kind of file by their last two words' cell: (file, places in it, which are there, own places);
+        then how to put them back."""
+        key, at, back = np.unique(gram_key(words), return_index=True, return_inverse=True)
+        cells = cell_of(words[-2][at], words[-1][at], self.model.side)
         order = np.argsort(cells, kind="stable")
-        out = np.zeros(len(key))
         sorted_cells = cells[order]
         cut = np.flatnonzero(np.concatenate(([True], sorted_cells[1:] != sorted_cells[:-1], [True])))
+        parts = []
         for a, b in zip(cut[:-1], cut[1:]):
-            if file := self.file("pairs", int(sorted_cells[a])):
+            if file := self.file(kind, int(sorted_cells[a])):
                 own = order[a:b]
-                place, there = hash_arrays.find(file["key"], key[own])
-                found = file["count"][place].astype(float)
-                found[~there] = 0
-                for i in np.flatnonzero(found == 255):
-                    found[i] = file["big_count"][np.searchsorted(file["big"], key[own[i]])]
-                out[own] = found
+                parts.append((file, *hash_arrays.find(file["key"], key[own]), own))
+        return key, back, parts
+
+    def counts(self, words: list[np.ndarray]) -> np.ndarray:
+        """The count of each n-gram."""
+        key, back, parts = self.found(f"grams{len(words)}", words)
+        out = np.zeros(len(key))
+        for file, place, there, own in parts:
+            found = file["count"][place].astype(float)
+            found[~there] = 0
+            for i in np.flatnonzero(found == 255):
+                found[i] = file["big_count"][np.searchsorted(file["big"], key[own[i]])]
+            out[own] = found
         return out[back]
 
-    def score(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token: known, log10 of the add-one base, log10 of the model's probability."""
-        m = self.model
+    def context_facts(self, words: list[np.ndarray]) -> np.ndarray:
+        """(4, n): total, ones, twos and more of each context of two words or more."""
+        key, back, parts = self.found(f"contexts{len(words) + 1}", words)
+        out = np.zeros((4, len(key)))
+        for file, place, there, own in parts:
+            for i, name in enumerate(FACTS[2:]):
+                out[i, own[there]] = file[name][place[there]]
+        return out[:, back]
+
+    def score(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each n-gram's last word: known, log10 of the add-one base, log10 of the model's probability."""
+        m, tokens, first = self.model, grams[-1], grams[-2]
         hashes, back = np.unique(np.concatenate((tokens, first)), return_inverse=True)
         facts = self.facts(hashes)
         word, context = back[: len(tokens)], back[len(tokens) :]
         count, contexts = facts[0][word], facts[1]
         base = np.log10((count + 1) / (m.tokens + m.vocabulary + 1))
         low = np.maximum(contexts - self.low[np.minimum(contexts, 3).astype(int)], 0) / max(m.pairs, 1) + m.low_gamma / (m.vocabulary + 1)
-        total = facts[2][context]
-        spread = (self.high[1:, None] * facts[3:]).sum(axis=0)[context]
-        pairs = self.counts(first, tokens)
-        seen = np.maximum(total, 1)
-        p = np.maximum(pairs - self.high[np.minimum(pairs, 3).astype(int)], 0) / seen + np.where(total > 0, spread / seen, 1) * low[word]
+        p = low[word]
+        for k in range(2, m.order + 1):
+            total, *more = facts[2:, context] if k == 2 else self.context_facts(grams[-k:-1])
+            seen = np.maximum(total, 1)
+            spread = (self.high[k][1:, None] * np.array(more)).sum(axis=0)
+            own = self.counts(grams[-k:])
+            p = np.maximum(own - self.high[k][np.minimum(own, 3).astype(int)], 0) / seen + np.where(total > 0, spread / seen, 1) * p
         return count > 0, base, np.log10(p)
 
 
@@ -349,9 +431,9 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
             sizes = np.array([len(h) for h in held])
             starts = np.cumsum(sizes) - sizes
             parts: list[list[np.ndarray]] = [[], [], []]
-            tokens, first = np.concatenate(held), np.concatenate([before(h) for h in held])
-            for at in range(0, len(tokens), 4 * SCORED):  # a single very long text in parts
-                for part, x in zip(parts, scorer.score(tokens[at : at + 4 * SCORED], first[at : at + 4 * SCORED])):
+            grams = columns(held, model.order)
+            for at in range(0, len(grams[0]), 4 * SCORED):  # a single very long text in parts
+                for part, x in zip(parts, scorer.score([g[at : at + 4 * SCORED] for g in grams])):
                     part.append(x)
             known, base, own = (np.add.reduceat(np.concatenate(p).astype(float), starts) for p in parts)
             return common.batch_of(schema, [keys, sizes, known.astype(np.int64), base, own])
@@ -380,14 +462,14 @@ def held_out(key: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def score_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
+def score_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2, order: int = 2) -> DataFrame:
     """Train on the rows that aren't held out and score every row.
 
     key, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity. Null and empty texts are the end token
     alone; repeated rows count and are scored as often as they occur; an empty table gives an empty result; without training
     rows every token is unknown and has probability 1. Only the key and text columns are read.
     """
-    model = train(df.where(~held_out(key, folds, fold)), text)
+    model = train(df.where(~held_out(key, folds, fold)), text, order=order)
     return score(df, model, key, text).select(
         "key", held_out("key", folds, fold).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", perplexity().alias("perplexity"),

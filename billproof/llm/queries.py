@@ -29,8 +29,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_lm_scoring")
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kneser-Ney and add-one scores of every document; fold 2 of 7 is held out."""
-    return kneser_ney.score_corpus(table(spark, sf_dir, "documents"), folds=7, fold=2).withColumnRenamed("key", "doc_id")
+    """Kneser-Ney (word triples) and add-one scores of every document; fold 2 of 7 is held out."""
+    return kneser_ney.score_corpus(table(spark, sf_dir, "documents"), folds=7, fold=2, order=3).withColumnRenamed("key", "doc_id")
 
 
 @query("op4_benchmark_decontamination")

@@ -126,6 +126,39 @@ def test_kneser_ney_against_counts(spark, docs):
     assert kneser_ney.score_corpus(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_of_higher_order(spark, docs, order):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("the a of b c d".split()) for _ in range(rng.randint(0, 40)))) for i in range(60)] + ODD
+    tokens = [text(t).lower().split() + ["\n"] for _, t in rows]
+    held = [zlib.crc32(str("" if i is None else i).encode()) % 7 == 2 for i, _ in rows]
+    train = [["^"] * (order - 1) + t for t, h in zip(tokens, held) if not h]
+    counts = {order: Counter(tuple(t[i - order + 1 : i + 1]) for t in train for i in range(order - 1, len(t)))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    vocabulary = {w for t in train for w in t} - {"^"}
+    minus = {k: [0, *kneser_ney.discounts([sum(v == x for v in c.values()) for x in (1, 2, 3, 4)])] for k, c in counts.items()}
+    total, spread = Counter(), Counter()
+    for k, c in counts.items():
+        for g, v in c.items():
+            total[k, g[:-1]] += v
+            spread[k, g[:-1]] += minus[k][min(v, 3)]
+
+    def chance(g):
+        k = len(g)
+        low = chance(g[1:]) if k > 1 else 1 / (len(vocabulary) + 1)
+        own, all_ = counts[k][g], total[k, g[:-1]]
+        return max(own - minus[k][min(own, 3)], 0) / all_ + spread[k, g[:-1]] / all_ * low if all_ else low
+
+    for h in (("^",) * (order - 1), ("a", "the", "of")[: order - 1], ("a", "unseen", "of")[: order - 1]):
+        assert abs(sum(chance((*h, w)) for w in vocabulary) + chance((*h, "?")) - 1) < 1e-9
+    padded = [["^"] * (order - 1) + t for t in tokens]
+    want = sorted((len(t) - order + 1, round(sum(math.log10(chance(tuple(t[i - order + 1 : i + 1]))) for i in range(order - 1, len(t))), 5)) for t in padded)
+    found = kneser_ney.score_corpus(docs(rows), order=order).collect()
+    assert sorted((r.n_tokens, round(r.score, 5)) for r in found) == want
+    assert kneser_ney.score_corpus(docs([]), order=order).count() == 0
+
+
 # -- 4 ---------------------------------------------------------------------------------------------------------
 
 
