@@ -5,8 +5,9 @@ hashed into a wide vector, and the fingerprint is the sum of the vectors modulo
 order of the pieces, and adding or subtracting a piece's vector inserts or deletes the piece.
 
 The vector has 8 lanes of 32 random bits, summed modulo 2^32, which decide equality, and 128 lanes of one random bit,
-summed modulo 2^20. With n pieces, twice such a sum less n is a sum of random signs; the squared length of the difference
-of two such vectors estimates how many pieces two texts don't share, which gives their likeness.
+summed modulo 2^32. With n pieces, twice such a sum less n is a sum of random signs; the squared length of the difference
+of two such vectors estimates how many pieces two texts don't share, which gives their likeness. A sum never exceeds the
+number of pieces, far below 2^32 in a text that a column can hold (2 GB), so the sums of whole texts are exact.
 
 All work is done inside a row, so no piece is shuffled; a fingerprint is the text `hex(n) . wide lanes . bit lanes`.
 """
@@ -20,7 +21,7 @@ from . import common
 
 WIDE = 4  # hashes of two 32-bit lanes each
 SIGNS = 2  # hashes of 64 one-bit lanes each
-BITS = 20
+BITS = 32
 ROWS_PER_RANGE = 4096
 # a piece ends behind a line break or behind a sentence's end and one white space
 CUT = r"(?<=\n)|(?<=[.!?][ \t])"

@@ -61,6 +61,14 @@ def test_fingerprints_add_and_ignore_order(spark, docs):
     assert tuple(lanes.select(multiset_hash.as_text(both), multiset_hash.as_text(back)).first()) == (found[1], found[3])
 
 
+def test_likeness_of_very_many_pieces(spark, docs):
+    from pyspark.sql import functions as F
+
+    rows = multiset_hash.with_lanes(docs([(1, "\n" * 1_100_000), (2, "\n" * 1_000_000)]), "text", "l").selectExpr("min_by(l, doc_id) AS a", "max_by(l, doc_id) AS b")
+    near = rows.select(multiset_hash.likeness(F.col("a"), F.col("b"))).first()[0]
+    assert abs(near - (1 - 0.1**2 / (1.1**2 + 1))) < 1e-9
+
+
 # -- 2 ---------------------------------------------------------------------------------------------------------
 
 
