@@ -50,6 +50,8 @@ ODD = re.compile(rb"[#$%&*~^<>{}|]")
 SYMBOLS = re.compile(rb"[#$%&*~^=<>{}|\\@]{2,}")
 FLAGS = ("function", "symbol", "capital", "bar", "shout", "odd")
 JUNK = 8  # labellers
+CUT = re.compile(r"[^\W_]+")  # toxic lists look at runs of letters and digits
+SPACED = bytes.maketrans(b".,", b"  ")
 
 
 class Words(dict):
@@ -67,6 +69,7 @@ class Words(dict):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
             self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
         core, text = core_of(word), word.decode()
+        cut = cut_words(text)
         plain = text if text.isalpha() else text[:-1]
         if plain.isalpha() and text[-1] != "|" and plain.islower():  # most words: letters and one sign at most
             self.rows[n] = hashed(b"w" + core), hashed_shape("a" if plain is text else "a" + text[-1])
@@ -76,7 +79,7 @@ class Words(dict):
             self.rows[n] = hashed(b"w" + core), hashed_shape(shape(text))
             flags = (core in FUNCTION_WORDS, bool(SYMBOLS.search(word)), capital, word in (b"|", b"||"), word.endswith(b"!!"), bool(ODD.search(word)))
             self.flags[n, : len(FLAGS)] = flags
-        self.flags[n, len(FLAGS) :] = [core in words for words in self.lists]
+        self.flags[n, len(FLAGS) :] = [not words.isdisjoint(cut) for words in self.lists]
         self[word] = n
         return n
 
@@ -90,6 +93,11 @@ def core_of(word: bytes) -> bytes:
     return word.lower().strip(EDGE)
 
 
+def cut_words(text: str) -> list[bytes]:
+    """The words that toxic lists hold and meet: lower-cased, cut at whatever isn't a letter or digit."""
+    return [w.encode() for w in CUT.findall(text.lower())]
+
+
 def hashed(name: bytes) -> int:
     return xxhash.xxh32_intdigest(name) % DIM
 
@@ -123,7 +131,8 @@ class Facts:
 
 
 def facts_of(text: bytes, words: Words, featured: bool = True) -> Facts:
-    found = text.translate(None, b".,").split()  # no labeller looks at stops and commas
+    found = text.translate(None, b".,").split()  # no labeller for junk looks at stops and commas
+    apart = text.translate(SPACED).split()
     if len(words) >= CACHED:
         words.clear()
     n = len(found)
@@ -131,12 +140,15 @@ def facts_of(text: bytes, words: Words, featured: bool = True) -> Facts:
         return Facts(0, np.zeros(len(FLAGS)), np.zeros(len(words.lists), bool), 0.0, 0.0, np.zeros(0, np.int64))
     own = np.fromiter(map(words.__getitem__, found), np.int64, n)
     flags = words.flags[own]
+    hits = flags[:, len(FLAGS) :].any(axis=0)
+    if len(apart) > n:  # a stop or comma inside a word parts words for the toxic lists
+        hits = words.flags[np.fromiter(map(words.__getitem__, apart), np.int64, len(apart)), len(FLAGS) :].any(axis=0)
     again = float((own[1:] == own[:-1]).mean()) if n > 1 else 0.0
     same = 0.0
     if n > 8:
         four = own[:-3] * 1_000_003 + own[1:-2] * 10_007 + own[2:-1] * 101 + own[3:]
         same = 1 - len(np.unique(four)) / len(four)
-    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, flags[:, len(FLAGS) :].any(axis=0), again, same, words.rows[np.unique(own)] if featured else words.rows[:0])
+    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, hits, again, same, words.rows[np.unique(own)] if featured else words.rows[:0])
 
 
 def features_of(f: Facts, votes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +265,7 @@ def toxic_lists(df: DataFrame, labels: DataFrame, key: str, text: str, most: int
     def run(batches: common.Batches) -> common.Batches:
         for batch in batches:
             for half, toxic, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.utf8(batch, "text")):
-                own = sorted({c for c in map(core_of, t.split()) if 3 <= len(c) <= 24})
+                own = sorted({c for c in cut_words(t.decode()) if 3 <= len(c) <= 24})
                 yield common.batch_of(schema, [[half] * (len(own) + 1), [toxic] * (len(own) + 1), [b"", *own]])  # the empty word counts texts
 
     counts = rows.mapInArrow(run, "half int, toxic int, word binary").groupBy("half", "word").agg(

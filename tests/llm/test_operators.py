@@ -90,6 +90,17 @@ def test_quality_of_odd_rows(spark, docs):
     assert quality.scores(docs([]), quality.fit(docs([]), labels.limit(0))).count() == 0
 
 
+def test_insults_between_any_signs_are_toxic(spark, sf):
+    big = sf.replace("0.001", "0.01")
+    model = quality.fit(common.table(spark, big, "documents"), common.table(spark, big, "labels"))
+    scorer = quality.Scorer(model)
+    plain = "The committee met again on that day and the {} of a speaker went on about it for an hour."
+    assert scorer.score(plain.format("rest").encode())[1] < 0.5
+    for said in ("idiot", "“idiot”", "idiot—or so", "idiot/clown", "idiot,moron", "idiot...you", "‘Idiot’", "_idiot_", "so...idiot"):
+        assert scorer.score(plain.format(said).encode())[1] >= 0.5, said
+    assert not quality.facts_of(b"a pi,g and an id.iot", scorer.words).hits.any()
+
+
 def test_em_finds_accuracies():
     rng = random.Random(1)
     accuracy, counts, truth = [0.9, 0.8, 0.7, 0.95], Counter(), Counter()
