@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files
+from . import chat_format, collocations, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -97,3 +97,45 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License of every document, as a file at source/lang/doc_id."""
     docs = table(spark, sf_dir, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
     return license_scan.scan(docs, counted=True).withColumnRenamed("key", "doc_id")
+
+
+OP13_SQL = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?' || chr(10) || '-' || chr(13) || ']')) AS piece FROM texts
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^ ' || chr(9) || ']+') AS w FROM pieces
+), spots AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM spots, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(w) GROUP BY 1, 2, 3
+), totals AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND a >= 10
+), longer AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM candidates WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE k = 3) GROUP BY 1, 2
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut.cut AS cut, l.a AS l, r.a AS r,
+    (c.a::HUGEINT * c.a * 1000000) // (l.a::HUGEINT * r.a) AS score
+  FROM candidates c LEFT JOIN longer USING (lang, phrase) JOIN (VALUES (1), (2)) AS cut(cut) ON cut.cut < c.k
+  JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : cut.cut], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut.cut + 1 :], ' ')
+  WHERE longer IS NULL OR 100 * longer < 50 * c.a
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", OP13_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of 2 to 3 words of each language."""
+    return collocations.phrases(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
