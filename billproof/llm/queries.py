@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, collocations, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files
+from . import chat_format, collocations, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files, vector_cells
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -139,3 +139,9 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranke
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of 2 to 3 words of each language."""
     return collocations.phrases(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+@query("op12_vector_near_dedup")
+def op12_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding at a cosine of 0.95 or more."""
+    return vector_cells.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95).withColumnRenamed("key", "vec_id")
