@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, collocations, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files, vector_cells
+from . import chat_format, collocations, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice, quality, simhash, token_files, vector_cells, whitening
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -145,3 +145,9 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every embedding at a cosine of 0.95 or more."""
     return vector_cells.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95).withColumnRenamed("key", "vec_id")
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32).withColumnRenamed("key", "vec_id")
