@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import text_amount
+from .series import in_order
 
 
 def count_where(condition: Column) -> Column:
@@ -102,16 +103,15 @@ def ordered_distribution(df: DataFrame, column: str, order: Sequence[str], name:
 def linear_trend(series: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, str]) -> DataFrame:
     """Slope and R2 of each value over the consecutive index of `order` (0, 1, 2, ...), per key.
 
-    For short series (one row per period): the index comes from the sorted list of periods of the key, so no window
-    over the whole table is needed. NULL values count as 0; R2 is 0 for a constant series.
+    The index comes from ordered ranges (see series.in_order) and the regression from mergeable sums, so a series may have
+    any length. NULL values count as 0; R2 is 0 for a constant series.
     """
-    row = F.struct(F.col(order), *[F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(v) for v in values])
-    grouped = series.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    flat = grouped.select(*keys, F.posexplode("_rows").alias("_x", "_r"))
+    rows = series.select(*keys, order, *[F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(v) for v in values])
+    flat = in_order(rows, keys, order, list(values))
     x = F.col("_x").cast("double")
     aggs = []
     for v, name in values.items():
-        y = F.col("_r")[v]
+        y = F.col(v)
         aggs.append(F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias(f"slope_{name}"))
         aggs.append(
             F.round(F.when(F.var_pop(y) > 0, F.coalesce(F.regr_r2(y, x), F.lit(0.0))).otherwise(F.lit(0.0)), 3).alias(f"r2_{name}")

@@ -13,8 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fits_broadcast
-
 # A key with more rows than this is spread over salts. Hot keys are at most rows / HOT_ROWS, which bounds the salted copies.
 HOT_ROWS = 5_000_000
 SALTS = 64
@@ -70,7 +68,7 @@ def skew_join(
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"skew_join supports left-preserving joins, not {how!r}")
     keys = list(keys)
-    if split == "auto" and (_adaptive_skew(left) or fits_broadcast(right)):
+    if split == "auto" and _adaptive_skew(left):
         return left.join(right, keys, how)
     salts = salts or SALTS
     hot = _hot_keys(left if hot_source is None else hot_source, keys, hot_rows or HOT_ROWS)

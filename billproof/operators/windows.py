@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import pct_change
 from ..session import cut_lineage
 from .joins import skew_join
+from .series import in_order
 
 
 def first_last(
@@ -94,29 +95,20 @@ def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 1) ->
 
 
 def month_over_month(series: DataFrame, order: str, values: Mapping[str, str], digits: int = 1) -> DataFrame:
-    """Percent change against the previous period of a short series (one row per period), rounded; 0 after a zero.
+    """Percent change against the previous period of a series (one row per period), rounded; 0 after a zero.
 
-    values: {column: output name}. The first period is left out.
+    values: {column: output name}. The first period is left out. The series may have any length (see series.in_order).
     """
-    row = F.struct(F.col(order), *[F.col(v).cast("double").alias(v) for v in values])
-    rows = series.agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    pairs = rows.select(
-        F.explode(
-            F.zip_with(
-                F.slice("_rows", F.lit(1), F.greatest(F.size("_rows") - 1, F.lit(0))),
-                F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0))),
-                lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-            )
-        ).alias("p")
-    )
+    rows = series.select(order, *[F.col(v).cast("double").alias(v) for v in values])
+    pairs = in_order(rows, [], order, list(values)).where(F.col("_prev").isNotNull())
     change = [
         F.coalesce(
-            F.round((F.col("p.b")[v] - F.col("p.a")[v]) / F.nullif(F.col("p.a")[v], F.lit(0.0)) * F.lit(100.0), digits),
+            F.round((F.col(v) - F.col("_prev")[v]) / F.nullif(F.col("_prev")[v], F.lit(0.0)) * F.lit(100.0), digits),
             F.lit(0.0),
         ).alias(name)
         for v, name in values.items()
     ]
-    return pairs.select(F.col("p.b")[order].alias(order), *change)
+    return pairs.select(order, *change)
 
 
 def worst_period(changes: DataFrame, order: str, value: str, period_name: str, value_name: str) -> DataFrame:

@@ -5,86 +5,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.columns import normalize_columns, snake_case
 from ..operators.joins import cross_one_row
 from ..operators.quality import require_columns
-
-# The median search ends when a column has at most this many candidate values left.
-CANDIDATES = 1_000_000
-
+from ..operators.selection import at_rank, decoded, mark_first, ordered_code
+from ..operators.windows import surrogate
+from ..session import stored
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], candidates: int = CANDIDATES) -> dict[str, float | None]:
-    """Exact medians of any number of rows: a few aggregate passes narrow each column to a small value range.
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact medians of any number of rows: radix selection, four counting passes for all columns at once.
 
-    No task ever holds a column: every pass returns two quantile estimates and two counts per column, and only the
-    last range, at most `candidates` rows, is ranked.
+    `df` is read once a pass. Only the one or two middle values of each column come to the driver.
     """
     if not columns:
         return {}
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first()
-    low = {c: None for c in columns}
-    high = {c: None for c in columns}
-    below = dict.fromkeys(columns, 0)
-    inside = {c: counts[c] for c in columns}
-
-    def within(c: str) -> Column:
-        test = F.col(c).isNotNull()
-        if low[c] is not None:
-            test = test & (F.col(c) >= low[c]) & (F.col(c) <= high[c])
-        return test
-
-    pending = [c for c in columns if inside[c] > candidates]
-    margin = 0.001
-    while pending:
-        asked = []
-        for c in pending:
-            at = ((counts[c] - 1) // 2 - below[c]) / inside[c]
-            fractions = [max(0.0, at - margin), min(1.0, at + margin)]
-            asked.append(F.percentile_approx(F.when(within(c), F.col(c)), fractions, 10000).alias(c))
-        bounds = values.agg(*asked).first()
-        tried = {c: (bounds[c][0], bounds[c][1]) for c in pending}
-        checks = []
-        for c in pending:
-            checks.append(F.count_if(F.col(c) < tried[c][0]).alias(f"b_{c}"))
-            checks.append(F.count_if((F.col(c) >= tried[c][0]) & (F.col(c) <= tried[c][1])).alias(f"i_{c}"))
-        seen = values.agg(*checks).first()
-        again = []
-        for c in pending:
-            n, b, i = counts[c], seen[f"b_{c}"], seen[f"i_{c}"]
-            if b > (n - 1) // 2 or b + i <= n // 2:
-                again.append(c)  # the estimate missed the middle: widen the margin
-                continue
-            low[c], high[c], below[c] = tried[c][0], tried[c][1], b
-            shrunk = i < inside[c]
-            inside[c] = i
-            if i > candidates and low[c] != high[c] and shrunk:
-                again.append(c)
-        margin = min(0.5, margin * 4) if again == pending else margin
-        pending = again
-    out: dict[str, float | None] = {}
-    for c in columns:
-        if counts[c] == 0:
-            out[c] = None
-        elif low[c] is not None and low[c] == high[c]:
-            out[c] = low[c]
-        else:
-            first, second = (counts[c] - 1) // 2 - below[c], counts[c] // 2 - below[c]
-            ranked = values.where(within(c)).groupBy(c).count()
-            upto = F.sum("count").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            row = ranked.withColumn("_upto", upto).agg(
-                F.min(F.when(F.col("_upto") > first, F.col(c))).alias("a"), F.min(F.when(F.col("_upto") > second, F.col(c))).alias("b")
-            ).first()
-            out[c] = (row["a"] + row["b"]) / 2
-    return out
+    one = [F.struct(F.lit(c).alias("c"), ordered_code(F.col(f"`{c}`")).alias("code")) for c in columns]
+    codes = df.select(F.explode(F.array(*one)).alias("v")).select("v.c", "v.code")
+
+    def middle(sizes: DataFrame) -> DataFrame:
+        n = F.col("_n")
+        return sizes.select("c", F.explode(F.array_distinct(F.array(F.floor((n - 1) / 2), F.floor(n / 2)))).alias("_rank"))
+
+    found = at_rank(codes, ["c"], "code", middle).groupBy("c").agg(F.min("_code").alias("low"), F.max("_code").alias("high"))
+    rows = found.select("c", ((decoded(F.col("low")) + decoded(F.col("high"))) / 2).alias("m")).collect()
+    return dict.fromkeys(columns) | {r["c"]: r["m"] for r in rows}
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
@@ -99,7 +51,11 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
 
 
 def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """NULL numbers become the median, NULL categories the mode; columns without any value stay NULL."""
+    """NULL numbers become the median, NULL categories the mode; columns without any value stay NULL.
+
+    `df` is evaluated once and saved; the passes read the saved table.
+    """
+    df = stored(df, "impute")
     fill: dict[str, object] = {**exact_medians(df, numeric), **modes(df, categorical)}
     return df.select(
         *[
@@ -124,49 +80,36 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return joined.select(*[scaled[c].alias(c) if c in scaled else F.col(f"`{c}`") for c in df.columns])
 
 
-BUCKETS = 1 << 16
+def quota_of(sizes: DataFrame, label: str | None, fraction: float) -> DataFrame:
+    """label, _quota: ceil(fraction * n) rows in all, shared out to the labels (label, _n) by largest remainder."""
+    share = F.col("_n") * F.lit(fraction)
+    if label is None:
+        return sizes.select(F.ceil(share).alias("_quota"))
+    shares = sizes.select(label, "_n", F.floor(share).alias("_low"), F.round(share - F.floor(share), 9).alias("_part"))
+    totals = shares.agg((F.ceil(F.sum("_n") * F.lit(fraction)) - F.sum("_low")).alias("_left"))
+    turns = surrogate(shares.withColumn("_behind", -F.col("_part")), ["_behind", label], "_turn")
+    extra = F.when(F.col("_turn") <= F.col("_left"), 1).otherwise(0)
+    return cross_one_row(turns, totals).select(label, (F.col("_low") + extra).alias("_quota"))
+
+
+def split_column(
+    df: DataFrame, label: str | None, fraction: float, seed: int, key: Sequence[str] | None = None, name: str = "_test"
+) -> DataFrame:
+    """df with a boolean column that marks ceil(fraction * n) test rows, shared out to the labels by largest remainder.
+
+    Rows are ordered by a seeded hash of `key` (default: all columns). Each label's share ends at an exact order statistic
+    of the hashes, found by counting passes over a saved copy of df; rows that tie there are told apart one by one.
+    """
+    place = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key or df.columns])
+    return mark_first(df, [] if label is None else [label], [place], lambda sizes: quota_of(sizes, label, fraction), name)
 
 
 def stratified_split(
     df: DataFrame, label: str | None, fraction: float, seed: int, key: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with ceil(fraction * n) test rows in total, shared out to the labels by largest remainder.
-
-    Rows are ordered by a seeded hash of `key` (default: all columns; few rows should share a key). Instead of sorting a
-    whole class in one task, hash buckets are counted, the bucket in which the quota ends is found, and only that bucket
-    is ranked.
-    """
-    key = list(key or df.columns)
-    group = F.lit(0) if label is None else F.col(label)
-    hashed = df.select(
-        "*",
-        group.alias("_g"),
-        F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key]).alias("_h"),
-    ).withColumn("_b", F.shiftrightunsigned("_h", 48).cast("int"))
-    sizes = hashed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    share = sizes.groupBy("_g").agg((F.sum("_n") * F.lit(fraction)).alias("_share"), F.sum("_n").alias("_rows"))
-    labels = Window.partitionBy(F.lit(0))  # one row per label
-    low = F.floor("_share")
-    left = F.ceil(F.sum("_rows").over(labels) * F.lit(fraction)) - F.sum(low).over(labels)
-    turn = F.row_number().over(labels.orderBy(F.round(F.col("_share") - low, 9).desc(), "_g"))
-    total = share.select("_g", (low + F.when(turn <= left, 1).otherwise(0)).alias("_quota"))
-    # At most BUCKETS rows per label.
-    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    same = F.col("s._g").eqNullSafe(F.col("t._g"))
-    cut = (
-        placed.alias("s")
-        .join(total.alias("t"), same)
-        .where((F.col("s._before") < F.col("t._quota")) & (F.col("s._before") + F.col("s._n") >= F.col("t._quota")))
-        .select(F.col("s._g").alias("_cg"), F.col("s._b").alias("_cb"), (F.col("t._quota") - F.col("s._before")).alias("_rest"))
-    )
-    marked = hashed.join(cut, F.col("_g").eqNullSafe(F.col("_cg")), "left")
-    ordered = Window.partitionBy("_g", "_b").orderBy(F.col("_h"), *[F.col(f"`{c}`") for c in key])
-    at_cut = marked.where("_b = _cb").withColumn("_rn", F.row_number().over(ordered))
-    plain = [F.col(f"`{c}`") for c in df.columns]
-    test = marked.where("_b < _cb").select(*plain).unionByName(at_cut.where("_rn <= _rest").select(*plain))
-    train = marked.where("_b > _cb OR _cb IS NULL").select(*plain).unionByName(at_cut.where("_rn > _rest").select(*plain))
-    return train, test
+    """(train, test), see split_column."""
+    marked = split_column(df, label, fraction, seed, key)
+    return marked.where("NOT _test").drop("_test"), marked.where("_test").drop("_test")
 
 
 @dataclass(frozen=True)
@@ -190,15 +133,18 @@ def clean(df: DataFrame, config: DatasetConfig, keep_id: bool = False) -> DataFr
     return scaled.drop(key) if key and not keep_id else scaled
 
 
-def prepare(df: DataFrame, config: DatasetConfig) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of the cleaned dataset, stratified by the target where there is one.
+def marked(df: DataFrame, config: DatasetConfig) -> DataFrame:
+    """The cleaned dataset with `_test`, stratified by the target where there is one.
 
     The id stays until the rows are assigned, so that equal feature rows are dealt out like any others.
     """
     cleaned = clean(df, config, keep_id=True)
     target = snake_case(config.target_column) if config.target_column else None
-    label = target if target in cleaned.columns else None
-    train, test = stratified_split(cleaned, label, config.test_size, config.random_state)
-    if config.id_column:
-        train, test = train.drop(snake_case(config.id_column)), test.drop(snake_case(config.id_column))
-    return train, test
+    found = split_column(cleaned, target if target in cleaned.columns else None, config.test_size, config.random_state)
+    return found.drop(snake_case(config.id_column)) if config.id_column else found
+
+
+def prepare(df: DataFrame, config: DatasetConfig) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of the cleaned dataset."""
+    found = marked(df, config)
+    return found.where("NOT _test").drop("_test"), found.where("_test").drop("_test")

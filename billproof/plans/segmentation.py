@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import decimal_comma
 from ..functions.text import label_chain, prepare_category
+from ..operators import clusters, isolation
 from ..operators.aggregates import ordered_distribution
 from ..operators.joins import cross_one_row
+from ..operators.selection import mark_first, ordered_code
+from ..session import stored
 from .dataset import standardise, stratified_split
 
 # Columns of the billing base, features, labels and thresholds.
@@ -66,23 +66,16 @@ def _vector(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="_features", handleInvalid="keep")
 
 
-def _scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Standardised copies of the features as one vector column, other columns untouched."""
-    copies = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in columns])
-    names = [f"_x_{c}" for c in columns]
-    return _vector(names).transform(standardise(copies, names)).drop(*names)
-
-
-def kmeans(df: DataFrame, k: int = 6, seed: int = 42, n_init: int = 10, columns: Sequence[str] | None = None) -> tuple[DataFrame, KMeansModel]:
-    """Groups on standardised features: the best of n_init starts by training cost. Adds `cluster`."""
-    scaled = _scaled(df, columns or features_of(df))
-    vectors = scaled.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        runs = (KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="cluster").fit(vectors) for i in range(n_init))
-        best = min(runs, key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
-    return best.transform(scaled).drop("_features"), best
+def kmeans(
+    df: DataFrame, k: int = 6, seed: int = 42, n_init: int = 10, columns: Sequence[str] | None = None, rounds: int = 20
+) -> tuple[DataFrame, clusters.Fit]:
+    """Groups on standardised features: the best of n_init starts by cost. Adds `cluster`. All starts advance together."""
+    names = list(columns or features_of(df))
+    copies = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in names])
+    scaled = stored(standardise(copies, [f"_x_{c}" for c in names]), "scaled")
+    features = [f"_x_{c}" for c in names]
+    best = clusters.fit(scaled.select(*features), k, seed, n_init, rounds)
+    return scaled.withColumn("cluster", clusters.nearest(best.centres, features)).drop(*features), best
 
 
 def cluster_profile(df: DataFrame) -> DataFrame:
@@ -118,29 +111,31 @@ def attach_risk(df: DataFrame, profile: DataFrame) -> DataFrame:
     return df.join(profile.select("cluster", F.col("risco").alias("risco_cluster")), "cluster", "left")
 
 
-def outliers(df: DataFrame, contamination: float = 0.08, columns: Sequence[str] | None = None) -> DataFrame:
-    """Adds score_distancia (squared distance from the mean in standardised features) and anomalia_iso.
-
-    Exactly the share `contamination` (rounded up) with the largest distance is flagged; of rows that tie at the limit
-    those with the smallest hashes. A distance score stands in for an isolation forest, so single rows may be judged
-    differently than by one.
-    """
+def distance_score(df: DataFrame, columns: Sequence[str] | None = None, name: str = "score_distancia") -> DataFrame:
+    """Adds the squared distance from the mean in standardised features (NULL counts as 0)."""
     names = list(columns or features_of(df))
     copies = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in names])
     scaled = standardise(copies, [f"_x_{c}" for c in names])
     distance = sum((F.col(f"_x_{c}") * F.col(f"_x_{c}") for c in names), F.lit(0.0))
-    scored = scaled.withColumn("score_distancia", distance).drop(*[f"_x_{c}" for c in names])
-    limit = scored.agg(F.percentile_approx("score_distancia", 1 - contamination, 100000).alias("v")).first()["v"]
-    if limit is None:
-        return scored.withColumn("anomalia_iso", F.lit(NORMAL))
-    score = F.col("score_distancia")
-    found = scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(score > limit).alias("above"), F.count_if(score == limit).alias("ties")).first()
-    wanted = min(max(math.ceil(contamination * found["n"]) - found["above"], 0), found["ties"])
-    clear = scored.where(score != limit).withColumn("anomalia_iso", F.when(score > limit, ANOMALY).otherwise(NORMAL))
-    # A little less than the exact share, so that rounding up gives `wanted` rows.
-    rest, chosen = stratified_split(scored.where(score == limit), None, max(wanted - 0.5, 0) / max(found["ties"], 1), 42)
-    flagged = chosen.withColumn("anomalia_iso", F.lit(ANOMALY)).unionByName(rest.withColumn("anomalia_iso", F.lit(NORMAL)))
-    return clear.unionByName(flagged)
+    return scaled.withColumn(name, distance).drop(*[f"_x_{c}" for c in names])
+
+
+def outliers(
+    df: DataFrame, contamination: float = 0.08, columns: Sequence[str] | None = None, trees: int = isolation.TREES, sample: int = isolation.SAMPLE, seed: int = 42
+) -> DataFrame:
+    """Adds score_isolamento (isolation forest, 0 to 1) and anomalia_iso.
+
+    Trees are grown on at most trees * sample rows; every row is scored. Exactly ceil(contamination * n) rows with the
+    highest scores are flagged; rows that tie at the limit are told apart by hash, equal rows one by one.
+    """
+    names = list(columns or features_of(df))
+    n = df.count()
+    forest = isolation.grow(isolation.sampled(df, names, n, trees * sample), trees, sample, seed)
+    scored = df.withColumn("score_isolamento", isolation.isolation_score(forest, names))
+    tie = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
+    quota = F.ceil(F.col("_n") * F.lit(contamination)).alias("_quota")
+    marked = mark_first(scored, [], [-ordered_code(F.col("score_isolamento")), tie], lambda sizes: sizes.select(quota), "_out")
+    return marked.withColumn("anomalia_iso", F.when(F.col("_out"), ANOMALY).otherwise(NORMAL)).drop("_out")
 
 
 def label_encode(df: DataFrame, column: str, name: str):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,19 +53,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, or None where it cannot be read."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Spark itself would broadcast this side under spark.sql.autoBroadcastJoinThreshold."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    text = limit.lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
-    threshold = int(text.rstrip("kmg")) * scale
-    size = estimated_bytes(df)
-    return threshold > 0 and size is not None and size <= threshold
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: later passes read the result, with its true size, not the inputs."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

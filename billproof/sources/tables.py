@@ -5,6 +5,7 @@ Every writer goes through Spark's own commit protocol, so a lost executor only r
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,9 +36,35 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, function that makes its paths)."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full replacement including the schema. The path must not be one that `df` reads; see write_snapshot."""
-    _writer(balanced(df, partition_by), "errorifexists", partition_by).parquet(path)
+    """Full replacement including the schema.
+
+    The new table is written beside the old one and takes its place by a rename, so readers meet one whole table or the
+    other (or, between the two renames, none), and `df` may read `path` itself. A failed write leaves the old table as it
+    was. Neighbours that begin with an underscore are left over only when the driver itself dies.
+    """
+    fs, make = _file_system(df.sparkSession, path)
+    place = path.rstrip("/")
+    parent, name = place.rsplit("/", 1)
+    token = uuid.uuid4().hex
+    staged, old = f"{parent}/_{name}.new-{token}", f"{parent}/_{name}.old-{token}"
+    _writer(balanced(df, partition_by), "errorifexists", partition_by).parquet(staged)
+    had = fs.exists(make(place))
+    if had and not fs.rename(make(place), make(old)):
+        fs.delete(make(staged), True)
+        raise OSError(f"could not move {place} aside")
+    if not fs.rename(make(staged), make(place)):
+        if had:
+            fs.rename(make(old), make(place))
+        raise OSError(f"could not move the new table to {place}")
+    if had:
+        fs.delete(make(old), True)
 
 
 def replace_all(df: DataFrame, path: str) -> None:
@@ -71,8 +98,8 @@ def replace_slice(
 
 def read_partitioned(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame | None:
     """Partitioned table with its partition columns as text (all-digit values would be read as numbers); None if absent."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
+    fs, make = _file_system(spark, path)
+    if not fs.exists(make(path)):
         return None
     df = spark.read.parquet(path)
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
@@ -125,15 +152,13 @@ def to_csv(df: DataFrame, path: str, sep: str = ";", bom: bool = False) -> None:
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the completely written snapshots below `root`."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
+    fs, make = _file_system(spark, root)
+    if not fs.exists(make(root)):
         return []
     found = []
-    for status in fs.listStatus(hadoop_path):
+    for status in fs.listStatus(make(root)):
         name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS")
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(done):
+        if name.startswith("v") and name[1:].isdigit() and fs.exists(make(f"{root}/{name}/_SUCCESS")):
             found.append(int(name[1:]))
     return sorted(found)
 

@@ -99,8 +99,9 @@ def s9(spark, sf):
 @query("s11_replace_all", CUSTOMER_SQL)
 def s11(spark, sf):
     path = scratch(spark)
+    S.replace_all(customers(spark, sf).select("id", F.lit("velho").alias("nome")), path)
     S.replace_all(customers(spark, sf), path)
-    S.replace_all(customers(spark, sf), path)
+    S.replace_all(spark.read.parquet(path), path)  # the table from its own rows
     return spark.read.parquet(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from billproof.operators.joins import cross_one_row
 from billproof.plans import dataset as D
 from billproof.plans import segmentation as S
 
@@ -71,13 +72,30 @@ def m2(spark, sf):
     return out.agg(F.countDistinct("cluster").alias("grupos"), F.count(F.lit(1)).alias("registros"))
 
 
+@query(
+    "m2_separable_groups",
+    "SELECT o_orderkey % 6 AS grupo, COUNT(*) AS registros, 1 AS clusters, 6 AS clusters_no_total FROM orders GROUP BY o_orderkey % 6",
+)
+def m2_separable(spark, sf):
+    """Six groups that lie far apart: every one is found whole, and no two share a cluster."""
+    c = F.col
+    g = (c("o_orderkey") % 6).alias("grupo")
+    spread = c("o_totalprice").cast("double") / 1e6
+    rows = table(spark, sf, "orders").select(
+        g, ((c("o_orderkey") % 6) * 10 + spread).alias("faturamento_atual"), (F.pmod((c("o_orderkey") % 6) * 5, F.lit(7)) * 10 - spread).alias("score_anomalia")
+    )
+    found, _ = S.kmeans(rows)
+    total = found.select(F.countDistinct("cluster").cast("int").alias("clusters_no_total"))
+    return cross_one_row(found.groupBy("grupo").agg(F.count(F.lit(1)).alias("registros"), F.countDistinct("cluster").cast("int").alias("clusters")), total)
+
+
 @query(
     "m3_outliers",
     f"""WITH {BASE_SQL}, m AS (SELECT AVG(faturamento_atual) AS a, stddev_pop(faturamento_atual) AS s, AVG(faturamento_mes_anterior) AS a2, stddev_pop(faturamento_mes_anterior) AS s2 FROM b)
 SELECT id, ROUND(power((faturamento_atual - a) / s, 2) + power((faturamento_mes_anterior - a2) / s2, 2), 6) AS score_distancia FROM b, m""",
 )
 def m3(spark, sf):
-    out = S.outliers(base(spark, sf), columns=["faturamento_atual", "faturamento_mes_anterior"])
+    out = S.distance_score(base(spark, sf), ["faturamento_atual", "faturamento_mes_anterior"])
     return rounded(out.select("id", "score_distancia"), 6, "score_distancia")
 
 
@@ -90,11 +108,71 @@ def m3_share(spark, sf):
     return S.outliers(base(spark, sf)).groupBy("anomalia_iso").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "m3_planted_outliers",
+    """SELECT COUNT(CASE WHEN o_orderkey % 25 = 0 THEN 1 END) AS plantados, TRUE AS achados_noventa_por_cento, CAST(ceil(0.08 * COUNT(*)) AS BIGINT) AS marcados FROM orders""",
+)
+def m3_planted(spark, sf):
+    """A twenty-fifth of the rows lies far outside in one feature or the other; nine tenths of them or more are flagged."""
+    c = F.col
+    planted = c("o_orderkey") % 25 == 0
+    usual = c("o_totalprice").cast("double")
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(planted & (c("o_orderkey") % 2 == 0), usual * 20 + 5e6).otherwise(usual).alias("faturamento_atual"),
+        F.when(planted & (c("o_orderkey") % 2 == 1), -usual * 30 - 7e6).otherwise(F.pmod(c("o_custkey") * 37, F.lit(1000)).cast("double")).alias("media_faturamento_6m"),
+    )
+    out = S.outliers(rows)
+    flagged = c("anomalia_iso") == S.ANOMALY
+    found = F.count_if(flagged & planted) >= 0.9 * F.count_if(planted)
+    return out.agg(F.count_if(planted).alias("plantados"), found.alias("achados_noventa_por_cento"), F.count_if(flagged).alias("marcados"))
+
+
 @query("m4_severity_model")
 def m4(spark, sf):
     rows = base(spark, sf)
-    model, _, _ = S.fit_severity(rows, key=["id"])
-    return S.predict_severity(model, rows).groupBy("severidade", "severidade_prevista").agg(F.count(F.lit(1)).alias("n"))
+    model, test, _ = S.fit_severity(rows, key=["id"])
+    return S.predict_severity(model, test).groupBy("severidade", "severidade_prevista").agg(F.count(F.lit(1)).alias("n"))
+
+
+SEPARABLE_SQL = """l AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 20 = 0 THEN 'CRITICA' WHEN o_orderkey % 5 < 2 THEN 'ALTA' WHEN o_orderkey % 5 = 2 THEN 'MEDIA' ELSE 'BAIXA' END AS severidade FROM orders)"""
+
+
+def separable(spark, sf):
+    """Labels that two features tell, besides one that says nothing."""
+    c = F.col
+    label = F.expr("CASE WHEN o_orderkey % 20 = 0 THEN 'CRITICA' WHEN o_orderkey % 5 < 2 THEN 'ALTA' WHEN o_orderkey % 5 = 2 THEN 'MEDIA' ELSE 'BAIXA' END")
+    noise = F.pmod(c("o_custkey") * 31, F.lit(100)) / 100
+    return table(spark, sf, "orders").select(
+        c("o_orderkey").alias("id"),
+        label.alias("severidade"),
+        (F.when(label.isin("CRITICA", "ALTA"), 10.0).otherwise(0.0) + noise).alias("faturamento_atual"),
+        (F.when(label.isin("CRITICA", "MEDIA"), 10.0).otherwise(0.0) - noise).alias("score_anomalia"),
+        c("o_totalprice").cast("double").alias("media_faturamento_6m"),
+    )
+
+
+@query(
+    "m4_held_out_recall",
+    f"WITH {SEPARABLE_SQL} SELECT severidade, TRUE AS noventa_por_cento FROM l GROUP BY severidade",
+)
+def m4_held_out(spark, sf):
+    """Recall of every severity on the rows that were kept out of training."""
+    model, test, _ = S.fit_severity(separable(spark, sf), key=["id"], trees=20)
+    hit = F.avg(F.when(F.col("severidade") == F.col("severidade_prevista"), 1.0).otherwise(0.0))
+    return S.predict_severity(model, test).groupBy("severidade").agg((hit >= 0.9).alias("noventa_por_cento"))
+
+
+@query(
+    "m4_importances",
+    """SELECT * FROM (VALUES ('faturamento_atual', TRUE, 1.0::DOUBLE), ('score_anomalia', TRUE, 1.0::DOUBLE), ('media_faturamento_6m', FALSE, 1.0::DOUBLE)) v(variavel, decide, soma)
+WHERE (SELECT COUNT(*) FROM orders) >= 200""",
+)
+def m4_importances(spark, sf):
+    """The features that tell the labels have nearly all the weight, and the weights sum to one."""
+    _, _, found = S.fit_severity(separable(spark, sf), key=["id"], trees=20)
+    total = found.agg(F.round(F.sum("importancia"), 6).alias("soma"))
+    return cross_one_row(found.select("variavel", (F.col("importancia") > 0.2).alias("decide")), total)
 
 
 @query(
@@ -122,9 +200,8 @@ def m5(spark, sf):
     f"""WITH {BASE_SQL} SELECT severidade, CAST(ceil(COUNT(*) * 0.2) AS BIGINT) AS n_test, COUNT(*) - CAST(ceil(COUNT(*) * 0.2) AS BIGINT) AS n_train FROM b GROUP BY 1""",
 )
 def m6(spark, sf):
-    train, test = D.stratified_split(base(spark, sf), "severidade", 0.2, 42, ["id"])
-    both = train.select("severidade", F.lit(0).alias("t")).unionByName(test.select("severidade", F.lit(1).alias("t")))
-    return both.groupBy("severidade").agg(F.count_if(F.col("t") == 1).alias("n_test"), F.count_if(F.col("t") == 0).alias("n_train"))
+    marked = D.split_column(base(spark, sf), "severidade", 0.2, 42, ["id"], "teste")
+    return marked.groupBy("severidade").agg(F.count_if("teste").alias("n_test"), F.count_if(~F.col("teste")).alias("n_train"))
 
 
 @query(
@@ -151,6 +228,38 @@ def g21(spark, sf):
     return S.cluster_profile(base(spark, sf))
 
 
+@query(
+    "g21_attached_risk",
+    f"""WITH {BASE_SQL}, g AS (SELECT cluster, COUNT(*) AS registros, ROUND(AVG(faturamento_atual), 2) AS media_faturamento, ROUND(AVG(score_anomalia), 2) AS score_medio,
+  ROUND(AVG(CASE WHEN flag_anomalia = 'S' THEN 1.0::DOUBLE ELSE 0 END) * 100, 1) AS pct_anomalia, ROUND(AVG(CASE WHEN severidade = 'CRITICA' THEN 1.0::DOUBLE ELSE 0 END) * 100, 1) AS pct_critico,
+  ROUND(AVG(CASE WHEN tipo_dispersao_mes_anterior = 'DISPERSAO_NEGATIVA' THEN 1.0::DOUBLE ELSE 0 END) * 100, 1) AS disp_neg_pct FROM b GROUP BY cluster)
+SELECT b.id, b.cluster, CASE WHEN pct_critico > 30 OR score_medio > 2 THEN '🔴 ALTO' WHEN pct_anomalia > 20 OR disp_neg_pct > 40 THEN '🟡 MÉDIO' ELSE '🟢 BAIXO' END AS risco_cluster FROM b JOIN g ON g.cluster = b.cluster""",
+)
+def g21_attached(spark, sf):
+    rows = base(spark, sf)
+    return S.attach_risk(rows, S.cluster_profile(rows)).select("id", "cluster", "risco_cluster")
+
+
+@query(
+    "m2_cluster_risk",
+    """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN '🔴 ALTO' WHEN o_orderkey % 3 = 1 THEN '🟡 MÉDIO' ELSE '🟢 BAIXO' END AS risco_cluster FROM orders""",
+)
+def m2_risk(spark, sf):
+    """The groups that k-means finds, profiled, and their risk on every row."""
+    c = F.col
+    g = c("o_orderkey") % 3
+    rows = table(spark, sf, "orders").select(
+        c("o_orderkey").alias("id"),
+        (g * 100 + c("o_totalprice").cast("double") / 1e6).alias("faturamento_atual"),
+        F.when(g == 0, 3.0).otherwise(1.0).alias("score_anomalia"),
+        F.when(g == 1, "S").otherwise("N").alias("flag_anomalia"),
+        F.lit("BAIXA").alias("severidade"),
+        F.lit("ESTAVEL").alias("tipo_dispersao_mes_anterior"),
+    )
+    found, _ = S.kmeans(rows, k=3)
+    return S.attach_risk(found, S.cluster_profile(found)).select("id", "risco_cluster")
+
+
 @query(
     "g22_severity_distribution",
     f"""WITH {BASE_SQL}, o AS (SELECT * FROM (VALUES (0, 'CRITICA'), (1, 'ALTA'), (2, 'MEDIA'), (3, 'BAIXA'), (4, 'SEM_HISTORICO')) v(position, severidade))
@@ -222,6 +331,5 @@ q AS (SELECT species, n, CAST(low + CASE WHEN row_number() OVER (ORDER BY r DESC
 SELECT species, t AS n_test, n - t AS n_train FROM q""",
 )
 def d39_split(spark, sf):
-    train, test = D.prepare(raw(spark, sf), D.DatasetConfig(["qtd"], "order_key", "species"))
-    both = train.select("species", F.lit(0).alias("t")).unionByName(test.select("species", F.lit(1).alias("t")))
-    return both.groupBy("species").agg(F.count_if(F.col("t") == 1).alias("n_test"), F.count_if(F.col("t") == 0).alias("n_train"))
+    marked = D.marked(raw(spark, sf), D.DatasetConfig(["qtd"], "order_key", "species"))
+    return marked.groupBy("species").agg(F.count_if("_test").alias("n_test"), F.count_if(~F.col("_test")).alias("n_train"))
