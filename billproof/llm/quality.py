@@ -31,6 +31,7 @@ CACHED = 700_000
 SAMPLE = 6_000  # texts that train the scorers
 LABELLED = 12_000  # labelled texts that the toxic word lists are learned from
 GOOD, BAD, NONE = 0, 1, 2
+RUN = np.uint64(0x9E3779B97F4A7C15)  # any odd number
 EDGE = b".,;:!?\"'()#$%&*|-"
 
 # Frequent function words of four languages, and common insults.
@@ -55,19 +56,23 @@ SPACED = bytes.maketrans(b".,", b"  ")
 
 
 class Words(dict):
-    """Word -> number of its facts: two hashed features, FLAGS, and one flag per list of toxic words. Forgets all when full."""
+    """Word -> number of its facts: two hashed features, a hash, FLAGS, and one flag per list of toxic words. Forgets all when
+    full; nothing that leaves a worker depends on the numbers."""
 
     def __init__(self, lists: tuple[frozenset, ...]) -> None:
         super().__init__()
         self.lists = lists
-        self.rows = np.zeros((1 << 12, 2), np.int64)
+        self.rows = np.zeros((1 << 12, 2), np.int32)
+        self.hashes = np.zeros(1 << 12, np.uint64)
         self.flags = np.zeros((1 << 12, len(FLAGS) + len(lists)), bool)
 
     def __missing__(self, word: bytes) -> int:
         n = len(self)
         if n == len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+            self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
             self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
+        self.hashes[n] = xxhash.xxh64_intdigest(word)
         core, text = core_of(word), word.decode()
         cut = cut_words(text)
         plain = text if text.isalpha() else text[:-1]
@@ -115,7 +120,7 @@ def hashed_mark(kind: str, number: int, value: int) -> int:
 def shape(word: str) -> str:
     """Letters to a or A, digits to 0, other signs kept; runs become one."""
     kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return "".join(k for k, _ in itertools.groupby(kinds))[:24]
+    return "".join(k for k, _ in itertools.groupby(kinds))
 
 
 @dataclass
@@ -124,10 +129,10 @@ class Facts:
 
     n: int
     share: np.ndarray  # of FLAGS among the words
-    hits: np.ndarray  # per toxic list
+    hits: np.ndarray  # words on each toxic list
     again: float  # words equal to the one before
     same: float  # runs of four words that occurred before
-    features: np.ndarray  # two hashed features of each distinct word
+    features: np.ndarray  # two hashed features of each distinct word, in ascending order
 
 
 def facts_of(text: bytes, words: Words, featured: bool = True) -> Facts:
@@ -137,28 +142,35 @@ def facts_of(text: bytes, words: Words, featured: bool = True) -> Facts:
         words.clear()
     n = len(found)
     if not n:
-        return Facts(0, np.zeros(len(FLAGS)), np.zeros(len(words.lists), bool), 0.0, 0.0, np.zeros(0, np.int64))
+        return Facts(0, np.zeros(len(FLAGS)), np.zeros(len(words.lists), np.int64), 0.0, 0.0, np.zeros(0, np.int32))
     own = np.fromiter(map(words.__getitem__, found), np.int64, n)
     flags = words.flags[own]
-    hits = flags[:, len(FLAGS) :].any(axis=0)
+    hits = flags[:, len(FLAGS) :].sum(axis=0)
     if len(apart) > n:  # a stop or comma inside a word parts words for the toxic lists
-        hits = words.flags[np.fromiter(map(words.__getitem__, apart), np.int64, len(apart)), len(FLAGS) :].any(axis=0)
+        hits = words.flags[np.fromiter(map(words.__getitem__, apart), np.int64, len(apart)), len(FLAGS) :].sum(axis=0)
     again = float((own[1:] == own[:-1]).mean()) if n > 1 else 0.0
     same = 0.0
     if n > 8:
-        four = own[:-3] * 1_000_003 + own[1:-2] * 10_007 + own[2:-1] * 101 + own[3:]
+        h = words.hashes[own]
+        four = ((h[:-3] * RUN + h[1:-2]) * RUN + h[2:-1]) * RUN + h[3:]
         same = 1 - len(np.unique(four)) / len(four)
-    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, hits, again, same, words.rows[np.unique(own)] if featured else words.rows[:0])
+    features = np.sort(words.rows[np.unique(own)], axis=None) if featured else words.rows[0]
+    return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, hits, again, same, features)
 
 
-def features_of(f: Facts, votes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features and values: words and shapes (together of length one), shares in steps, and the votes themselves."""
-    more = [hashed_mark("r", i, int(min(10, 20 * x))) for i, x in enumerate((*f.share.tolist(), f.again, f.same))]
-    more += [hashed_mark("v", i, v) for i, v in enumerate(votes)]
-    words = f.features.ravel()
-    values = np.ones(len(words) + len(more))
-    values[: len(words)] = 1 / np.sqrt(max(len(words), 1))
-    return np.append(words, more), values
+def steps_of(f: Facts) -> list[int]:
+    """Hashed marks of the shares, in steps."""
+    return [hashed_mark("r", i, int(min(10, 20 * x))) for i, x in enumerate((*f.share.tolist(), f.again, f.same))]
+
+
+def marks_of(votes: tuple[int, ...]) -> list[int]:
+    """Hashed marks of the votes themselves."""
+    return [hashed_mark("v", i, v) for i, v in enumerate(votes)]
+
+
+def linear(weights: np.ndarray, features: np.ndarray, marks: list[int]) -> float:
+    """Words and shapes, together of length one, and marks of value one, under weights whose last is the bias."""
+    return float(weights[features].sum() / np.sqrt(max(len(features), 1)) + weights[marks].sum() + weights[-1])
 
 
 def junk_votes(f: Facts) -> tuple[int, ...]:
@@ -213,22 +225,32 @@ def estimate(counts: dict[int, int], labellers: int, rounds: int = 200, smooth:
     return LabelModel(prior, table, dict(zip(keys, bad.tolist())))
 
 
-def train_linear(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = 200, rate: float = 1.0, decay: float = 1e-4) -> np.ndarray:
-    """Logistic regression on soft labels by gradient descent with momentum; both classes have equal mass. Last: the bias."""
+def train_linear(
+    words: np.ndarray, sizes: np.ndarray, marks: np.ndarray, labels: np.ndarray, rounds: int = 200, rate: float = 1.0, decay: float = 1e-4
+) -> np.ndarray:
+    """Logistic regression on soft labels by gradient descent with momentum; both classes have equal mass. Last: the bias.
+
+    words: the texts' word features one after the other, `sizes` of them each; marks: a row a text.
+    """
     w = np.zeros(DIM + 1)
-    if not rows:
+    if not len(sizes):
         return w
-    used, feature = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-    owner, value = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows]), np.concatenate([r[1] for r in rows])
+    scale = 1 / np.sqrt(np.maximum(sizes, 1))
+    filled = np.flatnonzero(sizes)
+    starts = (np.cumsum(sizes) - sizes)[filled]
     good, bad = 2 * max((1 - labels).sum(), 1.0), 2 * max(labels.sum(), 1.0)
-    own, bias, speed, drift = np.zeros(len(used)), 0.0, np.zeros(len(used)), 0.0
+    own, bias, speed, drift = np.zeros(DIM), 0.0, np.zeros(DIM), 0.0
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, own[feature] * value, len(rows)) + bias, -30, 30)))
+        z = own[marks].sum(axis=1) + bias
+        if len(filled):
+            z[filled] += np.add.reduceat(own[words], starts) * scale[filled]
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         error = p * (1 - labels) / good - (1 - p) * labels / bad  # a soft label pulls to either class by its share
-        speed = 0.9 * speed - rate * 0.1 * (np.bincount(feature, error[owner] * value, len(used)) + decay * own)
+        slope = np.bincount(words, np.repeat(error * scale, sizes), DIM) + np.bincount(marks.ravel(), np.repeat(error, marks.shape[1]), DIM)
+        speed = 0.9 * speed - rate * 0.1 * (slope + decay * own)
         drift = 0.9 * drift - rate * 0.1 * error.sum()
         own, bias = own + speed, bias + drift
-    w[used], w[-1] = own, bias
+    w[:-1], w[-1] = own, bias
     return w
 
 
@@ -242,8 +264,9 @@ class Model:
 
 
 def toxic_votes(f: Facts) -> tuple[int, ...]:
-    """A list votes bad on a hit, and good on a text of some length without one."""
-    return tuple(BAD if hit else GOOD if f.n >= 3 else NONE for hit in f.hits.tolist())
+    """A list votes bad on a word of the fixed list or two of a learned one, and good on a text of some length without any.
+    One learned word alone says nothing: it may stand in a clean text by chance."""
+    return tuple(BAD if hits > (at > 0) else NONE if hits or f.n < 3 else GOOD for at, hits in enumerate(f.hits.tolist()))
 
 
 def bounded(df: DataFrame, key: str, most: int) -> DataFrame:
@@ -251,10 +274,12 @@ def bounded(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.where(F.col(key).isNotNull()).orderBy(F.xxhash64(F.lit("sample"), F.col(key)), key).limit(most)
 
 
-def toxic_lists(df: DataFrame, labels: DataFrame, key: str, text: str, most: int = LABELLED, ratio: float = 20.0) -> tuple[frozenset, ...]:
-    """Two lists of words that each half of a bounded sample of labelled texts has far more often in toxic texts.
+def toxic_lists(df: DataFrame, labels: DataFrame, key: str, text: str, most: int = LABELLED, ratio: float = 20.0, shortest: int = 3) -> tuple[frozenset, ...]:
+    """Two lists of words (of `shortest` letters or more) that each half of a bounded sample of labelled texts has far more
+    often in toxic texts.
 
-    Words are counted in Spark; only words of toxic texts in a fair part of them come to the driver, 400 a half at most.
+    Words are counted in Spark; the driver gets those in a fiftieth or more of the toxic texts and `ratio` times as often there,
+    at most fifty times as many as a toxic text has distinct words.
     """
     wanted = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(key).cast("long").alias("key")).agg(F.max("toxic").cast("int").alias("toxic"))
     picked = stored(bounded(wanted, "key", most), "toxic-sample")
@@ -265,7 +290,7 @@ def toxic_lists(df: DataFrame, labels: DataFrame, key: str, text: str, most: int
     def run(batches: common.Batches) -> common.Batches:
         for batch in batches:
             for half, toxic, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.utf8(batch, "text")):
-                own = sorted({c for c in cut_words(t.decode()) if 3 <= len(c) <= 24})
+                own = sorted({c for c in cut_words(t.decode()) if len(c.decode()) >= shortest})
                 yield common.batch_of(schema, [[half] * (len(own) + 1), [toxic] * (len(own) + 1), [b"", *own]])  # the empty word counts texts
 
     counts = rows.mapInArrow(run, "half int, toxic int, word binary").groupBy("half", "word").agg(
@@ -278,7 +303,7 @@ def toxic_lists(df: DataFrame, labels: DataFrame, key: str, text: str, most: int
         bad, good = texts.get(half, (0, 0))
         lift = ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("good") + 0.5) / (good + 1))
         found = counts.where((F.col("half") == half) & (F.col("bad") >= max(3, 0.02 * bad)) & (lift >= ratio) & (F.length("word") > 0))
-        lists.append(frozenset(bytes(r.word) for r in found.orderBy(lift.desc(), "word").limit(400).collect()))
+        lists.append(frozenset(bytes(r.word) for r in found.select("word").collect()))
     return tuple(lists)
 
 
@@ -295,6 +320,26 @@ def vote_table(df: DataFrame, lists: tuple[frozenset, ...], key: str, text: str)
     return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "key long, junk long, toxic long")
 
 
+def trained(blocks: list[list[np.ndarray]], models: list[LabelModel], lists: int) -> list[np.ndarray]:
+    """Weights of both scorers from the blocks of sampled texts. The order of rows and blocks doesn't matter."""
+    if not blocks:
+        return [np.zeros(DIM + 1) for _ in models]
+    order, votes, sizes, steps, words = (np.concatenate([b[i] for b in blocks]) for i in range(5))
+    blocks.clear()
+    votes, steps = votes.reshape(-1, 2), steps.reshape(len(order), -1)
+    by = np.lexsort((votes[:, 1], votes[:, 0], order))
+    starts = np.cumsum(sizes) - sizes
+    words = np.concatenate([words[starts[i] : starts[i] + sizes[i]] for i in by.tolist()])
+    votes, sizes, steps = votes[by], sizes[by], steps[by]
+    found = []
+    for which, model in enumerate(models):
+        patterns, back = np.unique(votes[:, which], return_inverse=True)
+        marks = np.array([marks_of(votes_of(p, JUNK if which == 0 else lists)) for p in patterns.tolist()], np.int32)[back]
+        labels = np.array([model.posterior.get(p, model.prior) for p in patterns.tolist()])[back]
+        found.append(train_linear(words, sizes, np.append(steps, marks, axis=1), labels))
+    return found
+
+
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, labelled: int = LABELLED) -> Model:
     """Label models from the votes of all texts; scorers from a sample of at most `sample` texts; toxic lists from at most
     `labelled` labelled ones. Null texts count as empty; labels of unknown keys and null labels are left out."""
@@ -305,22 +350,26 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     ]
     picked = stored(bounded(votes.groupBy("key").agg(F.min("junk").alias("junk"), F.min("toxic").alias("toxic")), "key", sample), "scorer-sample")
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(F.broadcast(picked), "key")
-    schema = pa.schema([("junk", pa.int64()), ("toxic", pa.int64()), *((n, pa.binary()) for n in ("ids", "values", "more", "more_values"))])
+    schema = pa.schema([(n, pa.binary()) for n in ("order", "votes", "sizes", "steps", "words")])
 
     def run(batches: common.Batches) -> common.Batches:
-        words = worker_words(lists)
+        """One block for each task: per text a hash, patterns, steps and the word features."""
+        words, order, votes, steps, features = worker_words(lists), [], [], [], []
         for batch in batches:
             for junk, toxic, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), common.utf8(batch, "text")):
                 f = facts_of(t, words)
-                sides = [features_of(f, v) for v in (junk_votes(f), toxic_votes(f))]
-                yield common.batch_of(schema, [[junk], [toxic], *([x.tobytes()] for ids, values in sides for x in (ids.astype("<i4"), values))])
-
-    found = rows.select("key", "junk", "toxic", "text").mapInArrow(run, "junk long, toxic long, ids binary, values binary, more binary, more_values binary").collect()
-    found.sort(key=lambda r: (bytes(r.ids), bytes(r.more)))  # the sum of the gradients doesn't depend on the order of rows
-    weights = [
-        train_linear([(np.frombuffer(r[at], "<i4"), np.frombuffer(r[at + 1])) for r in found], np.array([m.posterior.get(r[which], m.prior) for r in found]))
-        for at, which, m in ((2, 0, models[0]), (4, 1, models[1]))
-    ]
+                order.append(xxhash.xxh64_intdigest(t))
+                votes.append((junk, toxic))
+                steps.append(steps_of(f))
+                features.append(f.features)
+        if order:
+            sizes = np.fromiter(map(len, features), "<i4", len(features))
+            parts = (np.array(order, "<u8"), np.array(votes, "<i8"), sizes, np.array(steps, "<i4"), np.concatenate(features).astype("<i4"))
+            yield common.batch_of(schema, [[x.tobytes()] for x in parts])
+
+    sent = rows.select("key", "junk", "toxic", "text").mapInArrow(run, "order binary, votes binary, sizes binary, steps binary, words binary")
+    blocks = [[np.frombuffer(x, kind) for x, kind in zip(r, ("<u8", "<i8", "<i4", "<i4", "<i4"))] for r in sent.collect()]
+    weights = trained(blocks, models, len(lists))
     return Model(lists, *models, *weights)
 
 
@@ -334,8 +383,8 @@ class Scorer:
         """Probabilities of junk and toxic by the scorers, then the label models' posteriors."""
         m, f = self.model, facts_of(text, self.words)
         votes = junk_votes(f), toxic_votes(f)
-        sides = [features_of(f, v) for v in votes]
-        own = [float(w[ids] @ values) + w[-1] for w, (ids, values) in zip((m.junk_weights, m.toxic_weights), sides)]
+        steps = steps_of(f)
+        own = [linear(w, f.features, steps + marks_of(v)) for w, v in zip((m.junk_weights, m.toxic_weights), votes)]
         labels = [x.posterior.get(pattern(v), x.prior) for x, v in zip((m.junk, m.toxic), votes)]
         return (*(float(1 / (1 + np.exp(-np.clip(z, -500, 500)))) for z in own), *labels)
 
@@ -343,7 +392,8 @@ class Scorer:
 def scores(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, junk_score, toxic_score, junk_label, toxic_label (posteriors), kept of each row.
 
-    Null and empty texts get no votes and the scorers' base scores; repeated rows give one row each; an empty table none.
+    Null and empty texts get no votes and the scorers' base scores; repeated rows give one row each; an empty table none. Texts
+    of any length are read in whole, one at a time; columns of df other than key and text are not read.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
     names = ("junk_score", "toxic_score", "junk_label", "toxic_label")
