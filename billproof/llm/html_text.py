@@ -1,19 +1,21 @@
-"""HTML extraction: parser events to lines, text-to-tag ratios, Gaussian smoothing, threshold clustering, regions.
+"""HTML extraction: parser events to lines, text-to-tag ratios, Gaussian smoothing, threshold clustering, content boxes.
 
 The standard library's parser streams a page once. Block elements cut the page into lines; each line knows its text, its
-tags, its linked text and the region it stands in (its nearest container; inside an article or main element the nearest
-div, section, article or main, as lists and tables there are part of the story). Lines inside navigation, forms, adverts,
-comments and the like are marked by their elements and never chosen.
-
-The ratio of unlinked text to tags of the lines is smoothed with a Gaussian and split into two clusters, on every page. A
-region with a line in the upper cluster is content; inside an article or main element a region's ratios count `weight`
-times for its own lines, and a box with the title goes along with an article that is chosen. The text is the unmarked lines of these regions, but for
-lines of links alone that stay in the lower cluster. A page without unlinked text gives its article or main elements.
+tags, its linked text and the innermost container it stands in. Lines inside navigation, forms, adverts, comments and the
+like are marked by their elements and never chosen.
+
+The ratio of unlinked text to tags of the lines is smoothed with a Gaussian and split into two clusters, on every page. The
+unlinked text of the lines in the upper cluster is the weight of the boxes around them (text inside article and main elements
+counts `weight` times). From the page inwards, a box that holds nearly all of the weight (or, for an article or main, more
+than half) takes its parent's place; an article is not gone into. The text is every unmarked line of the box so found, but
+for containers of several lines that are links alone and stay in the lower cluster. Where no box inside stands out and
+several articles hold the weight, it is the lines of these. A headline just before the box belongs to it.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -29,7 +31,6 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("html body article main section div td th table nav header footer aside form ul ol dl blockquote figure".split())
-BOXED = frozenset("article main section div".split())  # regions inside an article
 CLOSES_P = BLOCKS - {"br"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEAD = frozenset("title meta link script style base noscript template".split())
@@ -47,8 +48,25 @@ PAGE_HEADS = frozenset("header masthead topbar".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 
-def words_of(value: str) -> set[str]:
-    return set(value.lower().replace("-", " ").replace("_", " ").split())
+# What stands beside the words above in the names of boxes.
+BESIDE = frozenset(
+    "site page post posts article articles main global top bottom left right inner outer content section block box bar wrap wrapper "
+    "container area list item items link links icon icons button buttons form field head title text sub mobile desktop header sticky "
+    "fixed primary secondary slot unit message policy story stories news reader readers user".split()
+)
+BESIDE_PAGE = BESIDE - frozenset("post posts article articles content section story stories".split())
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+
+
+def names(value: str, words: frozenset[str], beside: frozenset[str] = BESIDE) -> bool:
+    """Is one of the names in a class or id a word of the list, or put together from such words and usual companions?"""
+    for name in CAMEL.sub("-", value).lower().replace("_", "-").split():
+        if name in words:
+            return True
+        parts = [p for p in name.split("-") if p.strip("0123456789x")]
+        if any(p in words for p in parts) and all(p in words or p in beside for p in parts):
+            return True
+    return False
 
 
 class Line:
@@ -70,8 +88,8 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int, bool, bool]] = []
         self.lines: list[Line] = []
-        self.regions = 0
-        self.articles: dict[int, int] = {}  # region inside an article -> region of the outermost one
+        self.parents = [0]  # of each region; region 0 is the page
+        self.tags = [""]
         self.now: Line | None = None
 
     def marks(self, tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
@@ -83,8 +101,7 @@ class Lines(HTMLParser):
             if not value:
                 continue
             if name in ("class", "id"):
-                found = words_of(value)
-                if found & BOXES or (found & PAGE_HEADS and not in_article):
+                if names(value, BOXES) or (not in_article and names(value, PAGE_HEADS, BESIDE_PAGE)):
                     return tag not in ("html", "body", "article", "main")
             elif name == "role" and value.lower() in ROLES:
                 return True
@@ -116,13 +133,11 @@ class Lines(HTMLParser):
                 self.now.tags += 1
             return
         marked = marked or self.marks(tag, attrs, in_article)
-        if tag in (BOXED if in_article else CONTAINERS):
-            outer = self.articles.get(region)
-            self.regions += 1
-            region = self.regions
+        if tag in CONTAINERS:
+            self.parents.append(region)
+            self.tags.append(tag)
+            region = len(self.tags) - 1
             in_article = in_article or tag in ("article", "main")
-            if in_article:
-                self.articles[region] = region if outer is None else outer
         if marked and (not self.stack or not self.stack[-1][1]):
             self.now = None  # a marked inline element has lines of its own
         self.stack.append((tag, marked, region, in_article, linked or tag == "a"))
@@ -156,34 +171,84 @@ class Lines(HTMLParser):
             self.now.linked += len(data.strip())
 
 
-def smoothed(values: list[float], sigma: float, groups: list[int | None] | None = None, weight: float = 1.0) -> list[float]:
-    """Gaussian smoothing over neighbours within three sigma, weights summing to one inside the page. Values of a line's
-    own group (None: no group) count `weight` times, so that no group lifts its neighbours."""
-    groups = groups or [None] * len(values)
+def smoothed(values: list[float], sigma: float) -> list[float]:
+    """Gaussian smoothing over neighbours within three sigma, weights summing to one inside the page."""
     reach = max(1, math.ceil(3 * sigma))
     share = [math.exp(-((d / sigma) ** 2) / 2) for d in range(reach + 1)]
     out = []
     for i in range(len(values)):
         low, high = max(0, i - reach), min(len(values), i + reach + 1)
         total = sum(share[abs(i - j)] for j in range(low, high))
-        own = groups[i]
-        out.append(sum(values[j] * share[abs(i - j)] * (weight if own is not None and own == groups[j] else 1) for j in range(low, high)) / total)
+        out.append(round(sum(values[j] * share[abs(i - j)] for j in range(low, high)) / total, 6))
     return out
 
 
 def threshold(values: list[float]) -> float:
-    """The cut between two clusters of numbers: the mean of the two clusters' means, from the extremes on."""
+    """The cut between two clusters of numbers: the mean of the two clusters' means, from the extremes on. Equal numbers are
+    one cluster, above the cut."""
     low, high = min(values), max(values)
-    if low == high:
-        return low
     for _ in range(50):
         cut = (low + high) / 2
         below, above = [v for v in values if v < cut], [v for v in values if v >= cut]
+        if not below or not above:
+            break
         new = sum(below) / len(below), sum(above) / len(above)
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return min((low + high) / 2, max(values))
+
+
+NEARLY, HALF = 0.9, 0.5
+
+
+def content_boxes(parents: list[int], tags: list[str], weights: list[float]) -> list[int]:
+    """The regions whose lines are content. weights: of each region's own lines."""
+    n = len(tags)
+    children: list[list[int]] = [[] for _ in range(n)]
+    total = list(weights)
+    articled = [w if t == "article" else 0.0 for t, w in zip(tags, total)]  # the weight that lies in articles
+    meant = [w if t in ("article", "main") else 0.0 for t, w in zip(tags, total)]
+    for r in range(n - 1, 0, -1):  # a region's parent has a smaller number
+        up = parents[r]
+        children[up].append(r)
+        total[up] += total[r]
+        articled[up] += total[r] if tags[r] == "article" else articled[r]
+        meant[up] += total[r] if tags[r] in ("article", "main") else meant[r]
+    box, inside_main = 0, False
+    while tags[box] != "article":
+        def stands_out(r: int) -> bool:
+            whole = total[box] > 0 and total[r] >= NEARLY * total[box]
+            in_articles = articled[r] >= NEARLY * total[r] or tags[r] == "article"
+            if inside_main:
+                return whole and in_articles
+            in_meant = meant[r] >= NEARLY * total[r] or tags[r] in ("article", "main")
+            return whole or (in_meant and total[r] > HALF * total[box])
+
+        found = [r for r in children[box] if stands_out(r)]
+        if not found:
+            break
+        box = max(found, key=lambda r: (total[r], -r))
+        inside_main = inside_main or tags[box] == "main"
+    if tags[box] != "article" and not inside_main and total[box] > 0 and articled[box] >= NEARLY * total[box]:
+        tops, todo = [], [box]
+        while todo:
+            r = todo.pop()
+            if tags[r] == "article":
+                if total[r] > 0:
+                    tops.append(r)
+            else:
+                todo += children[r]
+        return tops
+    return [box]
+
+
+def within(parents: list[int], boxes: list[int]) -> list[bool]:
+    """For each region whether it lies in one of the boxes."""
+    out = [False] * len(parents)
+    for r in range(len(parents)):
+        out[r] = r in boxes or (r > 0 and out[parents[r]])
+    return out
 
 
 def main_text(html: str, sigma: float = 1.0, weight: float = 2.0) -> str:
@@ -194,23 +259,42 @@ def main_text(html: str, sigma: float = 1.0, weight: float = 2.0) -> str:
     lines = [(line, text) for line in parser.lines if (text := " ".join("".join(line.parts).split()))]
     if all(line.marked for line, _ in lines):
         return ""
-    inside = parser.articles
-    ratios = [0.0 if line.marked else max(0, len(text) - line.linked) / max(1, line.tags) for line, text in lines]
-    cut = threshold(smoothed(ratios, sigma))
-    groups = [line.region if line.region in inside else None for line, _ in lines]
-    high = [near >= cut for near in smoothed(ratios, sigma, groups, weight)]
-    regions = {line.region for (line, _), own, up in zip(lines, ratios, high) if up and own > 0}
-    chosen = {inside[r] for r in regions if r in inside}
-    regions |= {line.region for line, _ in lines if line.title and not line.marked and inside.get(line.region) in chosen}
-    regions = regions or set(inside)
-    # a line whose text is all linked needs its neighbours, or to be the title
-    kept = (line.region in regions and not line.marked and (own > 0 or up or line.title) for (line, _), own, up in zip(lines, ratios, high))
-    return " ".join(text for (_, text), keep in zip(lines, kept) if keep)
+    parents, tags = parser.parents, parser.tags
+    free = [0 if line.marked else max(0, len(text) - line.linked) for line, text in lines]
+    near = smoothed([f / max(1, line.tags) for f, (line, _) in zip(free, lines)], sigma)
+    cut = threshold(near)
+    up = [v >= cut for v in near]
+    meant = within(parents, [r for r, t in enumerate(tags) if t in ("article", "main")])
+    weights = [0.0] * len(tags)
+    for (line, _), own, high in zip(lines, free, up):
+        if high:
+            weights[line.region] += own * (weight if meant[line.region] else 1.0)
+    if not any(weights):  # links alone
+        boxes = [r for r, t in enumerate(tags) if t in ("article", "main")]
+        up = [True] * len(lines)
+    else:
+        boxes = content_boxes(parents, tags, weights)
+    inside = within(parents, boxes)
+    # a container of several lines that are links alone is a menu, unless its neighbours lift it
+    counts, linked = [0] * len(tags), [0] * len(tags)
+    for (line, _), own in zip(lines, free):
+        counts[line.region] += not line.marked
+        linked[line.region] += not line.marked and own == 0
+    menu = [n > 1 and n == links for n, links in zip(counts, linked)]
+    keep = [inside[line.region] and not line.marked and (not menu[line.region] or high or line.title) for (line, _), high in zip(lines, up)]
+    first = keep.index(True) if True in keep else 0
+    if not any(line.title for (line, _), kept in zip(lines, keep) if kept):
+        for i in range(first - 1, -1, -1):
+            if lines[i][0].title and not lines[i][0].marked:
+                keep[i] = True
+                break
+    return " ".join(text for (_, text), kept in zip(lines, keep) if kept)
 
 
 def extract(df: DataFrame, key: str = "page_id", html: str = "html", url: str = "url", sigma: float = 1.0, weight: float = 2.0) -> DataFrame:
     """page_id, url, text, n_chars of each row. Null and empty pages give an empty text; repeated rows one row each; an
-    empty table no rows. Pages are worked through one by one in the partitions they are read in; other columns aren't read."""
+    empty table no rows. Pages of any length are parsed in whole, one by one, in the partitions they are read in; columns
+    of df other than these three aren't read."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: common.Batches) -> common.Batches:

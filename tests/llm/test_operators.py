@@ -328,7 +328,7 @@ def test_html_judges_articles_by_ratio():
     assert html_text.main_text(f"<body>{teasers}<div><h1>Title</h1>{story}</div>{teasers}</body>") == "Title " + told
     links = "<a href=a>Cats of the world</a><br><a href=b>Dogs of the world</a><br><a href=c>All the animals</a>"
     boxes = f"<div><h1><a href=x>Title</a></h1></div>{story}<ul><li>one</li><li>two</li><li>three</li></ul><div><p>{links}</p></div><div><p>Get our letter.</p><p>Now.</p></div>"
-    assert html_text.main_text(f"<body><article>{boxes}</article></body>") == f"Title {told} one two three"
+    assert html_text.main_text(f"<body><article>{boxes}</article></body>") == f"Title {told} one two three Get our letter. Now."
     assert html_text.main_text("<body><article><p><a href=x>Only a link</a></p></article></body>") == "Only a link"
 
 
