@@ -38,11 +38,12 @@ def _folding_table() -> tuple[str, str]:
 ACCENTED, PLAIN = _folding_table()
 
 # Leading street types that are ignored when street names are compared.
-STREET_TYPES = (
-    "AVENIDA AVENUE AV RUA RODOVIA ROD ESTRADA EST ALAMEDA AL TRAVESSA TR TV PRACA PCA PC LARGO LGO LADEIRA "
-    "VIELA BECO SETOR QUADRA QD CONJUNTO CJ LOTE LT VILA VL PARQUE LINHA CORREDOR GALERIA RAMAL TRECHO TREVO "
-    "VIA VIADUTO ACESSO"
-).split()
+STREET_TYPES = [
+    "AVENIDA", "AVENUE", "AV", "RUA", "RODOVIA", "ROD", "ESTRADA", "EST", "ALAMEDA", "AL", "TRAVESSA", "TR", "TV",
+    "PRACA", "PCA", "PC", "LARGO", "LGO", "LADEIRA", "VIELA", "BECO", "SETOR", "QUADRA", "QD", "CONJUNTO", "CJ",
+    "LOTE", "LT", "VILA", "VL", "PARQUE", "LINHA", "CORREDOR", "GALERIA", "RAMAL", "TRECHO", "TREVO", "VIA",
+    "VIADUTO", "ACESSO",
+]
 
 
 def trimmed(c: Column) -> Column:

@@ -100,6 +100,16 @@ def ordered_distribution(df: DataFrame, column: str, order: Sequence[str], name:
     )
 
 
+def trend_parts(values: Mapping[str, str], index: Column) -> list[Column]:
+    """Aggregates slope_<name> and r2_<name> of each value over the index."""
+    x, aggs = index.cast("double"), []
+    for v, name in values.items():
+        y = F.col(v)
+        fit = F.when(F.var_pop(y) > 0, F.coalesce(F.regr_r2(y, x), F.lit(0.0))).otherwise(F.lit(0.0))
+        aggs += [F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias(f"slope_{name}"), F.round(fit, 3).alias(f"r2_{name}")]
+    return aggs
+
+
 def linear_trend(series: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, str]) -> DataFrame:
     """Slope and R2 of each value over the consecutive index of `order` (0, 1, 2, ...), per key.
 
@@ -108,17 +118,20 @@ def linear_trend(series: DataFrame, keys: Sequence[str], order: str, values: Map
     """
     rows = series.select(*keys, order, *[F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(v) for v in values])
     flat = in_order(rows, keys, order, list(values))
-    x = F.col("_x").cast("double")
-    aggs = []
-    for v, name in values.items():
-        y = F.col(v)
-        aggs.append(F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias(f"slope_{name}"))
-        aggs.append(
-            F.round(F.when(F.var_pop(y) > 0, F.coalesce(F.regr_r2(y, x), F.lit(0.0))).otherwise(F.lit(0.0)), 3).alias(f"r2_{name}")
-        )
+    aggs = trend_parts(values, F.col("_x"))
     return flat.groupBy(*keys).agg(*aggs) if keys else flat.agg(*aggs)
 
 
+def text_measures(text: Column, copies: Column) -> list[Column]:
+    """Aggregates `_digest` and `_size` of a multiset of texts: sums of 64-bit hashes and of characters, so that they add up
+    over any parts of it."""
+    wide = "decimal(38,0)"
+    return [
+        F.coalesce(F.sum(F.xxhash64(text).cast("decimal(19,0)") * F.when(text.isNotNull(), copies).cast("decimal(18,0)")).cast(wide), F.lit(0).cast(wide)).alias("_digest"),
+        F.coalesce(F.sum(F.length(text).cast("long") * copies), F.lit(0).cast("long")).alias("_size"),
+    ]
+
+
 def concat_parts(
     df: DataFrame,
     keys: Sequence[str],
@@ -126,13 +139,15 @@ def concat_parts(
     sep: str = " | ",
     limit: int = 16_000_000,
     distinct: Sequence[str] = (),
+    measured: str | None = None,
 ) -> DataFrame:
     """All texts of a group joined in sorted order, in parts of about `limit` characters.
 
     Texts named in `distinct` are listed once, the others as often as they occur. Rows: keys, `_part` (0, 1, ...), one
     text column per entry, `_parts` (number of parts of the key). A group with texts always has part 0, and one that fits,
     which is the normal case, has no other. Equal texts are counted before the shuffle; a huge group is
-    dealt out over parts by the hash of the text, so no task ever holds it whole and nothing is dropped.
+    dealt out over parts by the hash of the text, so no task ever holds it whole and nothing is dropped. measured: the
+    column whose texts' digest and length are added (see text_measures).
     """
     keys = list(keys)
     kinds = list(texts)
@@ -178,4 +193,5 @@ def concat_parts(
         repeated = F.transform(F.array_sort(mine), lambda p: F.array_repeat(p["_t"], p["_n"].cast("int")))
         return F.concat_ws(sep, F.flatten(repeated))
 
-    return spread.groupBy(*keys, "_part").agg(*[joined(k).alias(k) for k in kinds], F.max("_parts").alias("_parts"))
+    measures = text_measures(F.when(F.col("_k") == measured, F.col("_t")), F.col("_n")) if measured else []
+    return spread.groupBy(*keys, "_part").agg(*[joined(k).alias(k) for k in kinds], F.max("_parts").alias("_parts"), *measures)

@@ -94,6 +94,12 @@ def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 1) ->
     )
 
 
+def change_from_previous(value: str, digits: int = 1) -> Column:
+    """Percent change against the value of `_prev` (see series.in_order), rounded; 0 after a zero."""
+    before = F.col("_prev")[value]
+    return F.coalesce(F.round((F.col(value) - before) / F.nullif(before, F.lit(0.0)) * F.lit(100.0), digits), F.lit(0.0))
+
+
 def month_over_month(series: DataFrame, order: str, values: Mapping[str, str], digits: int = 1) -> DataFrame:
     """Percent change against the previous period of a series (one row per period), rounded; 0 after a zero.
 
@@ -101,14 +107,7 @@ def month_over_month(series: DataFrame, order: str, values: Mapping[str, str], d
     """
     rows = series.select(order, *[F.col(v).cast("double").alias(v) for v in values])
     pairs = in_order(rows, [], order, list(values)).where(F.col("_prev").isNotNull())
-    change = [
-        F.coalesce(
-            F.round((F.col(v) - F.col("_prev")[v]) / F.nullif(F.col("_prev")[v], F.lit(0.0)) * F.lit(100.0), digits),
-            F.lit(0.0),
-        ).alias(name)
-        for v, name in values.items()
-    ]
-    return pairs.select(order, *change)
+    return pairs.select(order, *[change_from_previous(v, digits).alias(name) for v, name in values.items()])
 
 
 def worst_period(changes: DataFrame, order: str, value: str, period_name: str, value_name: str) -> DataFrame:
@@ -119,26 +118,29 @@ def worst_period(changes: DataFrame, order: str, value: str, period_name: str, v
     )
 
 
-def split_mean(series: DataFrame, order: str, cut: str, values: Mapping[str, str]) -> DataFrame:
-    """Mean of each value up to the cut period and after it, and the percent change between the two.
-
-    All results are 0 when the cut period is absent or is the last one.
-    """
+def split_mean_parts(order: str, cut: str, values: Mapping[str, str]) -> tuple[list[Column], list[Column]]:
+    """(aggregates, columns over them) of split_mean."""
     o = F.col(order)
     aggs = [F.max(F.when(o == cut, 1).otherwise(0)).alias("_has"), F.max(F.when(o > cut, 1).otherwise(0)).alias("_after")]
     for v, name in values.items():
         c = F.col(v).cast("double")
-        aggs += [F.avg(F.when(o <= cut, c)).alias(f"pre_{name}"), F.avg(F.when(o > cut, c)).alias(f"post_{name}")]
+        aggs += [F.avg(F.when(o <= cut, c)).alias(f"_pre_{name}"), F.avg(F.when(o > cut, c)).alias(f"_post_{name}")]
     usable = (F.col("_has") == 1) & (F.col("_after") == 1)
     out = []
     for name in values.values():
-        pre, post = F.col(f"pre_{name}"), F.col(f"post_{name}")
+        pre, post = F.col(f"_pre_{name}"), F.col(f"_post_{name}")
         pct = F.when(pre != 0, (post - pre) / pre * F.lit(100.0)).otherwise(F.lit(0.0))
-        out += [
-            F.when(usable, pre).otherwise(F.lit(0.0)).alias(f"pre_{name}"),
-            F.when(usable, post).otherwise(F.lit(0.0)).alias(f"post_{name}"),
-            F.when(usable, pct).otherwise(F.lit(0.0)).alias(f"pct_{name}"),
-        ]
+        parts = {f"pre_{name}": pre, f"post_{name}": post, f"pct_{name}": pct}
+        out += [F.when(usable, e).otherwise(F.lit(0.0)).alias(n) for n, e in parts.items()]
+    return aggs, out
+
+
+def split_mean(series: DataFrame, order: str, cut: str, values: Mapping[str, str]) -> DataFrame:
+    """Mean of each value up to the cut period and after it, and the percent change between the two.
+
+    All results are 0 when the cut period is absent or is the last one.
+    """
+    aggs, out = split_mean_parts(order, cut, values)
     return series.agg(*aggs).select(*out)
 
 

@@ -20,6 +20,7 @@ from ..functions.text import clean_city, digits_only, label_chain, labelled, nor
 from ..operators.joins import join_by_branch, lookup, prefixed
 from ..operators.sets import union_strict
 from ..operators.windows import dedup_latest
+from ..session import stored
 
 # States of a check and the status / substatus written for them, newest and previous generation.
 CONFIRMED, DIVERGENT, NOT_LOADED = "Confere", "Divergente", "nao_carregado"
@@ -602,8 +603,8 @@ def status_table(checked: DataFrame, status_map: Mapping[str, tuple[str, str]] =
 def address_outputs(
     rows: DataFrame, registry: DataFrame, postcodes: DataFrame, policy: str = "classify", similarity: float | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(address report, registration report, status table) of a lot."""
-    checked = check_all(enrich(rows, registry, postcodes), policy, similarity)
+    """(address report, registration report, status table) of a lot. The look-ups are made once, for all three."""
+    checked = stored(check_all(enrich(rows, registry, postcodes), policy, similarity), "checked")
     status = STATUS_V5 if similarity is None else STATUS_LATEST
     return address_table(checked), registration_table(checked), status_table(checked, status, similarity is not None)
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col_or
 from ..functions.text import label_chain, trimmed_upper
-from ..operators.aggregates import any_flag, concat_parts, text_sum
-from ..operators.joins import keep_existing, lookup_cascade, unique_by
-from ..operators.sets import split_apply
+from ..operators.aggregates import any_flag, concat_parts, text_measures, text_sum
+from ..operators.joins import flag_exists, lookup_cascade, unique_by
 from ..operators.updates import update_where
 from ..operators.windows import any_over
+from ..session import stored
+from ..sources.tables import bucketed
 
 # Rule families of the hub.
 RULES_TAG_IN_TEXT = ["VALIDACAO_NFCOM", "VALIDACAO_IMPOSTOS"]
@@ -54,6 +55,7 @@ ACCOUNT_COLUMNS = [
     "STATUS_VALIDACAO", "ANALISTA", "OBSERVACAO", "PROBLEMA", "VALOR", "CRIADO_EM", "RESUMO", "Ordem_Status",
     "DATA_ABERTURA_CHAMADO", "DT_EMISSAO", "Valor_Positive", "ID_LOTE",
 ]
+TEXT_COLUMNS = ["TEXTO_PARTES", "TEXTO_TAMANHO", "TEXTO_DIGESTO"]
 DETAIL_COLUMNS = [
     "FATURA", "ID_CONTA", "SISTEMA", "REGRA", "STATUS", "SUBSTATUS", "OBSERVACAO", "DADOS_KENAN",
     "DADOS_TABELA_VERDADE", "ID_LOTE", "SEGMENTO", "POSSUI_PREBILLING", "TIPO_SERVICO", "DESCRICAO_SERVICO",
@@ -109,13 +111,14 @@ def _account_texts(prepared: DataFrame, product: Column) -> dict[str, Column]:
 
 
 def account_text_parts(findings: DataFrame, lot: str, limit: int = 16_000_000) -> DataFrame:
-    """The joined notes and invoice numbers of every account in parts of about `limit` characters, as in the rows of the
-    account table. Only accounts whose texts exceed the limit have further parts.
+    """The joined notes and invoice numbers of every account in ordered parts of about `limit` characters.
+
+    Rows: ID_CONTA_CONTRATO, _system, _part (0, 1, ...), _parts, _notes, _invoices, and of the notes in the part their
+    digest and length; the sums over an account's parts are TEXTO_DIGESTO and TEXTO_TAMANHO of its row.
     """
     prepared = _account_keys(select_lot(findings, lot))
-    product = col_or(findings, "Produto")
-    texts = _account_texts(prepared, product)
-    return concat_parts(prepared, ["ID_CONTA_CONTRATO", "_system"], texts, limit=limit, distinct=["_invoices"])
+    texts = _account_texts(prepared, col_or(findings, "Produto"))
+    return concat_parts(prepared, ["ID_CONTA_CONTRATO", "_system"], texts, limit=limit, distinct=["_invoices"], measured="_notes")
 
 
 def account_rollup(
@@ -126,12 +129,12 @@ def account_rollup(
     only_bad: bool = True,
     text_limit: int = 16_000_000,
 ) -> DataFrame:
-    """One row per account and system with status, problems, notes, amount, weights and customer.
+    """One row per account and system with status, problems, notes, amount, weights and customer, whatever the texts' length.
 
-    Notes or invoice numbers of an account that exceed `text_limit` characters go on in further rows, which have the
-    account, system, lot, customer and their part of FATURA, OBSERVACAO and RESUMO; everything else is NULL there, STATUS
-    included, so that counts and sums by status meet each account once. as_of: the run's time in UTC. customers: IDCONTA,
-    IDCONTRATO, CODIGOCLIENTE, nome, CPF_CNPJ.
+    FATURA, OBSERVACAO and RESUMO hold the first part of an account's joined texts, which is all of them up to `text_limit`
+    characters. TEXTO_PARTES says how many parts there are, TEXTO_TAMANHO the characters of all notes and TEXTO_DIGESTO a
+    digest of them that doesn't depend on the parts; account_text_parts has every part. as_of: the run's time in UTC.
+    customers: IDCONTA, IDCONTRATO, CODIGOCLIENTE, nome, CPF_CNPJ.
     """
     c = F.col
     prepared = _account_keys(select_lot(findings, lot))
@@ -149,13 +152,13 @@ def account_rollup(
         any_flag(rule.isin(*PREBILLING) & trimmed_upper(c("_system")).isin(*PREBILLING_SYSTEMS)).alias("_pre"),
         any_flag((c("STATUS") == "INCORRETO") & (rule == PREBILLING[0])).alias("_pre_wrong"),
         text_sum(c("VALOR_BILLING"), AMOUNT).cast("double").alias("VALOR"),
+        *text_measures(_account_texts(prepared, col_or(findings, "Produto"))["_notes"], F.lit(1)),
     )
     heavy = F.size(F.filter("_rules", lambda r: trimmed_upper(r) == PREBILLING[0]))
     totals = totals.withColumn("Ordem_Status", F.size("_rules") + heavy + c("_no_rule"))
     texts = _account_texts(prepared, col_or(findings, "Produto"))
     parts = concat_parts(prepared, keys, texts, limit=text_limit, distinct=["_invoices"])
-    # One side has one row per account, the other one per part of its texts.
-    side = parts.select(*[c(k).alias(f"_{i}k") for i, k in enumerate(keys)], *texts, "_part")
+    side = parts.where(c("_part") == 0).select(*[c(k).alias(f"_{i}k") for i, k in enumerate(keys)], *texts, "_parts")
     joined = totals.join(side, [c(k).eqNullSafe(c(f"_{i}k")) for i, k in enumerate(keys)], "left")
     status = label_chain([(c("_wrong") == 1, "INCORRETO"), (c("_alert") == 1, "ALERTA")], "CORRETO")
     wrong = c("_wrong") == 1
@@ -179,7 +182,6 @@ def account_rollup(
         "DT_EMISSAO": today,
         "Valor_Positive": F.when(F.coalesce(c("VALOR"), F.lit(0.0)) > 0, "SIM").otherwise("NAO"),
     }
-    first = F.coalesce(c("_part"), F.lit(0)) == 0
     accounts = joined.select(
         F.coalesce(c("_invoices"), F.lit("")).alias("FATURA"),
         c("ID_CONTA_CONTRATO").cast("string").alias("ID_CONTA"),
@@ -187,9 +189,12 @@ def account_rollup(
         note.alias("OBSERVACAO"),
         note.alias("RESUMO"),
         F.lit(lot).alias("ID_LOTE"),
-        *[F.when(first, value).alias(name) for name, value in columns.items()],
+        *[value.alias(name) for name, value in columns.items()],
+        F.coalesce(c("_parts"), F.lit(1)).alias("TEXTO_PARTES"),
+        c("_size").alias("TEXTO_TAMANHO"),
+        c("_digest").alias("TEXTO_DIGESTO"),
     )
-    return attach_customer(accounts, customers).select(*ACCOUNT_COLUMNS)
+    return attach_customer(accounts, customers).select(*ACCOUNT_COLUMNS, *TEXT_COLUMNS)
 
 
 def attach_customer(accounts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -212,17 +217,28 @@ def _with_prebilling(findings: DataFrame) -> DataFrame:
 
 
 def relevant_findings(findings: DataFrame, accounts: DataFrame, lot: str, keep_null_rule: bool = False) -> DataFrame:
-    """Directly loaded rules as they are, other rules only for accounts of the account table.
+    """Directly loaded rules as they are, other rules only for accounts of the account table, in one pass.
 
     Findings without a rule belong to neither side and are lost; keep_null_rule=True treats them as other rules.
     """
     direct = F.col("REGRA").isin(*RULES_DIRECT)
+    other = ~F.coalesce(direct, F.lit(False)) if keep_null_rule else ~direct
+    keyed = select_lot(findings, lot).withColumn("_account", F.col("ID_CONTA_CONTRATO").cast("string"))
+    known = flag_exists(keyed, accounts, {"_account": "ID_CONTA"}, "_known")
+    return known.where(direct | (other & F.col("_known"))).drop("_account", "_known")
+
 
-    def known_accounts(others: DataFrame) -> DataFrame:
-        keyed = others.withColumn("_account", F.col("ID_CONTA_CONTRATO").cast("string"))
-        return keep_existing(keyed, accounts, {"_account": "ID_CONTA"}).drop("_account")
+def prepare_hub(
+    findings: DataFrame, accounts: DataFrame, lot: str, keep_null_rule: bool = False, table: str | None = None, buckets: int | None = None
+) -> DataFrame:
+    """The relevant findings of a lot with their pre-billing flag, as a table bucketed and sorted by account and invoice.
 
-    return split_apply(select_lot(findings, lot), direct, known_accounts, keep_null=keep_null_rule)
+    Detail and tag table are read off it without moving its rows: a distinct finding lies in one bucket, and an account
+    with very many findings in as many buckets as it has invoices.
+    """
+    marked = _with_prebilling(stored(relevant_findings(findings, accounts, lot, keep_null_rule), "relevant"))
+    keyed = marked.withColumns({"ID_CONTA": _text("ID_CONTA_CONTRATO"), "FATURA": _text("FATURA")})
+    return bucketed(keyed, ["ID_CONTA", "FATURA"], table, buckets)
 
 
 def _text(name: str) -> Column:
@@ -261,8 +277,8 @@ def _common(findings: DataFrame, as_of: dt.date) -> dict[str, Column]:
     today = F.lit(as_of)
     pending = F.when(c("STATUS").isin(*BAD), "PENDENTE").otherwise("VALIDADO")
     return {
-        "FATURA": _text("FATURA"),
-        "ID_CONTA": _text("ID_CONTA_CONTRATO"),
+        "FATURA": c("FATURA"),
+        "ID_CONTA": c("ID_CONTA"),
         "REGRA": _text("REGRA"),
         "STATUS": _text("STATUS"),
         "SUBSTATUS": _text("SUBSTATUS"),
@@ -286,8 +302,12 @@ def _dedup(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def detail(findings: DataFrame, accounts: DataFrame, lot: str, as_of: dt.date, keep_null_rule: bool = False) -> DataFrame:
     """One row per distinct finding with rule-dependent billed / expected values, tag, order, priority and summary."""
-    c = F.col
-    marked = _with_prebilling(relevant_findings(findings, accounts, lot, keep_null_rule))
+    return detail_of(prepare_hub(findings, accounts, lot, keep_null_rule), as_of)
+
+
+def detail_of(marked: DataFrame, as_of: dt.date) -> DataFrame:
+    """The detail table from prepare_hub's table."""
+    c, findings = F.col, marked
     tag = tag_expr(c("Produto"), price_range=col_or(findings, "FAIXA"))
     status = c("STATUS")
     columns = _common(findings, as_of) | {
@@ -305,8 +325,13 @@ def detail(findings: DataFrame, accounts: DataFrame, lot: str, as_of: dt.date, k
 
 def tag_detail(findings: DataFrame, accounts: DataFrame, lot: str, as_of: dt.date, keep_null_rule: bool = False) -> DataFrame:
     """The bad findings with their tag. The system name is not normalised and the value sources differ from detail()."""
-    c = F.col
-    marked = _with_prebilling(relevant_findings(findings, accounts, lot, keep_null_rule)).where(c("STATUS").isin(*BAD))
+    return tag_detail_of(prepare_hub(findings, accounts, lot, keep_null_rule), as_of)
+
+
+def tag_detail_of(hub: DataFrame, as_of: dt.date) -> DataFrame:
+    """The tag table from prepare_hub's table."""
+    c, findings = F.col, hub
+    marked = hub.where(c("STATUS").isin(*BAD))
     tag = tag_expr(c("Produto"), price_range=col_or(findings, "FAIXA"))
     columns = _common(findings, as_of) | {
         "SISTEMA": F.coalesce(c("CRM"), F.lit(NO_SYSTEM)),
@@ -422,7 +447,7 @@ def report_executive(hub: DataFrame, lot: str) -> DataFrame:
 def report_accounts(accounts: DataFrame) -> DataFrame:
     """Account table by status and weight."""
     c = F.col
-    return accounts.where(c("STATUS").isNotNull()).groupBy("STATUS", "STATUS_VALIDACAO", "Ordem_Status").agg(
+    return accounts.groupBy("STATUS", "STATUS_VALIDACAO", "Ordem_Status").agg(
         F.count(F.lit(1)).alias("faturas"),
         F.count_distinct("ID_CONTA").alias("contas"),
         F.round(F.sum("VALOR"), 2).alias("valor_total"),

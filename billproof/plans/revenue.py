@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_gap
 from ..functions.numbers import guarded_ratio, pct_change, text_amount
 from ..functions.text import digits_only, label_chain, trimmed
-from ..operators.aggregates import linear_trend, pivot_sum
+from ..operators.aggregates import linear_trend, pivot_sum, trend_parts
 from ..operators.joins import cross_one_row, keep_existing, keep_missing
-from ..operators.windows import lag_change, month_over_month, split_mean, top_then_filter, worst_period
+from ..operators.series import in_order
+from ..operators.windows import change_from_previous, lag_change, split_mean_parts, top_then_filter
 
 # System names and result labels.
 OLD_SYSTEM = "SIMETRA"
@@ -328,29 +329,46 @@ def impact_total(impacts: DataFrame) -> DataFrame:
     return impacts.agg(F.coalesce(F.sum("VAR_MEDIA_ABS"), F.lit(0.0)).alias("PERDA_ESTIMADA"))
 
 
-def vanished(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post: Sequence[str]) -> DataFrame:
-    """Customers that left the old system without showing up in the new one: value before, value now, loss."""
-    gone = stats.where(F.col("STATUS_MIGRACAO") == M_VANISHED).select("CPF_CNPJ")
+def _vanished_customers(fact: DataFrame, pre: Sequence[str], post: Sequence[str], month_old: str, month_new: str) -> DataFrame:
+    """Customer grain of both vanished analyses, from one scan: customer x month, then customer.
+
+    Vanished: invoices in the old system in month_old, none in the new one in month_new, and some positive amount ever.
+    """
     c = F.col
-    rows = positive(fact).where(c("ANO_MES").isin(*pre, *post))
+    pos = c("VALOR_FATURADO") > 0
+    wanted = c("ANO_MES").isin(*pre, *post)
     # Months first: a customer is a few rows by then, however many invoices it has.
-    month = rows.groupBy("CPF_CNPJ", "ANO_MES").agg(
-        F.sum("VALOR_FATURADO").alias("_v"), F.sum("QTD_CONTRATO").alias("_q"), F.collect_set("SISTEMA").alias("_s")
-    )
-    month = keep_existing(month, gone, {"CPF_CNPJ": "CPF_CNPJ"})
-    is_pre, is_post = c("ANO_MES").isin(*pre), c("ANO_MES").isin(*post)
-    agg = month.groupBy("CPF_CNPJ").agg(
-        _dbl(F.sum(F.when(is_pre, c("_v")))).alias("TOTAL_PRE"),
+    month = fact.where(c("CPF_CNPJ").isNotNull()).groupBy("CPF_CNPJ", "ANO_MES").agg(
+        F.sum(F.when(pos, c("VALOR_FATURADO"))).alias("_v"),
+        F.sum(F.when(pos, c("QTD_CONTRATO"))).alias("_q"),
+        F.count_if(pos).alias("_n"),
+        F.count_if((c("SISTEMA") == OLD_SYSTEM) & (c("ANO_MES") == month_old)).alias("_old"),
+        F.count_if((c("SISTEMA") == NEW_SYSTEM) & (c("ANO_MES") == month_new)).alias("_new"),
+        F.collect_set(F.when(pos & wanted, c("SISTEMA"))).alias("_s"),
+    )
+    live = c("_n") > 0
+    is_pre, is_post = live & c("ANO_MES").isin(*pre), live & c("ANO_MES").isin(*post)
+    found = month.groupBy("CPF_CNPJ").agg(
+        F.sum(F.when(is_pre, c("_v"))).alias("_pre"),
         F.sum(F.when(is_pre, c("_q"))).alias("CONTRATOS_PRE"),
         F.count_if(is_pre).alias("_mpre"),
         F.max(F.when(is_pre, c("ANO_MES"))).alias("ULTIMO_MES_PRE"),
-        _dbl(F.sum(F.when(is_post, c("_v")))).alias("_tpos"),
+        F.sum(F.when(is_post, c("_v"))).alias("_post"),
         F.sum(F.when(is_post, c("_q"))).alias("_qpos"),
         F.count_if(is_post).alias("MESES_POS"),
         # Bounded: at most one small set per month.
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(is_post, c("_s")))))).alias("_systems"),
         F.max(F.when(is_post, c("ANO_MES"))).alias("ULTIMO_MES_POS"),
-    )
+        F.sum("_old").alias("_old"), F.sum("_new").alias("_new"), F.sum("_n").alias("_n"),
+    )
+    return found.where((c("_old") > 0) & (c("_new") == 0) & (c("_n") > 0)).drop("_old", "_new", "_n")
+
+
+def vanished(fact: DataFrame, pre: Sequence[str], post: Sequence[str], month_old: str, month_new: str) -> DataFrame:
+    """Customers that left the old system without showing up in the new one: value before, value now, loss."""
+    c = F.col
+    found = _vanished_customers(fact, pre, post, month_old, month_new)
+    agg = found.withColumn("TOTAL_PRE", _dbl(c("_pre"))).withColumn("_tpos", _dbl(c("_post")))
     out = agg.where(c("_mpre") > 0).select(
         "CPF_CNPJ",
         "ULTIMO_MES_PRE",
@@ -373,22 +391,15 @@ def vanished(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post: Sequen
     )
 
 
-def vanished_summary(fact: DataFrame, stats: DataFrame, pre: Sequence[str], post: Sequence[str]) -> DataFrame:
+def vanished_summary(fact: DataFrame, pre: Sequence[str], post: Sequence[str], month_old: str, month_new: str) -> DataFrame:
     """One row: how many vanished, how many came back, revenue before and after, loss."""
-    gone = stats.where(F.col("STATUS_MIGRACAO") == M_VANISHED).select("CPF_CNPJ")
-    is_pre, is_post = F.col("ANO_MES").isin(*pre), F.col("ANO_MES").isin(*post)
-    per = positive(fact).where(is_pre | is_post).groupBy("CPF_CNPJ").agg(
-        F.sum(F.when(is_pre, F.col("VALOR_FATURADO"))).alias("_pre"),
-        F.sum(F.when(is_post, F.col("VALOR_FATURADO"))).alias("_post"),
-        F.count_if(is_post).alias("_n"),
-    )
-    per = keep_existing(per, gone, {"CPF_CNPJ": "CPF_CNPJ"})
-    totals = per.agg(
+    totals = _vanished_customers(fact, pre, post, month_old, month_new).agg(
+        F.count(F.lit(1)).alias("SUMIRAM"),
         F.coalesce(_dbl(F.sum("_pre")), F.lit(0.0)).alias("TOTAL_PRE"),
         F.coalesce(_dbl(F.sum("_post")), F.lit(0.0)).alias("TOTAL_POS"),
-        F.count_if(F.col("_n") > 0).alias("REAPARECERAM"),
+        F.count_if(F.col("MESES_POS") > 0).alias("REAPARECERAM"),
     )
-    return cross_one_row(totals, gone.agg(F.count(F.lit(1)).alias("SUMIRAM"))).select(
+    return totals.select(
         "SUMIRAM",
         "REAPARECERAM",
         (F.col("SUMIRAM") - F.col("REAPARECERAM")).alias("ZERARAM"),
@@ -692,10 +703,12 @@ def monthly_kpi(fact: DataFrame, by: Sequence[str] = ("ANO_MES",)) -> DataFrame:
     return out.withColumn("TICKET_MEDIO", guarded_ratio(F.col("TOTAL"), F.col("CONTRATOS")))
 
 
+KPI_SERIES = {"TOTAL": "total", "CONTRATOS": "contratos", "TICKET_MEDIO": "ticket", "CNPJS_ATIVOS": "cnpjs"}
+
+
 def kpi_trend(kpi: DataFrame) -> DataFrame:
     """One row with slope and R2 of the four monthly series."""
-    names = {"TOTAL": "total", "CONTRATOS": "contratos", "TICKET_MEDIO": "ticket", "CNPJS_ATIVOS": "cnpjs"}
-    return linear_trend(kpi, [], "ANO_MES", names)
+    return linear_trend(kpi, [], "ANO_MES", KPI_SERIES)
 
 
 # Sentences of the diagnosis.
@@ -721,15 +734,25 @@ def diagnose(kpi: DataFrame, cut: str) -> DataFrame:
     kpi: output of monthly_kpi by month. cut: last month before the migration.
     """
     c = F.col
-    trends = kpi_trend(kpi)
-    rounded = kpi.select("ANO_MES", F.round("TOTAL", 2).alias("TOTAL"), c("CONTRATOS").cast("double").alias("CONTRATOS"))
-    split = split_mean(rounded, "ANO_MES", cut, {"TOTAL": "fat", "CONTRATOS": "con"})
-    mom = month_over_month(rounded, "ANO_MES", {"TOTAL": "mm_fat", "CONTRATOS": "mm_con"})
-    worst_value = worst_period(mom, "ANO_MES", "mm_fat", "pior_mes_fat", "pior_fat_pct")
-    worst_count = worst_period(mom, "ANO_MES", "mm_con", "pior_mes_con", "pior_con_pct")
-    row = trends
-    for other in (split, worst_value, worst_count):
-        row = cross_one_row(row, other)
+    values = [*KPI_SERIES, "_fat", "_con"]
+    series = kpi.select(
+        "ANO_MES",
+        *[F.coalesce(_dbl(c(v)), F.lit(0.0)).alias(v) for v in KPI_SERIES],
+        F.round("TOTAL", 2).alias("_fat"),
+        _dbl(c("CONTRATOS")).alias("_con"),
+    )
+    # The months in order, written once; all series are then one aggregate.
+    months = in_order(series, [], "ANO_MES", values)
+    first = c("_prev").isNull()
+    changes = {"fat": change_from_previous("_fat"), "con": change_from_previous("_con")}
+    worst = [F.min(F.when(~first, F.struct(e.alias("v"), c("ANO_MES").alias("o")))).alias(f"_w_{n}") for n, e in changes.items()]
+    means, results = split_mean_parts("ANO_MES", cut, {"_fat": "fat", "_con": "con"})
+    row = months.agg(*trend_parts(KPI_SERIES, c("_x")), *means, *worst).select(
+        "*",
+        *results,
+        *[F.coalesce(c(f"_w_{n}.o"), F.lit("-")).alias(f"pior_mes_{n}") for n in changes],
+        *[F.coalesce(c(f"_w_{n}.v"), F.lit(0.0)).alias(f"pior_{n}_pct") for n in changes],
+    )
     direction = label_chain([(c("slope_total") < 0, "QUEDA"), (c("slope_total") > 0, "CRESCIMENTO")], "ESTÁVEL")
     cause = label_chain(
         [

@@ -8,11 +8,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import schema_diff
+from ..operators.quality import assert_unique, schema_diff
 from ..operators.updates import upsert, upsert_changed
+from ..session import stored
 
 BOM = "﻿"
 
@@ -130,15 +131,98 @@ def merge_slice(
     return {a: watch.get[a] for a in ("insert", "update")}
 
 
+def merge_buckets(source: DataFrame, path: str, keys: Sequence[str], hash_column: str, buckets: int = 256) -> dict[str, int]:
+    """Change-only upsert by key into a table that is partitioned by a hash of the key (`_bucket`); read it with read_buckets.
+
+    Only buckets with a source row are read, and only those with a new key or another hash are written; new files replace the
+    old ones when the job commits, all others stay as they are, and running it twice changes nothing. `buckets` is fixed
+    when the table is first written. Large buckets are several files. Returns rows inserted and updated.
+    """
+    spark = source.sparkSession
+    assert_unique(source, keys, "upsert source")
+    placed = stored(source.withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")), "merge")
+    fs, make = _file_system(spark, path)
+    watch = Observation()
+    if not fs.exists(make(path)):
+        first = placed.observe(watch, F.count(F.lit(1)).alias("insert"))
+        _writer(balanced(first, ["_bucket"]), "errorifexists", ["_bucket"]).parquet(path)
+        return {"insert": watch.get["insert"], "update": 0}
+    table = spark.read.parquet(path)
+    met = [r["_bucket"] for r in placed.select("_bucket").distinct().collect()]  # at most `buckets`
+    own = table.where(F.col("_bucket").isin(met)).select(*placed.columns)
+    before = own.select(*keys, F.col(hash_column).alias("_was"), F.lit(True).alias("_there"))
+    differs = F.col("_there").isNull() | (F.col(hash_column) != F.col("_was"))
+    changed = placed.join(before, list(keys), "left").where(differs).select("_bucket").distinct()
+    dirty = [r["_bucket"] for r in changed.collect()]
+    if not dirty:
+        return {"insert": 0, "update": 0}
+    in_dirty = F.col("_bucket").isin(dirty)
+    merged = upsert_changed(own.where(in_dirty), placed.where(in_dirty), keys, hash_column, check=False)
+    out = merged.observe(watch, *[F.count_if(F.col("_action") == a).alias(a) for a in ("insert", "update")]).drop("_action")
+    _writer(balanced(out, ["_bucket"]), "overwrite", ["_bucket"]).option("partitionOverwriteMode", "dynamic").parquet(path)
+    return {a: watch.get[a] for a in ("insert", "update")}
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("_bucket")
+
+
 def create_table_as(df: DataFrame, name: str) -> None:
     """Catalog table from a query, replacing an older one."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], name: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Write df as a catalog table bucketed and sorted by `keys`, a file a bucket, and read it: joins and groups that contain
+    the keys then need no exchange. By default a new table and as many buckets as shuffle partitions."""
+    spark = df.sparkSession
+    name = name or f"bucketed_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
+RANK_BITS = 8
+
+
+def _sortable(df: DataFrame, column: str) -> Column:
+    """A number that orders like the column: numbers, dates and times as they are, text by its first seven bytes."""
+    kind, c = dict(df.dtypes)[column], F.col(f"`{column}`")
+    if kind == "string":
+        head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long").cast("double")
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    return (F.unix_micros(c) if kind == "timestamp" else c).cast("double")
+
+
+def _rank(value: Column, bounds: Sequence[float]) -> Column:
+    """How many of the ascending bounds are at most the value, by halving; NULL ranks first."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
+    held = F.array(*[F.lit(b) for b in bounds])
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when(F.get(held, at + s - 1) <= value, at + s).otherwise(at))
+
+
 def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
-    """Range-partitioned and sorted on the filter columns, so that min / max statistics of the files prune."""
-    ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    return ranged.sortWithinPartitions(*columns)
+    """Rows in files that are small boxes in all the columns at once, so that a filter on any one of them prunes files.
+
+    Each column's values are replaced by their quantile rank (of 256), and rows are range-partitioned and sorted by the
+    interleaved bits of the ranks. One pass finds the quantiles; `df` is read again for the rows.
+    """
+    share = [i / (1 << RANK_BITS) for i in range(1, 1 << RANK_BITS)]
+    values = df.select(*[_sortable(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    found = values.agg(*[F.percentile_approx(f"v{i}", share, 10_000).alias(f"b{i}") for i in range(len(columns))]).first()
+    ranks = [_rank(_sortable(df, c), sorted(set(found[f"b{i}"] or ()))) for i, c in enumerate(columns)]
+    place = F.lit(0).cast("long")
+    for bit in reversed(range(RANK_BITS)):
+        for r in range(len(ranks)):
+            place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(F.col(f"_r{r}"), bit).bitwiseAND(F.lit(1)).cast("long"))
+    placed = df.select("*", *[r.alias(f"_r{i}") for i, r in enumerate(ranks)]).withColumn("_place", place)
+    ranged = placed.repartitionByRange(files, "_place") if files else placed.repartitionByRange("_place")
+    return ranged.sortWithinPartitions("_place", *columns).drop("_place", *[f"_r{i}" for i in range(len(ranks))])
 
 
 def to_csv(df: DataFrame, path: str, sep: str = ";", bom: bool = False) -> None:

@@ -75,6 +75,16 @@ def d40(spark, sf):
     return out.select("cnpj_informado", "cnpj_normalizado", "cnpj_valido", "api_status", "razao_social")
 
 
+@query(
+    "d40_document_summary",
+    f"""WITH {DOCS_SQL} SELECT COUNT(*) AS total_cnpjs, COUNT(CASE WHEN valido THEN 1 END) AS validos, COUNT(CASE WHEN NOT valido THEN 1 END) AS invalidos FROM given""",
+)
+def d40_summary(spark, sf):
+    none = F.lit(None).cast("string")
+    registry = given_docs(spark, sf).where("false").select(*[none.alias(n) for n in ("cnpj", "razao_social", "status_consulta", "nome_fantasia", "situacao_cadastral", "receita_uf", "receita_municipio")])
+    return E.document_summary(E.document_report(given_docs(spark, sf).withColumnRenamed("doc", "cnpj_informado"), registry))
+
+
 JSON_ITEM = """concat('{"codServico":"S', CAST(user_id AS STRING), '","aliq":', CAST(CAST(value * 100 AS INT) AS STRING), ',"fimVigencia":""}')"""
 DOCUMENT = (
     f"CASE event_id % 6 WHEN 0 THEN concat('[', {JSON_ITEM}, ',', {JSON_ITEM}, ']') WHEN 1 THEN concat('{{\"data\":[', {JSON_ITEM}, ']}}') "

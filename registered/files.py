@@ -176,15 +176,49 @@ def s16(spark, sf):
 def s17(spark, sf):
     path = scratch(spark)
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("dia"))
-    S.cluster(lines, ["dia", "l_orderkey"]).write.parquet(path)
+    S.cluster(lines, ["dia", "l_orderkey", "l_linenumber"]).write.parquet(path)
     return spark.read.parquet(path).where("dia >= DATE '1998-01-01' AND dia < DATE '1998-02-01'").withColumn("dia", F.col("dia").cast("string"))
 
 
-@query("s19_schema_diff", "SELECT 'nota' AS faltando, 'nome' AS sobrando, COUNT(*) AS n FROM customer")
+@query(
+    "s19_schema_diff",
+    "SELECT CAST(c_custkey AS VARCHAR) AS id, c_acctbal AS saldo, c_name || ' é' AS nota, 'nota' AS faltando, 'nome' AS sobrando FROM customer",
+)
 def s19(spark, sf):
-    rows = customers(spark, sf)
-    _, missing, extra = S.ensure_schema(rows, ["id", "saldo", "nota"])
-    return rows.agg(F.max(F.lit(",".join(missing))).alias("faltando"), F.max(F.lit(",".join(extra))).alias("sobrando"), F.count(F.lit(1)).alias("n"))
+    """A stored table whose schema has changed is rebuilt under the new one; one that fits is left alone."""
+    path, wanted = scratch(spark), ["id", "saldo", "nota"]
+    S.overwrite(customers(spark, sf), path)
+    _, missing, extra = S.ensure_schema(spark.read.parquet(path), wanted)
+    for _ in range(2):
+        stored = spark.read.parquet(path)
+        if not S.ensure_schema(stored, wanted)[0]:
+            S.overwrite(stored.select("id", "saldo", F.col("nome").alias("nota")), path)
+    return spark.read.parquet(path).select("*", F.lit(",".join(missing)).alias("faltando"), F.lit(",".join(extra)).alias("sobrando"))
+
+
+@query("s14_create_table_as", f"{CUSTOMER_SQL} WHERE c_custkey % 2 = 1")
+def s14(spark, sf):
+    """A catalog table made from a query, replaced by another one, and read by a third."""
+    name = f"ctas_{uuid.uuid4().hex}"
+    S.create_table_as(customers(spark, sf).select("id"), name)
+    S.create_table_as(R.sql_source(spark, "SELECT id, nome, saldo FROM {c} WHERE CAST(id AS BIGINT) % 2 = 1", c=customers(spark, sf)), name)
+    return R.table(spark, name)
+
+
+@query(
+    "s12_merge_buckets",
+    """SELECT c_custkey AS k, CASE WHEN c_custkey % 50 = 0 THEN 'novo' ELSE c_name END AS nome, (SELECT COUNT(*) FROM customer WHERE c_custkey % 50 = 0) AS atualizados, 1 AS inseridos, 0 AS repetidos FROM customer
+UNION ALL SELECT -1, 'extra', (SELECT COUNT(*) FROM customer WHERE c_custkey % 50 = 0), 1, 0""",
+)
+def s12_buckets(spark, sf):
+    path = scratch(spark)
+    base = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("nome"))
+    S.merge_buckets(base, path, ["k"], "nome", buckets=16)
+    extra = table(spark, sf, "region").where("r_regionkey = 0").select(F.lit(-1).cast("bigint").alias("k"), F.lit("extra").alias("nome"))
+    change = base.where("k % 50 = 0").withColumn("nome", F.lit("novo")).unionByName(extra)
+    done, again = (S.merge_buckets(change, path, ["k"], "nome", buckets=16) for _ in range(2))
+    counts = {"atualizados": done["update"], "inseridos": done["insert"], "repetidos": again["insert"] + again["update"]}
+    return S.read_buckets(spark, path).select("*", *[F.lit(v).alias(n) for n, v in counts.items()])
 
 
 @query("s21_write_csv", CUSTOMER_SQL.replace("c_acctbal AS", "CAST(c_acctbal AS DOUBLE) AS"))

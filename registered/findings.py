@@ -13,10 +13,12 @@ from billproof.operators import sets as U
 from billproof.operators import updates as X
 from billproof.operators import windows as W
 from billproof.plans import findings as P
+from billproof.plans import rules as RU
+from billproof.session import stored
 
 from . import query
 from .fixtures import LOT, quoted, table
-from .item_fixture import _sql_choice
+from .item_fixture import _sql_choice, exploded_sql, items, master, taxes
 
 AS_OF = dt.datetime(2026, 7, 31, 12, 0, 0)
 RULE_CHOICES = [
@@ -193,14 +195,18 @@ DETAIL_SELECT = [c for c in P.DETAIL_COLUMNS if c not in _DATES]
 TAG_SELECT = [c for c in P.TAG_COLUMNS if c not in _DATES]
 
 
+def prepared(spark, sf):
+    return P.prepare_hub(hub(spark, sf), accounts(spark, sf), LOT)
+
+
 @query("d25_detail", f"WITH {DETAIL_SQL} {_deduped(DETAIL_SELECT)}")
 def d25(spark, sf):
-    return P.detail(hub(spark, sf), accounts(spark, sf), LOT, AS_OF.date()).select(*DETAIL_SELECT)
+    return P.detail_of(prepared(spark, sf), AS_OF.date()).select(*DETAIL_SELECT)
 
 
 @query("d26_tag_detail", f"WITH {TAGS_SQL} {_deduped(TAG_SELECT)}")
 def d26(spark, sf):
-    return P.tag_detail(hub(spark, sf), accounts(spark, sf), LOT, AS_OF.date()).select(*TAG_SELECT)
+    return P.tag_detail_of(prepared(spark, sf), AS_OF.date()).select(*TAG_SELECT)
 
 
 OLD_TABLE = {
@@ -407,14 +413,16 @@ def j11(spark, sf):
 
 @query(
     "j12_computed_key",
-    """SELECT s_suppkey, c_custkey FROM supplier JOIN customer ON 'SIMETRA(' || s_nationkey || ')' = 'SIMETRA(' || c_nationkey || ')'
-  AND s_suppkey % 100 = c_custkey % 100""",
+    """SELECT o_orderkey, c_custkey, c_name FROM orders JOIN customer ON 'SIMETRA(' || o_orderstatus || ')' = 'SIMETRA(' || CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'O' END || ')'
+  AND o_custkey = c_custkey""",
 )
 def j12(spark, sf):
-    wrapped = lambda c: F.concat(F.lit("SIMETRA("), F.col(c).cast("string"), F.lit(")"))
-    s = table(spark, sf, "supplier").select("s_suppkey", wrapped("s_nationkey").alias("crm"), (F.col("s_suppkey") % 100).alias("k"))
-    c = table(spark, sf, "customer").select("c_custkey", wrapped("c_nationkey").alias("crm"), (F.col("c_custkey") % 100).alias("k"))
-    return s.join(c, ["crm", "k"]).select("s_suppkey", "c_custkey")
+    """The written system name and the customer code together are the key."""
+    wrapped = lambda c: F.concat(F.lit("SIMETRA("), c, F.lit(")"))
+    o = table(spark, sf, "orders").select("o_orderkey", wrapped(F.col("o_orderstatus")).alias("crm"), F.col("o_custkey").alias("k"))
+    own = F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("O")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", wrapped(own).alias("crm"), F.col("c_custkey").alias("k"))
+    return J.skew_join(o, c, ["crm", "k"], "inner").select("o_orderkey", "c_custkey", "c_name")
 
 
 @query("u1_union_all", "SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey FROM supplier")
@@ -635,14 +643,94 @@ def q6_tags(spark, sf):
     return P.report_tags(P.tag_detail(hub(spark, sf), accounts(spark, sf), LOT, AS_OF.date()))
 
 
-@query("q3_schema_check", "SELECT TRUE AS contas_ok, 0 AS faltando")
+@query(
+    "q3_schema_check",
+    f"WITH {ACCOUNT_SQL} " + " UNION ALL ".join(
+        f"SELECT '{x}' AS coluna, TRUE AS presente, COUNT({x}) AS preenchidas FROM accounts" for x in ACCOUNT_SELECT
+    ) + " UNION ALL SELECT 'COLUNA_NOVA', FALSE, 0",
+)
 def q3(spark, sf):
-    out = accounts(spark, sf)
-    missing, _ = Q.schema_diff(out, P.ACCOUNT_COLUMNS)
-    same = Q.schema_check(out, P.ACCOUNT_COLUMNS, exact=True)
-    return out.agg(F.bool_and(F.lit(same)).alias("contas_ok"), F.max(F.lit(len(missing))).alias("faltando"))
+    """Every wanted column: is it there, and in how many rows is it filled?"""
+    out, wanted = accounts(spark, sf), [*ACCOUNT_SELECT, "COLUNA_NOVA"]
+    missing, _ = Q.schema_diff(out, wanted)
+    counts = out.agg(*[(F.lit(0).cast("long") if x in missing else F.count(x)).alias(x) for x in wanted])
+    parts = [F.struct(F.lit(x).alias("coluna"), F.lit(x not in missing).alias("presente"), F.col(x).alias("preenchidas")) for x in wanted]
+    return counts.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
 
 
 @query("q4_not_empty", f"WITH {HUB_SQL} SELECT COUNT(*) AS n FROM hub WHERE ID_Lote = '{LOT}'")
 def q4(spark, sf):
     return Q.assert_not_empty(P.select_lot(hub(spark, sf), LOT), "findings").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _checks_sql(rows: str, checks: dict) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS \"check\", COUNT(CASE WHEN {c} THEN 1 END) AS violations, COUNT(CASE WHEN {c} THEN 1 END) = 0 AS ok FROM {rows}" for n, c in checks.items()
+    )
+
+
+@query(
+    "q2_detail_checks",
+    f"WITH {DETAIL_SQL}, u AS ({_deduped(DETAIL_SELECT)}) "
+    + _checks_sql("u", {
+        "status_validacao": f"({BAD} AND STATUS_VALIDACAO <> 'PENDENTE') OR (STATUS = 'CORRETO' AND STATUS_VALIDACAO <> 'VALIDADO')",
+        "ruim_com_tag": f"{BAD} AND (TAG IS NULL OR TAG = '')",
+        "filtra_page": "REGRA || '_' || STATUS IS NULL",
+    }),
+)
+def q2_details(spark, sf):
+    return Q.check(P.detail_of(prepared(spark, sf), AS_OF.date()), P.detail_checks())
+
+
+@query(
+    "q2_tag_checks",
+    f"WITH {TAGS_SQL}, u AS ({_deduped(TAG_SELECT)}) "
+    + _checks_sql("u", {
+        "somente_ruins": f"NOT ({BAD})",
+        "tag_preenchida": "TAG IS NULL OR TAG = ''",
+        "status_validacao": f"{BAD} AND STATUS_VALIDACAO <> 'PENDENTE'",
+        "analista_nulo": "FALSE",  # the tag table has no analyst
+    }),
+)
+def q2_tags(spark, sf):
+    return Q.check(P.tag_detail_of(prepared(spark, sf), AS_OF.date()), P.tag_checks())
+
+
+# -- the chain: rules -> hub -> accounts -> details and tags -----------------------------------------------------------
+
+RULES_HUB_SQL = exploded_sql("item_id, FATURA_NUMERO, sistem_origem") + """, hub AS (SELECT COALESCE(FATURA_NUMERO, '') AS FATURA, CAST(item_id AS VARCHAR) AS ID_CONTA_CONTRATO, regra AS REGRA, status AS STATUS,
+  substatus AS SUBSTATUS, observacao AS OBSERVACAO, CAST(NULL AS VARCHAR) AS Produto, COALESCE(sistem_origem, '') AS CRM, 'NFCOM' AS SEGMENTO, CAST(NULL AS VARCHAR) AS VALOR_BILLING FROM findings)"""
+CHAIN_ACCOUNTS_SQL = ACCOUNT_SQL.replace(HUB_SQL, RULES_HUB_SQL)
+
+
+def rules_hub(spark, sf):
+    """The findings of the rule job in the hub's layout, every item an account."""
+    rows = items(spark, sf).withColumn("ID_CLIENTE", F.col("item_id").cast("string"))
+    return RU.to_hub(RU.findings(rows, master(spark, sf), taxes(spark, sf), LOT), LOT, F.lit(AS_OF))
+
+
+@query("d22_accounts_from_rules", f"WITH {CHAIN_ACCOUNTS_SQL} SELECT {', '.join(ACCOUNT_SELECT)} FROM accounts")
+def d22_chain(spark, sf):
+    return P.account_rollup(rules_hub(spark, sf), customers(spark, sf), LOT, AS_OF).select(*ACCOUNT_SELECT)
+
+
+CHAIN_SELECT = ["FATURA", "ID_CONTA", "REGRA", "STATUS", "SUBSTATUS", "OBSERVACAO", "STATUS_VALIDACAO", "TAG", "RESUMO"]
+_CHAIN_TAG = "COALESCE(trim(split_part(OBSERVACAO, ':', 1)), REGRA)"
+_CHAIN_ROWS = f"""SELECT DISTINCT FATURA, ID_CONTA_CONTRATO AS ID_CONTA, REGRA, STATUS, SUBSTATUS, OBSERVACAO, CASE WHEN {BAD} THEN 'PENDENTE' ELSE 'VALIDADO' END AS STATUS_VALIDACAO,
+  {{tag}} AS TAG, CASE WHEN trim(OBSERVACAO) <> '' THEN {_CHAIN_TAG} || ' | ' || OBSERVACAO ELSE {_CHAIN_TAG} END AS RESUMO FROM hub"""
+
+
+def _chain(spark, sf):
+    hub_rows = stored(rules_hub(spark, sf), "hub")
+    found = P.account_rollup(hub_rows, customers(spark, sf), LOT, AS_OF)
+    return P.prepare_hub(hub_rows, stored(found.select("ID_CONTA"), "accounts"), LOT)
+
+
+@query("d25_details_from_rules", f"WITH {RULES_HUB_SQL} {_CHAIN_ROWS.format(tag=f'CASE WHEN {BAD} THEN {_CHAIN_TAG} END')}")
+def d25_chain(spark, sf):
+    return P.detail_of(_chain(spark, sf), AS_OF.date()).select(*CHAIN_SELECT)
+
+
+@query("d26_tags_from_rules", f"WITH {RULES_HUB_SQL} {_CHAIN_ROWS.format(tag=_CHAIN_TAG)} WHERE {BAD}")
+def d26_chain(spark, sf):
+    return P.tag_detail_of(_chain(spark, sf), AS_OF.date()).select(*CHAIN_SELECT)

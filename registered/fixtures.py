@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from billproof.plans.revenue import Window2, revenue_fact
 
-MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 PRE = ("1997-12", "1998-01", "1998-02")
 POST = ("1998-03", "1998-04", "1998-05", "1998-06", "1998-07")
 WINDOW = Window2(PRE, POST)
@@ -25,6 +24,15 @@ def quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+def months(spark: SparkSession, sf: str) -> list[str]:
+    """Every month from the first order to the last."""
+    found = table(spark, sf, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    if found["a"] is None:
+        return ["1970-01"]
+    low, high = (12 * d.year + d.month - 1 for d in (found["a"], found["b"]))
+    return [f"{n // 12}-{n % 12 + 1:02d}" for n in range(low, high + 1)]
+
+
 # -- revenue fact ---------------------------------------------------------------------------------------------
 
 
@@ -56,7 +64,7 @@ def new_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:
-    return revenue_fact(old_layout(spark, sf), new_layout(spark, sf), MONTHS, amount_type="decimal(18,2)")
+    return revenue_fact(old_layout(spark, sf), new_layout(spark, sf), months(spark, sf), amount_type="decimal(18,2)")
 
 
 FACT_SQL = """

@@ -371,7 +371,7 @@ SELECT *, CASE WHEN TOTAL_POS > 0 THEN 'Reapareceu (outro sistema)' ELSE 'Zerou
   (MEDIA_MENSAL_PRE - MEDIA_MENSAL_POS) / MEDIA_MENSAL_PRE * {D} AS PERDA_PCT FROM gv""",
 )
 def d31(spark, sf):
-    out = R.vanished(fact(spark, sf), stats(spark, sf), PRE, POST_GONE)
+    out = R.vanished(fact(spark, sf), PRE, POST_GONE, MONTH_OLD, MONTH_NEW)
     joined = F.when(F.col("SISTEMAS_POS").isNotNull(), F.concat_ws(",", "SISTEMAS_POS"))
     return out.withColumn("SISTEMAS_POS", joined)
 
@@ -385,7 +385,7 @@ SELECT (SELECT COUNT(*) FROM gone) AS SUMIRAM, (SELECT COUNT(*) FROM gs) AS REAP
   ROUND((SELECT COALESCE(SUM(TOTAL_PRE), 0) FROM gp) - (SELECT COALESCE(SUM(TOTAL_POS), 0) FROM gs), 2) AS PERDA_TOTAL""",
 )
 def d31_summary(spark, sf):
-    out = R.vanished_summary(fact(spark, sf), stats(spark, sf), PRE, POST_GONE)
+    out = R.vanished_summary(fact(spark, sf), PRE, POST_GONE, MONTH_OLD, MONTH_NEW)
     return rounded(out, "TOTAL_PRE", "TOTAL_POS", "PERDA_TOTAL", digits=2)
 
 

@@ -310,7 +310,7 @@ def q6_classes(spark, sf):
 @query(
     "d1_standing_merge",
     f"""WITH {STANDING_SQL}, k AS (SELECT id_registro, ciclo_faturamento, sistema_origem, MIN(hash_registro) AS h FROM standing GROUP BY 1, 2, 3)
-SELECT sistema_origem, CASE WHEN ciclo_faturamento > '199912' THEN 'insert' WHEN sistema_origem = 'NG' THEN 'update' ELSE 'keep' END AS acao, COUNT(*) AS n FROM k GROUP BY 1, 2""",
+SELECT id_registro, ciclo_faturamento, sistema_origem, h AS hash_registro, CASE WHEN ciclo_faturamento > '199912' THEN 'insert' WHEN sistema_origem = 'NG' THEN 'update' ELSE 'keep' END AS acao FROM k""",
 )
 def d1_merge(spark, sf):
     from billproof.operators.joins import unique_by
@@ -319,4 +319,4 @@ def d1_merge(spark, sf):
     stored = fresh.where("ciclo_faturamento <= '199912'")
     stored = X.update_where(stored, F.col("sistema_origem") == "NG", {"hash_registro": F.lit("old")})
     merged = X.upsert_changed(stored, fresh, S.MERGE_KEYS, "hash_registro", check=False)
-    return merged.groupBy("sistema_origem", F.col("_action").alias("acao")).agg(F.count(F.lit(1)).alias("n"))
+    return merged.select(*S.MERGE_KEYS, "hash_registro", F.col("_action").alias("acao"))

@@ -91,13 +91,14 @@ def test_text_parts_cover_long_accounts(rows):
     parts = FD.account_text_parts(data, "2026-07", limit=60).collect()
     assert len(parts) > 3
     assert sorted(" | ".join(p._notes for p in parts).split(" | ")) == sorted(f"GAP: o{i}" for i in range(40))
-    table = FD.account_rollup(data, customers(rows), "2026-07", NOW, text_limit=60)
-    first = table.where("STATUS IS NOT NULL").collect()
-    assert len(first) == 1 and first[0].OBSERVACAO == next(p._notes for p in parts if p._part == 0)
-    further = table.where("STATUS IS NULL").collect()
-    assert sorted(r.OBSERVACAO for r in [*first, *further]) == sorted(p._notes for p in parts)
-    assert {(r.ID_CONTA, r.SISTEMA, r.ID_LOTE, r.VALOR, r.PROBLEMA) for r in further} == {("1", first[0].SISTEMA, "2026-07", None, None)}
-    assert [r[0] for r in FD.report_accounts(table).select("STATUS").collect()] == ["INCORRETO"]
+    tables = {n: FD.account_rollup(data, customers(rows), "2026-07", NOW, text_limit=n) for n in (60, 1_000_000)}
+    cut, whole = (t.collect() for t in tables.values())
+    assert tables[60].schema == tables[1_000_000].schema and len(cut) == len(whole) == 1  # the same grain at any limit
+    assert cut[0].OBSERVACAO == next(p._notes for p in parts if p._part == 0) and cut[0].TEXTO_PARTES == len(parts)
+    assert len(whole[0].OBSERVACAO.split(" | ")) == 40 and whole[0].TEXTO_PARTES == 1
+    assert cut[0].TEXTO_DIGESTO == whole[0].TEXTO_DIGESTO == sum(p._digest for p in parts) != 0
+    assert cut[0].TEXTO_TAMANHO == whole[0].TEXTO_TAMANHO == sum(p._size for p in parts) == sum(len(f"GAP: o{i}") for i in range(40))
+    assert [(r.STATUS, r.faturas) for r in FD.report_accounts(tables[60]).collect()] == [("INCORRETO", 1)]
 
 
 def customer_row(**changes):

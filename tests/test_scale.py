@@ -89,9 +89,9 @@ def test_concat_parts_deals_out_copies(spark):
 
 
 @pytest.mark.parametrize("values", [[5.0, 1.0, 3.0], [1.0, 2.0, 3.0, 10.0], [7.0] * 9 + [1.0], [float(i * i % 1009) for i in range(5000)], [2.5]])
-def test_exact_median_with_small_candidate_limit(rows, values):
+def test_exact_median(rows, values):
     df = rows("v double", [(v,) for v in values] + [(None,)]).repartition(4)
-    assert D.exact_medians(df, ["v"], candidates=20)["v"] == statistics.median(values)
+    assert D.exact_medians(df, ["v"])["v"] == statistics.median(values)
     assert D.exact_medians(rows("v double", [(None,)]), ["v"]) == {"v": None}
 
 
@@ -187,3 +187,33 @@ def test_one_row_tables_are_checked(spark):
     with pytest.raises(Exception, match="more than one row"):
         J.cross_one_row(rows, rows.withColumnRenamed("id", "x")).collect()
     assert J.cross_one_row(rows, rows.where("id = 3").withColumnRenamed("id", "x")).count() == 5
+
+
+def _scans(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.count("FileScan"), len([x for x in text.split("\n") if "Exchange" in x and "BroadcastExchange" not in x])
+
+
+@pytest.mark.parametrize("name", ["d25_detail", "d26_tag_detail"])
+def test_details_read_the_hub_in_place(spark, sf, name):
+    """One scan, and no exchange of the hub's rows."""
+    assert _scans(entry.queries()[name](spark, sf)) == (1, 0)
+
+
+def test_grains_from_one_fact(spark, sf):
+    assert _scans(entry.queries()["d31_vanished"](spark, sf))[0] == 4  # two tables for each of two systems
+    assert _scans(entry.queries()["d38_diagnose"](spark, sf))[0] <= 2  # the ordered months
+
+
+def test_a_hot_account_lies_in_many_buckets(spark, rows):
+    from billproof.plans import findings as P
+
+    hub = spark.range(4000).select(
+        F.concat(F.lit("f"), F.col("id") % 500).alias("FATURA"), F.lit("hot").alias("ID_CONTA_CONTRATO"), F.lit("VALIDACAO_NFCOM").alias("REGRA"),
+        *[F.lit(None).cast("string").alias(c) for c in ("STATUS", "SUBSTATUS", "OBSERVACAO", "SEGMENTO", "Tipo_Servico", "Desc_Servico", "Tipo_Imposto", "Produto", "DADOS_BILLING", "DADOS_CONTRATO", "DADOS_TABELA_VERDADE", "VALOR_BILLING", "VALOR_CONTRATO")],
+        F.lit("L").alias("ID_Lote"), F.lit("NG").alias("CRM"),
+    )
+    table = P.prepare_hub(hub, rows("ID_CONTA string", [("hot",)]), "L", buckets=8)
+    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1200
+    assert P.detail_of(table, __import__("datetime").date(2026, 1, 1)).count() == 500

@@ -163,3 +163,53 @@ def test_flat_registry_layout(rows):
     a, b, c = JR.normalise_registry(raw, "flat").orderBy("cnpj").collect()
     assert (a.razao_social, a.receita_cep, a.capital_social, a.opcao_mei, a.nome_fantasia, a.status_consulta) == ("A", "01234567", 5.0, True, None, "ok")
     assert (b.status_consulta, b.razao_social, c.status_consulta) == ("erro_http_404", None, "timeout")
+
+
+def _ranges(path, column):
+    """(min, max) of a column in each file, from the footers."""
+    import pyarrow.parquet as pq
+
+    found = []
+    for f in sorted(path.glob("*.parquet")):
+        meta = pq.ParquetFile(f).metadata
+        at = next(i for i in range(meta.num_columns) if meta.schema.column(i).path == column)
+        own = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        found.append((min(s.min for s in own), max(s.max for s in own)))
+    return found
+
+
+def test_clustering_prunes_by_every_column(spark, tmp_path):
+    mixed = [F.pmod(F.xxhash64(F.lit(s), "id"), F.lit(1000)) for s in range(4)]
+    day = F.date_add(F.lit("2026-01-01").cast("date"), mixed[3].cast("int"))
+    rows = spark.range(40_000).select(mixed[0].alias("a"), (mixed[1] / 7).alias("b"), F.format_string("k%04d", mixed[2]).alias("c"), day.alias("d"))
+    out = tmp_path / "c"
+    T.cluster(rows.unionByName(rows.limit(50).select(*[F.lit(None).cast(t).alias(c) for c, t in rows.dtypes])), ["a", "b", "c", "d"], files=64).write.parquet(str(out))
+    assert spark.read.parquet(str(out)).count() == 40_050
+    import datetime as dt
+
+    wanted = {"a": [100, 500, 900], "b": [10.0, 70.0, 130.0], "c": ["k0100", "k0500", "k0900"], "d": [dt.date(2026, 4, 11), dt.date(2027, 5, 16), dt.date(2028, 6, 19)]}
+    for column, values in wanted.items():
+        files = _ranges(out, column)
+        for v in values:
+            read = sum(low <= v <= high for low, high in files) / len(files)
+            assert read < (0.5 if column in "ab" else 0.7), (column, v, read)  # a sort by the first column reads all for the others
+
+
+def test_merge_rewrites_changed_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "m")
+    base = spark.range(5000).select("id", F.lit("x").alias("h"))
+    assert T.merge_buckets(base, path, ["id"], "h", buckets=32) == {"insert": 5000, "update": 0}
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "m").rglob("*.parquet")}
+    before = files()
+    few = base.where(F.pmod(F.xxhash64("id"), F.lit(32)).isin(3, 17)).limit(50)
+    change = few.withColumn("h", F.lit("y")).unionByName(base.where("id % 7 = 0 AND h = 'x'").join(few, "id", "left_anti"))
+    assert T.merge_buckets(change, path, ["id"], "h", buckets=32) == {"insert": 0, "update": 50}
+    after = files()
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f.parent.name for f in before if f not in same} == {"_bucket=3", "_bucket=17"}
+    assert T.merge_buckets(change, path, ["id"], "h", buckets=32) == {"insert": 0, "update": 0} and files() == after
+    assert T.merge_buckets(spark.range(9000, 9003).select("id", F.lit("z").alias("h")), path, ["id"], "h", buckets=32) == {"insert": 3, "update": 0}
+    got = T.read_buckets(spark, path).groupBy("h").count()
+    assert {r.h: r["count"] for r in got.collect()} == {"x": 4950, "y": 50, "z": 3}
+    with pytest.raises(ValueError):
+        T.merge_buckets(base.unionByName(base.limit(1)), path, ["id"], "h", buckets=32)
