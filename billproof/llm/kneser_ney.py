@@ -1,15 +1,15 @@
 """Interpolated modified Kneser-Ney language model of any order, counted in Spark and kept as sorted hash arrays.
 
 Counting. Every task turns words into 64-bit hashes, sums equal n-grams of some million tokens at a time, and sends them as
-packed blocks to a grid of cells: rows of the grid by the last word's hash, columns by the hash of the word before it. A
+packed blocks (their words once, then numbers) to a grid of cells: rows of the grid by the last word's hash, columns by the hash of the word before it. A
 frequent word is thereby spread over a row and a column of cells, never in one task. All n-grams that end in the same two
 words are in one cell, so a cell also has the lower orders down to pairs: a lower n-gram counts the distinct words that
 stand before it. A cell sums its n-grams, writes one sorted hash array per order to the shared folder, and sends what it
 knows of contexts (totals and counts of counts) on: of single words, with occurrences and distinct contexts, to the shard
-that owns the word's hash range, and of longer contexts to the cell of their last two words, which write the arrays. Only a
-few totals per file come to the driver.
+that owns the word's hash range, and of longer contexts to the cell of their last two words, which keep them beside the
+n-grams of the same words. Only a few totals per file come to the driver.
 
-Scoring. Workers memory-map the files; a block of texts looks its distinct words and n-grams up in sorted order.
+Scoring. Workers memory-map the files once; a block of texts looks its distinct words and n-grams up in sorted order.
 
 p(w | h) = max(c(h, w) - D(c(h, w)), 0) / c(h) + gamma(h) * p(w | h less its first word), where c are occurrences in the
 highest order and numbers of distinct words before in the lower ones; a context that wasn't met passes to the next order. A
@@ -31,16 +31,33 @@ from pyspark.sql import functions as F
 
 from . import common, hash_arrays
 
-END = xxhash.xxh64_intdigest(b"\n")  # white space can't be in a word
-START = xxhash.xxh64_intdigest(b"\n\n")
+MARKS = {b"\n": 0, b"\n\n": 1}  # the end and the start mark: white space can't be in a word
+END, START = map(xxhash.xxh64_intdigest, MARKS)
 FIRST = np.uint64(0x9E3779B97F4A7C15)  # any odd numbers
 SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
-COUNTED = 3_000_000
+KEY = 56  # bits of an n-gram's hash; a cell of a million n-grams has two equal ones with a chance of 1 in 100,000
+COUNTED = 3_500_000
+CELL_BYTES = 24 << 20  # text a cell of the grid stands for
 SCORED = 400_000
 CACHED = 1_000_000
 FACTS = ("count", "contexts", "total", "ones", "twos", "more")
 
 
+class Numbers(dict):
+    """Word -> its number in order of first sight, for one block of texts."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+    def of(self, text: bytes) -> np.ndarray:
+        """Numbers of a text's tokens: lower-cased words (A-Z), then the end, which is number 0."""
+        words = text.lower().split()
+        out = np.zeros(len(words) + 1, np.uint32)
+        out[:-1] = np.fromiter(map(self.__getitem__, words), np.uint32, len(words))
+        return out
+
+
 class Hashes(dict):
     """Word -> hash; forgets all when it holds CACHED words."""
 
@@ -59,14 +76,9 @@ class Hashes(dict):
         return out
 
 
-def worker_hashes() -> Hashes:
-    """The hashes known to this Python worker, kept over its tasks."""
-    return common.held_by_worker(("hashes",), Hashes)
-
-
-def columns(held: list[np.ndarray], order: int) -> list[np.ndarray]:
+def columns(held: list[np.ndarray], order: int, mark: int = START) -> list[np.ndarray]:
     """The n-grams of texts, one array per place; texts begin with order - 1 start marks."""
-    start = np.full(order - 1, START, np.uint64)
+    start = np.full(order - 1, mark, held[0].dtype)
     padded = [np.concatenate((start, h)) for h in held]
     return [np.concatenate([p[k : len(p) - order + 1 + k] for p in padded]) for k in range(order)]
 
@@ -77,10 +89,11 @@ def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def gram_key(words: list[np.ndarray]) -> np.ndarray:
+    """The hash of n-grams in KEY bits."""
     key = words[0]
     for w in words[1:]:
         key = pair_key(key, w)
-    return key
+    return key >> np.uint64(64 - KEY)
 
 
 def slot(hashes: np.ndarray, side: int, high: bool) -> np.ndarray:
@@ -93,17 +106,26 @@ def cell_of(first: np.ndarray, second: np.ndarray, side: int) -> np.ndarray:
     return slot(second, side, True) * side + slot(first, side, False)
 
 
-def pack(arrays: list[np.ndarray]) -> bytes:
+def planes(a: np.ndarray) -> bytes:
+    """The bytes of an array, all first bytes first: equal upper bytes then cost nothing."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def pack(arrays: list[np.ndarray], rising: tuple[int, ...] = ()) -> bytes:
+    """Arrays as one compressed block; those at the places `rising` are in ascending order and kept as differences."""
+    arrays = [np.diff(a, prepend=a.dtype.type(0)) if i in rising else a for i, a in enumerate(arrays)]
     head = np.array([len(a) for a in arrays], "<u8").tobytes() + b"".join(a.dtype.str.encode().ljust(4) for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(map(planes, arrays)))
 
 
-def unpack(data: bytes, n: int) -> list[np.ndarray]:
+def unpack(data: bytes, n: int, rising: tuple[int, ...] = ()) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(data)
     at, out = 12 * n, []
     for i in range(n):
         size, kind = int.from_bytes(data[8 * i : 8 * i + 8], "little"), np.dtype(data[8 * n + 4 * i : 8 * n + 4 * i + 4].decode().strip())
-        out.append(np.frombuffer(data, kind, size, at))
+        raw = np.frombuffer(data, np.uint8, size * kind.itemsize, at)
+        a = np.ascontiguousarray(raw.reshape(kind.itemsize, size).T).view(kind).reshape(size) if kind.itemsize > 1 else raw.view(kind)
+        out.append(np.cumsum(a, dtype=kind) if i in rising else a)
         at += size * kind.itemsize
     return out
 
@@ -128,30 +150,36 @@ def starts_of(ids: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def summed(ids: list[np.ndarray], counts: np.ndarray, known: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct n-grams of word numbers, in order, with summed counts."""
+def summed(ids: list[np.ndarray], counts: np.ndarray | None, known: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct n-grams of word numbers, in order, with summed counts (None: ones)."""
     order = in_order(ids, known)
-    ids, counts = [x[order] for x in ids], counts[order]
+    ids = [x[order] for x in ids]
     new = starts_of(ids)
-    return [x[new] for x in ids], np.add.reduceat(counts, new) if len(new) else counts
-
-
-def blocks(grams: list[np.ndarray], side: int):
-    """(cell, packed block) of n-grams: for each place the words of the block and their numbers, then the counts."""
-    words = np.unique(np.append(grams[-1], np.uint64(START)))  # every word stands last somewhere, but for the start mark
-    ids = [np.searchsorted(words, g).astype(np.uint32) for g in grams]
-    ids, counts = summed(ids, np.ones(len(ids[0]), np.uint32), len(words))
-    cells = cell_of(words[ids[-2]], words[ids[-1]], side)
-    order = np.argsort(cells.astype(np.min_scalar_type(side * side)), kind="stable")
-    ids, counts, cells = [x[order] for x in ids], counts[order], cells[order]
+    if counts is None:
+        return [x[new] for x in ids], np.diff(np.append(new, len(order))).astype(np.uint32)
+    return [x[new] for x in ids], np.add.reduceat(counts[order], new) if len(new) else counts
+
+
+def blocks(held: list[np.ndarray], words: list[bytes], side: int, order: int):
+    """(cell, packed block) of the n-grams of texts (word numbers): the words of the block, for each place their numbers,
+    then the counts. words: by number; the first two are the end and the start mark."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    by_hash = np.argsort(hashes)
+    rank = np.empty(len(words), np.uint32)
+    rank[by_hash] = np.arange(len(words), dtype=np.uint32)
+    ids, counts = summed([rank[x] for x in columns(held, order, 1)], None, len(words))
+    hashes = hashes[by_hash]
+    cells = cell_of(hashes[ids[-2]], hashes[ids[-1]], side)
+    by = np.argsort(cells.astype(np.min_scalar_type(side * side)), kind="stable")
+    ids, counts, cells = [x[by] for x in ids], counts[by], cells[by]
     cut = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1], [True])))
     for a, b in zip(cut[:-1], cut[1:]):
-        parts = []
+        there = np.zeros(len(words), bool)
         for x in ids:
-            there = np.zeros(len(words), bool)
             there[x[a:b]] = True
-            parts += [words[there], hash_arrays.narrow((np.cumsum(there) - 1)[x[a:b]])]
-        yield int(cells[a]), pack([*parts, hash_arrays.narrow(counts[a:b])])
+        number = np.cumsum(there) - 1
+        own = [hash_arrays.narrow(number[x[a:b]]) for x in ids]
+        yield int(cells[a]), pack([hashes[there], *own, hash_arrays.narrow(counts[a:b])], (0, order))
 
 
 def counted(df: DataFrame, side: int, order: int) -> DataFrame:
@@ -159,20 +187,18 @@ def counted(df: DataFrame, side: int, order: int) -> DataFrame:
     schema = pa.schema([("cell", pa.int32()), ("block", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
-        hashes = worker_hashes()
-        held: list[np.ndarray] = []
-        size = 0
+        numbers, held, size = Numbers(MARKS), [], 0
 
         def flushed() -> common.Batches:
-            nonlocal held, size
-            grams = columns(held, order)
-            held, size = [], 0
-            for cell, block in blocks(grams, side):
+            nonlocal numbers, held, size
+            words, texts = list(numbers), held
+            numbers, held, size = Numbers(MARKS), [], 0
+            for cell, block in blocks(texts, words, side, order):
                 yield common.batch_of(schema, [[cell], [block]])
 
         for batch in batches:
             for text in common.utf8(batch, "text"):
-                held.append(hashes.of(text))
+                held.append(numbers.of(text))
                 size += len(held[-1])
                 if size >= COUNTED:
                     yield from flushed()
@@ -207,9 +233,11 @@ def cells(grams: DataFrame, folder: str, side: int, order: int) -> DataFrame:
 
     def run(batches: common.Batches) -> common.Batches:
         for cell, rows in by_group(batches):
-            parts = [unpack(block, 2 * order + 1) for (block,) in rows]
-            known = np.unique(np.concatenate([p[2 * k] for p in parts for k in range(order)]))
-            ids = [np.concatenate([np.searchsorted(known, p[2 * k]).astype(np.uint32)[p[2 * k + 1]] for p in parts]) for k in range(order)]
+            parts = [unpack(block, order + 2, (0, order)) for (block,) in rows]
+            known = np.unique(np.concatenate([p[0] for p in parts]))
+            back = [np.searchsorted(known, p[0]).astype(np.uint32) for p in parts]
+            ids = [np.concatenate([n[p[k + 1]] for n, p in zip(back, parts)]) for k in range(order)]
+            del back
             ids, count = summed(ids, np.concatenate([p[-1].astype(np.uint64) for p in parts]), len(known))
             del parts, rows
             occurred = known[ids[-1]], count
@@ -217,9 +245,7 @@ def cells(grams: DataFrame, folder: str, side: int, order: int) -> DataFrame:
                 own = [known[x] for x in ids]
                 key = gram_key(own)
                 by_key = np.argsort(key)
-                small = np.minimum(count, 255).astype(np.uint8)[by_key]
-                big = np.flatnonzero(small == 255)
-                hash_arrays.write(f"{folder}/grams{k}-{cell:06d}.bin", {"key": key[by_key], "count": small, "big": key[by_key][big], "big_count": count[by_key][big]})
+                hash_arrays.write(f"{folder}/grams{k}-{cell:06d}.bin", hash_arrays.keys(key[by_key], KEY) | hash_arrays.values("count", count[by_key]))
                 yield common.batch_of(schema, [[-k], [np.array(count_of_counts(count), "<i8").tobytes()]])
                 if k > 2:
                     for shard, block in sent(cell_of(own[-3], own[-2], side) + side + (k - 3) * side * side, gram_key(own[:-1]), count):
@@ -231,7 +257,7 @@ def cells(grams: DataFrame, folder: str, side: int, order: int) -> DataFrame:
             shards = slot(facts[0], side, True)
             cut = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
             for a, b in zip(cut[:-1], cut[1:]):
-                yield common.batch_of(schema, [[int(shards[a])], [pack([facts[0][a:b], *(hash_arrays.narrow(f[a:b]) for f in facts[1:])])]])
+                yield common.batch_of(schema, [[int(shards[a])], [pack([facts[0][a:b], *(hash_arrays.narrow(f[a:b]) for f in facts[1:])], (0,))]])
 
     return grams.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "shard int, block binary")
 
@@ -245,7 +271,7 @@ def sent(shards: np.ndarray, key: np.ndarray, count: np.ndarray):
     shards, key = shards[new], key[new]
     cut = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
     for a, b in zip(cut[:-1], cut[1:]):
-        yield int(shards[a]), pack([key[a:b], *(hash_arrays.narrow(c[a:b]) for c in columns)])
+        yield int(shards[a]), pack([key[a:b], *(hash_arrays.narrow(c[a:b]) for c in columns)], (0,))
 
 
 def word_facts(first: np.ndarray, second: np.ndarray, count: np.ndarray, word: np.ndarray, occurred: np.ndarray) -> list[np.ndarray]:
@@ -263,6 +289,27 @@ def merged(words: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
     return [words[new], *(np.add.reduceat(c[order], new) for c in columns)]
 
 
+def contexts(folder: str, order: int, cell: int, found: list[np.ndarray]) -> None:
+    """Write the facts of a cell's contexts of order - 1 words beside the n-grams of these words, whose keys they share.
+
+    A context that is no such n-gram (start marks alone) goes to a short list of its own.
+    """
+    key, facts = found[0], found[1:]
+    try:
+        grams = hash_arrays.mapped(f"{folder}/grams{order - 1}-{cell:06d}.bin")
+        at, there = hash_arrays.find(grams, key)
+        n = len(grams["key"] if "key" in grams else grams["low"])
+    except FileNotFoundError:
+        at, there, n = np.zeros(len(key), np.int64), np.zeros(len(key), bool), 0
+    held, beside = {"other": key[~there]}, []
+    for name, f in zip(FACTS[2:], facts):
+        beside.append(np.zeros(n, np.uint64))
+        beside[-1][at[there]] = f[there]
+        held[f"other.{name}"] = f[~there]
+    held |= hash_arrays.coded("facts", beside)
+    hash_arrays.write(f"{folder}/contexts{order}-{cell:06d}.bin", held)
+
+
 def words(facts: DataFrame, folder: str, side: int) -> DataFrame:
     """Write the word and context arrays; stats binary: per word file eight totals of words, per order (shard -k) four counts
     of counts."""
@@ -275,14 +322,17 @@ def words(facts: DataFrame, folder: str, side: int) -> DataFrame:
                 yield common.batch_of(schema, [[shard], [total.astype("<i8").tobytes()]])
                 continue
             if shard >= side:
-                parts = [unpack(r[0], 5) for r in rows]
+                parts = [unpack(r[0], 5, (0,)) for r in rows]
                 found = merged(np.concatenate([p[0] for p in parts]), [np.concatenate([p[i] for p in parts]).astype(np.uint64) for i in range(1, 5)])
                 k, cell = divmod(shard - side, side * side)
-                hash_arrays.write(f"{folder}/contexts{k + 3}-{cell:06d}.bin", {"key": found[0], **{n: hash_arrays.narrow(f) for n, f in zip(FACTS[2:], found[1:])}})
+                contexts(folder, k + 3, cell, found)
                 continue
-            parts = [unpack(r[0], 7) for r in rows]
+            parts = [unpack(r[0], 7, (0,)) for r in rows]
             found = merged(np.concatenate([p[0] for p in parts]), [np.concatenate([p[i] for p in parts]).astype(np.uint64) for i in range(1, 7)])
-            hash_arrays.write(f"{folder}/words-{shard:06d}.bin", {"key": found[0], **{n: hash_arrays.narrow(f) for n, f in zip(FACTS, found[1:])}})
+            held = {}
+            for name, f in zip(FACTS, found[1:]):
+                held |= hash_arrays.values(name, f)
+            hash_arrays.write(f"{folder}/words-{shard:06d}.bin", hash_arrays.keys(found[0]) | held)
             stats = [int((found[1] > 0).sum()), int(found[1].sum()), int(found[2].sum()), *count_of_counts(found[2])]
             high = found[2][found[2] > 2]
             yield common.batch_of(schema, [[shard], [np.array([*stats, len(high)], "<i8").tobytes()]])
@@ -318,13 +368,16 @@ class Model:
 def train(df: DataFrame, text: str = "text", folder: str | None = None, side: int | None = None, order: int = 2) -> Model:
     """Count the texts of df (null: empty) and write the model of n-grams of `order` words (2 or more) to the shared folder.
 
-    side: the grid has side x side cells; by default about as many as there are shuffle partitions.
+    side: the grid has side x side cells; by default as many as there are shuffle partitions, or more for much text.
     """
     if order < 2:
         raise ValueError("the order is 2 or more")
     spark = df.sparkSession
     folder = folder or common.shared_path(spark, "kneser-ney")
-    side = side or max(2, math.ceil(math.sqrt(int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    if side is None:
+        size = df.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0)).alias("n")).first()["n"]
+        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size / CELL_BYTES)
+        side = max(2, math.ceil(math.sqrt(wanted)))
     grams = counted(df.select(F.col(text).alias("text")), side, order)
     stats = words(cells(grams, folder, side, order), folder, side).collect()
     high = {k: discounts(np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard == -k] or [np.zeros(4, int)], axis=0).tolist()) for k in range(2, order + 1)}
@@ -360,62 +413,67 @@ class Scorer:
         cut = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True])))
         for a, b in zip(cut[:-1], cut[1:]):
             if file := self.file("words", int(shards[a])):
-                at, there = hash_arrays.find(file["key"], hashes[a:b])
+                at, there = hash_arrays.find(file, hashes[a:b])
                 for i, name in enumerate(FACTS):
-                    out[i, a:b][there] = file[name][at[there]]
+                    out[i, a:b][there] = hash_arrays.take(file, name, at[there])
         return out
 
-    def found(self, kind: str, words: list[np.ndarray]):
-        """Distinct n-grams of a kind of file by their last two words' cell: (file, places in it, which are there, own places);
-        then how to put them back."""
-        key, at, back = np.unique(gram_key(words), return_index=True, return_inverse=True)
-        cells = cell_of(words[-2][at], words[-1][at], self.model.side)
-        order = np.argsort(cells, kind="stable")
-        sorted_cells = cells[order]
-        cut = np.flatnonzero(np.concatenate(([True], sorted_cells[1:] != sorted_cells[:-1], [True])))
-        parts = []
+    def looked_up(self, k: int, grams: list[np.ndarray], contexts: bool):
+        """Counts of n-grams of k words, each the last k of `grams`; with `contexts` also (4, n) facts of the k words before
+        the last, which but for the beginnings of texts are the n-grams one place earlier."""
+        key = gram_key(grams[-k:])
+        words, n = [grams[-2], grams[-1]], len(key)
+        if contexts:
+            before = gram_key(grams[-k - 1 : -1])
+            other = np.flatnonzero(np.append(True, before[1:] != key[:-1]))
+            key = np.append(key, before[other])
+            words = [np.append(w, x[other]) for w, x in zip(words, (grams[-3], grams[-2]))]
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        back = np.empty(len(key), np.int64)
+        back[order] = np.cumsum(new) - 1
+        key, at = key[new], order[new]
+        cells = cell_of(words[0][at], words[1][at], self.model.side)
+        order = np.argsort(cells.astype(np.min_scalar_type(self.model.side**2)), kind="stable")
+        cells = cells[order]
+        cut = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1], [True])))
+        count, facts = np.zeros(len(key)), np.zeros((4, len(key) if contexts else 0))
         for a, b in zip(cut[:-1], cut[1:]):
-            if file := self.file(kind, int(sorted_cells[a])):
-                own = order[a:b]
-                parts.append((file, *hash_arrays.find(file["key"], key[own]), own))
-        return key, back, parts
-
-    def counts(self, words: list[np.ndarray]) -> np.ndarray:
-        """The count of each n-gram."""
-        key, back, parts = self.found(f"grams{len(words)}", words)
-        out = np.zeros(len(key))
-        for file, place, there, own in parts:
-            found = file["count"][place].astype(float)
-            found[~there] = 0
-            for i in np.flatnonzero(found == 255):
-                found[i] = file["big_count"][np.searchsorted(file["big"], key[own[i]])]
-            out[own] = found
-        return out[back]
-
-    def context_facts(self, words: list[np.ndarray]) -> np.ndarray:
-        """(4, n): total, ones, twos and more of each context of two words or more."""
-        key, back, parts = self.found(f"contexts{len(words) + 1}", words)
-        out = np.zeros((4, len(key)))
-        for file, place, there, own in parts:
-            for i, name in enumerate(FACTS[2:]):
-                out[i, own[there]] = file[name][place[there]]
-        return out[:, back]
+            own, cell = order[a:b], int(cells[a])
+            file = self.file(f"grams{k}", cell) or {"key": np.zeros(0, np.uint64)}
+            place, there = hash_arrays.find(file, key[own])
+            place, known = place[there], own[there]
+            if len(known):
+                count[known] = hash_arrays.take(file, "count", place)
+            if contexts and (beside := self.file(f"contexts{k + 1}", cell)):
+                if len(known):
+                    facts[:, known] = hash_arrays.decoded(beside, "facts", place, 4)
+                other_at, also = hash_arrays.find({"key": beside["other"]}, key[own])
+                for i, name in enumerate(FACTS[2:]):
+                    facts[i, own[also]] = beside[f"other.{name}"][other_at[also]]
+        if not contexts:
+            return count[back], None
+        where = np.empty(n, np.int64)
+        where[1:] = back[: n - 1]
+        where[other] = back[n:]
+        return count[back[:n]], facts[:, where]
 
     def score(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each n-gram's last word: known, log10 of the add-one base, log10 of the model's probability."""
         m, tokens, first = self.model, grams[-1], grams[-2]
         hashes, back = np.unique(np.concatenate((tokens, first)), return_inverse=True)
-        facts = self.facts(hashes)
+        found = self.facts(hashes)
         word, context = back[: len(tokens)], back[len(tokens) :]
-        count, contexts = facts[0][word], facts[1]
+        count, contexts = found[0][word], found[1]
         base = np.log10((count + 1) / (m.tokens + m.vocabulary + 1))
         low = np.maximum(contexts - self.low[np.minimum(contexts, 3).astype(int)], 0) / max(m.pairs, 1) + m.low_gamma / (m.vocabulary + 1)
-        p = low[word]
+        p, facts = low[word], found[2:, context]
         for k in range(2, m.order + 1):
-            total, *more = facts[2:, context] if k == 2 else self.context_facts(grams[-k:-1])
+            total, *more = facts
             seen = np.maximum(total, 1)
             spread = (self.high[k][1:, None] * np.array(more)).sum(axis=0)
-            own = self.counts(grams[-k:])
+            own, facts = self.looked_up(k, grams, k < m.order)
             p = np.maximum(own - self.high[k][np.minimum(own, 3).astype(int)], 0) / seen + np.where(total > 0, spread / seen, 1) * p
         return count > 0, base, np.log10(p)
 
@@ -425,7 +483,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     schema = pa.schema([("key", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: common.Batches) -> common.Batches:
-        hashes, scorer = worker_hashes(), model.open()
+        hashes, scorer = common.held_by_worker(("scorer", model.folder), lambda: (Hashes(), model.open()))
 
         def scored(keys: list, held: list[np.ndarray]) -> pa.RecordBatch:
             sizes = np.array([len(h) for h in held])
