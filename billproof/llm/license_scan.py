@@ -93,6 +93,7 @@ TEMPLATES = [
     ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     *((re.sub("-(only|or-later)$", "", name), f"SPDX-License-Identifier: {name}") for name in SPDX),
 ]
+SALTS = 32
 YIELDING = ["proprietary"]  # said beside other licenses, too
 CUE = r"(?i)licen[cs]e|permission|redistribut|public domain|all rights reserved|copyright|spdx"
 NAMED = r"(?i)^(licen[cs]e|copying|unlicense|notice)([.\-_].*)?$"
@@ -142,42 +143,41 @@ def pairs_of(found: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(found, F.lit(1), n), F.slice(found, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)))
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """term, df (rows of `_text` that have it), idf, often (in a thousandth of the rows or more)."""
-    n = F.broadcast(texts.agg(F.count("*").alias("n")))
+def vocabulary(texts: DataFrame, n: int) -> DataFrame:
+    """term, df (of the n rows of `_text` that have it), idf, often (in a thousandth of the rows or more)."""
     counts = texts.select(F.explode(F.array_distinct(terms_of(F.col("_text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    return counts.crossJoin(n).select("term", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"), (1000 * F.col("df") >= F.col("n")).alias("often"))
+    return counts.select("term", "df", (F.log(F.lit(1 + n) / (1 + F.col("df"))) + 1).alias("idf"), (1000 * F.col("df") >= F.lit(n)).alias("often"))
 
 
-def weighed(spark: SparkSession, counts: DataFrame, templates: list[tuple[str, str]], texts: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def weighed(spark: SparkSession, counts: DataFrame, templates: list[tuple[str, str]], texts: DataFrame | None, n: int) -> tuple[DataFrame, DataFrame]:
     """id, term, value of the units' terms and term, template, weight of the templates' unit vectors."""
     if texts is None:
         rows, idf, unknown = weights(templates)
         vectors = spark.createDataFrame([(w, n, x) for w, n, _, x in rows], "term string, template int, weight double")
         known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))
         return counts.join(known, "term", "left").select("id", "term", (F.col("tf") * F.coalesce("idf", F.lit(unknown))).alias("value")), vectors
-    known = stored(vocabulary(texts), "license-terms")
+    known = stored(vocabulary(texts, n), "license-terms")
     often = F.broadcast(known.where("often").select("term", "idf"))
     # frequent terms never meet in a shuffle
     near = counts.join(often, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("value"))
     far = counts.join(often, "term", "left_anti").join(known.where("NOT often").select("term", "idf"), "term", "left")
     # a term that only unwrapping makes is as rare as can be
-    rarest = F.broadcast(texts.agg((F.log(F.lit(1.0) + F.count("*")) + 1).alias("rarest")))
-    far = far.crossJoin(rarest).select("id", "term", (F.col("tf") * F.coalesce("idf", "rarest")).alias("value"))
+    rarest = F.lit(math.log(1.0 + n) + 1)
+    far = far.select("id", "term", (F.col("tf") * F.coalesce("idf", rarest)).alias("value"))
     own = [(w, n, terms(t).count(w)) for n, (_, t) in enumerate(templates) for w in sorted(set(terms(t)))]
     own = F.broadcast(spark.createDataFrame(own, "term string, template int, tf int"))
     idf = known.join(own.select("term").distinct(), "term", "left_semi").select("term", "idf")
-    values = own.join(F.broadcast(idf), "term", "left").crossJoin(rarest).select("term", "template", (F.col("tf") * F.coalesce("idf", "rarest")).alias("v"))
+    values = own.join(F.broadcast(idf), "term", "left").select("term", "template", (F.col("tf") * F.coalesce("idf", rarest)).alias("v"))
     size = values.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("size"))
     return near.unionByName(far), values.join(F.broadcast(size), "template").select("term", "template", (F.col("v") / F.col("size")).alias("weight"))
 
 
-def scored(spark: SparkSession, units: DataFrame, templates: list[tuple[str, str]], least: float, held_least: float, texts: DataFrame | None) -> DataFrame:
+def scored(spark: SparkSession, units: DataFrame, templates: list[tuple[str, str]], least: float, held_least: float, texts: DataFrame | None, n: int) -> DataFrame:
     """id, license, score, amount (template terms matched) and whole (by cosine) of each distinct unit (id, unit) that
     has a template's cosine of `least` or its containment of `held_least`."""
     found = units.dropDuplicates(["id"]).select("id", terms_of(F.col("unit")).alias("terms"))
     counts = found.select("id", F.explode("terms").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
-    values, vectors = weighed(spark, counts, templates, texts)
+    values, vectors = weighed(spark, counts, templates, texts, n)
     size = values.groupBy("id").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("size"))
     dots = values.join(F.broadcast(vectors), "term").groupBy("id", "template").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
     cosines = dots.join(size, "id").select("id", "template", F.round(F.col("dot") / F.col("size"), 9).alias("cosine")).where(F.col("cosine") >= least)
@@ -205,16 +205,28 @@ def scan(
 
     Null texts have no license of their own; null paths neither declare nor inherit; repeated rows give one row each; of
     several declarations in a directory the best score counts, then the first path, then the first license. An empty table
-    gives no rows. Only the named columns are read. counted: terms are weighed by document counts of all rows.
+    gives no rows. Texts of any length are scanned in whole. Only the named columns are read. counted: terms are weighed by
+    document counts of all rows.
+
+    The texts are read once for their units with a cue word, which are written to the shared folder with the rows' names,
+    and once more where terms are counted.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(key).alias("key"), F.col(path).cast("string").alias("path"), F.col(text).alias("_text"))
-    rows = rows.withColumn("row", F.xxhash64("key", "path", "_text"))  # equal rows have equal results
-    held = rows.withColumn("_found", candidates(F.col("_text"))).where(F.col("_found").isNotNull())
-    held = held.select("row", "path", F.size(terms_of(F.col("_text"))).alias("words"), F.posexplode("_found").alias("kind", "_units"))
+    texts = df.select(F.col(key).alias("key"), F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("_text"))
+    # equal rows have equal results: a row is known by 128 bits of its columns
+    own = [F.col("key"), F.col("path"), F.col("_text"), *(F.col(c).isNull() for c in ("key", "path", "_text"))]
+    row = F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(F.lit("row"), *own).alias("b"))
+    rows = texts.withColumn("row", row).withColumn("_found", candidates(F.col("_text")))
+    words = F.when(F.col("_found").isNotNull(), F.size(terms_of(F.col("_text"))))
+    rows = stored(rows.select("key", "path", "row", "_found", words.alias("words")), "license-rows")
+    held = rows.where(F.col("_found").isNotNull()).select("row", "path", "words", F.posexplode("_found").alias("kind", "_units"))
     held = held.select("row", "path", "words", "kind", F.explode("_units").alias("unit")).withColumn("id", F.md5("unit"))
-    units = scored(spark, held.select("id", "unit"), templates or TEMPLATES, least, held_least, rows.select("_text") if counted else None)
-    found = held.select("row", "path", "words", "kind", "id", F.size(terms_of(F.col("unit"))).alias("size")).join(units, "id")
+    n = rows.count() if counted else 0
+    units = scored(spark, held.select("id", "unit"), templates or TEMPLATES, least, held_least, texts.select("_text") if counted else None, n)
+    # a notice may stand in very many rows: each scored unit is met in SALTS places
+    salted = units.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = held.select("row", "path", "words", "kind", "id", F.size(terms_of(F.col("unit"))).alias("size"), F.pmod(F.col("row.a"), F.lit(SALTS)).cast("int").alias("salt"))
+    found = dealt.join(salted, ["id", "salt"]).drop("salt")
     best = F.struct(~F.col("license").isin(YIELDING), F.col("amount"), F.col("score"), F.col("license"))
     # a unit matched by cosine is license text as a whole, another one by its template's terms
     covers = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.when(F.col("whole"), F.col("size")).otherwise(F.least("size", "amount")))), F.lit(0)) for k in range(4)]

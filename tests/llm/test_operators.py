@@ -10,14 +10,15 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from billproof.llm import (
     chat_format, chat_template, common, decontaminate, html_text, kneser_ney, license_scan, multiset_hash, piece_lattice,
     quality, queries, simhash, token_files,
 )
 
-WORDS = queries.TOKENIZERS + "/word_bpe_49k.json"
-PIECES = queries.TOKENIZERS + "/piece_bpe_32k.model"
+WORDS = common.public_file("word_bpe_49k.json")
+PIECES = common.public_file("piece_bpe_32k.model")
 LONG = "alpha beta gamma delta. " * 3000
 ODD = [(1, None), (2, ""), (3, "One two three. Four five!\nSix"), (3, "One two three. Four five!\nSix"), (None, "no key at all"), (5, LONG), (6, " \n\t "), (7, "é ü 日本 a")]
 
@@ -36,6 +37,17 @@ def test_components_of_chains_and_stars(spark):
 # -- 1 ---------------------------------------------------------------------------------------------------------
 
 
+def test_more_ranges_than_four_thousand(spark, docs):
+    """Key ranges have no small limit: nearly every row its own."""
+    rows = [(7 * i, f"text {i}. {'more ' * (i % 5)}") for i in range(6000)]
+    bounds = common.range_bounds(docs(rows), "doc_id", 1)
+    assert len(bounds) > 4500 and bounds == sorted(set(bounds))
+    at = docs(rows).select("doc_id", common.below(bounds, F.col("doc_id")).alias("n")).collect()
+    assert all(r.n == np.searchsorted(bounds, r.doc_id, "right") for r in at)
+    few, many = ({r.key: (r.edited_sha256, r.near_next) for r in multiset_hash.edits(docs(rows), rows=n).collect()} for n in (2000, 1))
+    assert few == many and len(few) == 6000
+
+
 def test_edits_follow_descending_keys(spark, docs):
     rows = [(i, t) for i, t in ODD if i is not None] + [(9, LONG[:50])]
     out = sorted(multiset_hash.edits(docs(rows), rows=3).collect(), key=lambda r: (-r.key, r.edited_sha256))
@@ -208,8 +220,9 @@ def test_decontamination_against_windows(spark, docs):
             assert inside == r.n_hit
     assert decontaminate.clean(docs(rows), benchmark, words=4).count() == sum(not x[-1] for x in want)
     assert decontaminate.report(docs(rows), benchmark.limit(0)).where("n_hit > 0").count() == 0
-    with pytest.raises(ValueError):
-        decontaminate.scan(docs(rows), benchmark, most_chars=5)
+    several = decontaminate.report(docs(rows), benchmark, words=4, most_chars=5)  # more items than one automaton takes
+    assert sorted(map(repr, several.collect())) == sorted(map(repr, found))
+    assert decontaminate.clean(docs(rows), benchmark, words=4, most_chars=5).count() == sum(not x[-1] for x in want)
 
 
 # -- 5 ---------------------------------------------------------------------------------------------------------
@@ -385,6 +398,13 @@ def test_chat_round_trip_in_small_parts(spark):
     assert chat_format.render(frame.limit(0)).count() == 0
 
 
+def test_chat_ignores_clashing_columns(spark):
+    rows = [(1, 0, "user", "hi", "x", 1, [1]), (1, 1, "assistant", "ho", None, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, part long, generated array<int>")
+    plain = frame.select("conv_id", "turn", "role", "text")
+    assert chat_format.digests(chat_format.render(frame)).collect() == chat_format.digests(chat_format.render(plain)).collect()
+
+
 def test_templates_fold_and_refuse():
     tree = chat_template.fold(chat_template.parse("{% if 'a' == 'a' %}x{{ 'y'|upper }}{% else %}n{% endif %}z{# c #}"))
     assert tree == (chat_template.Output(chat_template.Constant("xYz")),)
@@ -444,3 +464,20 @@ def test_license_headers_and_files(spark):
     for counted in (False, True):
         found = {r.key: r.license for r in license_scan.scan(rows, counted=counted).collect()}
         assert [found[i] for i in range(len(texts))] == [name for name, _ in texts]
+
+
+def test_licenses_of_long_texts_and_clashing_columns(spark):
+    spdx = "# SPDX-License-Identifier: MIT\n"
+    rows = [(1, "a/b.py", spdx + "x = 1\n" * 40000, "row", 1, "u"), (2, "a/c.py", "y = 2\n" * 40000 + "\n\n" + spdx, None, None, None), (3, None, None, "", 0, ""), (1, "a/b.py", spdx + "x = 1\n" * 40000, "row", 1, "u")]
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string, row string, id long, unit string")
+    for counted in (False, True):
+        found = sorted(((r.key, r.license, r.kind) for r in license_scan.scan(frame, counted=counted).collect()), key=repr)
+        assert found == [(1, "MIT", "header"), (1, "MIT", "header"), (2, "MIT", "header"), (3, None, None)]
+
+
+def test_a_notice_in_very_many_files(spark):
+    """Rows of one unit meet its scores in many places."""
+    note = "Licensed under the Apache License, Version 2.0."
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.format_string("d%d/f%d", F.col("id") % 9, F.col("id")).alias("path"), F.concat(F.lit("Some words before it. " * 9 + f"{note} Words after "), F.col("id")).alias("text"))
+    found = license_scan.scan(frame, counted=True).groupBy("license", "kind").count().collect()
+    assert [(r.license, r.kind, r["count"]) for r in found] == [("Apache-2.0", "header", 3000)]
