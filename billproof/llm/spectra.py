@@ -30,44 +30,52 @@ def roots(d: np.ndarray, squares: np.ndarray, active: np.ndarray) -> tuple[np.nd
     total = squares.sum(axis=1, keepdims=True)
     after = np.minimum.accumulate(np.where(active, d, np.inf)[:, ::-1], axis=1)[:, ::-1]
     above = np.append(after[:, 1:], np.full((len(d), 1), np.inf), axis=1)
-    last = ~np.isfinite(above)
-    width = np.where(last, total * (1 + 4 * EPS), above - d)
-    place = np.where(active, d, np.inf)[:, :, None]
-    weight = squares[:, :, None]
-    middle = 1 + (weight / (place - d[:, None, :] - width[:, None, :] / 2)).sum(axis=1)
+    width = np.where(np.isfinite(above), above - d, total * (1 + 4 * EPS))
+    place = np.where(active, d, np.inf)
+    # one row for each root: the poles' distances and weights
+    stream, root = np.nonzero(active)
+    last, span, start = ~np.isfinite(above[stream, root]), width[stream, root], d[stream, root]
+    weight = squares[stream]
+    middle = 1 + (weight / (place[stream] - start[:, None] - span[:, None] / 2)).sum(axis=1)
     right = (middle < 0) & ~last  # nearer to the pole above
-    origin = np.where(right, above, d)
-    pole = place - origin[:, None, :]
-    first, second = np.where(right, -width, 0), np.where(right, 0, width)
-    low, high = np.where(right, -width / 2, 0), np.where(right, 0, np.where(last, width, width / 2))
-    at = (low + high) / 2
-    own = np.triu(np.ones(pole.shape[1:], bool))  # poles k <= i
-    open_ = active.copy()
+    pole = place[stream] - np.where(right, above[stream, root], start)[:, None]
+    first, second = np.where(right, -span, 0), np.where(right, 0, span)
+    low, high = np.where(right, -span / 2, 0), np.where(right, 0, np.where(last, span, span / 2))
+    own = np.tri(d.shape[1])[root]  # poles up to the root's own
+    at, rows = (low + high) / 2, np.arange(len(root))
+    held = (pole, weight, own, 1 - own, first, second, last, low, high)
     for _ in range(100):
-        gap = pole - at[:, None, :]
-        part = weight / gap
+        poles, weights, left, right_of, near, far, end, least, most = held
+        now = at[rows]
+        gap = poles - now[:, None]
+        part = weights / gap
         slope = part / gap
-        part_own, slope_own = np.where(own, part, 0), np.where(own, slope, 0)
-        psi, psi_slope = part_own.sum(axis=1), slope_own.sum(axis=1)
-        phi, phi_slope = (part - part_own).sum(axis=1), (slope - slope_own).sum(axis=1)
+        psi, psi_slope = np.einsum("mk,mk->m", part, left), np.einsum("mk,mk->m", slope, left)
+        phi, phi_slope = np.einsum("mk,mk->m", part, right_of), np.einsum("mk,mk->m", slope, right_of)
         f = 1 + psi + phi
-        low, high = np.where(f < 0, at, low), np.where(f < 0, high, at)
-        a, b = first - at, second - at
+        least, most = np.where(f < 0, now, least), np.where(f < 0, most, now)
+        a, b = near - now, far - now
         s, q = psi_slope * a * a, phi_slope * b * b
         c_own = 1 + psi - psi_slope * a
         c = c_own + phi - phi_slope * b
         p, r = c * (a + b) + s + q, c * a * b + s * b + q * a
-        root = np.sqrt(np.maximum(p * p - 4 * r * c, 0))
-        step = np.where(last, a + s / c_own, np.where(p <= 0, (p - root) / (2 * c), 2 * r / (p + root)))
-        new = at + step
-        new = np.where((new > low) & (new < high), new, (low + high) / 2)
-        open_ &= np.abs(f) > EPS * (1 + np.abs(psi) + np.abs(phi))
-        settled = np.abs(new - at) <= 2 * EPS * np.abs(new)
-        at = np.where(open_, new, at)
-        open_ &= ~settled
+        size = np.sqrt(np.maximum(p * p - 4 * r * c, 0))
+        step = np.where(end, a + s / c_own, np.where(p <= 0, (p - size) / (2 * c), 2 * r / (p + size)))
+        new = now + step
+        new = np.where((new > least) & (new < most), new, (least + most) / 2)
+        moves = np.abs(f) > EPS * (1 + np.abs(psi) + np.abs(phi))
+        at[rows[moves]] = new[moves]
+        open_ = moves & (np.abs(new - now) > 2 * EPS * np.abs(new))
         if not open_.any():
             break
-    return origin + at, pole - at[:, None, :]
+        if open_.sum() < 0.8 * len(rows):
+            rows, held = rows[open_], tuple(x[open_] for x in (poles, weights, left, right_of, near, far, end, least, most))
+        else:
+            held = (poles, weights, left, right_of, near, far, end, least, most)
+    found, gaps = d.copy(), np.full((*d.shape, d.shape[1]), np.inf)
+    found[stream, root] = np.where(right, above[stream, root], start) + at
+    gaps[stream, :, root] = pole - at[:, None]
+    return found, gaps
 
 
 def add(values: np.ndarray, vectors: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
