@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
@@ -51,11 +53,30 @@ _held: dict = {}
 def held_by_worker(key: tuple, make: Callable):
     """A look-up that a Python worker keeps over its tasks. It holds one at a time, so stages don't add up their caches."""
     if key not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            give_back()
         _held[key] = make()
     return _held[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def slices(batches: Batches, rows: int = 1000) -> Batches:
+    """Batches of fewer rows, so that what is made of one doesn't pile up."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column as UTF-8 bytes; null counts as the empty text."""
     return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]
@@ -65,6 +86,20 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def public_file(name: str) -> str:
+    """The place of a vocabulary file on this machine: a path as it is, a bare name among the public tokenizers' files."""
+    if "/" in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def constant(values: list, kind: str = "bigint") -> Column:
+    """A list as a constant array that the optimizer folds; one expression however long it is."""
+    return F.split(F.lit(" ".join(map(repr, values))), " ").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+
+
 def below(bounds: list[int], key: Column) -> Column:
     """How many of the ascending bounds are <= key (0 for a null key): a binary search in column functions."""
     steps, step = [], 1
@@ -73,18 +108,19 @@ def below(bounds: list[int], key: Column) -> Column:
         step *= 2
     if not steps:
         return F.lit(0)
-    values = F.lit(bounds)
+    values = constant(bounds)
     return F.aggregate(F.lit(steps), F.lit(0), lambda at, s: F.when(F.get(values, at + s - 1) <= key, at + s).otherwise(at))
 
 
-def range_bounds(df: DataFrame, key: str, rows: int, most: int = 4096) -> list[int]:
-    """Ascending cut points that deal the rows into key ranges of about `rows` each, `most` ranges at the most."""
+def range_bounds(df: DataFrame, key: str, rows: int, most: int = 1 << 16) -> list[int]:
+    """Ascending cut points that deal the rows into key ranges of about `rows` each, or of more rows where that would be more
+    than `most` ranges: 65,536 of them are about as many partitions as a shuffle should have, and 1.6 GB each at 100 TB."""
     n = df.agg(F.count(key).alias("n")).first()["n"]
     k = max(1, min(most, math.ceil(n / rows)))
     if k == 1:
         return []
     share = [i / k for i in range(1, k)]
-    found = df.agg(F.percentile_approx(key, share, max(10_000, 10 * k)).alias("b")).first()["b"]
+    found = df.agg(F.percentile_approx(key, constant(share, "double"), max(10_000, 10 * k)).alias("b")).first()["b"]
     return sorted(set(found))
 
 

@@ -100,7 +100,7 @@ def edits(df: DataFrame, key: str = "doc_id", text: str = "text", rows: int = RO
     near_edited, near_next. Null texts count as empty; an empty table gives no rows; other columns aren't read.
 
     Rows are dealt into key ranges (one shuffle of the texts). The first row of the following range comes along as a guest,
-    so no row needs a window over all rows. What the driver sees are the ranges' largest keys, 4096 at the most.
+    so no row needs a window over all rows. What the driver sees are the ranges' largest keys, 65,536 at the most.
     """
     base = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     bounds = common.range_bounds(base, "key", rows)
@@ -109,7 +109,7 @@ def edits(df: DataFrame, key: str = "doc_id", text: str = "text", rows: int = RO
     follows = {h["head"]: heads[(i + 1) % len(heads)]["range"] for i, h in enumerate(heads)}  # whose guest a head is
     known = sorted(k for k in follows if k is not None)
     place = common.below(known, F.col("key")) - 1
-    guest = F.when(F.get(F.lit(known or [0]), place) == F.col("key"), F.get(F.lit([follows[k] for k in known] or [0]), place))
+    guest = F.when(F.get(common.constant(known or [0]), place) == F.col("key"), F.get(common.constant([follows[k] for k in known] or [0], "int"), place))
     if None in follows:
         guest = F.when(F.col("key").isNull(), F.lit(follows[None])).otherwise(guest)
     seats = F.array(F.struct(at.alias("range"), F.lit(0).alias("guest")), F.struct(guest.alias("range"), F.lit(1).alias("guest")))

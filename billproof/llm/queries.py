@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +9,6 @@ from . import chat_format, collocations, common, decontaminate, html_text, knese
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
 
 @query("op1_document_fingerprints")
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,14 +39,14 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("op5_sampled_pieces")
 def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model's own encoding and two sampled segmentations of every document, decoded again."""
-    found = piece_lattice.segment(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", k=2)
+    found = piece_lattice.segment(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", k=2)
     return found.withColumnRenamed("key", "doc_id").withColumn("samples", F.transform("samples", lambda s: s.dropFields("ids")))
 
 
 @query("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents with end id 1, read back."""
-    found = token_files.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end=1)
+    found = token_files.round_trip(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end=1)
     return found.withColumnRenamed("key", "doc_id")
 
 

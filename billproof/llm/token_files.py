@@ -18,6 +18,7 @@ import json
 import os
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from unicodedata import is_normalized
@@ -71,6 +72,7 @@ class WordCache:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
+        path = common.public_file(path)
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
@@ -163,7 +165,7 @@ def write_file(path: str, rows: Iterable[tuple[int | None, bytes, int, int]]) ->
     store, place = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
     store.create_dir(os.path.dirname(place), recursive=True)
     table, keys, nulls, plain = bytearray(), bytearray(), bytearray(), 0
-    hidden = f"{os.path.dirname(place)}/.{os.path.basename(place)}.{os.getpid()}"
+    hidden = f"{os.path.dirname(place)}/.{os.path.basename(place)}.{uuid.uuid4().hex}"
     with store.open_output_stream(hidden) as out:
         for key, frame, size, checksum in rows:
             out.write(frame)
@@ -213,11 +215,11 @@ def write(df: DataFrame, folder: str, vocabulary: str, key: str = "doc_id", text
     """Tokenise df and write it to files in `folder` in ascending key order; (path, documents, tokens) per file, in order.
 
     Rows with a null key come first; equal keys are ordered by checksum and frame. What comes to the driver is one row per
-    file, at most 4096 of them.
+    file, at most 65,536 of them.
     """
     bounds = common.range_bounds(df, key, rows)
     made = frames(df, vocabulary, key, text, end).withColumn("part", common.below(bounds, F.col("key")))
-    dealt = made.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "key", "checksum", "frame")
+    dealt = made.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "key", "checksum", "frame")
     schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())])
 
     def run(batches: common.Batches) -> common.Batches:
@@ -259,8 +261,8 @@ def read(spark: SparkSession, files: list[tuple[str, int, int]]) -> DataFrame:
                     at += len(ids)
                 yield common.batch_of(schema, [list(x) for x in zip(*out)] or [[]] * 4)
 
-    frame = spark.createDataFrame(rows, "path string, start long")
-    return frame.repartition(max(1, len(rows)), "path").mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+    frame = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "path string, start long, n int")
+    return frame.repartitionById(max(1, len(rows)), "n").mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(df: DataFrame, vocabulary: str, folder: str | None = None, **how) -> DataFrame:
