@@ -265,12 +265,16 @@ def near_groups(prints: DataFrame, radius: int = 4, chunk: int = CHUNK) -> DataF
     Rows with a null key keep a null key and take part in no link as a smallest key unless their whole component has none;
     then the component is null.
     """
+    return prints.join(fingerprint_components(prints, radius, chunk), "fp").select("key", "fp", "component")
+
+
+def fingerprint_components(prints: DataFrame, radius: int, chunk: int) -> DataFrame:
+    """fp, component of each distinct fingerprint."""
     distinct = common.stored(prints.groupBy("fp").agg(F.min("key").alias("least")), "simhash-fps")
     roots = common.components(near_links(distinct, radius, chunk)).withColumnRenamed("node", "fp")
     reached = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = reached.groupBy("root").agg(F.min("least").alias("component"))
-    of_fp = reached.join(least, "root").select("fp", "component")
-    return prints.join(of_fp, "fp").select("key", "fp", "component")
+    return reached.join(least, "root").select("fp", "component")
 
 
 def near_duplicates(
@@ -287,8 +291,24 @@ def near_duplicates(
     return found.select("key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of df that are kept when each component keeps its smallest key. Rows with a null key stay."""
-    found = near_duplicates(df, key, text, **how)
-    gone = found.where("key <> component_id").select(F.col("key").alias(key)).distinct()
-    return df.join(gone, key, "left_anti")
+def first_of_each(
+    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, seed: int = 42, radius: int = 4, chunk: int = CHUNK
+) -> DataFrame:
+    """The rows of df that are kept when each component keeps its smallest key. Rows with a null key stay.
+
+    Rows are told apart by key and text, so different texts under one key are judged each by its own component; equal rows
+    share their fate. An empty table stays empty; all columns of df are kept.
+    """
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest"))
+    schema = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("fp", pa.int64())])
+
+    def run(batches: common.Batches) -> common.Batches:
+        for batch in batches:
+            fps = [fold(shingle_hashes(t, words, seed)) for t in common.utf8(batch, "text")]
+            yield common.batch_of(schema, [batch.column(0), batch.column(2), np.array(fps, np.uint64).view(np.int64)])
+
+    prints = common.stored(rows.mapInArrow(run, "key long, digest long, fp long"), "simhash-prints")
+    found = prints.join(fingerprint_components(prints, radius, chunk), "fp")
+    gone = found.where("key <> component").select(F.col("key").alias("_first_key"), F.col("digest").alias("_first_text")).distinct()
+    same = (F.col(key).cast("long") == F.col("_first_key")) & (F.xxhash64(F.col(text)) == F.col("_first_text"))
+    return df.join(gone, same, "left_anti")
