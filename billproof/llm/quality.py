@@ -27,7 +27,7 @@ from . import common
 from .common import stored
 
 DIM = 1 << 18
-CACHED = 700_000
+CACHED = 600_000
 SAMPLE = 6_000  # texts that train the scorers
 LABELLED = 12_000  # labelled texts that the toxic word lists are learned from
 GOOD, BAD, NONE = 0, 1, 2
@@ -47,6 +47,8 @@ INSULTS = frozenset(
     b"asshole shit fuck fucking hate".split()
 )
 
+ODD_SIGNS = frozenset("#$%&*~^<>{}|")
+SIGNS = frozenset(EDGE.decode()) - {"|"}
 ODD = re.compile(rb"[#$%&*~^<>{}|]")
 SYMBOLS = re.compile(rb"[#$%&*~^=<>{}|\\@]{2,}")
 FLAGS = ("function", "symbol", "capital", "bar", "shout", "odd")
@@ -73,18 +75,24 @@ class Words(dict):
             self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
             self.flags = np.concatenate((self.flags, np.zeros_like(self.flags)))
         self.hashes[n] = xxhash.xxh64_intdigest(word)
-        core, text = core_of(word), word.decode()
-        cut = cut_words(text)
-        plain = text if text.isalpha() else text[:-1]
-        if plain.isalpha() and text[-1] != "|" and plain.islower():  # most words: letters and one sign at most
-            self.rows[n] = hashed(b"w" + core), hashed_shape("a" if plain is text else "a" + text[-1])
-            self.flags[n, : len(FLAGS)] = (core in FUNCTION_WORDS, False, False, False, False, bool(ODD.search(word)))
+        flags = self.flags[n]
+        flags[:] = False
+        text = word.decode()
+        sign = text[-1]
+        plain = text if sign.isalpha() else text[:-1]
+        if plain.isalpha() and plain.islower() and (plain is text or sign in SIGNS):  # most words: letters and one sign at most
+            core = word if plain is text else word[:-1]
+            self.rows[n] = hashed(b"w" + core), hashed_shape("a" if plain is text else "a" + sign)
+            flags[0] = core in FUNCTION_WORDS
+            flags[5] = sign in ODD_SIGNS
+            for i, listed in enumerate(self.lists, len(FLAGS)):
+                flags[i] = core in listed
         else:
+            core, cut = core_of(word), cut_words(text)
             capital = len(core) > 1 and text.upper() == text and text.lower() != text
             self.rows[n] = hashed(b"w" + core), hashed_shape(shape(text))
-            flags = (core in FUNCTION_WORDS, bool(SYMBOLS.search(word)), capital, word in (b"|", b"||"), word.endswith(b"!!"), bool(ODD.search(word)))
-            self.flags[n, : len(FLAGS)] = flags
-        self.flags[n, len(FLAGS) :] = [not words.isdisjoint(cut) for words in self.lists]
+            flags[: len(FLAGS)] = (core in FUNCTION_WORDS, bool(SYMBOLS.search(word)), capital, word in (b"|", b"||"), word.endswith(b"!!"), bool(ODD.search(word)))
+            flags[len(FLAGS) :] = [not listed.isdisjoint(cut) for listed in self.lists]
         self[word] = n
         return n
 
@@ -153,8 +161,13 @@ def facts_of(text: bytes, words: Words, featured: bool = True) -> Facts:
     if n > 8:
         h = words.hashes[own]
         four = ((h[:-3] * RUN + h[1:-2]) * RUN + h[2:-1]) * RUN + h[3:]
-        same = 1 - len(np.unique(four)) / len(four)
-    features = np.sort(words.rows[np.unique(own)], axis=None) if featured else words.rows[0]
+        four.sort()
+        same = float((four[1:] == four[:-1]).sum() / len(four))
+    features = words.rows[0]
+    if featured:
+        own.sort()
+        features = words.rows[own[np.append(True, own[1:] != own[:-1])]].ravel()
+        features.sort()
     return Facts(n, flags.sum(axis=0)[: len(FLAGS)] / n, hits, again, same, features)
 
 
@@ -313,7 +326,7 @@ def vote_table(df: DataFrame, lists: tuple[frozenset, ...], key: str, text: str)
 
     def run(batches: common.Batches) -> common.Batches:
         words = worker_words(lists)
-        for batch in batches:
+        for batch in common.slices(batches):
             found = [facts_of(t, words, featured=False) for t in common.utf8(batch, "text")]
             yield common.batch_of(schema, [batch.column(0), [pattern(junk_votes(f)) for f in found], [pattern(toxic_votes(f)) for f in found]])
 
@@ -355,7 +368,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     def run(batches: common.Batches) -> common.Batches:
         """One block for each task: per text a hash, patterns, steps and the word features."""
         words, order, votes, steps, features = worker_words(lists), [], [], [], []
-        for batch in batches:
+        for batch in common.slices(batches):
             for junk, toxic, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), common.utf8(batch, "text")):
                 f = facts_of(t, words)
                 order.append(xxhash.xxh64_intdigest(t))
@@ -401,7 +414,7 @@ def scores(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
 
     def run(batches: common.Batches) -> common.Batches:
         scorer = Scorer(sent.value)
-        for batch in batches:
+        for batch in common.slices(batches):
             found = [scorer.score(t) for t in common.utf8(batch, "text")]
             columns = [list(x) for x in zip(*found)] or [[]] * 4
             yield common.batch_of(schema, [batch.column(0), *columns, [max(x[:2]) < 0.5 for x in found]])
@@ -416,7 +429,7 @@ def keep(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: common.Batches) -> common.Batches:
         scorer = Scorer(sent.value)
-        for batch in batches:
+        for batch in common.slices(batches):
             yield batch.filter(pa.array([max(scorer.score(t)[:2]) < 0.5 for t in common.utf8(batch, text)], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
