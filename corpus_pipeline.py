@@ -1,19 +1,17 @@
 """The corpus pipeline: quality classifier, SimHash near-dedup, benchmark decontamination, piece encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the last returns the encodings, the others whole documents.
+Null texts count as empty, null ids stay and are no group's first document, rows that share an id are judged each by its own
+text, equal rows share their fate, and an empty table stays empty. Extra columns are carried along up to the last stage.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billproof.llm import common, decontaminate, piece_lattice, quality, simhash
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -32,7 +30,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The encoding and two sampled segmentations of each document left."""
-    found = piece_lattice.segment(docs, f"{TOKENIZERS}/piece_bpe_32k.model", k=2)
+    found = piece_lattice.segment(docs, "piece_bpe_32k.model", k=2, cached=4_000_000)  # workers of earlier stages are still there
     return found.withColumnRenamed("key", "doc_id").withColumn("samples", F.transform("samples", lambda s: s.dropFields("ids")))
 
 
