@@ -1,23 +1,25 @@
 """K-means with several starts that advance in the same passes.
 
-An iteration is one aggregate over the rows: each row finds its nearest centre of every start, and sums are keyed by start
-and centre, so a pass returns starts * k rows whatever the size of the table. First centres are drawn on the driver from a
-sample of at most SAMPLE rows.
+An iteration is one pass over the rows: a task finds the nearest centre of every start for blocks of rows and sends its sums by
+start and centre, which are added up, so a pass returns starts * k rows whatever the size of the table. First centres are drawn
+on the driver from a sample of at most SAMPLE rows.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .isolation import sampled
 
 SAMPLE = 10_000
+BLOCK = 8192  # rows whose distances a task holds at a time
 
 
 @dataclass(frozen=True)
@@ -58,6 +60,35 @@ def nearest(centres: np.ndarray, features: Sequence[str]) -> Column:
     return F.get(F.transform(F.array(away), lambda d: F.array_position(d, F.array_min(d)).cast("int") - 1), F.lit(0))
 
 
+def _sums(df: DataFrame, centres: np.ndarray) -> list:
+    """For each start (starts, k, features) and centre that is some row's nearest: those rows' number, squared distances and
+    feature sums."""
+    features = df.columns
+    starts, k, _ = centres.shape
+    names = ["away", "n", *[f"s{i}" for i in range(len(features))]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((starts, k, len(names)))
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                rows = np.column_stack([part.column(i).to_numpy(zero_copy_only=False) for i in range(len(features))])
+                for s in range(starts):
+                    away = np.stack([((rows - c) ** 2).sum(axis=1) for c in centres[s]])
+                    mine = away.argmin(axis=0)  # ties: the smallest number
+                    total[s, :, 0] += np.bincount(mine, away[mine, np.arange(len(rows))], k)
+                    total[s, :, 1] += np.bincount(mine, minlength=k)
+                    for i in range(len(features)):
+                        total[s, :, 2 + i] += np.bincount(mine, rows[:, i], k)
+        met = np.argwhere(total[:, :, 1] > 0)
+        found = total[met[:, 0], met[:, 1]]
+        numbers = [pa.array(met[:, 0].astype("int32")), pa.array(met[:, 1].astype("int32"))]
+        yield pa.RecordBatch.from_arrays([*numbers, *[pa.array(found[:, i]) for i in range(len(names))]], names=["start", "centre", *names])
+
+    own = df.mapInArrow(run, ", ".join(["start int", "centre int", *[f"{n} double" for n in names]]))
+    return own.groupBy("start", "centre").agg(*[F.sum(n).alias(n) for n in names]).collect()
+
+
 def fit(df: DataFrame, k: int, seed: int = 42, starts: int = 10, rounds: int = 20, still: float = 1e-4) -> Fit:
     """The best of `starts` k-means runs over all columns of df, which is read once a pass. A start ends when no centre moves by
     more than `still` in any column, or after `rounds` moves."""
@@ -70,16 +101,11 @@ def fit(df: DataFrame, k: int, seed: int = 42, starts: int = 10, rounds: int = 2
     live, costs, passes = np.arange(starts), np.zeros(starts), 0
     while len(live):
         passes += 1
-        found = F.transform(
-            F.transform(_constant(centres[live]), lambda c: _distances(c, features)),
-            lambda d, i: F.struct(i.alias("start"), F.array_position(d, F.array_min(d)).cast("int").alias("centre"), F.array_min(d).alias("away")),
-        )
-        rows = df.select(*features, F.explode(found).alias("f")).groupBy("f.start", "f.centre")
-        sums = rows.agg(F.sum("f.away").alias("away"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(features)]).collect()
+        sums = _sums(df, centres[live])
         new, cost = centres[live].copy(), np.zeros(len(live))
         for r in sums:
             cost[r["start"]] += r["away"]
-            new[r["start"], r["centre"] - 1] = [r[f"s{i}"] / r["n"] for i in range(len(features))]
+            new[r["start"], r["centre"]] = [r[f"s{i}"] / r["n"] for i in range(len(features))]
         moved = np.abs(new - centres[live]).max(axis=(1, 2)) > still
         costs[live] = cost
         if passes > rounds:
