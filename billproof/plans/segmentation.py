@@ -153,7 +153,7 @@ def class_weights(df: DataFrame, label: str, name: str = "_weight") -> DataFrame
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = sizes.agg(F.sum("_n").alias("_t"), F.count(F.lit(1)).alias("_k"))
     weights = cross_one_row(sizes, totals).select(label, (F.col("_t") / (F.col("_k") * F.col("_n"))).alias(name))
-    return df.join(weights, label)
+    return df.join(F.broadcast(weights), label)  # a row for each class: a class's rows needn't meet
 
 
 def fit_severity(
