@@ -179,7 +179,7 @@ def bucketed(df: DataFrame, keys: Sequence[str], name: str | None = None, bucket
     name = name or f"bucketed_{uuid.uuid4().hex}"
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartition(buckets, *keys)
-    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    dealt.write.mode("overwrite").format("parquet").option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
     return spark.table(name)
 
 
