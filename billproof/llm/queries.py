@@ -38,9 +38,9 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query("op5_sampled_pieces")
 def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model's own encoding and two sampled segmentations of every document, decoded again."""
-    found = piece_lattice.segment(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", k=2)
-    return found.withColumnRenamed("key", "doc_id").withColumn("samples", F.transform("samples", lambda s: s.dropFields("ids")))
+    """The model's own encoding and two sampled segmentations of every document with their ids, decoded again."""
+    found = piece_lattice.segment(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", k=2, ids=True)
+    return found.withColumnRenamed("key", "doc_id")
 
 
 @query("op6_token_files")

@@ -481,3 +481,12 @@ def test_a_notice_in_very_many_files(spark):
     frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.format_string("d%d/f%d", F.col("id") % 9, F.col("id")).alias("path"), F.concat(F.lit("Some words before it. " * 9 + f"{note} Words after "), F.col("id")).alias("text"))
     found = license_scan.scan(frame, counted=True).groupBy("license", "kind").count().collect()
     assert [(r.license, r.kind, r["count"]) for r in found] == [("Apache-2.0", "header", 3000)]
+
+
+def test_sampled_pieces_come_with_their_ids(spark, sf):
+    from billproof.llm import queries
+
+    rows = queries.op5_sampled_pieces(spark, sf).limit(40).collect()
+    samples = [s for r in rows for s in r["samples"]]
+    assert samples and all(len(s["ids"]) == s["n_tokens"] for s in samples)
+    assert all(zlib.crc32(np.array(s["ids"], "<u4").tobytes()) == s["ids_crc32"] for s in samples)
