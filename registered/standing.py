@@ -62,11 +62,9 @@ STATUS = {"NG": "O", "ADAPTER": "P", "SIMETRA": "F"}
 
 def source(spark, sf, system):
     columns = {"NG": NG, "ADAPTER": ADAPTER, "SIMETRA": SIMETRA}[system]
-    rows = (
-        table(spark, sf, "lineitem")
-        .join(table(spark, sf, "orders").where(F.col("o_orderstatus") == STATUS[system]), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    )
+    orders = table(spark, sf, "orders").where(F.col("o_orderstatus") == STATUS[system])
+    sold = orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))  # first: the lines then move once
+    rows = table(spark, sf, "lineitem").join(sold, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(*[F.expr(e.format(**SPARK)).alias(n) for n, e in columns.items()])
 
 
@@ -307,6 +305,9 @@ def q6_classes(spark, sf):
     return S.report_classes(standing_v1(spark, sf))
 
 
+DIGESTS = ["id_registro", "hash_registro"]  # hex texts; as bytes they take half the room and have the same order
+
+
 @query(
     "d1_standing_merge",
     f"""WITH {STANDING_SQL}, k AS (SELECT id_registro, ciclo_faturamento, sistema_origem, MIN(hash_registro) AS h FROM standing GROUP BY 1, 2, 3)
@@ -315,8 +316,10 @@ SELECT id_registro, ciclo_faturamento, sistema_origem, h AS hash_registro, CASE
 def d1_merge(spark, sf):
     from billproof.operators.joins import unique_by
 
-    fresh = unique_by(standing(spark, sf).select(*S.MERGE_KEYS, "hash_registro"), S.MERGE_KEYS)
-    stored = fresh.where("ciclo_faturamento <= '199912'")
-    stored = X.update_where(stored, F.col("sistema_origem") == "NG", {"hash_registro": F.lit("old")})
+    rows = standing(spark, sf).select(*S.MERGE_KEYS, "hash_registro").withColumns({c: F.unhex(c) for c in DIGESTS})
+    # whether a row is stored follows from its keys; as a value it is no filter below the exchange, so that both sides share one
+    fresh = unique_by(rows.withColumn("_stored", F.col("ciclo_faturamento") <= "199912"), S.MERGE_KEYS)
+    stored, fresh = fresh.where("_stored").drop("_stored"), fresh.drop("_stored")
+    stored = X.update_where(stored, F.col("sistema_origem") == "NG", {"hash_registro": F.lit("old").cast("binary")})
     merged = X.upsert_changed(stored, fresh, S.MERGE_KEYS, "hash_registro", check=False)
-    return merged.select(*S.MERGE_KEYS, "hash_registro", F.col("_action").alias("acao"))
+    return merged.select(*S.MERGE_KEYS, "hash_registro", F.col("_action").alias("acao")).withColumns({c: F.lower(F.hex(c)) for c in DIGESTS})

@@ -137,3 +137,27 @@ def test_a_class_of_labels_does_not_meet_in_one_task(spark):
         out = S.class_weights(df, "y")
         assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) == 1000
         assert {r["y"]: round(r["_weight"], 6) for r in out.select("y", "_weight").distinct().collect()} == {"ALTA": round(4000 / 7200, 6), "BAIXA": 5.0}
+
+
+def test_both_sides_of_the_merge_share_their_exchange(spark, rows, tmp_path):
+    from registered import standing as Q
+
+    day = dt.date(1998, 3, 5), dt.date(2001, 1, 1)
+    lines = [(k, n, k + n, k % 12, 10.0 * n, 0.05, "AN"[n % 2]) for k in range(60) for n in range(1, 8)]
+    kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_tax double, l_returnflag string"
+    rows(kinds, lines + lines[:9] + [(None,) + lines[0][1:]]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(k, k % 7 if k % 11 else None, "OPF"[k % 3], day[k % 2] if k % 13 else None) for k in range(60)]
+    rows("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date", orders).write.parquet(f"{tmp_path}/orders.parquet")
+    rows("c_custkey long, c_nationkey int", [(k, k) for k in range(6)] + [(None, 1)]).write.parquet(f"{tmp_path}/customer.parquet")
+    with _shuffles(spark):
+        merged = Q.d1_merge(spark, str(tmp_path))
+        got = merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+    want = {(r["id_registro"], r["ciclo_faturamento"], r["sistema_origem"]): r["h"] for r in Q.standing(spark, str(tmp_path)).groupBy("id_registro", "ciclo_faturamento", "sistema_origem").agg(F.min("hash_registro").alias("h")).collect()}
+    assert {(r["id_registro"], r["ciclo_faturamento"], r["sistema_origem"]) for r in got} == set(want) and len(got) >= len(want) > 100
+    for r in got:
+        cycle, system = r["ciclo_faturamento"], r["sistema_origem"]
+        if cycle is not None:
+            assert r["hash_registro"] == want[r["id_registro"], cycle, system]
+            assert r["acao"] == ("insert" if cycle > "199912" else "update" if system == "NG" else "keep")
