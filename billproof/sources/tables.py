@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators.quality import assert_unique, schema_diff
 from ..operators.updates import upsert, upsert_changed
 from ..session import stored
 
+OPEN_FILES = 8  # partition values that a writing task has open at once
 BOM = "﻿"
 
 
@@ -28,8 +30,26 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+@contextmanager
+def unsorted(spark: SparkSession):
+    """Writers inside send rows to the open files of their partition values as they come. Otherwise Spark first sorts all
+    rows of a task by these values; now only those of a task with more than OPEN_FILES values are sorted."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], **options: str) -> None:
+    with unsorted(df.sparkSession):
+        _writer(balanced(df, partition_by), mode, partition_by).options(**options).parquet(path)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    _writer(balanced(df, partition_by), "append", partition_by).parquet(path)
+    _write(df, path, "append", partition_by)
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +75,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     parent, name = place.rsplit("/", 1)
     token = uuid.uuid4().hex
     staged, old = f"{parent}/_{name}.new-{token}", f"{parent}/_{name}.old-{token}"
-    _writer(balanced(df, partition_by), "errorifexists", partition_by).parquet(staged)
+    _write(df, staged, "errorifexists", partition_by)
     had = fs.exists(make(place))
     if had and not fs.rename(make(place), make(old)):
         fs.delete(make(staged), True)
@@ -88,8 +108,7 @@ def replace_slice(
         out.write.mode("overwrite").parquet(f"{path}/{lot_column}={lot}")
         return {"rows": watch.get["rows"]}
     out = df.where((F.col(lot_column) == lot) & F.col(by).isin(*values)).observe(watch, *counts)
-    writer = _writer(balanced(out, [lot_column, by]), "overwrite", [lot_column, by])
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    _write(out, path, "overwrite", [lot_column, by], partitionOverwriteMode="dynamic")
     got = watch.get
     for i, v in enumerate(values):
         if got[f"rows_{i}"] == 0:
@@ -126,8 +145,7 @@ def merge_slice(
         merged = upsert_changed(stored.where(condition).select(*source.columns), source, keys, hash_column)
     actions = [F.count_if(F.col("_action") == a).alias(a) for a in ("insert", "update")]
     out = merged.observe(watch, *actions).drop("_action")
-    writer = _writer(balanced(out, partition_by), "overwrite", partition_by)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    _write(out, path, "overwrite", partition_by, partitionOverwriteMode="dynamic")
     return {a: watch.get[a] for a in ("insert", "update")}
 
 
@@ -145,7 +163,7 @@ def merge_buckets(source: DataFrame, path: str, keys: Sequence[str], hash_column
     watch = Observation()
     if not fs.exists(make(path)):
         first = placed.observe(watch, F.count(F.lit(1)).alias("insert"))
-        _writer(balanced(first, ["_bucket"]), "errorifexists", ["_bucket"]).parquet(path)
+        _write(first, path, "errorifexists", ["_bucket"])
         return {"insert": watch.get["insert"], "update": 0}
     table = spark.read.parquet(path)
     met = [r["_bucket"] for r in placed.select("_bucket").distinct().collect()]  # at most `buckets`
@@ -159,7 +177,7 @@ def merge_buckets(source: DataFrame, path: str, keys: Sequence[str], hash_column
     in_dirty = F.col("_bucket").isin(dirty)
     merged = upsert_changed(own.where(in_dirty), placed.where(in_dirty), keys, hash_column, check=False)
     out = merged.observe(watch, *[F.count_if(F.col("_action") == a).alias(a) for a in ("insert", "update")]).drop("_action")
-    _writer(balanced(out, ["_bucket"]), "overwrite", ["_bucket"]).option("partitionOverwriteMode", "dynamic").parquet(path)
+    _write(out, path, "overwrite", ["_bucket"], partitionOverwriteMode="dynamic")
     return {a: watch.get[a] for a in ("insert", "update")}
 
 
@@ -261,7 +279,7 @@ def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -
     spark = df.sparkSession
     versions = _versions(spark, root)
     path = f"{root}/v{(versions[-1] + 1 if versions else 1):06d}"
-    _writer(balanced(df, partition_by), "errorifexists", partition_by).parquet(path)
+    _write(df, path, "errorifexists", partition_by)
     return path
 
 

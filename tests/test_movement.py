@@ -161,3 +161,25 @@ def test_both_sides_of_the_merge_share_their_exchange(spark, rows, tmp_path):
         if cycle is not None:
             assert r["hash_registro"] == want[r["id_registro"], cycle, system]
             assert r["acao"] == ("insert" if cycle > "199912" else "update" if system == "NG" else "keep")
+
+
+def test_partitions_are_written_without_sorting_a_task(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from billproof.sources import tables as T
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(name)), write(self, *a, **k))[1])
+    before, path = spark.conf.get(name), str(tmp_path / "t")
+    values = [f"v{i}" for i in range(3 * T.OPEN_FILES)]  # more than a task keeps open
+    value = F.when(F.col("id") % 50 == 7, None).otherwise(F.concat(F.lit("v"), F.col("id") % len(values)))
+    df = spark.range(0, 5000, 1, 2).select("id", value.alias("regra"), F.lit("a").alias("lote"))
+    want = {(r["id"], r["regra"]) for r in df.collect() if r["regra"] in values[:-1]}
+    for _ in range(2):
+        assert T.replace_slice(df, path, "lote", "a", "regra", values[:-1])["rows"] == len(want)
+    assert T.replace_slice(df.where("regra = 'v1'"), path, "lote", "a", "regra", ["v1", "v2"])["v2"] == 0
+    got = spark.read.parquet(path).select("id", "regra").collect()
+    assert {tuple(r) for r in got} == {x for x in want if x[1] != "v2"} and len(got) == len({r["id"] for r in got})
+    T.append(df, str(tmp_path / "u"), ["regra"])
+    assert spark.read.parquet(str(tmp_path / "u")).where("regra IS NULL").count() == df.where("regra IS NULL").count()
+    assert seen.count(str(T.OPEN_FILES)) == 4 and spark.conf.get(name) == before
