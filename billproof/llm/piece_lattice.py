@@ -332,22 +332,29 @@ def walk(p: Pieces, state: np.ndarray, left: np.ndarray, seed: np.ndarray) -> tu
     return taken, edges, states
 
 
-def region_values(p: Pieces, seed: np.ndarray, logs: np.ndarray, states: np.ndarray, edges: np.ndarray, where: int, barred: tuple, value: float) -> np.ndarray:
-    """Perturbed maxima of what a sample leaves aside at its decisions; none before decision `where`, whose barred edges
-    belong to earlier samples. Each is a Gumbel number at the region's log-probability, cut at the sample's own value."""
+def region_values(p: Pieces, seeds: np.ndarray, logs: np.ndarray, edges: np.ndarray, states: np.ndarray, sizes: np.ndarray, barred: list[tuple[int, tuple]], values: np.ndarray) -> list[np.ndarray]:
+    """Perturbed maxima of what the samples of rows leave aside at their decisions (`sizes` of each row, run along); none
+    before a row's decision `where`, whose barred edges belong to earlier samples. Each is a Gumbel number at the region's
+    log-probability, cut at the sample's own value."""
+    starts = np.cumsum(sizes) - sizes
     aside = np.log(np.maximum(-np.expm1(np.minimum(logs, 0.0)), 1e-300))
     aside[p.start.data[states + 1] - p.start.data[states] == 1] = -np.inf
-    if barred:
-        s = states[where]
-        rest = [e for e in range(p.start.data[s], p.start.data[s + 1]) if e != edges[where] and e not in barred]
-        aside[where] = np.logaddexp.reduce(p.log.data[rest].astype(float)) if rest else -np.inf
-    mass = np.cumsum(logs) - logs + aside
-    mass[:where] = -np.inf
-    noise = -np.log(uniform(seed + np.arange(len(mass)).astype(np.uint64)))
+    mass = np.empty(len(logs))
+    for at, n, (where, old) in zip(starts.tolist(), sizes.tolist(), barred):
+        np.cumsum(logs[at : at + n], out=mass[at : at + n])
+        if old:
+            s, own = states[at + where], edges[at + where]
+            rest = [e for e in range(p.start.data[s], p.start.data[s + 1]) if e != own and e not in old]
+            aside[at + where] = np.logaddexp.reduce(p.log.data[rest].astype(float)) if rest else -np.inf
+    mass = mass - logs + aside
+    for at, (where, _) in zip(starts.tolist(), barred):
+        mass[at : at + where] = -np.inf
+    place = np.arange(len(logs)) - np.repeat(starts, sizes)
+    noise = -np.log(uniform(np.repeat(seeds, sizes) + place.astype(np.uint64)))
     with np.errstate(over="ignore", invalid="ignore"):
-        bound = mass - np.log(noise + np.exp(mass - value))
+        bound = mass - np.log(noise + np.exp(mass - np.repeat(values, sizes)))
     bound[np.isneginf(mass)] = -np.inf
-    return bound
+    return [bound[at : at + n] for at, n in zip(starts.tolist(), sizes.tolist())]
 
 
 def samples(p: Pieces, rows: list[np.ndarray], keys: list[str], k: int) -> list[tuple[list[tuple[np.ndarray, float, float]], float]]:
@@ -368,39 +375,58 @@ def samples(p: Pieces, rows: list[np.ndarray], keys: list[str], k: int) -> list[
     active = [i for i in range(n)]
     for r in range(k):
         salt = np.array([r + 1], np.uint64) * ODD  # an array: its products wrap
-        state, left, owner, chunk, step = [], [], [], [], []
-        for i in active:
-            at, begun, rest, steps = start[i]
-            own = flat[begin[i] + at : begin[i] + sizes[i]]
-            s, m = p.first.data[own], p.length.data[own]
-            c, t = np.arange(at, sizes[i]), np.zeros(len(own), np.int64)
-            if heads[i] is not None:
+        if r == 0:
+            state, left, owner = p.first.data[flat], p.length.data[flat], np.repeat(np.arange(n), sizes)
+            chunk, step = np.arange(len(flat)) - np.repeat(begin, sizes), np.zeros(len(flat), np.int64)
+        else:
+            state, left, owner, chunk, step = [], [], [], [], []
+            for i in active:
+                at, begun, rest, steps = start[i]
+                own = flat[begin[i] + at : begin[i] + sizes[i]]
+                s, m = p.first.data[own], p.length.data[own]
+                c, t = np.arange(at, sizes[i]), np.zeros(len(own), np.int64)
                 s[0], m[0], t[0] = begun, rest, steps
-            state.append(s)
-            left.append(m)
-            owner.append(np.full(len(own), i))
-            chunk.append(c)
-            step.append(t)
-        state, left, owner, chunk, step = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (state, left, owner, chunk, step))
+                state.append(s)
+                left.append(m)
+                owner.append(np.full(len(own), i))
+                chunk.append(c)
+                step.append(t)
+            state, left, owner, chunk, step = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (state, left, owner, chunk, step))
         seed = (seeds[owner] ^ salt) + chunk.astype(np.uint64) * MUL[0] + step.astype(np.uint64) * MUL[1]
         taken, edge, state = walk(p, state, left, seed)
         owner, chunk = np.repeat(owner, taken), np.repeat(chunk, taken)
-        cut = np.searchsorted(owner, np.arange(n + 1))
+        cut = np.searchsorted(owner, np.arange(n + 1)).tolist()
         nxt: list[int] = []
+        whole = []  # of a row: chunks, edges and states of all decisions, head included
         for i in active:
             own = slice(cut[i], cut[i + 1])
-            chunks, edges, states = chunk[own], edge[own], state[own]
-            where, barred = 0, ()
+            whole.append((chunk[own], edge[own], state[own]))
             if heads[i] is not None:
-                head, where, barred = heads[i]
-                chunks, edges, states = (np.concatenate((a, b)) for a, b in zip(head, (chunks, edges, states)))
-            logs = p.log.data[edges].astype(float)
-            # the perturbed value of a region is below its mass + 38 (the noise has 54 bits), so far decisions can wait if
-            # as many near ones as can still be asked for are above that
-            near = max(where + 1, NEAR)
-            bound = region_values(p, seeds[i : i + 1] + salt * MUL[1], logs[:near], states[:near], edges[:near], where, barred, value[i])
-            if len(logs) > near and not np.partition(bound, r - k)[r - k] > logs[:near].sum() + 40:
-                bound = region_values(p, seeds[i : i + 1] + salt * MUL[1], logs, states, edges, where, barred, value[i])
+                whole[-1] = tuple(np.concatenate((a, b)) for a, b in zip(heads[i][0], whole[-1]))
+        barring = [(0, ()) if heads[i] is None else heads[i][1:] for i in active]
+        counts = np.array([len(w[1]) for w in whole], np.int64)
+        every = p.log.data[np.concatenate([w[1] for w in whole]) if whole else edge].astype(float)
+        logs_of = [every[b - m : b] for m, b in zip(counts.tolist(), np.cumsum(counts).tolist())]
+        noise_seeds, values = seeds[active] + salt * MUL[1], value[active]
+
+        def bounds(rows: list[int], most: list[int]) -> list[np.ndarray]:
+            """region_values of some of the active rows, of the first decisions of each."""
+            if not rows:
+                return []
+            logs, edges, states = (np.concatenate([x[j][:m] for j, m in zip(rows, most)]) for x in (logs_of, [w[1] for w in whole], [w[2] for w in whole]))
+            size = np.array([min(m, counts[j]) for j, m in zip(rows, most)], np.int64)
+            return region_values(p, noise_seeds[rows], logs, edges, states, size, [barring[j] for j in rows], values[rows])
+
+        # the perturbed value of a region is below its mass + 38 (the noise has 54 bits), so far decisions can wait if
+        # as many near ones as can still be asked for are above that
+        nears = [max(where + 1, NEAR) for where, _ in barring]
+        found_bounds = bounds(list(range(len(active))), nears)
+        far = [
+            j for j, (near, b, logs) in enumerate(zip(nears, found_bounds, logs_of)) if len(logs) > near and not np.partition(b, r - k)[r - k] > logs[:near].sum() + 40
+        ]
+        for j, b in zip(far, bounds(far, [int(counts[j]) for j in far])):
+            found_bounds[j] = b
+        for i, (chunks, edges, states), (where, barred), logs, bound in zip(active, whole, barring, logs_of, found_bounds):
             found[i].append((chunks, edges, states, float(logs.sum()), value[i], barred, where))
             regions[i].append(bound)
             tops = [b.max() if len(b) else -np.inf for b in regions[i]]
@@ -456,6 +482,9 @@ def segment(df: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     def crc(found: np.ndarray) -> int:
         return zlib.crc32(found.astype("<u4").tobytes())
 
+    def offsets(sizes: np.ndarray) -> pa.Array:
+        return pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+
     def block(p: Pieces, keys: list, texts: list[str]) -> pa.RecordBatch:
         rows = p.places([p.chunks(t) for t in texts])
         drawn = samples(p, rows, ["" if x is None else str(x) for x in keys], k)
@@ -468,14 +497,13 @@ def segment(df: DataFrame, model: str, key: str = "doc_id", text: str = "text",
             which = [r for r, (several, _) in enumerate(drawn) if len(several) > i]
             for r, same in zip(which, p.decodes([drawn[r][0][i][0] for r in which], [want[r] for r in which])):
                 good[r] = good[r] and same
-        out = []
-        for own, same, (several, left) in zip(best, good, drawn):
-            listed = [
-                {"n_tokens": len(s), "ids_crc32": crc(s), "log_prob": log, "score": g, "inclusion": inclusion(log, left), "ids": s.tolist() if ids else None}
-                for s, log, g in several
-            ]
-            out.append((len(own), crc(own), same, listed))
-        return common.batch_of(schema, [keys, *([list(x) for x in zip(*out)])])
+        flat = [(s.astype("<i4"), log, g, left) for several, left in drawn for s, log, g in several]
+        n_tokens = np.array([len(s) for s, *_ in flat], np.int64)
+        listed = pa.ListArray.from_arrays(offsets(n_tokens), np.concatenate([s for s, *_ in flat])) if ids else pa.nulls(len(flat), pa.list_(pa.int32()))
+        parts = [n_tokens, [zlib.crc32(s) for s, *_ in flat], [x[1] for x in flat], [x[2] for x in flat], [inclusion(log, left) for _, log, _, left in flat], listed]
+        struct = pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(parts, SAMPLES.value_type)], fields=list(SAMPLES.value_type))
+        several = pa.ListArray.from_arrays(offsets(np.array([len(x) for x, _ in drawn], np.int64)), struct)
+        return common.batch_of(schema, [keys, [len(own) for own in best], list(map(crc, best)), good, several])
 
     def run(batches: common.Batches) -> common.Batches:
         p = worker_pieces(model, theta, cached)

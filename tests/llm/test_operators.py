@@ -242,6 +242,19 @@ def test_segmentations_are_distinct_and_decode(spark, docs):
     assert piece_lattice.segment(docs([]), PIECES).count() == 0
 
 
+def test_the_rows_of_a_block_are_sampled_together(monkeypatch):
+    p, calls, own = piece_lattice.Pieces(PIECES, 1.0), [], piece_lattice.region_values
+    monkeypatch.setattr(piece_lattice, "region_values", lambda *a: (calls.append(1), own(*a))[1])
+    texts = ["", "a", "the of and", " \n", "\U0001f600 xyzzy " * 3, *(f"some words, number {i} " * (i * i) for i in range(1, 25))]
+    rows, keys = p.places([p.chunks(t) for t in texts]), [str(i) for i in range(len(texts))]
+    together = piece_lattice.samples(p, rows, keys, 3)
+    assert len(calls) <= 2 * 3  # near and far decisions of each round, however many rows
+    for row, key, (several, left) in zip(rows, keys, together):
+        [(alone, rest)] = piece_lattice.samples(p, [row], [key], 3)
+        assert rest == left and [(a.tolist(), b, c) for a, b, c in alone] == [(a.tolist(), b, c) for a, b, c in several]
+    assert len(together[0][0]) == 1
+
+
 def test_samples_follow_the_lattice():
     p = piece_lattice.Pieces(PIECES, 1.0)
     t = "the of"
