@@ -38,6 +38,7 @@ SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 KEY = 56  # bits of an n-gram's hash; a cell of a million n-grams has two equal ones with a chance of 1 in 100,000
 COUNTED = 3_500_000
 CELL_BYTES = 24 << 20  # text a cell of the grid stands for
+FACT_BYTES = 8 << 20  # of packed facts that a task writes or reads at once
 SCORED = 400_000
 CACHED = 1_000_000
 FACTS = ("count", "contexts", "total", "ones", "twos", "more")
@@ -379,7 +380,9 @@ def train(df: DataFrame, text: str = "text", folder: str | None = None, side: in
         wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size / CELL_BYTES)
         side = max(2, math.ceil(math.sqrt(wanted)))
     grams = counted(df.select(F.col(text).alias("text")), side, order)
-    stats = words(cells(grams, folder, side, order), folder, side).collect()
+    with common.freed_shuffles(spark):  # the n-grams' blocks leave the disk before the facts are dealt
+        facts = common.stored(cells(grams, folder, side, order), "kneser-ney-facts", **{"parquet.block.size": FACT_BYTES, "compression": "none"})
+        stats = words(facts, folder, side).collect()
     high = {k: discounts(np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard == -k] or [np.zeros(4, int)], axis=0).tolist()) for k in range(2, order + 1)}
     low = np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard >= 0] or [np.zeros(8, int)], axis=0).tolist()
     vocabulary, tokens, distinct, *counts, more = low

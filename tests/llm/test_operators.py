@@ -503,3 +503,20 @@ def test_sampled_pieces_come_with_their_ids(spark, sf):
     samples = [s for r in rows for s in r["samples"]]
     assert samples and all(len(s["ids"]) == s["n_tokens"] for s in samples)
     assert all(zlib.crc32(np.array(s["ids"], "<u4").tobytes()) == s["ids_crc32"] for s in samples)
+
+
+def test_training_leaves_no_shuffle_on_disk(spark, docs):
+    import time
+
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffles(), spark.conf.get(name)
+    model = kneser_ney.train(docs([(i, f"some words {i} and more words {i % 7} of text") for i in range(500)]), side=2, order=3)
+    assert model.tokens == 500 * 10 and spark.conf.get(name) == setting
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not shuffles() - before
