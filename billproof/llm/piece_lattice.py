@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, hash_arrays
 
 SPACE = "▁"
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -143,14 +143,14 @@ class Pieces:
         self.extra: dict[int, list[int]] = {}
 
     def shrink(self) -> None:
-        """Drop the chunks that weren't met again; all of them if the others are still over half of the bound."""
+        """Drop the chunks that weren't met again; of the others the first ones met, up to half of the bound, are kept."""
         kept = np.flatnonzero(self.again.data[: self.again.n])
+        begin = self.first.data[kept]
+        sizes = np.cumsum(self.start.data[begin + self.length.data[kept]] - self.start.data[begin])
+        kept = kept[: np.searchsorted(sizes, self.most // 2, "right")]
         states = self.length.data[kept]
         from_state = runs(self.first.data[kept], states)
         edges = self.start.data[from_state + 1] - self.start.data[from_state]
-        if edges.sum() > self.most // 2:
-            self.clear()
-            return
         take = runs(self.start.data[from_state], edges)
         self.key, self.id, self.span, self.log = (Growing(x.data.dtype, x.data[take]) for x in (self.key, self.id, self.span, self.log))
         self.start = Growing(np.int64, np.concatenate(([0], np.cumsum(edges))))
@@ -176,8 +176,8 @@ class Pieces:
 
     def learn(self, keys: list[str]) -> None:
         """Build the lattices of new chunks together."""
-        chunks = list(map(self.chunk, keys))
-        found = self.model.encode(["\n" + c.replace(SPACE, " ") for c in chunks], num_threads=1)
+        chunks = [SPACE + key if key > "\x0b" else self.chunk(key) for key in keys]
+        found = self.model.encode(["\n " + key if key > "\x0b" else "\n" + self.chunk(key).replace(SPACE, " ") for key in keys], num_threads=1)
         counts = np.fromiter(map(len, found), np.int64, len(found)) - 2  # without the model's own space and the \n
         own = np.fromiter(itertools.chain.from_iterable(found), np.int32, counts.sum() + 2 * len(found))
         self.own_start.add(self.own.n + np.cumsum(counts) - counts)
@@ -212,12 +212,12 @@ class Pieces:
             alive, rest, value = alive[go], rest[go], value[go]
             if not len(go):
                 break
-        places = np.argsort(left * (n + 1) + np.arange(n))  # those with one code point left, then two, and so on
+        places = np.argsort(hash_arrays.narrow(left), kind="stable")  # those with one code point left, then two, and so on
         count = edges[places]
         begin = np.cumsum(count) - count
-        at = np.empty(n, np.int64)
-        at[places] = begin
-        at = np.concatenate([at[x] + y for x, y in zip(state, slot)])
+        begun = np.empty(n, np.int64)
+        begun[places] = begin
+        at = np.concatenate([begun[x] + y for x, y in zip(state, slot)])
         span, ids = (scattered(at, x) for x in (span, ids))
         state = np.repeat(places, count)
         weight = self.weight[np.maximum(ids, 0)]
@@ -236,8 +236,10 @@ class Pieces:
         share = np.exp(logs)
         bits = self.longest.bit_length()
         rough = np.rint((1 - np.minimum(share, 1)) * 65535).astype(np.int64)
-        order = np.argsort((((state << 16) | rough) << bits) | span)  # a place's likely pieces first
-        state, span, ids, logs, share = state[order], span[order], ids[order], logs[order], share[order]
+        slot = np.arange(len(state)) - np.repeat(begin, count)  # rises with the span
+        key = np.sort((((state << 16) | rough) << bits) | slot)  # a place's likely pieces first
+        order = begun[key >> (16 + bits)] + (key & ((1 << bits) - 1))
+        span, ids, logs, share = span[order], ids[order], logs[order], share[order]
         first = np.concatenate(([0], np.cumsum(edges)))
         whole = np.rint(share * SHARES).astype(np.int64)
         behind = np.cumsum(whole)
@@ -432,7 +434,7 @@ def samples(p: Pieces, rows: list[np.ndarray], keys: list[str], k: int) -> list[
             tops = [b.max() if len(b) else -np.inf for b in regions[i]]
             best = int(np.argmax(tops))
             value[i] = tops[best]
-            if np.isneginf(tops[best]) or r + 1 == k:
+            if tops[best] == -np.inf or r + 1 == k:
                 continue
             where = int(np.argmax(regions[i][best]))
             regions[i][best][where] = -np.inf
@@ -455,7 +457,7 @@ def samples(p: Pieces, rows: list[np.ndarray], keys: list[str], k: int) -> list[
 
 def inclusion(log_prob: float, left: float) -> float:
     """Probability that a segmentation is among the samples, given the threshold of the others."""
-    return 1.0 if np.isneginf(left) else float(-np.expm1(-np.exp(min(log_prob - left, 700.0))))
+    return 1.0 if left == -np.inf else float(-np.expm1(-np.exp(min(log_prob - left, 700.0))))
 
 
 SAMPLES = pa.list_(pa.struct([

@@ -520,3 +520,15 @@ def test_training_leaves_no_shuffle_on_disk(spark, docs):
     while shuffles() - before and time.time() < until:
         time.sleep(0.5)
     assert not shuffles() - before
+
+
+def test_lattices_met_first_stay_when_too_many_are_met_again():
+    p = piece_lattice.Pieces(PIECES, 1.0)
+    texts = [p.chunks(" ".join(f"w{chr(97 + i)}x{j}" for i in range(26))) for j in (1, 2)]
+    seen = [p.places([t])[0] for t in texts for _ in range(2)]
+    p.most = p.key.n - 1
+    assert p.again.data[: p.again.n].all()
+    names, before = list(p.place), [p.own.data[piece_lattice.runs(p.own_start.data[i : i + 1], p.own_count.data[i : i + 1])].tolist() for i in range(len(seen[0]))]
+    p.shrink()
+    assert 0 < p.key.n <= p.most // 2 and list(p.place) == names[: len(p.place)]
+    assert [p.best(np.array([i])).tolist() for i in range(len(p.place))] == before[: len(p.place)]
