@@ -1,7 +1,8 @@
 """Interpolated modified Kneser-Ney language model of any order, counted in Spark and kept as sorted hash arrays.
 
 Counting. Every task turns words into 64-bit hashes, sums equal n-grams of some million tokens at a time, and sends them as
-packed blocks (their words once, then numbers) to a grid of cells: rows of the grid by the last word's hash, columns by the hash of the word before it. A
+packed blocks (their words once, then numbers; words that are frequent in a bounded sample of the texts by their rank there,
+the others by their hashes) to a grid of cells: rows of the grid by the last word's hash, columns by the hash of the word before it. A
 frequent word is thereby spread over a row and a column of cells, never in one task. All n-grams that end in the same two
 words are in one cell, so a cell also has the lower orders down to pairs: a lower n-gram counts the distinct words that
 stand before it. A cell sums its n-grams, writes one sorted hash array per order to the shared folder, and sends what it
@@ -39,6 +40,8 @@ KEY = 56  # bits of an n-gram's hash; a cell of a million n-grams has two equal
 COUNTED = 3_500_000
 CELL_BYTES = 24 << 20  # text a cell of the grid stands for
 FACT_BYTES = 8 << 20  # of packed facts that a task writes or reads at once
+SAMPLED = 24 << 20  # text that the frequent words are taken from
+FREQUENT = 1 << 19  # words that blocks name by rank; more or fewer change no result
 SCORED = 400_000
 CACHED = 1_000_000
 FACTS = ("count", "contexts", "total", "ones", "twos", "more")
@@ -161,15 +164,41 @@ def summed(ids: list[np.ndarray], counts: np.ndarray | None, known: int) -> tupl
     return [x[new] for x in ids], np.add.reduceat(counts[order], new) if len(new) else counts
 
 
-def blocks(held: list[np.ndarray], words: list[bytes], side: int, order: int):
-    """(cell, packed block) of the n-grams of texts (word numbers): the words of the block, for each place their numbers,
-    then the counts. words: by number; the first two are the end and the start mark."""
+def frequent_words(df: DataFrame, folder: str, size: int) -> None:
+    """Write the hashes of the most frequent words in a sample of the texts (`size` bytes in all): in order of the hashes with
+    their ranks, and by rank. It only makes blocks shorter."""
+    schema = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: common.Batches) -> common.Batches:
+        numbers, held = Numbers(MARKS), []
+        for batch in batches:
+            held += [numbers.of(text) for text in common.utf8(batch, "text")]
+        if held:
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+            yield common.batch_of(schema, [hashes.view(np.int64), np.bincount(np.concatenate(held), minlength=len(numbers))])
+
+    found = df.sample(min(1.0, SAMPLED / max(size, 1)), 1).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    top = common.stored(found.orderBy(F.desc("n"), "hash").limit(FREQUENT), "kneser-ney-frequent").toArrow()
+    top, n = (top.column(name).to_numpy() for name in ("hash", "n"))
+    top = top[np.lexsort((top, -n))].view(np.uint64)
+    by_hash = np.argsort(top)
+    hash_arrays.write(f"{folder}/frequent.bin", {"key": top[by_hash], "rank": by_hash.astype(np.uint32), "hash": top})
+
+
+def blocks(held: list[np.ndarray], words: list[bytes], frequent: hash_arrays.File, side: int, order: int):
+    """(cell, packed block) of the n-grams of texts (word numbers): the words of the block (ranks of the frequent ones, then
+    hashes of the others), for each place their numbers, then the counts. words: by number; the first two are the end and the
+    start mark."""
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    by_hash = np.argsort(hashes)
+    by = np.argsort(hashes)
+    at, there = hash_arrays.find(frequent, hashes[by])
+    ranks = frequent["rank"][at[there]]
+    by_rank = np.argsort(ranks)
+    ranks, by = ranks[by_rank], np.concatenate((by[there][by_rank], by[~there]))
     rank = np.empty(len(words), np.uint32)
-    rank[by_hash] = np.arange(len(words), dtype=np.uint32)
+    rank[by] = np.arange(len(words), dtype=np.uint32)
     ids, counts = summed([rank[x] for x in columns(held, order, 1)], None, len(words))
-    hashes = hashes[by_hash]
+    hashes, n = hashes[by], len(ranks)
     cells = cell_of(hashes[ids[-2]], hashes[ids[-1]], side)
     by = np.argsort(cells.astype(np.min_scalar_type(side * side)), kind="stable")
     ids, counts, cells = [x[by] for x in ids], counts[by], cells[by]
@@ -180,21 +209,22 @@ def blocks(held: list[np.ndarray], words: list[bytes], side: int, order: int):
             there[x[a:b]] = True
         number = np.cumsum(there) - 1
         own = [hash_arrays.narrow(number[x[a:b]]) for x in ids]
-        yield int(cells[a]), pack([hashes[there], *own, hash_arrays.narrow(counts[a:b])], (0, order))
+        yield int(cells[a]), pack([ranks[there[:n]], hashes[n:][there[n:]], *own, hash_arrays.narrow(counts[a:b])], (0, 1, order + 1))
 
 
-def counted(df: DataFrame, side: int, order: int) -> DataFrame:
+def counted(df: DataFrame, folder: str, side: int, order: int) -> DataFrame:
     """cell int, block binary: the n-grams of all texts, summed some million tokens at a time."""
     schema = pa.schema([("cell", pa.int32()), ("block", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
         numbers, held, size = Numbers(MARKS), [], 0
+        frequent = hash_arrays.mapped(f"{folder}/frequent.bin")
 
         def flushed() -> common.Batches:
             nonlocal numbers, held, size
             words, texts = list(numbers), held
             numbers, held, size = Numbers(MARKS), [], 0
-            for cell, block in blocks(texts, words, side, order):
+            for cell, block in blocks(texts, words, frequent, side, order):
                 yield common.batch_of(schema, [[cell], [block]])
 
         for batch in batches:
@@ -233,8 +263,10 @@ def cells(grams: DataFrame, folder: str, side: int, order: int) -> DataFrame:
     schema = pa.schema([("shard", pa.int32()), ("block", pa.binary())])
 
     def run(batches: common.Batches) -> common.Batches:
+        by_rank = hash_arrays.mapped(f"{folder}/frequent.bin")["hash"]
         for cell, rows in by_group(batches):
-            parts = [unpack(block, order + 2, (0, order)) for (block,) in rows]
+            parts = [unpack(block, order + 3, (0, 1, order + 1)) for (block,) in rows]
+            parts = [[np.concatenate((by_rank[ranks], hashes)), *p] for ranks, hashes, *p in parts]
             known = np.unique(np.concatenate([p[0] for p in parts]))
             back = [np.searchsorted(known, p[0]).astype(np.uint32) for p in parts]
             ids = [np.concatenate([n[p[k + 1]] for n, p in zip(back, parts)]) for k in range(order)]
@@ -375,13 +407,14 @@ def train(df: DataFrame, text: str = "text", folder: str | None = None, side: in
         raise ValueError("the order is 2 or more")
     spark = df.sparkSession
     folder = folder or common.shared_path(spark, "kneser-ney")
-    if side is None:
-        size = df.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0)).alias("n")).first()["n"]
-        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size / CELL_BYTES)
-        side = max(2, math.ceil(math.sqrt(wanted)))
-    grams = counted(df.select(F.col(text).alias("text")), side, order)
+    texts = df.select(F.col(text).alias("text"))
     with common.freed_shuffles(spark):  # the n-grams' blocks leave the disk before the facts are dealt
-        facts = common.stored(cells(grams, folder, side, order), "kneser-ney-facts", **{"parquet.block.size": FACT_BYTES, "compression": "none"})
+        size = texts.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)).alias("n")).first()["n"]
+        if side is None:
+            wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size / CELL_BYTES)
+            side = max(2, math.ceil(math.sqrt(wanted)))
+        frequent_words(texts, folder, size)
+        facts = common.stored(cells(counted(texts, folder, side, order), folder, side, order), "kneser-ney-facts", **{"parquet.block.size": FACT_BYTES, "compression": "none"})
         stats = words(facts, folder, side).collect()
     high = {k: discounts(np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard == -k] or [np.zeros(4, int)], axis=0).tolist()) for k in range(2, order + 1)}
     low = np.sum([np.frombuffer(r.stats, "<i8") for r in stats if r.shard >= 0] or [np.zeros(8, int)], axis=0).tolist()

@@ -532,3 +532,21 @@ def test_lattices_met_first_stay_when_too_many_are_met_again():
     p.shrink()
     assert 0 < p.key.n <= p.most // 2 and list(p.place) == names[: len(p.place)]
     assert [p.best(np.array([i])).tolist() for i in range(len(p.place))] == before[: len(p.place)]
+
+
+def test_blocks_name_frequent_words_by_rank(spark, docs, monkeypatch):
+    rng = random.Random(3)
+    vocabulary = [f"word{i}" for i in range(4000)]
+    df, size, cells = docs([(i, " ".join(rng.choices(vocabulary, k=100))) for i in range(200)]), [], kneser_ney.cells
+
+    def measured(grams, *rest):
+        size.append(grams.agg(F.sum(F.length("block"))).first()[0])
+        return cells(grams, *rest)
+
+    monkeypatch.setattr(kneser_ney, "cells", measured)
+    found = [sorted(map(tuple, kneser_ney.score_corpus(df, order=3).collect()))]
+    for most in (0, 1000):  # no word and a quarter of the words have a rank
+        monkeypatch.setattr(kneser_ney, "FREQUENT", most)
+        found.append(sorted(map(tuple, kneser_ney.score_corpus(df, order=3).collect())))
+    assert found[0] == found[1] == found[2]
+    assert size[0] < 0.65 * size[1] and size[0] < size[2] < size[1]
