@@ -62,22 +62,26 @@ def _join(left: DataFrame, right: DataFrame, condition: Column, groups: Sequence
     return left.join(right if groups else F.broadcast(right), condition, how)
 
 
-def at_rank(codes: DataFrame, groups: Sequence[str], code: str, ranks: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def at_rank(
+    codes: DataFrame, groups: Sequence[str], code: str, ranks: Callable[[DataFrame], DataFrame], copies: str | None = None
+) -> DataFrame:
     """groups, _rank, _code, _before, _equal: the code at each wanted rank (from 0) of each group, how many rows of the group
     have a smaller one and how many the same. Rows with a NULL code don't count.
 
     ranks: from (groups, _n: rows of the group) to distinct (groups, _rank); ranks outside the group are dropped. `codes` is read once
-    a pass, so it should be a table rather than a long plan.
+    a pass, so it should be a table rather than a long plan. copies: a column that says how many rows a row stands for.
     """
     groups = list(groups)
     bits = F.col(code).bitwiseXOR(F.lit(-(1 << 63)))  # unsigned order
-    rows = codes.where(F.col(code).isNotNull()).select(*groups, bits.alias("_bits"))
+    number = F.lit(1) if copies is None else F.col(f"`{copies}`")
+    rows = codes.where(F.col(code).isNotNull()).select(*groups, bits.alias("_bits"), number.cast("long").alias("_copies"))
+    many = F.count(F.lit(1)) if copies is None else F.sum("_copies")
     state = None
     for p in range(PASSES):
         shift = 64 - DIGIT * (p + 1)
         digit = F.shiftrightunsigned("_bits", shift).bitwiseAND(F.lit((1 << DIGIT) - 1)).cast("int")
         if state is None:
-            counts = stored(rows.groupBy(*groups, digit.alias("_digit")).agg(F.count(F.lit(1)).alias("_m")), "digits")
+            counts = stored(rows.groupBy(*groups, digit.alias("_digit")).agg(many.alias("_m")), "digits")
             sizes = counts.groupBy(*groups).agg(F.sum("_m").alias("_n"))
             wanted = ranks(sizes).select(*groups, F.col("_rank").cast("long").alias("_rank"))
             wanted = _join(wanted.alias("w"), sizes.alias("z"), _same("w", "z", groups), groups).where("w._rank >= 0 AND w._rank < z._n")
@@ -86,7 +90,7 @@ def at_rank(codes: DataFrame, groups: Sequence[str], code: str, ranks: Callable[
         else:
             met = _same("c", "s", groups) & (F.shiftrightunsigned("c._bits", shift + DIGIT) == F.col("s._prefix"))
             keys = [*groups, "_rank", "_prefix", "_before"]
-            found = _join(rows.alias("c"), state.alias("s"), met, groups).select("s.*", digit.alias("_digit")).groupBy(*keys, "_digit").agg(F.count(F.lit(1)).alias("_m"))
+            found = _join(rows.alias("c"), state.alias("s"), met, groups).select("s.*", digit.alias("_digit"), "c._copies").groupBy(*keys, "_digit").agg(many.alias("_m"))
         upto = Window.partitionBy(*groups, "_rank").orderBy("_digit")  # at most 65,536 digits
         placed = found.withColumn("_upto", F.col("_before") + F.sum("_m").over(upto))
         here = placed.where((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_m") <= F.col("_rank")))

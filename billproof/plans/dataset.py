@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.columns import normalize_columns, snake_case
+from ..functions.text import text_array
 from ..operators.joins import cross_one_row
 from ..operators.quality import require_columns
 from ..operators.selection import at_rank, decoded, mark_first, ordered_code
@@ -23,18 +24,22 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact medians of any number of rows: radix selection, four counting passes for all columns at once.
 
-    `df` is read once a pass. Only the one or two middle values of each column come to the driver.
+    `df` is read once: equal values of a column become one saved row with their number, which the passes read. Only the one or
+    two middle values of each column come to the driver.
     """
     if not columns:
         return {}
-    one = [F.struct(F.lit(c).alias("c"), ordered_code(F.col(f"`{c}`")).alias("code")) for c in columns]
-    codes = df.select(F.explode(F.array(*one)).alias("v")).select("v.c", "v.code")
+    one = [F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)]
+    values = df.select(F.explode(F.array(*one)).alias("v")).select("v.i", "v.v").where(F.col("v").isNotNull())
+    counted = values.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    name = F.element_at(text_array(list(columns)), F.col("i") + 1)
+    codes = stored(counted.select(name.alias("c"), ordered_code(F.col("v")).alias("code"), "n"), "values")
 
     def middle(sizes: DataFrame) -> DataFrame:
         n = F.col("_n")
         return sizes.select("c", F.explode(F.array_distinct(F.array(F.floor((n - 1) / 2), F.floor(n / 2)))).alias("_rank"))
 
-    found = at_rank(codes, ["c"], "code", middle).groupBy("c").agg(F.min("_code").alias("low"), F.max("_code").alias("high"))
+    found = at_rank(codes, ["c"], "code", middle, "n").groupBy("c").agg(F.min("_code").alias("low"), F.max("_code").alias("high"))
     rows = found.select("c", ((decoded(F.col("low")) + decoded(F.col("high"))) / 2).alias("m")).collect()
     return dict.fromkeys(columns) | {r["c"]: r["m"] for r in rows}
 

@@ -1,12 +1,16 @@
-"""Findings that stay where they are, marks of hashes."""
+"""Findings that stay where they are, marks of hashes, medians over counted values."""
 
 import datetime as dt
+import math
 import random
+import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from billproof.operators import joins as J
+from billproof.plans import dataset as D
 from billproof.plans import findings as P
 from billproof.session import stored
 
@@ -78,3 +82,23 @@ def test_marks_hold_every_hash(spark, monkeypatch):
         assert marked >= set(range(n))
         if most > 1 << 12:
             assert len(marked) - n < 0.06 * 20000
+
+
+def test_medians_are_taken_from_counted_values(spark, monkeypatch):
+    rng = random.Random(7)
+    data = [(rng.choice([0.0, -0.0, 1.5, None]), rng.choice([math.nan, 2.0, math.inf]), rng.randint(0, 9), float(i), None) for i in range(1500)]
+    df = spark.createDataFrame(data, "`a b` double, n double, i int, u double, none double").repartition(5)
+    seen, real = {}, D.stored
+    monkeypatch.setattr(D, "stored", lambda df, name: seen.setdefault(name, real(df, name)))
+    found = D.exact_medians(df, df.columns)
+    order = lambda v: (math.isnan(v), v)
+    for at, name in enumerate(df.columns):
+        own = sorted((float(r[at]) for r in data if r[at] is not None), key=order)
+        if name == "none":
+            assert found[name] is None
+        else:
+            middle = (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2
+            assert found[name] == middle or (math.isnan(found[name]) and math.isnan(middle))
+    counts = {r.c: (r.rows, r.n) for r in seen["values"].groupBy("c").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()}
+    assert counts == {"a b": (2, sum(r[0] is not None for r in data)), "n": (3, 1500), "i": (10, 1500), "u": (1500, 1500)}
+    assert found["u"] == statistics.median(range(1500)) == float(np.median([r[3] for r in data]))
