@@ -57,6 +57,25 @@ def test_saved_findings_are_not_moved_for_the_tables(spark, rows, monkeypatch, r
     assert [_bag(make(P.prepare_hub(hub, accounts, "L", True, saved=True), DAY)) for make in (P.detail_of, P.tag_detail_of)] == want
 
 
+def test_findings_are_made_once_for_the_accounts(spark, rows, tmp_path):
+    people = rows("IDCONTA string, IDCONTRATO string, CODIGOCLIENTE string, nome string, CPF_CNPJ string", [("a", "b", "b", "A", "1")])
+    path = str(tmp_path / "hub")
+    _hub(rows, _data(3, 200, [*P.RULES_DIRECT, "PRE-BILLING", None])).write.parquet(path)
+    make = lambda df, **more: P.account_rollup(df, people, "L", dt.datetime(2026, 1, 1), only_bad=False, **more)
+    for hub in (spark.read.parquet(path), spark.read.parquet(path).drop("SEGMENTO", "Produto")):
+        for limit in (16_000_000, 300):  # no account and some accounts have long texts
+            once, again = make(hub, text_limit=limit), make(hub, text_limit=limit, saved=True)
+            assert not any(path in name for name in once.inputFiles()) and any(path in name for name in again.inputFiles())
+            assert _bag(once) == _bag(again) and once.count() == 16
+    notes = {(r.ID_CONTA, r.SISTEMA): r.OBSERVACAO for r in make(spark.read.parquet(path)).collect()}
+    for (account, system), text in notes.items():
+        mine = [d for d in _data(3, 200, [*P.RULES_DIRECT, "PRE-BILLING", None]) if d[1] == account and {"AN": "SIMETRA", " ng ": "ng"}.get(d[4], d[4]) == system]
+        tag = lambda d: d[5].split(":")[0].strip() if d[2] in P.RULES_TAG_IN_TEXT and d[5] is not None else d[2]
+        want = [(f"{tag(d)}: {d[5]}" if d[5] and d[5].strip() else tag(d)) for d in mine if d[3] in P.BAD and tag(d) is not None]
+        wrong = any(d[3] == "INCORRETO" for d in mine)
+        assert (text or "") == (" | ".join(sorted(want)) if wrong else "")
+
+
 def test_the_chain_does_not_deal_its_findings(spark, monkeypatch, rows):
     from registered import findings as Q
 
